@@ -24,6 +24,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -77,3 +78,22 @@ def is_local_path(path: str) -> bool:
 
 def exists_local(path: str) -> bool:
     return is_local_path(path) and os.path.exists(local_path(path))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``nimbus`` importable in Python workers (``addPyFile`` of a zip).
+
+    Only paths that run Python inside tasks (the keyed collect) need it;
+    everything else is JVM-side expressions.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_nimbus_shipped", False):
+        return
+    import shutil
+
+    import nimbus
+    pkg_parent = os.path.dirname(os.path.dirname(os.path.abspath(nimbus.__file__)))
+    out = tempfile.mkdtemp(prefix="nimbus-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out, "nimbus"), "zip", pkg_parent, "nimbus")
+    sc.addPyFile(archive)
+    sc._nimbus_shipped = True

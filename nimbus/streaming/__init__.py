@@ -1,0 +1,7 @@
+"""Structured Streaming jobs (T1-T3); T4 backfill is ``plans.jobs.backfill``."""
+
+from nimbus.streaming.ingest import ingest_stream, raw_stream
+from nimbus.streaming.windows import dedup_stream, drain, hourly_stream, read_latest, run_to_table
+
+__all__ = ["ingest_stream", "raw_stream", "dedup_stream", "drain", "hourly_stream",
+           "read_latest", "run_to_table"]
