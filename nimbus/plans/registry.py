@@ -863,3 +863,12 @@ ORACLE_SQL: dict[str, str] = {
     "sample_limit": SQL_SAMPLE_LIMIT,
     "hourly_detail": SQL_HOURLY_DETAIL,
 }
+
+
+def _add_streaming() -> None:
+    from nimbus.plans import stream_queries
+    QUERIES.update(stream_queries.QUERIES)
+    ORACLE_SQL.update(stream_queries.ORACLE_SQL)
+
+
+_add_streaming()

@@ -16,6 +16,13 @@ from nimbus.operators.latest import latest_per_key
 from nimbus.operators.summary import Metric, dominant
 
 
+def _event_time(df: DataFrame, ts: str) -> DataFrame:
+    """Watermarks need ``timestamp``; read ``timestamp_ntz`` as UTC."""
+    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+        return df.withColumn(ts, F.col(ts).cast("timestamp"))
+    return df
+
+
 def hourly_stream(df: DataFrame, keys, ts: str, metrics: list[Metric],
                   label: str | None = None, watermark: str = "2 hours",
                   window: str = "1 hour", label_col: str = "dominant",
@@ -27,7 +34,7 @@ def hourly_stream(df: DataFrame, keys, ts: str, metrics: list[Metric],
     if label:
         aggs.append(dominant(label).alias(label_col))
     aggs.append(F.count(F.lit(1)).alias(count_col))
-    return (df.withWatermark(ts, watermark)
+    return (_event_time(df, ts).withWatermark(ts, watermark)
               .groupBy(F.window(ts, window).alias("w"), *keys).agg(*aggs)
               .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                       *keys, *[a for a in [m.name for m in metrics]],
@@ -37,7 +44,7 @@ def hourly_stream(df: DataFrame, keys, ts: str, metrics: list[Metric],
 def dedup_stream(df: DataFrame, keys, ts: str, watermark: str = "2 hours") -> DataFrame:
     """Drop repeated observations (same keys) arriving within the watermark."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
+    return _event_time(df, ts).withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
 def run_to_table(stream: DataFrame, out: str, checkpoint: str, mode: str = "append",
