@@ -8,6 +8,7 @@ three-valued logic every row lands in exactly one branch of the split.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -139,22 +140,36 @@ def is_valid() -> Column:
     return F.size(F.col(REASONS)) == 0
 
 
+def passes(rules: list[Rule], df: DataFrame | None = None) -> Column:
+    """TRUE when every rule holds (a NULL anywhere makes it not TRUE).
+
+    Used directly as a filter this is a plain conjunction, so the simple
+    parts (``IS NOT NULL``, range bounds) are pushed into the Parquet scan
+    and no reasons array is built for rows that pass.
+    """
+    out = reduce(lambda a, b: a & b, [r.check for r in rules])
+    if df is not None and MALFORMED in df.columns:
+        out = out & (F.size(F.col(MALFORMED)) == 0)
+    return out
+
+
 def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) from one validated plan; invalid keeps its reasons."""
-    v = validate(df, rules)
-    valid = v.filter(is_valid()).drop(REASONS)
+    """(valid, invalid); reasons are computed for the invalid rows only."""
+    ok = passes(rules, df)
+    valid = df.filter(ok)
     if MALFORMED in valid.columns:
         valid = valid.drop(MALFORMED)
-    return valid, v.filter(~is_valid())
+    invalid = validate(df.filter(~F.coalesce(ok, F.lit(False))), rules)
+    return valid, invalid
 
 
 def split_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """One row: total, valid, invalid; one aggregation pass, no caching."""
-    v = validate(df, rules)
-    return v.agg(
+    ok = F.coalesce(passes(rules, df), F.lit(False))
+    return df.agg(
         F.count(F.lit(1)).alias("total_count"),
-        F.count_if(is_valid()).alias("valid_count"),
-        F.count_if(~is_valid()).alias("invalid_count"),
+        F.count_if(ok).alias("valid_count"),
+        F.count_if(~ok).alias("invalid_count"),
     )
 
 

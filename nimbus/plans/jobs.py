@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from nimbus.dims import CITIES
 from nimbus.operators.enrich import enrich
 from nimbus.operators.flatten import to_record
-from nimbus.operators.validate import MALFORMED, REASONS, ingest_rules, is_valid, validate
+from nimbus.operators.validate import REASONS, ingest_rules, split
 from nimbus.schemas import PARTITION_COLS, PROCESSED, READING_COLS
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
@@ -70,10 +70,12 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
     raw = read_raw(spark, raw_root, run_hour=run_hour)
     if raw.isEmpty():
         raise RuntimeError(f"No raw data to process for {run_hour}")
-    checked = validate(raw, rules if rules is not None else ingest_rules()).persist()
+    rules = rules if rules is not None else ingest_rules()
+    checked = raw.persist()
     try:
         valid_obs, bad_obs = Observation("valid"), Observation("invalid")
-        valid = enrich(checked.filter(is_valid()), run_hour=run_hour, processed_at=processed_at)
+        good, rejected = split(checked, rules)
+        valid = enrich(good, run_hour=run_hour, processed_at=processed_at)
         valid = valid.select(*[c for c in PROCESSED.fieldNames()])
         valid = valid.observe(valid_obs, F.count(F.lit(1)).alias("n"))
         if table:
@@ -83,14 +85,14 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
             write_partitions(valid, processed_root)
         n_bad = 0
         if quarantine_root:
-            bad = (with_run_hour(checked.filter(~is_valid()), run_hour)
+            bad = (with_run_hour(rejected, run_hour)
                    .select(*READING_COLS, CORRUPT, REASONS, *PARTITION_COLS)
                    .observe(bad_obs, F.count(F.lit(1)).alias("n")))
             write_partitions(bad, quarantine_root, fmt="json")
             n_bad = int(bad_obs.get["n"])
         n_ok = int(valid_obs.get["n"])
         if not quarantine_root:
-            n_bad = checked.filter(~is_valid()).count()
+            n_bad = rejected.count()
     finally:
         checked.unpersist()
     return ProcessResult(n_ok + n_bad, n_ok, n_bad)
@@ -105,6 +107,5 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
 def processed_from_raw(raw: DataFrame, processed_at: str, rules=None) -> DataFrame:
     """Validated + enriched rows of any raw frame that carries partition ints
     (used by the incremental ingest, where one batch spans several hours)."""
-    checked = validate(raw, rules if rules is not None else ingest_rules())
-    valid = checked.filter(is_valid()).drop(REASONS, MALFORMED, CORRUPT)
-    return enrich(valid, processed_at=processed_at).select(*PROCESSED.fieldNames())
+    valid, _ = split(raw, rules if rules is not None else ingest_rules())
+    return enrich(valid.drop(CORRUPT), processed_at=processed_at).select(*PROCESSED.fieldNames())
