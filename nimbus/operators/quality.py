@@ -52,29 +52,49 @@ def model_tests(df: DataFrame, tests: list[tuple]) -> DataFrame:
                                  F.count_if(p).cast("bigint").alias("failures"))
                         for k, c, p in row_tests])
         parts.append(df.agg(arr.alias("_r")).select(F.inline("_r")))
-    for c in unique_cols:
-        dup = (df.filter(col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-                 .agg(F.count_if(F.col("_n") > 1).cast("bigint").alias("failures")))
-        parts.append(dup.select(F.lit("unique").alias("test"), F.lit(c).alias("column_name"),
-                                "failures"))
+    if unique_cols:
+        parts.append(_unique_failures(df, unique_cols))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
+    """All uniqueness tests in one scan and one shuffle: values are stacked as
+    ``(column, value)`` and counted together (partial counts before the
+    shuffle, so a hot value ships one row per map task)."""
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), col(c).cast("string").alias("v")) for c in cols
+    ])).alias("_s")).select("_s.*").filter(F.col("v").isNotNull())
+    per_value = stacked.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
+    dup = per_value.groupBy("column_name").agg(
+        F.count_if(F.col("_n") > 1).cast("bigint").alias("failures"))
+    tested = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    return (F.broadcast(tested).join(dup, "column_name", "left")
+            .select(F.lit("unique").alias("test"), "column_name",
+                    F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
+
+
 def coverage_report(df: DataFrame, state: str, city: str, slug: str | None,
                     expected_states, min_cities: int) -> DataFrame:
-    """Set-level coverage (P14, U4) in one aggregation: expected states that
-    are missing, distinct city count against a minimum, duplicate slugs.
-    Only the expected list is materialised per row, never the data's keys."""
+    """Set-level coverage (P14, U4): expected states that are missing, distinct
+    city count against a minimum, and slugs shared by different cities.
+
+    The rows are first reduced to distinct ``(city, state, slug)`` keys (a
+    partial-aggregated shuffle); the distinct counts then run on that small
+    set, so Spark's multi-distinct expansion never touches the raw rows.
+    Only the expected state list is materialised, never the data's keys.
+    """
     expected_states = list(expected_states)
+    keys = [city, state] + ([slug] if slug else [])
+    pairs = df.select(*[col(k) for k in keys]).distinct()
     present = [F.max(F.coalesce(col(state) == s, F.lit(False))).alias(f"_p{i}")
                for i, s in enumerate(expected_states)]
     aggs = present + [F.count_distinct(col(city)).alias("n_cities")]
     if slug:
         aggs += [F.count(col(slug)).alias("_ns"), F.count_distinct(col(slug)).alias("_nds")]
-    r = df.agg(*aggs)
+    r = pairs.agg(*aggs)
     missing = F.array_compact(F.array(*[F.when(~F.col(f"_p{i}"), F.lit(s))
                                         for i, s in enumerate(expected_states)]))
     out = [missing.alias("missing_states"), F.col("n_cities"),

@@ -32,8 +32,11 @@ def lookup_with_default(df: DataFrame, dim: DataFrame, left_key: str, dim_key: s
 
 def map_layer(df: DataFrame, populations: DataFrame, city: str = "city_name",
               temp: str = "temp_f", pop_city: str = "city", pop: str = "population",
-              broadcast_dim: bool = True) -> DataFrame:
-    """Per reading: RGB from temperature, opacity and radius from population."""
+              broadcast_dim: bool = False) -> DataFrame:
+    """Per reading: RGB from temperature, opacity and radius from population.
+
+    Set ``broadcast_dim`` only for the literal population table (bounded);
+    a derived one is left to Spark's size-checked join selection."""
     j = lookup_with_default(df, populations, city, pop_city, pop, DEFAULT_POPULATION,
                             out="population", broadcast_dim=broadcast_dim)
     t = geo.population_scale("population")

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nimbus.dims import populations_df
 from nimbus.operators.filters import filter_in, hour_slice, trailing_window
 from nimbus.operators.reshape import series_long
 from nimbus.operators.snapshot import hour_over_hour, snapshot_aggs
@@ -29,12 +30,15 @@ def select_cities(df: DataFrame, cities=None, states=None, city: str = "city_nam
     return filter_in(filter_in(df, state, states), city, cities)
 
 
-def weather_map(stg: DataFrame, populations: DataFrame, hour=None) -> DataFrame:
-    """Map layer for one hour (C5): readings in the hour with colour/size."""
+def weather_map(stg: DataFrame, populations: DataFrame | None = None, hour=None) -> DataFrame:
+    """Map layer for one hour (C5): readings in the hour with colour/size.
+    Default populations: the literal 19-city table (broadcast, bounded)."""
     sl = hour_slice(stg, "observed_at", hour)
     cols = ["latitude", "longitude", "temp_f", "feels_like_f", "wind_speed_mph",
             "humidity_pct", "condition_description", "city_name", "state_code"]
-    return map_layer(sl.select(*cols), populations)
+    literal = populations is None
+    pops = populations_df(stg.sparkSession) if literal else populations
+    return map_layer(sl.select(*cols), pops, broadcast_dim=literal)
 
 
 def cards(current: DataFrame) -> DataFrame:

@@ -700,9 +700,10 @@ SQL_COVERAGE = f"""
 WITH r AS ({READINGS_SQL}),
 s AS (SELECT *, concat_ws('_', lower(regexp_replace(city_name, '\\s+', '_', 'g')),
                           lower(state_code)) AS city_slug FROM r),
+p AS (SELECT DISTINCT city_name, country_code, city_slug FROM s),
 a AS (SELECT {', '.join(f"bool_or(coalesce(country_code = {_q(s)}, false)) AS p{i}" for i, s in enumerate(COVERAGE_EXPECTED))},
              count(DISTINCT city_name) AS n_cities,
-             count(city_slug) - count(DISTINCT city_slug) AS duplicate_slugs FROM s)
+             count(city_slug) - count(DISTINCT city_slug) AS duplicate_slugs FROM p)
 SELECT concat_ws(',', {', '.join(f"CASE WHEN NOT p{i} THEN {_q(s)} END" for i, s in enumerate(COVERAGE_EXPECTED))}) AS missing_states,
        n_cities, n_cities >= {COVERAGE_MIN_CITIES} AS meets_min_cities, duplicate_slugs
 FROM a

@@ -1,8 +1,10 @@
 """Sinks, catalog registration and retention.
 
 Re-runs must be idempotent: an hour is always rewritten whole. Writers
-repartition by the partition columns so each hour is written by one task
-(one file per hour per run, not one per input split).
+use the ``rebalance`` hint on the partition columns: AQE groups rows of an
+hour together (few files per hour, not one per input split) and splits an
+oversized hour into several tasks of the advisory size, so a hot hour is
+never written by a single task.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ def with_run_hour(df: DataFrame, run_hour: str) -> DataFrame:
 
 
 def _by_partition(df: DataFrame) -> DataFrame:
-    return df.repartition(*[F.col(c) for c in PARTITION_COLS])
+    return df.hint("rebalance", *PARTITION_COLS)
 
 
 def write_raw(df: DataFrame, root: str, run_hour: str | None = None) -> None:

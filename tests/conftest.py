@@ -36,7 +36,9 @@ def pytest_collection_modifyitems(session, config, items):
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", 4, app_name="nimbus-tests")
+    warehouse = tempfile.mkdtemp(prefix="nimbus-warehouse-")
+    s = get_session("local[4]", 4, app_name="nimbus-tests",
+                    conf={"spark.sql.warehouse.dir": warehouse})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 

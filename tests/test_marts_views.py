@@ -127,7 +127,9 @@ def test_temp_colour_ramp(spark):
 def test_map_layer_population_default(spark):
     stg = _stg(spark, [reading(), reading(city="Nowhere"), reading(city="White Plains")])
     out = {r.city_name: (r.population, r.radius, r.alpha) for r in
-           map_layer(stg, populations_df(spark)).collect()}
+           map_layer(stg, populations_df(spark), broadcast_dim=True).collect()}
+    hour_map = dashboard.weather_map(stg, hour="2024-03-31 15:00:00")
+    assert hour_map.count() == 3
     assert out["New York City"] == (8336817, 5500, 240)
     assert out["White Plains"] == (58109, 3500, 140)
     assert out["Nowhere"][0] == 100000 and 3500 < out["Nowhere"][1] < 5500
