@@ -210,7 +210,8 @@ def q_validate_split_counts(spark, sf):
 
 SQL_VALIDATE_SPLIT_COUNTS = f"""
 WITH v AS (SELECT {_sql_event_reasons()} = '' AS ok FROM ({EVENTS_K_SQL}))
-SELECT count(*) AS total_count, count_if(ok) AS valid_count, count_if(NOT ok) AS invalid_count
+SELECT count(*) AS total_count, CAST(count_if(ok) AS BIGINT) AS valid_count,
+       CAST(count_if(NOT ok) AS BIGINT) AS invalid_count
 FROM v
 """
 
@@ -639,7 +640,7 @@ def q_quality_report(spark, sf):
 
 
 def _sql_fail(pred: str) -> str:
-    return f"count_if(NOT coalesce({pred}, false))"
+    return f"CAST(count_if(NOT coalesce({pred}, false)) AS BIGINT)"
 
 
 SQL_QUALITY_REPORT = f"""
@@ -673,15 +674,15 @@ def q_model_tests(spark, sf):
 
 SQL_MODEL_TESTS = f"""
 WITH r AS ({READINGS_SQL})
-SELECT 'not_null' AS test, 'city_name' AS column_name, count_if(city_name IS NULL) AS failures FROM r
-UNION ALL SELECT 'not_null', 'temp_f', count_if(temp_f IS NULL) FROM r
+SELECT 'not_null' AS test, 'city_name' AS column_name, CAST(count_if(city_name IS NULL) AS BIGINT) AS failures FROM r
+UNION ALL SELECT 'not_null', 'temp_f', CAST(count_if(temp_f IS NULL) AS BIGINT) FROM r
 UNION ALL SELECT 'accepted_values', 'country_code',
-   count_if(country_code IS NOT NULL AND country_code NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')) FROM r
+   CAST(count_if(country_code IS NOT NULL AND country_code NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')) AS BIGINT) FROM r
 UNION ALL SELECT 'accepted_range', 'humidity_pct',
-   count_if(humidity_pct IS NOT NULL AND (humidity_pct < 0 OR humidity_pct > 100)) FROM r
-UNION ALL SELECT 'unique', 'event_id', count_if(n > 1) FROM (
+   CAST(count_if(humidity_pct IS NOT NULL AND (humidity_pct < 0 OR humidity_pct > 100)) AS BIGINT) FROM r
+UNION ALL SELECT 'unique', 'event_id', CAST(count_if(n > 1) AS BIGINT) FROM (
    SELECT event_id, count(*) AS n FROM r WHERE event_id IS NOT NULL GROUP BY event_id)
-UNION ALL SELECT 'unique', 'city_name', count_if(n > 1) FROM (
+UNION ALL SELECT 'unique', 'city_name', CAST(count_if(n > 1) AS BIGINT) FROM (
    SELECT city_name, count(*) AS n FROM r WHERE city_name IS NOT NULL GROUP BY city_name)
 """
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.functions.timefn import ISO_FORMAT_UTC
 from nimbus.operators.summary import Metric
 from nimbus.plans.standins import CONDITION_SQL, K_SQL, readings, table
 from nimbus.session import work_dir
@@ -100,7 +99,8 @@ SELECT c.c_name AS city, n.n_name AS state,
        concat_ws('_', lower(regexp_replace(c.c_name, '\\s+', '_', 'g')), lower(n.n_name)) AS city_slug,
        round((e.value - 32) * 5 / 9, 2) AS temp_c,
        round(CAST({K_SQL} AS DOUBLE) * 0.44704, 3) AS wind_speed_ms,
-       year(e.ts) AS year, month(e.ts) AS month, day(e.ts) AS day, hour(e.ts) AS hour
+       CAST(year(e.ts) AS INTEGER) AS year, CAST(month(e.ts) AS INTEGER) AS month,
+       CAST(day(e.ts) AS INTEGER) AS day, CAST(hour(e.ts) AS INTEGER) AS hour
 FROM events e JOIN customer c ON e.user_id = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE e.value IS NOT NULL AND e.value BETWEEN -100 AND 150 AND NOT isnan(e.value)

@@ -27,6 +27,10 @@ def _norm(v):
     return str(v)
 
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
@@ -57,4 +61,6 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
+    dtypes = {n: str(t) for n, t, *_ in res.description}
+    assert {n: TYPE_MAP.get(t, t) for n, t in df.dtypes} == dtypes
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, res.fetchall())
