@@ -32,9 +32,12 @@ def _ts_type(df: DataFrame, ts: str) -> str:
     return df.schema[ts].dataType.typeName()
 
 
-def latest(df: DataFrame, ts: str) -> Column:
-    """``max(ts)`` of ``df`` as a scalar subquery (one small extra job)."""
-    return df.select(F.max(ts)).scalar()
+def latest(df: DataFrame, ts: str):
+    """``max(ts)`` of ``df`` resolved to a single value (one small job over
+    one pruned column). A literal bound, unlike a scalar subquery, is pushed
+    into the Parquet scan, where row-group statistics on ``ts`` skip data
+    outside the window."""
+    return df.agg(F.max(ts)).first()[0]
 
 
 def trailing_window(df: DataFrame, ts: str, as_of=None, hours: int = 24) -> DataFrame:
@@ -42,15 +45,22 @@ def trailing_window(df: DataFrame, ts: str, as_of=None, hours: int = 24) -> Data
 
     ``as_of`` is an argument, never the wall clock, so reruns are stable.
     """
-    anchor = latest(df, ts) if as_of is None else _as_ts(as_of, _ts_type(df, ts))
-    return df.filter(col(ts) >= anchor - F.make_dt_interval(hours=F.lit(hours)))
+    typ = _ts_type(df, ts)
+    anchor = latest(df, ts) if as_of is None else as_of
+    if anchor is None:
+        return df.limit(0)
+    lo = _as_ts(anchor, typ) - F.make_dt_interval(hours=F.lit(hours))
+    return df.filter(col(ts) >= lo.cast(typ))
 
 
 def hour_slice(df: DataFrame, ts: str, hour=None) -> DataFrame:
     """Rows whose ``ts`` falls in ``[hour, hour + 1h)``; default the latest hour."""
     typ = _ts_type(df, ts)
-    start = (F.date_trunc("hour", latest(df, ts)) if hour is None else _as_ts(hour)).cast(typ)
-    end = start + F.make_dt_interval(hours=F.lit(1))
+    anchor = latest(df, ts) if hour is None else hour
+    if anchor is None:
+        return df.limit(0)
+    start = F.date_trunc("hour", _as_ts(anchor, typ)).cast(typ)
+    end = (start + F.make_dt_interval(hours=F.lit(1))).cast(typ)
     return df.filter((col(ts) >= start) & (col(ts) < end))
 
 
