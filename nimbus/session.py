@@ -93,7 +93,13 @@ def ship_package(spark: SparkSession) -> None:
 
     import nimbus
     pkg_parent = os.path.dirname(os.path.dirname(os.path.abspath(nimbus.__file__)))
-    out = tempfile.mkdtemp(prefix="nimbus-pyfiles-")
+    target = work_dir(spark, "pyfiles")
+    if is_local_path(target):
+        out = local_path(target)
+        os.makedirs(out, exist_ok=True)
+    else:
+        # The zip is only read by the driver, which serves it to executors.
+        out = tempfile.mkdtemp(prefix="nimbus-pyfiles-")
     archive = shutil.make_archive(os.path.join(out, "nimbus"), "zip", pkg_parent, "nimbus")
     sc.addPyFile(archive)
     sc._nimbus_shipped = True
