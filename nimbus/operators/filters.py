@@ -6,8 +6,6 @@ Parquet can push down; ``date_trunc(ts) = h`` cannot be pushed.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from nimbus.dims import CITIES
 from nimbus.operators.enrich import enrich
 from nimbus.operators.flatten import to_record
-from nimbus.operators.validate import REASONS, ingest_rules, split
+from nimbus.operators.validate import REASONS, ingest_rules, split, split_counts
 from nimbus.schemas import PARTITION_COLS, PROCESSED, READING_COLS
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
@@ -61,41 +60,36 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
                  table: str | None = None, rules=None) -> ProcessResult:
     """Validate and enrich one raw hour; write processed Parquet and quarantine.
 
-    * one scan of the raw hour, validated once and persisted for the two
-      writes (the hour is small; the plan does not depend on it fitting)
-    * counts come from ``Observation`` on the writes, not extra jobs
+    * one scan of the raw hour, persisted for the count and the two writes
+      (spills to disk if large; recomputed from the raw files if lost)
+    * counts come from one aggregation over the cached hour (an observation
+      on a write is dropped when its input turns out empty)
     * the processed hour is replaced whole (static partition overwrite when
       a table is registered, so even an all-invalid re-run clears it)
     """
     raw = read_raw(spark, raw_root, run_hour=run_hour)
-    if raw.isEmpty():
-        raise RuntimeError(f"No raw data to process for {run_hour}")
     rules = rules if rules is not None else ingest_rules()
     checked = raw.persist()
     try:
-        valid_obs, bad_obs = Observation("valid"), Observation("invalid")
+        # One aggregation over the cached hour: counts and the empty guard.
+        c = split_counts(checked, rules).first()
+        if c.total_count == 0:
+            raise RuntimeError(f"No raw data to process for {run_hour}")
         good, rejected = split(checked, rules)
         valid = enrich(good, run_hour=run_hour, processed_at=processed_at)
-        valid = valid.select(*[c for c in PROCESSED.fieldNames()])
-        valid = valid.observe(valid_obs, F.count(F.lit(1)).alias("n"))
+        valid = valid.select(*PROCESSED.fieldNames())
         if table:
             register_table(spark, table, processed_root, PROCESSED)
             overwrite_hour(spark, table, valid, run_hour)
         else:
             write_partitions(valid, processed_root)
-        n_bad = 0
         if quarantine_root:
             bad = (with_run_hour(rejected, run_hour)
-                   .select(*READING_COLS, CORRUPT, REASONS, *PARTITION_COLS)
-                   .observe(bad_obs, F.count(F.lit(1)).alias("n")))
+                   .select(*READING_COLS, CORRUPT, REASONS, *PARTITION_COLS))
             write_partitions(bad, quarantine_root, fmt="json")
-            n_bad = int(bad_obs.get["n"])
-        n_ok = int(valid_obs.get["n"])
-        if not quarantine_root:
-            n_bad = rejected.count()
     finally:
         checked.unpersist()
-    return ProcessResult(n_ok + n_bad, n_ok, n_bad)
+    return ProcessResult(c.total_count, c.valid_count, c.invalid_count)
 
 
 def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours: list[str],

@@ -18,8 +18,7 @@ from nimbus.functions import advice as adv
 from nimbus.functions import exact, geo, text, timefn, units
 from nimbus.operators import filters, latest, quality, reshape, snapshot, summary, validate, views
 from nimbus.operators.summary import Metric
-from nimbus.plans.standins import (CONDITION_SQL, K_SQL, READINGS_SQL, events_k, readings,
-                                   table)
+from nimbus.plans.standins import K_SQL, READINGS_SQL, events_k, readings, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 

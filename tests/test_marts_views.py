@@ -9,7 +9,7 @@ from nimbus.dims import activities_df, cities_df, populations_df
 from nimbus.functions import exact, geo, text, timefn
 from nimbus.operators.quality import coverage_report, freshness, model_tests, rule_failures
 from nimbus.operators.snapshot import hour_over_hour, regional_snapshot
-from nimbus.operators.summary import dominant_label, value_counts
+from nimbus.operators.summary import dominant_label
 from nimbus.operators.validate import quality_rules
 from nimbus.operators.views import city_advice, current_cards, map_layer, range_summary
 from nimbus.plans import dashboard

@@ -149,3 +149,22 @@ def test_collect_keyed_from_dataframe(spark):
     assert st == [("Buffalo", "error"), ("New York City", "ok")]
     doc = json.loads(got.filter(F.col("status") == "ok").first().payload)
     assert doc["main"]["temp"] == 63.0
+
+
+def test_column_missing_from_whole_batch_is_quarantined(spark):
+    raw, out, quar = new_dir(), new_dir(), new_dir()
+    rows = [{k: v for k, v in reading(city=c).items() if k != "temp_f"} for c in ("A", "B")]
+    _land(raw, False, 15, rows)
+    res = process_hour(spark, raw, out, "2024-03-31T15", quarantine_root=quar, processed_at="p")
+    assert (res.valid, res.invalid) == (0, 2)
+    assert all("missing:temp_f" in r[REASONS] for r in spark.read.json(quar).collect())
+
+
+def test_payload_without_coord_uses_city_dimension(spark):
+    def no_coord(key):
+        return {k: v for k, v in GOLDEN.items() if k not in ("coord", "sys")}
+    fmt = register_keyed_source(spark, [("Buffalo", "NY", 42.8864, -78.8784)],
+                                "name string, state string, lat double, lon double",
+                                no_coord, name="keyed_nocoord")
+    r = payload_readings(spark.read.format(fmt).load()).first()
+    assert (r.lat, r.lon, r.country, r.city) == (42.8864, -78.8784, "US", "Buffalo")
