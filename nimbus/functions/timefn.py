@@ -49,6 +49,11 @@ def hour_label(ts) -> Column:
     return F.date_format(to_display_tz(ts), HOUR_LABEL_FORMAT)
 
 
+def as_of_label(ts) -> Column:
+    """``Mar 31, 2024 11:46 AM ET``: the "data as of" caption."""
+    return F.date_format(to_display_tz(ts), DAY_LABEL_FORMAT)
+
+
 def season(month) -> Column:
     m = col(month)
     return (F.when(m.isin(12, 1, 2), "winter")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.dims import populations_df
+from nimbus.functions.timefn import as_of_label
 from nimbus.operators.filters import filter_in, hour_slice, trailing_window
 from nimbus.operators.reshape import series_long
 from nimbus.operators.snapshot import hour_over_hour, snapshot_aggs
@@ -41,6 +42,12 @@ def weather_map(stg: DataFrame, populations: DataFrame | None = None, hour=None)
     return map_layer(sl.select(*cols), pops, broadcast_dim=literal)
 
 
+def data_as_of(current: DataFrame, ts: str = "observed_at") -> DataFrame:
+    """Newest observation and its display caption."""
+    return current.agg(F.max(ts).alias("as_of")).withColumn(
+        "label", F.concat(F.lit("Data as of: "), as_of_label("as_of")))
+
+
 def cards(current: DataFrame) -> DataFrame:
     """Per-city cards."""
     return current_cards(current).orderBy("city_name")
@@ -71,8 +78,9 @@ def advisor(current: DataFrame, activities: DataFrame, month: int, k: int = 2) -
 
 
 def condition_distribution(stg: DataFrame, cities=None) -> DataFrame:
-    """Condition frequency."""
-    return value_counts(filter_in(stg, "city_name", cities), "condition_main", "Count")
+    """Condition frequency (C10), ascending by count, as (Condition, Count)."""
+    vc = value_counts(filter_in(stg, "city_name", cities), "condition_main", "Count")
+    return vc.withColumnRenamed("condition_main", "Condition")
 
 
 def city_comparison(hourly: DataFrame) -> tuple[DataFrame, DataFrame]:

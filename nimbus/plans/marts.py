@@ -19,6 +19,27 @@ CURRENT_COLUMNS = [
 ]
 
 
+# Columns of the sync variant's current table (keyed by slug).
+SYNC_CURRENT_COLUMNS = [
+    "city_name", "state_code", "country_code", "latitude", "longitude", "observed_at",
+    "temp_f", "feels_like_f", "temp_min_f", "temp_max_f", "temp_c", "feels_like_c",
+    "humidity_pct", "pressure_hpa", "visibility_m", "wind_speed_mph", "wind_gust_mph",
+    "clouds_pct", "condition_main", "condition_description", "city_slug",
+]
+
+# Typed processed table of the sync variant: (column, type) in output order.
+SYNC_PROCESSED_COLUMNS = [
+    ("city", None), ("state", None), ("country", None), ("lat", None), ("lon", None),
+    ("observed_at", "timestamp"), ("fetched_at", "timestamp"), ("processed_at", "timestamp"),
+    ("temp_f", None), ("feels_like_f", None), ("temp_min_f", None), ("temp_max_f", None),
+    ("temp_c", None), ("feels_like_c", None), ("humidity_pct", None), ("pressure_hpa", None),
+    ("visibility_m", None), ("wind_speed_mph", None), ("wind_speed_ms", None),
+    ("wind_deg", None), ("wind_gust_mph", None), ("clouds_pct", None), ("condition_id", None),
+    ("condition_main", None), ("condition_description", None), ("condition_icon", None),
+    ("city_slug", None), ("year", None), ("month", None), ("day", None), ("hour", None),
+]
+
+
 def stg_weather_raw(processed: DataFrame) -> DataFrame:
     """Typed staging shape over processed (or raw) readings."""
     return stage(processed)
@@ -49,6 +70,46 @@ def weather_hourly_summary(stg: DataFrame, profile: str = "dbt",
                           label="condition_main", profile=profile, extremes=extremes)
 
 
+def processed_typed(processed: DataFrame) -> DataFrame:
+    """Processed readings with timestamps typed (sync variant's base table)."""
+    present = set(processed.columns)
+    return processed.select(*[
+        (F.col(c).try_cast(t) if t else F.col(c)).alias(c) if c in present
+        else F.lit(None).cast(t or "string").alias(c)
+        for c, t in SYNC_PROCESSED_COLUMNS])
+
+
+def current_by_slug(typed: DataFrame) -> DataFrame:
+    """Latest reading per slug (the sync variant's DISTINCT ON), 21 columns.
+    Ties on ``observed_at`` resolve by ``fetched_at`` (a total order)."""
+    renamed = typed.select(
+        *[F.col(c) for c in typed.columns],
+        F.col("city").alias("city_name"), F.col("state").alias("state_code"),
+        F.col("country").alias("country_code"), F.col("lat").alias("latitude"),
+        F.col("lon").alias("longitude"))
+    latest = latest_per_key(renamed, ["city_slug"],
+                            [F.col("observed_at").desc(), F.col("fetched_at").desc()])
+    return latest.select(*SYNC_CURRENT_COLUMNS)
+
+
+def sync_hourly_summary(typed: DataFrame) -> DataFrame:
+    """Hourly summary of the sync variant (observed extremes, 2 dp means)."""
+    return hourly_summary(typed.withColumnsRenamed({"city": "city_name", "state": "state_code"}),
+                          keys=["city_name", "state_code"], ts="observed_at",
+                          label="condition_main", profile="sync")
+
+
+def build_sync_tables(processed: DataFrame, prefix: str = "") -> dict[str, int]:
+    """Full refresh of the three sync tables with their row counts."""
+    typed = processed_typed(processed)
+    return {
+        "weather_processed": refresh_table(typed, f"{prefix}weather_processed"),
+        "weather_current": refresh_table(current_by_slug(typed), f"{prefix}weather_current"),
+        "weather_hourly_summary": refresh_table(sync_hourly_summary(typed),
+                                                f"{prefix}weather_hourly_summary"),
+    }
+
+
 def build_marts(processed: DataFrame, prefix: str = "") -> dict[str, int]:
     """Staging as a view; marts as tables with their row counts."""
     stg = materialize(stg_weather_raw(processed), f"{prefix}stg_weather_raw", kind="view")

@@ -69,3 +69,22 @@ def test_missing_keys_and_window(spark):
     assert sel.count() == 2
     assert stage(spark.createDataFrame([reading()], READING)).count() == 1
     assert json.dumps(GOLDEN)
+
+
+def test_sync_tables_and_as_of_label(spark):
+    from nimbus.operators.enrich import enrich
+    from nimbus.plans.marts import build_sync_tables
+    rows = [reading(fetched_at="2024-03-31T16:00:00+00:00", temp_f=70.0),
+            reading(fetched_at="2024-03-31T16:20:00+00:00", temp_f=71.0),
+            reading(city="Buffalo", observed_at="2024-03-31T17:10:00+00:00")]
+    processed = enrich(spark.createDataFrame(rows, READING), run_hour="2024-03-31T16",
+                       processed_at="2024-03-31T16:30:00+00:00")
+    counts = build_sync_tables(processed, prefix="s_")
+    assert counts == {"weather_processed": 3, "weather_current": 2, "weather_hourly_summary": 2}
+    cur = {r.city_slug: r.temp_f for r in spark.table("s_weather_current").collect()}
+    assert cur == {"new_york_city_ny": 71.0, "buffalo_ny": 72.5}
+    assert len(spark.table("s_weather_current").columns) == 21
+    hs = spark.table("s_weather_hourly_summary").filter("city_name = 'New York City'").first()
+    assert (hs.min_temp_f, hs.max_temp_f, hs.avg_temp_f) == (70.0, 71.0, 70.5)
+    lbl = dashboard.data_as_of(stg_weather_raw(spark.createDataFrame(rows, READING))).first()
+    assert lbl.label == "Data as of: Mar 31, 2024 01:10 PM ET"

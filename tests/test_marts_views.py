@@ -193,7 +193,7 @@ def test_range_summary_matches_linear_interpolation(spark):
 def test_value_counts_and_series(spark):
     stg = _stg(spark, [reading(condition_main="Rain"), reading(condition_main="Rain"),
                        reading(condition_main=None), reading(condition_main="Clear")])
-    vc = [(r.condition_main, r.Count) for r in dashboard.condition_distribution(stg).collect()]
+    vc = [(r.Condition, r.Count) for r in dashboard.condition_distribution(stg).collect()]
     assert vc == [("Clear", 1), ("Rain", 2)]
     s = dashboard.temperature_series(stg, ["New York City"])
     assert s.count() == 8 and set(r.Metric for r in s.collect()) == {"Temp", "Feels Like"}
