@@ -6,24 +6,42 @@ job with exactly-once bookkeeping in the checkpoint.
 
 Micro-batches do not align with hours: a batch may hold part of an hour.
 The batch therefore only tells *which* hours changed; each touched hour is
-re-read whole from the raw zone (a semi-join on the partition columns, so
-Spark's dynamic partition pruning lists only those folders) and replaced
-whole in the processed zone. Overwriting an hour from the partial batch
-alone would drop the rows landed earlier.
+re-read whole from the raw zone and replaced whole in the processed zone.
+Overwriting an hour from the partial batch alone would drop the rows
+landed earlier.
+
+The touched hours are partition keys (a handful per batch), brought to
+the driver and turned into a literal predicate on the partition columns,
+so the re-read lists only those folders. A semi-join against the batch
+would not get dynamic partition pruning here and would rescan the whole
+raw zone on every batch.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from nimbus.plans.jobs import processed_from_raw
 from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, READING
 from nimbus.sources.raw import read_raw
 from nimbus.sources.sinks import write_partitions
-from pyspark.sql import types as T
+
+
+def hour_key() -> Column:
+    """``yyyymmddhh`` as one bigint, built from partition columns only."""
+    y, m, d, h = (F.col(c).cast("bigint") for c in PARTITION_COLS)
+    return y * 1000000 + m * 10000 + d * 100 + h
+
+
+def touched_hours(batch: DataFrame) -> list[int]:
+    """Distinct hour keys of a micro-batch (partition metadata, not rows)."""
+    return [r[0] for r in batch.select(hour_key().alias("k")).distinct().collect()
+            if r[0] is not None]
 
 
 def raw_stream(spark: SparkSession, raw_root: str, max_files: int | None = None) -> DataFrame:
@@ -41,8 +59,10 @@ def ingest_stream(spark: SparkSession, raw_root: str, processed_root: str, check
     stamp = processed_at or datetime.now(timezone.utc).isoformat()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(*PARTITION_COLS).distinct()
-        full = read_raw(batch.sparkSession, raw_root).join(touched, PARTITION_COLS, "left_semi")
+        keys = touched_hours(batch)
+        if not keys:
+            return
+        full = read_raw(batch.sparkSession, raw_root).filter(hour_key().isin(keys))
         write_partitions(processed_from_raw(full, stamp), processed_root)
 
     w = (raw_stream(spark, raw_root, max_files).writeStream

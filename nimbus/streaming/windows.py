@@ -6,8 +6,6 @@ State is bounded by the watermark: windows and dedup keys older than
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,8 +54,7 @@ def run_to_table(stream: DataFrame, out: str, checkpoint: str, mode: str = "appe
     (after a failure) rewrites its own ``batch_id`` folder only.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .parquet(f"{out}/batch_id={batch_id}"))
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     w = (stream.writeStream.outputMode(mode).foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint))
@@ -79,5 +76,3 @@ def drain(query: StreamingQuery, timeout_s: int = 600) -> None:
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
-
-StreamFn = Callable[[DataFrame], DataFrame]

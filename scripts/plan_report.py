@@ -58,7 +58,7 @@ NOTES = {
     "hourly_detail": "projection over hourly_summary",
     "stream_hourly": "stateful windowed aggregation, state bounded by the watermark; result read back per batch id",
     "stream_dedup": "state bounded by the watermark",
-    "stream_ingest": "touched hours found by a semi-join on partition columns (dynamic pruning); rebalanced hour writes",
+    "stream_ingest": "touched hours (partition keys) become a literal partition predicate; rebalanced hour writes",
 }
 
 

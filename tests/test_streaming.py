@@ -27,6 +27,15 @@ def test_ingest_rewrites_whole_touched_hours(spark):
     assert sorted(r.city for r in got.filter("hour = 15").collect()) == \
         ["Buffalo", "New York City", "Trenton"]
     assert got.filter("hour = 16").count() == 1
+    # the re-read of touched hours lists only their folders
+    from nimbus.sources.raw import read_raw
+    from nimbus.streaming.ingest import hour_key
+    import contextlib, io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        read_raw(spark, raw).filter(hour_key().isin([2024033115])).explain(mode="formatted")
+    assert "PartitionFilters: [" in buf.getvalue() and "2024033115" in \
+        buf.getvalue().split("PartitionFilters: [")[1].split("]")[0]
     # nothing new: no batch, output unchanged
     drain(ingest_stream(spark, raw, out, ck, processed_at="p"))
     assert spark.read.parquet(out).count() == 4
