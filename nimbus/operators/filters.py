@@ -6,6 +6,8 @@ Parquet can push down; ``date_trunc(ts) = h`` cannot be pushed.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +21,14 @@ def filter_in(df: DataFrame, c: str, values) -> DataFrame:
     return df.filter(col(c).isin(*list(values)))
 
 
-def _as_ts(x, typ: str = "timestamp") -> Column:
-    c = x if isinstance(x, Column) else F.lit(x)
-    return c.cast(typ)
+def ts_literal(x, typ: str = "timestamp") -> Column:
+    """Literal timestamp of type ``typ``. Python datetimes go through their
+    ISO text so the value never depends on the driver process's time zone."""
+    if isinstance(x, Column):
+        return x.cast(typ)
+    if isinstance(x, (datetime.datetime, datetime.date)):
+        x = x.isoformat(sep=" ") if isinstance(x, datetime.datetime) else x.isoformat()
+    return F.lit(x).cast(typ)
 
 
 def _ts_type(df: DataFrame, ts: str) -> str:
@@ -47,7 +54,7 @@ def trailing_window(df: DataFrame, ts: str, as_of=None, hours: int = 24) -> Data
     anchor = latest(df, ts) if as_of is None else as_of
     if anchor is None:
         return df.limit(0)
-    lo = _as_ts(anchor, typ) - F.make_dt_interval(hours=F.lit(hours))
+    lo = ts_literal(anchor, typ) - F.make_dt_interval(hours=F.lit(hours))
     return df.filter(col(ts) >= lo.cast(typ))
 
 
@@ -57,7 +64,7 @@ def hour_slice(df: DataFrame, ts: str, hour=None) -> DataFrame:
     anchor = latest(df, ts) if hour is None else hour
     if anchor is None:
         return df.limit(0)
-    start = F.date_trunc("hour", _as_ts(anchor, typ)).cast(typ)
+    start = F.date_trunc("hour", ts_literal(anchor, typ)).cast(typ)
     end = (start + F.make_dt_interval(hours=F.lit(1))).cast(typ)
     return df.filter((col(ts) >= start) & (col(ts) < end))
 
@@ -79,9 +86,9 @@ def partition_bounds(start=None, end=None, max_lag_hours: int | None = None) ->
     pt = partition_time()
     preds = []
     if start is not None:
-        preds.append(pt >= F.date_trunc("hour", _as_ts(start)).cast("timestamp_ntz"))
+        preds.append(pt >= F.date_trunc("hour", ts_literal(start)).cast("timestamp_ntz"))
     if end is not None and max_lag_hours is not None:
-        preds.append(pt < (_as_ts(end) + F.make_dt_interval(hours=F.lit(max_lag_hours + 1)))
+        preds.append(pt < (ts_literal(end) + F.make_dt_interval(hours=F.lit(max_lag_hours + 1)))
                      .cast("timestamp_ntz"))
     if not preds:
         return None

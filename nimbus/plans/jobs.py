@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nimbus.dims import CITIES
 from nimbus.operators.enrich import enrich
@@ -102,4 +103,8 @@ def processed_from_raw(raw: DataFrame, processed_at: str, rules=None) -> DataFra
     """Validated + enriched rows of any raw frame that carries partition ints
     (used by the incremental ingest, where one batch spans several hours)."""
     valid, _ = split(raw, rules if rules is not None else ingest_rules())
-    return enrich(valid.drop(CORRUPT), processed_at=processed_at).select(*PROCESSED.fieldNames())
+    out = enrich(valid.drop(CORRUPT), processed_at=processed_at)
+    # optional fields the input does not carry are written as typed NULLs
+    return out.select(*[F.col(f.name) if f.name in out.columns
+                        else F.lit(None).cast(f.dataType).alias(f.name)
+                        for f in PROCESSED.fields])

@@ -866,10 +866,11 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
-def _add_streaming() -> None:
-    from nimbus.plans import stream_queries
-    QUERIES.update(stream_queries.QUERIES)
-    ORACLE_SQL.update(stream_queries.ORACLE_SQL)
+def _add_storage_queries() -> None:
+    from nimbus.plans import io_queries, stream_queries
+    for mod in (io_queries, stream_queries):
+        QUERIES.update(mod.QUERIES)
+        ORACLE_SQL.update(mod.ORACLE_SQL)
 
 
-_add_streaming()
+_add_storage_queries()

@@ -84,6 +84,29 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+
+
+def readings_as_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``readings()`` in the raw-zone record shape (ISO strings) with hive
+    partition ints of the observation hour. Fields the driver tables do not
+    carry are filled with fixed values: pressure 1013 hPa, the first city's
+    coordinates, observation time as fetch time, temperature as min/max."""
+    r = readings(spark, sf_dir)
+    iso = F.date_format("observed_at", ISO_MICROS)
+    return r.select(
+        F.col("city_name").alias("city"), F.col("state_code").alias("state"),
+        F.col("country_code").alias("country"),
+        F.lit(40.7128).alias("lat"), F.lit(-74.006).alias("lon"),
+        iso.alias("fetched_at"), iso.alias("observed_at"),
+        "temp_f", "feels_like_f",
+        F.col("temp_f").alias("temp_min_f"), F.col("temp_f").alias("temp_max_f"),
+        "humidity_pct", F.lit(1013).alias("pressure_hpa"), "wind_speed_mph", "clouds_pct",
+        "condition_main", "condition_description",
+        F.year("observed_at").alias("year"), F.month("observed_at").alias("month"),
+        F.dayofmonth("observed_at").alias("day"), F.hour("observed_at").alias("hour"))
+
+
 # SQL text of the same shape, for the DuckDB oracle.
 CONDITION_SQL = "CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in CONDITION_OF_TYPE.items()) + " END"

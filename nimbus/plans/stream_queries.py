@@ -11,15 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators.summary import Metric
-from nimbus.plans.standins import CONDITION_SQL, K_SQL, readings, table
+from nimbus.plans.io_queries import VALID_LANDED_SQL
+from nimbus.plans.standins import K_SQL, readings_as_landed, table
 from nimbus.session import work_dir
 from nimbus.sources.sinks import write_raw
 from nimbus.streaming import dedup_stream, drain, hourly_stream, ingest_stream, read_latest, \
     run_to_table
 
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
-
-
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
     return (spark.readStream.schema(schema)
@@ -71,19 +69,7 @@ WHERE rn = 1
 def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Land readings as hour-partitioned JSON, then ingest incrementally."""
     base = work_dir(spark, "stream-ingest")
-    r = readings(spark, sf)
-    landed = r.select(
-        F.col("city_name").alias("city"), F.col("state_code").alias("state"),
-        F.col("country_code").alias("country"),
-        F.date_format("observed_at", ISO_MICROS).alias("observed_at"),
-        F.date_format("observed_at", ISO_MICROS).alias("fetched_at"),
-        F.col("temp_f"), F.col("feels_like_f"),
-        F.col("temp_f").alias("temp_min_f"), F.col("temp_f").alias("temp_max_f"),
-        F.col("humidity_pct"), F.lit(1013).alias("pressure_hpa"),
-        F.col("wind_speed_mph"), F.col("condition_main"),
-        F.col("condition_description"), F.lit(40.7).alias("lat"), F.lit(-74.0).alias("lon"),
-        F.year("observed_at").alias("year"), F.month("observed_at").alias("month"),
-        F.dayofmonth("observed_at").alias("day"), F.hour("observed_at").alias("hour"))
+    landed = readings_as_landed(spark, sf)
     write_raw(landed, f"{base}/raw")
     drain(ingest_stream(spark, f"{base}/raw", f"{base}/processed", f"{base}/ck",
                         processed_at="2024-01-31T00:00:00+00:00"))
@@ -103,10 +89,7 @@ SELECT c.c_name AS city, n.n_name AS state,
        CAST(day(e.ts) AS INTEGER) AS day, CAST(hour(e.ts) AS INTEGER) AS hour
 FROM events e JOIN customer c ON e.user_id = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE e.value IS NOT NULL AND e.value BETWEEN -100 AND 150 AND NOT isnan(e.value)
-  AND {K_SQL} BETWEEN 0 AND 100
-  AND CAST({K_SQL} AS DOUBLE) >= 0 AND ({CONDITION_SQL}) IS NOT NULL
-  AND e.event_type IS NOT NULL AND e.ts IS NOT NULL
+WHERE {VALID_LANDED_SQL}
 """
 
 QUERIES = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.operators.filters import partition_bounds
+from nimbus.operators.filters import ts_literal, partition_bounds
 from nimbus.schemas import PROCESSED
 
 
@@ -32,7 +32,7 @@ def read_processed(spark: SparkSession, root: str, start=None, end=None,
         df = df.filter(bounds)
     t = F.col(ts).try_cast("timestamp")
     if start is not None:
-        df = df.filter(t >= F.lit(start).cast("timestamp"))
+        df = df.filter(t >= ts_literal(start))
     if end is not None:
-        df = df.filter(t < F.lit(end).cast("timestamp"))
+        df = df.filter(t < ts_literal(end))
     return df

@@ -56,6 +56,7 @@ NOTES = {
     "distinct_hours": "partial distinct",
     "sample_limit": "TakeOrderedAndProject: per-task top 10, no full sort",
     "hourly_detail": "projection over hourly_summary",
+    "processed_window": "one job writes all hours (rebalanced); read-back lists only partitions from the window's first hour",
     "stream_hourly": "stateful windowed aggregation, state bounded by the watermark; result read back per batch id",
     "stream_dedup": "state bounded by the watermark",
     "stream_ingest": "touched hours (partition keys) become a literal partition predicate; rebalanced hour writes",
