@@ -43,22 +43,29 @@ def write_partitions(df: DataFrame, root: str, fmt: str = "parquet") -> None:
         .partitionBy(*PARTITION_COLS).format(fmt).save(root))
 
 
-def register_table(spark: SparkSession, name: str, root: str, schema, fmt: str = "parquet") -> None:
-    """External partitioned table over ``root`` (S9): create on first use,
-    add new columns on later runs, then sync partitions from the folders."""
+def register_table(spark: SparkSession, name: str, root: str, schema, fmt: str = "parquet",
+                   recover: bool = False) -> None:
+    """External partitioned table over ``root`` (S9): create on first use
+    (picking up the hour folders already there), add new columns on later
+    runs. Later hours are registered by the writes themselves (static
+    partition overwrite), so the full folder listing of ``RECOVER
+    PARTITIONS`` runs only at creation or when asked (crawler-style repair).
+    """
     data_cols = [f for f in schema.fields if f.name not in PARTITION_COLS]
     if not spark.catalog.tableExists(name):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data_cols)
         parts = ", ".join(f"`{c}` int" for c in PARTITION_COLS)
         spark.sql(f"CREATE TABLE {name} ({cols}, {parts}) USING {fmt} "
                   f"PARTITIONED BY ({', '.join(PARTITION_COLS)}) LOCATION '{root}'")
+        recover = True
     else:
         have = {f.name for f in spark.table(name).schema.fields}
         new = [f for f in data_cols if f.name not in have]
         if new:
             spark.sql(f"ALTER TABLE {name} ADD COLUMNS ("
                       + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    if recover:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def _partition_spec(run_hour: str) -> str:
@@ -92,11 +99,14 @@ def expire_partitions(spark: SparkSession, table: str, before) -> DataFrame:
     dropped = old.select(*PARTITION_COLS).collect()  # partition metadata only
     nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
                       for f in spark.table(table).schema.fields if f.name not in PARTITION_COLS)
-    for r in dropped:
-        spec = ", ".join(f"{c}={r[c]}" for c in PARTITION_COLS)
+    specs = [", ".join(f"{c}={r[c]}" for c in PARTITION_COLS) for r in dropped]
+    for spec in specs:
+        # external table: dropping the catalog entry alone would keep the files
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
                   f"SELECT {nulls} WHERE false")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    if specs:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
+                  + ", ".join(f"PARTITION ({spec})" for spec in specs))
     return spark.createDataFrame(dropped, ", ".join(f"{c} int" for c in PARTITION_COLS))
 
 
