@@ -29,14 +29,15 @@ def sum_units(c, scale: int = 2) -> Column:
 
 
 def mean_from_units(total_units, n, scale: int = 2) -> Column:
-    """Unrounded mean: ``double(total) / (n * 10^scale)``."""
-    return col(total_units).cast("double") / (col(n) * (10 ** scale))
+    """Unrounded mean: ``double(total) / (n * 10^scale)``; NULL when n = 0
+    (as ``avg`` of no values), never a division error under ANSI mode."""
+    return F.try_divide(col(total_units).cast("double"), col(n) * (10 ** scale))
 
 
 def round_units_mean(total_units, n, digits: int, scale: int = 2) -> Column:
     """Mean rounded half-up to ``digits`` (``digits <= scale``)."""
     step = 10 ** (scale - digits)
-    return F.floor(col(total_units).cast("double") / (col(n) * step) + 0.5) / (10 ** digits)
+    return F.floor(F.try_divide(col(total_units).cast("double"), col(n) * step) + 0.5) / (10 ** digits)
 
 
 def round_half_up(x, digits: int) -> Column:

@@ -1,8 +1,8 @@
 """Grouped summaries.
 
-Every aggregate used here is mergeable (sum, count, min, max, avg, mode,
-min_by), so Spark runs a partial aggregation before the shuffle and a hot
-key sends one partial row per map task, not its raw rows.
+Every aggregate used here is mergeable (sum, count, min, max, min_by), so
+Spark runs a partial aggregation before the shuffle and a hot key sends one
+partial row per map task, not its raw rows.
 """
 
 from __future__ import annotations
@@ -104,6 +104,36 @@ def dominant(label: str) -> Column:
     return F.mode(col(label), deterministic=True)
 
 
+def _partial(m: Metric, i: int) -> list[Column]:
+    """Stage-1 aggregates of a metric, per (key, bucket, label)."""
+    c = col(m.col)
+    if m.fn == "exact_avg":
+        return [exact.sum_units(c, m.scale).alias(f"_s{i}"), F.count(c).alias(f"_c{i}")]
+    if m.fn == "avg":
+        return [F.sum(c).alias(f"_s{i}"), F.count(c).alias(f"_c{i}")]
+    if m.fn == "count":
+        return [F.count(c).alias(f"_c{i}")]
+    return [{"min": F.min, "max": F.max, "sum": F.sum}[m.fn](c).alias(f"_v{i}")]
+
+
+def _rollup(m: Metric, i: int) -> Column:
+    """Stage-2 aggregate that finishes a metric from its stage-1 parts."""
+    if m.fn == "exact_avg":
+        s, n = F.sum(f"_s{i}"), F.sum(f"_c{i}")
+        out = (exact.mean_from_units(s, n, m.scale) if m.digits is None
+               else exact.round_units_mean(s, n, m.digits, m.scale))
+        return out.alias(m.name)
+    if m.fn == "avg":
+        out = F.try_divide(F.sum(f"_s{i}"), F.sum(f"_c{i}"))   # NULL for no values, like avg
+    elif m.fn == "count":
+        out = F.sum(f"_c{i}")
+    else:
+        out = {"min": F.min, "max": F.max, "sum": F.sum}[m.fn](f"_v{i}")
+    if m.digits is not None:
+        out = F.round(out, m.digits)
+    return out.alias(m.name)
+
+
 def hourly_summary(df: DataFrame, keys=("city_name", "state_code"), ts: str = "observed_at",
                    metrics: list[Metric] | None = None, label: str | None = "condition_main",
                    profile: str = "dbt", extremes: str | None = None,
@@ -112,8 +142,16 @@ def hourly_summary(df: DataFrame, keys=("city_name", "state_code"), ts: str = "o
                    drop_null_keys: bool | None = None) -> DataFrame:
     """Per key and time bucket: metrics, dominant label and row count.
 
-    One aggregation: the SQL model's pre-count + ``max_by`` + join is a
-    single ``mode`` here. The model's join drops NULL keys that a plain
+    With a label this is two aggregations. Stage 1 runs over the raw rows
+    per (key, bucket, label): the decomposable parts of every metric plus
+    the label's row count, as a code-generated hash aggregate with a partial
+    step before its shuffle. Stage 2 rolls those parts up per (key, bucket)
+    and picks ``min_by(label, (-count, label))`` (most frequent, ties to the
+    smallest label); it sees at most one row per label per group. Measured
+    against a single ``mode()`` aggregate (an object hash aggregate that
+    falls back to sorting the raw rows once a task holds a few hundred
+    groups) this was faster at 5M rows, and the gap grows with the number
+    of groups per task. The SQL model's join drops NULL keys that a plain
     group-by would keep; ``drop_null_keys`` (default on for ``dbt``)
     reproduces that.
     """
@@ -126,11 +164,19 @@ def hourly_summary(df: DataFrame, keys=("city_name", "state_code"), ts: str = "o
         for k in keys:
             cond = cond & F.col(k).isNotNull()
         src = src.filter(cond)
-    aggs = [m.column() for m in metrics]
-    if label:
-        aggs.append(dominant(label).alias(label_col))
-    aggs.append(F.count(F.lit(1)).alias(count_col))
-    return src.groupBy(*[F.col(k) for k in keys], bucket).agg(*aggs)
+    group = [F.col(k) for k in keys] + [bucket]
+    if not label:
+        aggs = [m.column() for m in metrics] + [F.count(F.lit(1)).alias(count_col)]
+        return src.groupBy(*group).agg(*aggs)
+    parts = [p for i, m in enumerate(metrics) for p in _partial(m, i)]
+    per_label = src.groupBy(*group, F.col(label).alias("_label")).agg(
+        *parts, F.count(F.lit(1)).alias("_rows"))
+    has_label = F.col("_label").isNotNull()
+    best = F.min_by(F.col("_label"),
+                    F.when(has_label, F.struct(-F.col("_rows"), F.col("_label"))))
+    return per_label.groupBy(*keys, bucket_col).agg(
+        *[_rollup(m, i) for i, m in enumerate(metrics)],
+        best.alias(label_col), F.sum("_rows").alias(count_col))
 
 
 def dominant_label(df: DataFrame, keys, label: str, label_col: str = "dominant",

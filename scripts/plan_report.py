@@ -20,8 +20,8 @@ from nimbus.session import get_session  # noqa: E402
 
 # Why each plan holds at scale (one line per query).
 NOTES = {
-    "hourly_summary": "partial sum/count/min/max/mode per (user, hour) before one shuffle; a hot user spreads over its hours",
-    "daily_summary_raw": "same shape at day grain; exact integer-cent sums stay in codegen",
+    "hourly_summary": "stage 1: codegen hash aggregate per (user, hour, type) with partial step; stage 2 rolls up and picks the label by min_by over the reduced rows",
+    "daily_summary_raw": "same two stages at day grain; exact integer-cent sums",
     "latest_per_user": "partial WindowGroupLimit keeps 1 row per user per map task before the shuffle",
     "latest_keep_ties": "rank()=1 with partial WindowGroupLimit; only tied rows survive the map side",
     "current_readings": "dimension joins size-checked (broadcast here, sort-merge + AQE skew split when large); partial limit per (city, state)",

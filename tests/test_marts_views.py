@@ -230,3 +230,13 @@ def test_functions_exact_and_labels(spark):
         text.condition_icon("c")).collect()
     assert [i[0] for i in icons] == ["🌧️", "🌡️"]
     assert spark.range(1).select(text.signed_one_decimal(F.lit(-0.25))).first()[0] == "-0.2"
+
+
+def test_summary_of_all_null_values_is_null(spark):
+    rows = [reading(humidity_pct=None, wind_gust_mph=None), reading(humidity_pct=None)]
+    r = weather_hourly_summary(_stg(spark, rows)).first()
+    assert r.avg_humidity_pct is None and r.max_wind_gust_mph == 8.1 and r.reading_count == 2
+    from nimbus.operators.summary import Metric, hourly_summary
+    e = hourly_summary(_stg(spark, rows), metrics=[Metric("m", "exact_avg", "humidity_pct", 2)],
+                       label="condition_main").first()
+    assert e.m is None
