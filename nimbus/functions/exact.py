@@ -4,8 +4,9 @@
 depend on the order rows arrive in, and ``round`` of a binary midpoint
 differs between engines. For measurements with a fixed number of
 decimals we sum exact integer units (cents), divide once, and round
-half-up with ``floor(x + 0.5)``; every step is a single IEEE operation, so
-any engine that evaluates the same expression gets the same bits.
+half away from zero (as ``round``) with ``floor``: ``x < 0 ? 0 - floor(0.5 - x)
+: floor(x + 0.5)``. Every step is a single IEEE operation, so any engine that
+evaluates the same expression gets the same bits (and never ``-0.0``).
 
 The integer sum is a plain ``bigint`` sum, so it keeps partial
 (map-side) aggregation and runs in whole-stage codegen.
@@ -34,16 +35,33 @@ def mean_from_units(total_units, n, scale: int = 2) -> Column:
     return F.try_divide(col(total_units).cast("double"), col(n) * (10 ** scale))
 
 
+def half_away(x) -> Column:
+    """Nearest integer, halves away from zero (as ``round(x)``), via ``floor``."""
+    x = col(x)
+    return F.when(x < 0, F.lit(0) - F.floor(F.lit(0.5) - x)).otherwise(F.floor(x + 0.5))
+
+
+def sql_half_away(x: str) -> str:
+    """The same expression as SQL text (for oracle queries)."""
+    return f"(CASE WHEN ({x}) < 0 THEN 0 - floor(0.5 - ({x})) ELSE floor(({x}) + 0.5) END)"
+
+
 def round_units_mean(total_units, n, digits: int, scale: int = 2) -> Column:
-    """Mean rounded half-up to ``digits`` (``digits <= scale``)."""
+    """Mean rounded half away from zero to ``digits`` (``digits <= scale``)."""
+    step = 10 ** (scale - digits)
+    return half_away(F.try_divide(col(total_units).cast("double"), col(n) * step)) / (10 ** digits)
+
+
+def round_units_mean_units(total_units, n, digits: int, scale: int = 2) -> Column:
+    """The rounded mean as an integer count of ``10^-digits`` units."""
     step = 10 ** (scale - digits)
-    return F.floor(F.try_divide(col(total_units).cast("double"), col(n) * step) + 0.5) / (10 ** digits)
+    return half_away(F.try_divide(col(total_units).cast("double"), col(n) * step))
 
 
 def round_half_up(x, digits: int) -> Column:
-    """Half-up rounding of a double through ``floor``, as both engines do it."""
+    """Round a double half away from zero to ``digits`` (as ``round``)."""
     m = 10 ** digits
-    return F.floor(col(x) * m + 0.5) / m
+    return half_away(col(x) * m) / m
 
 
 def exact_mean(c, digits: int | None = 2, scale: int = 2) -> Column:

@@ -65,8 +65,7 @@ def hour_over_hour(df: DataFrame, keys, ts: str, value: str, digits: int = 1,
                      .groupBy(*keys, bucket)
                      .agg(exact.sum_units(value, scale).alias("_s"), F.count(value).alias("_n")))
         # per-key mean rounded to key_digits, kept as an exact integer count of units
-        step = 10 ** (scale - key_digits)
-        key_units = F.floor(F.col("_s").cast("double") / (F.col("_n") * step) + 0.5)
+        key_units = exact.round_units_mean_units("_s", "_n", key_digits, scale)
         per_hour = per_key.groupBy(bucket_col).agg(
             F.sum("_s").alias("_S"), F.sum("_n").alias("_N"),
             F.sum(key_units).alias("_K"), F.count(F.lit(1)).alias("_M"))

@@ -3,7 +3,8 @@
 Every query reads whole tables (or data Spark derives from them) and runs
 the library operators; nothing is capped or sampled except ``sample_limit``
 whose limit is the feature. Means use exact integer-unit sums and
-``floor(x + 0.5)`` rounding on both sides so values match bit for bit
+the same floor-based half-away-from-zero rounding on both sides so values
+match bit for bit
 (see ``nimbus.functions.exact``).
 """
 
@@ -43,8 +44,8 @@ def _sql_units_sum(c: str) -> str:
 
 def _sql_round_mean(c: str, digits: int = 2) -> str:
     step = 10 ** (2 - digits)
-    return (f"floor(CAST({_sql_units_sum(c)} AS DOUBLE) / (count({c}) * {step}) + 0.5)"
-            f" / {10 ** digits}")
+    mean = f"CAST({_sql_units_sum(c)} AS DOUBLE) / (count({c}) * {step})"
+    return f"{exact.sql_half_away(mean)} / {10 ** digits}"
 
 
 def _sql_mean(c: str) -> str:
@@ -372,23 +373,23 @@ def q_hour_over_hour(spark, sf):
                                    scale=2)
 
 
-SQL_HOUR_OVER_HOUR = """
+SQL_HOUR_OVER_HOUR = f"""
 WITH pk AS (
   SELECT user_id, date_trunc('hour', ts) AS observed_hour,
          sum(CAST(round(value * 100) AS BIGINT)) AS s, count(value) AS n
   FROM events WHERE value IS NOT NULL GROUP BY user_id, observed_hour),
 ph AS (
   SELECT observed_hour, sum(s) AS s_all, sum(n) AS n_all,
-         sum(floor(CAST(s AS DOUBLE) / (n * 1) + 0.5)) AS k_all, count(*) AS m
+         sum({exact.sql_half_away("CAST(s AS DOUBLE) / (n * 1)")}) AS k_all, count(*) AS m
   FROM pk GROUP BY observed_hour),
 h AS (
   SELECT observed_hour, CAST(s_all AS DOUBLE) / (n_all * 100) AS now_v,
          CAST(k_all AS DOUBLE) / (m * 100) AS km,
-         floor(CAST(s_all AS DOUBLE) / (n_all * 1) + 0.5) / 100 AS hour_avg
+         {exact.sql_half_away("CAST(s_all AS DOUBLE) / (n_all * 1)")} / 100 AS hour_avg
   FROM ph)
 SELECT observed_hour, hour_avg,
        lag(observed_hour) OVER (ORDER BY observed_hour) AS prev_hour,
-       floor((now_v - lag(km) OVER (ORDER BY observed_hour)) * 10 + 0.5) / 10 AS hour_delta
+       {exact.sql_half_away("(now_v - lag(km) OVER (ORDER BY observed_hour)) * 10")} / 10 AS hour_delta
 FROM h
 """
 
@@ -412,15 +413,15 @@ def _hourly_cents(spark, sf) -> DataFrame:
     return (ev.filter(F.col("value").isNotNull())
               .groupBy("user_id", _hour(ev).alias("observed_hour"))
               .agg(F.min(exact.units("value")).alias("min_c"),
-                   F.floor(exact.sum_units("value").cast("double") / F.count("value") + 0.5)
+                   exact.round_units_mean_units(exact.sum_units("value"), F.count("value"), 2)
                     .alias("avg_c"),
                    F.max(exact.units("value")).alias("max_c")))
 
 
-_HOURLY_CENTS_SQL = """
+_HOURLY_CENTS_SQL = f"""
 SELECT user_id, date_trunc('hour', ts) AS observed_hour,
        min(CAST(round(value * 100) AS BIGINT)) AS min_c,
-       floor(CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(value) + 0.5) AS avg_c,
+       {exact.sql_half_away("CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / (count(value) * 1)")} AS avg_c,
        max(CAST(round(value * 100) AS BIGINT)) AS max_c
 FROM events WHERE value IS NOT NULL GROUP BY user_id, observed_hour
 """
@@ -601,10 +602,10 @@ SELECT concat_ws(', ', city_name, state_code) AS title,
            {' '.join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in text.CONDITION_ICONS.items())}
            END, {_q(text.DEFAULT_ICON)}),
          coalesce(initcap_s, {_q(text.MISSING_TEXT)})) AS label,
-       printf('%.1f', floor(temp_f * 10 + 0.5) / 10) || ' °F' AS value,
-       'Feels ' || printf('%.1f', floor(feels_like_f * 10 + 0.5) / 10) || ' °F' AS delta,
+       printf('%.1f', {exact.sql_half_away("temp_f * 10")} / 10) || ' °F' AS value,
+       'Feels ' || printf('%.1f', {exact.sql_half_away("feels_like_f * 10")} / 10) || ' °F' AS delta,
        'Humidity ' || printf('%.0f', CAST(humidity_pct AS DOUBLE)) || '%  |  Wind '
-         || printf('%.1f', floor(wind_speed_mph * 10 + 0.5) / 10) || ' mph  |  Clouds '
+         || printf('%.1f', {exact.sql_half_away("wind_speed_mph * 10")} / 10) || ' mph  |  Clouds '
          || printf('%.0f', CAST(clouds_pct AS DOUBLE)) || '%' AS caption,
        city_name, state_code
 FROM (SELECT *, upper(substr(condition_description, 1, 1))

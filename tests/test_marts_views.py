@@ -229,7 +229,11 @@ def test_functions_exact_and_labels(spark):
     icons = spark.createDataFrame([("Rain",), ("Tornado",)], "c string").select(
         text.condition_icon("c")).collect()
     assert [i[0] for i in icons] == ["🌧️", "🌡️"]
-    assert spark.range(1).select(text.signed_one_decimal(F.lit(-0.25))).first()[0] == "-0.2"
+    # halves round away from zero, as Spark's round()
+    got = spark.range(1).select(text.signed_one_decimal(F.lit(-0.25)),
+                                text.signed_one_decimal(F.lit(0.25)),
+                                text.signed_one_decimal(F.lit(-0.04))).first()
+    assert tuple(got) == ("-0.3", "+0.3", "+0.0")
 
 
 def test_summary_of_all_null_values_is_null(spark):
