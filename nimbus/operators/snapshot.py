@@ -11,28 +11,40 @@ from nimbus.operators.filters import hour_slice
 from nimbus.operators.summary import time_bucket
 
 
-def _mean(value: str, scale: int | None) -> Column:
-    return exact.exact_mean(value, None, scale) if scale is not None else F.avg(value)
+def _per_name(df: DataFrame, group: list, value: str, name: str, wind: str | None,
+              scale: int | None) -> DataFrame:
+    """Stage 1 over the raw rows, per (group, name): a code-generated hash
+    aggregate of extremes, sums and counts (partial before its shuffle)."""
+    v = col(value)
+    s = exact.sum_units(value, scale) if scale is not None else F.sum(v)
+    aggs = [F.max(v).alias("_mx"), F.min(v).alias("_mn"), s.alias("_s"), F.count(v).alias("_n")]
+    if wind:
+        ws = exact.sum_units(wind, scale) if scale is not None else F.sum(col(wind))
+        aggs += [ws.alias("_ws"), F.count(col(wind)).alias("_wn")]
+    return df.groupBy(*group, col(name).alias("_name")).agg(*aggs)
 
 
-def snapshot_aggs(value: str, name: str, wind: str | None = None,
-                  scale: int | None = None) -> list[Column]:
-    """KPI aggregates: extremes with the name of their reading, means.
+def _finish_mean(total: str, n: str, scale: int | None) -> Column:
+    if scale is not None:
+        return exact.mean_from_units(F.sum(total), F.sum(n), scale)
+    return F.try_divide(F.sum(total), F.sum(n))
 
-    The arg-max/arg-min break ties on the smallest name, so the pick is
-    deterministic; both are mergeable (partial aggregation).
-    """
-    v, n = col(value), col(name)
+
+def snapshot_aggs(wind: bool = False, scale: int | None = None) -> list[Column]:
+    """Stage 2 over the per-name rows: extremes with the name of their
+    reading (ties to the smallest name, a total order) and means over
+    readings."""
+    n = F.col("_name")
     aggs = [
-        F.max(v).alias("max_value"),
-        F.min_by(n, F.struct(-v, n)).alias("max_name"),
-        F.min(v).alias("min_value"),
-        F.min_by(n, F.struct(v, n)).alias("min_name"),
-        _mean(value, scale).alias("avg_value"),
+        F.max("_mx").alias("max_value"),
+        F.min_by(n, F.struct(-F.col("_mx"), n)).alias("max_name"),
+        F.min("_mn").alias("min_value"),
+        F.min_by(n, F.struct(F.col("_mn"), n)).alias("min_name"),
+        _finish_mean("_s", "_n", scale).alias("avg_value"),
     ]
     if wind:
-        aggs.append(_mean(wind, scale).alias("avg_wind"))
-    aggs.append(F.count(v).alias("reading_count"))
+        aggs.append(_finish_mean("_ws", "_wn", scale).alias("avg_wind"))
+    aggs.append(F.sum("_n").alias("reading_count"))
     return aggs
 
 
@@ -40,11 +52,18 @@ def regional_snapshot(df: DataFrame, ts: str, value: str, name: str, wind: str |
                       hour=None, per_hour: bool = False, bucket_col: str = "observed_hour",
                       scale: int | None = None) -> DataFrame:
     """KPIs over readings (not over cities) for one hour slice (default the
-    latest hour) or, with ``per_hour``, for every hour at once."""
+    latest hour) or, with ``per_hour``, for every hour at once.
+
+    Two stages: the raw rows are reduced per (hour, name) by a hash
+    aggregate; the arg-max/arg-min pick (``min_by`` over a struct, which
+    Spark runs as a sort-based aggregate) then only sees the reduced rows.
+    """
     if per_hour:
-        return (df.groupBy(time_bucket(ts, "hour", df).alias(bucket_col))
-                  .agg(*snapshot_aggs(value, name, wind, scale)))
-    return hour_slice(df, ts, hour).agg(*snapshot_aggs(value, name, wind, scale))
+        group = [time_bucket(ts, "hour", df).alias(bucket_col)]
+        stage1 = _per_name(df, group, value, name, wind, scale)
+        return stage1.groupBy(bucket_col).agg(*snapshot_aggs(bool(wind), scale))
+    stage1 = _per_name(hour_slice(df, ts, hour), [], value, name, wind, scale)
+    return stage1.agg(*snapshot_aggs(bool(wind), scale))
 
 
 def hour_over_hour(df: DataFrame, keys, ts: str, value: str, digits: int = 1,

@@ -15,7 +15,7 @@ from nimbus.dims import populations_df
 from nimbus.functions.timefn import as_of_label
 from nimbus.operators.filters import filter_in, hour_slice, trailing_window
 from nimbus.operators.reshape import series_long
-from nimbus.operators.snapshot import hour_over_hour, snapshot_aggs
+from nimbus.operators.snapshot import hour_over_hour, regional_snapshot
 from nimbus.operators.summary import mean_order, value_counts
 from nimbus.operators.views import (city_advice, current_cards, hourly_detail, map_layer,
                                     range_summary)
@@ -55,9 +55,8 @@ def cards(current: DataFrame) -> DataFrame:
 
 def regional_snapshot_with_delta(stg: DataFrame, hour) -> DataFrame:
     """KPIs for ``hour`` plus the change against the previous present hour."""
-    sl = hour_slice(stg, "observed_at", hour)
-    kpis = (sl.groupBy(F.date_trunc("hour", "observed_at").alias("observed_hour"))
-              .agg(*snapshot_aggs("temp_f", "city_name", wind="wind_speed_mph")))
+    kpis = regional_snapshot(hour_slice(stg, "observed_at", hour), "observed_at", "temp_f",
+                             "city_name", wind="wind_speed_mph", per_hour=True)
     hoh = hour_over_hour(stg, ["city_name", "state_code"], "observed_at", "temp_f")
     return kpis.join(hoh.select("observed_hour", "prev_hour", "hour_delta"),
                      "observed_hour", "left")

@@ -25,7 +25,7 @@ NOTES = {
     "latest_per_user": "partial WindowGroupLimit keeps 1 row per user per map task before the shuffle",
     "latest_keep_ties": "rank()=1 with partial WindowGroupLimit; only tied rows survive the map side",
     "current_readings": "dimension joins size-checked (broadcast here, sort-merge + AQE skew split when large); partial limit per (city, state)",
-    "dominant_type": "two partial aggregations (counts, then min_by with a total order)",
+    "dominant_type": "hash aggregate of counts per (user, type), then min_by with a total order over the reduced rows",
     "validate_split_counts": "single scan, one global partial aggregate",
     "valid_rows": "map-only; conjunction pushed into the Parquet scan",
     "rejected_rows": "map-only; reasons built only for rejected rows",
@@ -36,7 +36,7 @@ NOTES = {
     "hour_slice": "as trailing_24h with both bounds pushed",
     "in_list": "map-only; IN pushed to the scan",
     "value_counts": "partial count per type; tiny final sort",
-    "regional_snapshot": "partial max/min/min_by/sum per hour",
+    "regional_snapshot": "raw rows reduced per (hour, user) by a hash aggregate; arg-max/arg-min min_by runs on the reduced rows",
     "hour_over_hour": "two partial aggregations; the single-partition lag sees one row per hour",
     "series_long": "map-only Expand (2 rows per input row)",
     "range_summary": "hour aggregate first; percentile buffers hold distinct cents per user, merged after partial aggregation",
