@@ -11,7 +11,6 @@ from __future__ import annotations
 import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from nimbus.operators.filters import latest
 from nimbus.plans.jobs import processed_from_raw

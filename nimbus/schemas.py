@@ -2,7 +2,8 @@
 
 * ``PAYLOAD``   - nested API document (D1)
 * ``READING``   - flat reading in the raw zone (D2), 24 fields, all nullable
-* ``RAW_ZONE``  - ``READING`` + hive partition ints
+* ``RAW_ZONE``  - ``READING`` + hive partition ints (read back as text by
+  ``sources.raw.read_raw`` and typed with ``try_cast``)
 * ``PROCESSED`` - raw + enrichment columns (D7)
 """
 
@@ -85,15 +86,6 @@ _READING_FIELDS = [
 
 READING = T.StructType([T.StructField(n, t, True) for n, t in _READING_FIELDS])
 READING_COLS = [n for n, _ in _READING_FIELDS]
-NUMERIC_READING_COLS = [n for n, t in _READING_FIELDS if not isinstance(t, T.StringType)]
-
-# Raw landing zone as read back: the same fields, all as strings, so a
-# malformed number reaches validation as a reject instead of failing the
-# read (ANSI casts throw; try_cast yields NULL).
-RAW_TEXT = T.StructType(
-    [T.StructField(n, T.StringType(), True) for n in READING_COLS]
-    + [T.StructField("_corrupt_record", T.StringType(), True)]
-)
 
 PARTITION_FIELDS = [T.StructField(c, T.IntegerType(), True) for c in PARTITION_COLS]
 
@@ -109,8 +101,6 @@ ENRICH_FIELDS = [
 
 PROCESSED = T.StructType(list(READING.fields) + ENRICH_FIELDS + PARTITION_FIELDS)
 
-QUARANTINE_EXTRA = [T.StructField("reject_reasons", T.ArrayType(T.StringType()), True)]
-
 # Required columns of the ingest rule set (fixed values, same list the
 # processing job enforces).
 REQUIRED_COLS = [
@@ -120,7 +110,3 @@ REQUIRED_COLS = [
     "humidity_pct", "pressure_hpa", "wind_speed_mph",
     "condition_main", "condition_description",
 ]
-
-
-def ddl(schema: T.StructType) -> str:
-    return schema.simpleString()[len("struct<"):-1]

@@ -76,10 +76,6 @@ def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
 
-def exists_local(path: str) -> bool:
-    return is_local_path(path) and os.path.exists(local_path(path))
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``nimbus`` importable in Python workers (``addPyFile`` of a zip).
 

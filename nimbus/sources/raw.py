@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from nimbus.operators.enrich import run_hour_parts
 from nimbus.operators.filters import partition_bounds
 from nimbus.operators.validate import MALFORMED
-from nimbus.schemas import PARTITION_FIELDS, PAYLOAD, RAW_TEXT, READING
+from nimbus.schemas import PARTITION_FIELDS, PAYLOAD, READING
 
 CORRUPT = "_corrupt_record"
 
@@ -87,7 +87,3 @@ def read_mixed_json(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
     """Nested API documents (S3) with the declared payload schema."""
     return spark.read.schema(PAYLOAD).json(path)
-
-
-def raw_text_schema() -> T.StructType:
-    return RAW_TEXT
