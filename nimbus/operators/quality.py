@@ -76,6 +76,13 @@ def _unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
                     F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
 
 
+def missing_columns(df: DataFrame, required) -> list[str]:
+    """Required fields absent from the schema (P14 "required keys present");
+    schema metadata only, no job."""
+    have = set(df.columns)
+    return [c for c in required if c not in have]
+
+
 def coverage_report(df: DataFrame, state: str, city: str, slug: str | None,
                     expected_states, min_cities: int) -> DataFrame:
     """Set-level coverage (P14, U4): expected states that are missing, distinct

@@ -7,6 +7,7 @@ hour they touch.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,8 @@ from nimbus.sources.sinks import (overwrite_hour, register_table, with_run_hour,
 
 CITY_KEY_SCHEMA = "name string, state string, lat double, lon double"
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class FetchResult:
@@ -46,6 +49,9 @@ def fetch_to_raw(spark: SparkSession, transport: Transport, raw_root: str, run_h
     res = FetchResult(int(obs.get["ok"]), int(obs.get["failed"]))
     if res.ok == 0:
         raise RuntimeError("No weather data fetched")
+    if res.failed:
+        log.warning("%d cities failed to fetch and were skipped", res.failed)
+    log.info("fetched %d/%d cities for %s", res.ok, res.ok + res.failed, run_hour)
     return res
 
 
@@ -90,6 +96,9 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
             write_partitions(bad, quarantine_root, fmt="json")
     finally:
         checked.unpersist()
+    if c.invalid_count:
+        log.warning("%d records failed validation for %s", c.invalid_count, run_hour)
+    log.info("processed %s: valid=%d invalid=%d", run_hour, c.valid_count, c.invalid_count)
     return ProcessResult(c.total_count, c.valid_count, c.invalid_count)
 
 

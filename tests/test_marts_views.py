@@ -210,6 +210,9 @@ def test_quality_reports(spark):
                     ("accepted_range", "humidity_pct", (0, 100))]).collect()}
     assert mt == {("not_null", "city_name"): 0, ("unique", "city_name"): 1,
                   ("accepted_values", "state_code"): 0, ("accepted_range", "humidity_pct"): 1}
+    from nimbus.operators.quality import missing_columns
+    assert missing_columns(df, ["city", "temp_f", "pressure_hpa"]) == []
+    assert missing_columns(df.drop("temp_f"), ["city", "temp_f"]) == ["temp_f"]
     cities = cities_df(spark)
     cov = coverage_report(cities, "state", "name", "slug", ["NY", "NJ", "CT", "PA"], 15).first()
     assert cov.missing_states == ["PA"] and cov.n_cities == 19 and cov.meets_min_cities
