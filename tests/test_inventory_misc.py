@@ -88,3 +88,31 @@ def test_sync_tables_and_as_of_label(spark):
     assert (hs.min_temp_f, hs.max_temp_f, hs.avg_temp_f) == (70.0, 71.0, 70.5)
     lbl = dashboard.data_as_of(stg_weather_raw(spark.createDataFrame(rows, READING))).first()
     assert lbl.label == "Data as of: Mar 31, 2024 01:10 PM ET"
+
+
+def test_approx_range_summary_and_partition_bounds(spark):
+    from nimbus.operators.filters import partition_bounds
+    from nimbus.operators.views import range_summary
+    df = spark.createDataFrame([("A", float(i), float(i + 1), float(i + 2)) for i in range(50)],
+                               "city_name string, lo double, mid double, hi double")
+    exact_r = range_summary(df, "city_name", ["lo", "mid", "hi"]).first()
+    approx_r = range_summary(df, "city_name", ["lo", "mid", "hi"], approx=True).first()
+    assert (approx_r.min_v, approx_r.max_v) == (exact_r.min_v, exact_r.max_v) == (0.0, 51.0)
+    assert abs(approx_r.median - exact_r.median) <= 1.0
+    parts = spark.createDataFrame([(2024, 3, 31, h) for h in range(24)],
+                                  "year int, month int, day int, hour int")
+    both = parts.filter(partition_bounds("2024-03-31 05:30:00", "2024-03-31 08:00:00", 2))
+    assert [r.hour for r in both.orderBy("hour").collect()] == [5, 6, 7, 8, 9, 10]
+    lower_only = parts.filter(partition_bounds("2024-03-31 20:10:00"))
+    assert [r.hour for r in lower_only.orderBy("hour").collect()] == [20, 21, 22, 23]
+
+
+def test_processed_parquet_schema_evolution(spark):
+    d = new_dir()
+    base = spark.createDataFrame([reading()], READING).withColumns(
+        {"year": F.lit(2024), "month": F.lit(3), "day": F.lit(31), "hour": F.lit(15)})
+    write_partitions(base.drop("wind_gust_mph"), d)
+    write_partitions(base.withColumn("hour", F.lit(16)).withColumn("heat_note", F.lit("x")), d)
+    df = read_processed(spark, d, merge_schema=True)
+    rows = {r.hour: (r.wind_gust_mph, r.heat_note) for r in df.collect()}
+    assert rows == {15: (None, None), 16: (8.1, "x")}
