@@ -88,12 +88,14 @@ def advice_columns(df: DataFrame, month, feels_like: str = "feels_like_f",
 
 
 def city_advice(latest: DataFrame, activities: DataFrame, month: int, k: int = 2,
-                city: str = "city_name", **cols) -> DataFrame:
+                city: str = "city_name", broadcast_dim: bool = False, **cols) -> DataFrame:
     """Advice plus the first ``k`` seasonal activities per city.
 
-    Activities are a literal dimension (a few rows per city): they are
-    folded into one array per city and broadcast, so the readings side is
-    never shuffled. Picking runs as array functions on each row:
+    Activities are folded into one array per city (a few entries each) and
+    joined to the readings; with ``broadcast_dim`` (for the literal activity
+    table, whose size is fixed) the readings side is never shuffled,
+    otherwise Spark's size-checked join selection decides. Picking runs as
+    array functions on each row:
     seasonal filter, indoor-only for ``poor`` (falling back to all seasonal
     if the city has no indoor option) and for ``severe`` (no fallback),
     authored order, first ``k``.
@@ -103,7 +105,8 @@ def city_advice(latest: DataFrame, activities: DataFrame, month: int, k: int = 2
                 .agg(F.array_sort(F.collect_list(F.struct("ord", "name", "outdoor", "tip")))
                      .alias("_acts")))
     base = advice_columns(latest, month, **cols)
-    j = base.join(F.broadcast(per_city), col(city) == F.col("_acity"), "left")
+    j = base.join(F.broadcast(per_city) if broadcast_dim else per_city,
+                  col(city) == F.col("_acity"), "left")
     acts = F.coalesce(F.col("_acts"), F.array())
     indoor = F.filter(acts, lambda a: ~a["outdoor"])
     cands = (F.when(F.col("severity") == "ok", acts)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.dims import populations_df
+from nimbus.dims import activities_df, populations_df
 from nimbus.functions.timefn import as_of_label
 from nimbus.operators.filters import filter_in, hour_slice, trailing_window
 from nimbus.operators.reshape import series_long
@@ -71,9 +71,13 @@ def temperature_series(stg: DataFrame, cities) -> DataFrame:
         .orderBy("observed_at")
 
 
-def advisor(current: DataFrame, activities: DataFrame, month: int, k: int = 2) -> DataFrame:
-    """City advisor."""
-    return city_advice(current, activities, month, k)
+def advisor(current: DataFrame, activities: DataFrame | None = None, month: int = 1,
+            k: int = 2) -> DataFrame:
+    """City advisor (C9); ``month`` comes from the caller's as-of date.
+    Default activities: the literal table (broadcast, bounded)."""
+    literal = activities is None
+    acts = activities_df(current.sparkSession) if literal else activities
+    return city_advice(current, acts, month, k, broadcast_dim=literal)
 
 
 def condition_distribution(stg: DataFrame, cities=None) -> DataFrame:

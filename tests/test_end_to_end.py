@@ -8,7 +8,7 @@ import copy
 from pyspark.sql import functions as F
 
 from conftest import GOLDEN, new_dir
-from nimbus.dims import CITIES, activities_df
+from nimbus.dims import CITIES
 from nimbus.operators.quality import coverage_report, rule_failures
 from nimbus.operators.validate import quality_rules
 from nimbus.plans import dashboard
@@ -59,7 +59,7 @@ def test_pipeline_end_to_end(spark):
     m = dashboard.weather_map(stg, hour="2024-03-31 16:00:00")
     assert m.count() == 18 and m.filter("radius = 5500").count() == 1
 
-    adv = {r.city_name: r for r in dashboard.advisor(cur, activities_df(spark), month=3).collect()}
+    adv = {r.city_name: r for r in dashboard.advisor(cur, month=3).collect()}
     assert adv["Newark"].severity == "poor"
     assert adv["Newark"].activities[0].startswith("Newark Museum of Art")
 
