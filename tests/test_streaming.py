@@ -74,3 +74,44 @@ def test_dedup_stream_drops_repeats(spark):
     drain(run_to_table(dedup_stream(s, ["k", "ts"], "ts", "1 hour"), out, ck))
     got = spark.read.parquet(out)
     assert got.count() == 2
+
+
+def test_watermark_late_rows_across_batches(spark):
+    src, out, ck = new_dir(), new_dir(), new_dir()
+    first = [{"user_id": 1, "ts": f"2024-01-01 {h:02d}:10:00", "value": float(h), "event_type": "a"}
+             for h in (10, 11, 12)]
+    write_lines(Path(src) / "1.json", first)
+    schema = "user_id long, ts timestamp, value double, event_type string"
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
+    hs = hourly_stream(s, ["user_id"], "ts", [Metric("max_value", "max", "value")],
+                       label="event_type", watermark="2 hours")
+    q = run_to_table(hs, out, ck, mode="update", available_now=False)
+    q.processAllAvailable()
+    # batch 2: 10:40 is inside the watermark (12:10 - 2h = 10:10) -> updates 10:00;
+    # 09:50 is older than the watermark -> dropped
+    write_lines(Path(src) / "2.json", [
+        {"user_id": 1, "ts": "2024-01-01 10:40:00", "value": 99.0, "event_type": "b"},
+        {"user_id": 1, "ts": "2024-01-01 10:45:00", "value": 1.0, "event_type": "b"},
+        {"user_id": 1, "ts": "2024-01-01 09:50:00", "value": 50.0, "event_type": "a"}])
+    q.processAllAvailable()
+    q.stop()
+    got = {r.window_start.hour: (r.max_value, r.dominant, r.reading_count)
+           for r in read_latest(spark, out, ["window_start", "user_id"]).collect()}
+    assert got[10] == (99.0, "b", 3)
+    assert 9 not in got
+    assert got[12] == (12.0, "a", 1)
+
+
+def test_dedup_across_batches(spark):
+    src, out, ck = new_dir(), new_dir(), new_dir()
+    row = {"k": 1, "ts": "2024-01-01 00:00:00", "v": 1}
+    write_lines(Path(src) / "1.json", [row])
+    s = spark.readStream.schema("k int, ts timestamp, v int").option("maxFilesPerTrigger", 1) \
+        .json(src)
+    q = run_to_table(dedup_stream(s, ["k", "ts"], "ts", "1 hour"), out, ck, available_now=False)
+    q.processAllAvailable()
+    write_lines(Path(src) / "2.json", [dict(row, v=2), {"k": 2, "ts": "2024-01-01 00:01:00", "v": 3}])
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.k, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 1), (2, 3)]
