@@ -40,7 +40,8 @@ def first_k_per_group(df: DataFrame, keys, order, k: int,
     """First ``k`` rows per group by ``order`` (W4, O4), with their rank.
 
     Same partial-limit plan as ``latest_per_key``: at most ``k`` rows per key
-    leave each map task.
+    leave each map task (Catalyst inserts the partial limit for ``k`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, 1000 by default).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if isinstance(order, (str, Column)):

@@ -90,9 +90,9 @@ def city_comparison(hourly: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Box summary per city over min/avg/max and the city order by mean (C11)."""
     box = range_summary(hourly, "city_name", ["min_temp_f", "avg_temp_f", "max_temp_f"])
     order = mean_order(hourly, "city_name", "avg_temp_f", out="mean_avg_temp_f")
-    return box, order
+    return box.orderBy("city_name"), order
 
 
 def detail(hourly: DataFrame) -> DataFrame:
-    """Hourly detail table."""
-    return hourly_detail(hourly)
+    """Hourly detail table (C12), ordered by city then hour (O1)."""
+    return hourly_detail(hourly.orderBy("city_name", "observed_hour"))
