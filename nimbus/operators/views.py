@@ -40,13 +40,14 @@ def map_layer(df: DataFrame, populations: DataFrame, city: str = "city_name",
     j = lookup_with_default(df, populations, city, pop_city, pop, DEFAULT_POPULATION,
                             out="population", broadcast_dim=broadcast_dim)
     t = geo.population_scale("population")
-    return j.withColumns({
+    out = j.withColumns({
         "color_r": geo.temp_channel(temp, 0),
         "color_g": geo.temp_channel(temp, 1),
         "color_b": geo.temp_channel(temp, 2),
         "alpha": geo.alpha(t),
         "radius": geo.radius(t),
     })
+    return out.withColumn("color", F.array("color_r", "color_g", "color_b", "alpha"))
 
 
 def current_cards(df: DataFrame, city: str = "city_name", state: str = "state_code",

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.dims import activities_df, populations_df
+from nimbus.functions.text import signed_one_decimal
 from nimbus.functions.timefn import as_of_label
 from nimbus.operators.filters import filter_in, hour_slice, trailing_window
 from nimbus.operators.reshape import series_long
@@ -31,6 +32,13 @@ def select_cities(df: DataFrame, cities=None, states=None, city: str = "city_nam
     return filter_in(filter_in(df, state, states), city, cities)
 
 
+def city_options(current: DataFrame, states=None, city: str = "city_name",
+                 state: str = "state_code") -> DataFrame:
+    """Sidebar choices: sorted distinct cities of the selected states (all
+    states when none are selected)."""
+    return filter_in(current, state, states).select(city).distinct().orderBy(city)
+
+
 def weather_map(stg: DataFrame, populations: DataFrame | None = None, hour=None) -> DataFrame:
     """Map layer for one hour (C5): readings in the hour with colour/size.
     Default populations: the literal 19-city table (broadcast, bounded)."""
@@ -58,8 +66,9 @@ def regional_snapshot_with_delta(stg: DataFrame, hour) -> DataFrame:
     kpis = regional_snapshot(hour_slice(stg, "observed_at", hour), "observed_at", "temp_f",
                              "city_name", wind="wind_speed_mph", per_hour=True)
     hoh = hour_over_hour(stg, ["city_name", "state_code"], "observed_at", "temp_f")
-    return kpis.join(hoh.select("observed_hour", "prev_hour", "hour_delta"),
-                     "observed_hour", "left")
+    out = kpis.join(hoh.select("observed_hour", "prev_hour", "hour_delta"), "observed_hour", "left")
+    return out.withColumn("delta_label", F.when(F.col("hour_delta").isNotNull(), F.concat(
+        signed_one_decimal("hour_delta"), F.lit("°F"))))
 
 
 def temperature_series(stg: DataFrame, cities) -> DataFrame:

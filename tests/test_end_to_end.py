@@ -54,10 +54,13 @@ def test_pipeline_end_to_end(spark):
     assert nyc.observed_at.hour == 16 and nyc.latitude == 40.7128
 
     snap = dashboard.regional_snapshot_with_delta(stg, "2024-03-31 16:00:00").first()
-    assert snap.reading_count == 18 and snap.hour_delta == 1.5
+    assert snap.reading_count == 18 and snap.hour_delta == 1.5 and snap.delta_label == "+1.5°F"
+    opts = [r.city_name for r in dashboard.city_options(cur, ["CT"]).collect()]
+    assert opts == ["Bridgeport", "New Haven", "Norwalk", "Stamford", "Waterbury"]
 
     m = dashboard.weather_map(stg, hour="2024-03-31 16:00:00")
     assert m.count() == 18 and m.filter("radius = 5500").count() == 1
+    assert m.filter("city_name = 'New York City'").first().color[3] == 240
 
     adv = {r.city_name: r for r in dashboard.advisor(cur, month=3).collect()}
     assert adv["Newark"].severity == "poor"
