@@ -168,3 +168,16 @@ def test_payload_without_coord_uses_city_dimension(spark):
                                 no_coord, name="keyed_nocoord")
     r = payload_readings(spark.read.format(fmt).load()).first()
     assert (r.lat, r.lon, r.country, r.city) == (42.8864, -78.8784, "US", "Buffalo")
+
+
+def test_raw_zone_retention_as_json_table(spark):
+    from nimbus.schemas import RAW_ZONE
+    raw = new_dir()
+    for d in (1, 2, 3):
+        write_lines(Path(raw) / f"year=2024/month=3/day={d}/hour=0" / "a.json", [reading()])
+    register_table(spark, "raw_retention", raw, RAW_ZONE, fmt="json")
+    assert spark.table("raw_retention").count() == 3
+    dropped = expire_partitions(spark, "raw_retention", "2024-03-03 00:00:00")
+    assert sorted(r.day for r in dropped.collect()) == [1, 2]
+    assert [r.day for r in spark.table("raw_retention").collect()] == [3]
+    assert read_raw(spark, raw).count() == 1      # files are gone, not just catalog entries
