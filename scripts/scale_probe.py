@@ -36,11 +36,25 @@ OPS = {
 }
 
 
+def _customer_join(customer):
+    """events x customer as a sort-merge join (the plan at scale, where the
+    customer side exceeds the broadcast threshold)."""
+    def op(df):
+        key = F.pmod(F.col("user_id"), F.lit(1_000_000))
+        return df.join(customer.hint("merge"), key == F.col("c_custkey"))
+    return op
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     rep = int(sys.argv[2]) if len(sys.argv) > 2 else 30
-    spark = get_session("local[8]", 8, app_name="nimbus-scale-probe")
+    # AQE's skew thresholds scaled down to this data size (defaults: 256MB, 5x median)
+    spark = get_session("local[8]", 64, app_name="nimbus-scale-probe", conf={
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4MB"})
     spark.sparkContext.setLogLevel("ERROR")
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name")
+    ops = dict(OPS, customer_join_smj=_customer_join(customer))
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     big = (ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(rep - 1))))
              .withColumn("event_id", F.col("event_id") * rep + F.col("copy"))
@@ -48,14 +62,14 @@ def main() -> None:
              .drop("copy"))
     uniform = big.repartition(64).persist()
     skewed = big.withColumn(
-        "user_id", F.when(F.pmod(F.col("event_id"), 3) == 0, F.lit(0)).otherwise(F.col("user_id"))
+        "user_id", F.when(F.pmod(F.col("event_id"), 3) == 0, F.lit(1)).otherwise(F.col("user_id"))
     ).repartition(64).persist()
     n = uniform.count()
-    hot = skewed.filter("user_id = 0").count()
+    hot = skewed.filter("user_id = 1").count()
     print(f"rows={n} hot_user_rows={hot} ({hot / n:.0%})")
     print("| operator | uniform s | one user = 1/3 of rows s |")
     print("| --- | --- | --- |")
-    for name, op in OPS.items():
+    for name, op in ops.items():
         res = []
         for df in (uniform, skewed):
             op(df).write.format("noop").mode("overwrite").save()      # warm-up
