@@ -28,12 +28,41 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster reading ~100 TB (applied with profile="cluster").
+# * scans: 256 MB splits -> ~400k map tasks over 100 TB; filters and column
+#   pruning shrink what each task reads.
+# * shuffles: start from many partitions and let AQE merge them up to the
+#   advisory size (AQE can merge but not split, except skewed join sides),
+#   so a 100 TB join shuffle still lands in ~256 MB partitions.
+# * skew: a partition is split when it is 5x the median and above 512 MB.
+# * executor loss: decommissioning migrates shuffle and cached blocks off
+#   leaving executors; stages retry lost tasks from lineage otherwise.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.shuffle.partitions": "100000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "nimbus", conf: dict | None = None) -> SparkSession:
+                app_name: str = "nimbus", conf: dict | None = None,
+                profile: str = "local") -> SparkSession:
+    """Session with the library's defaults; ``profile="cluster"`` adds the
+    large-cluster sizing above. ``conf`` overrides both."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **(conf or {})}.items():
+    base = {**DEFAULT_CONF, **(CLUSTER_CONF if profile == "cluster" else {})}
+    for k, v in {**base, **(conf or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
