@@ -12,7 +12,6 @@ DISPLAY_TZ = "America/New_York"
 HOUR_LABEL_FORMAT = "MMM dd, hh:mm a 'ET'"
 DAY_LABEL_FORMAT = "MMM dd, yyyy hh:mm a 'ET'"
 RUN_HOUR_FORMAT = "yyyy-MM-dd'T'HH"
-ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ssXXX"
 ISO_FORMAT_UTC = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 
 

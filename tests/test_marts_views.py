@@ -247,3 +247,13 @@ def test_summary_of_all_null_values_is_null(spark):
     e = hourly_summary(_stg(spark, rows), metrics=[Metric("m", "exact_avg", "humidity_pct", 2)],
                        label="condition_main").first()
     assert e.m is None
+
+
+def test_time_parsing_functions(spark):
+    r = spark.range(1).select(
+        timefn.iso_to_ts(F.lit("2024-03-31T15:46:40+00:00")).alias("a"),
+        timefn.iso_to_ts(F.lit("not a time")).alias("b"),
+        timefn.parse_run_hour("2024-03-31T15").alias("c"),
+        timefn.epoch_to_iso(F.lit(1711900000)).alias("d")).first()
+    assert (r.a.hour, r.a.minute, r.b, r.c.hour, r.d) == (15, 46, None, 15,
+                                                          "2024-03-31T15:46:40+00:00")
