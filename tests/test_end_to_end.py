@@ -84,3 +84,39 @@ def test_pipeline_end_to_end(spark):
     assert len(cards) == 18 and cards[0].title == "Albany, NY" and cards[0].value == "71.5 °F"
     assert len(CITIES) == 19
     assert F is not None
+
+
+def test_incremental_marts_equal_full_refresh(spark):
+    from pathlib import Path
+    from conftest import reading, write_lines
+    from nimbus.plans.marts import (update_current, update_hourly_summary, weather_current,
+                                    weather_hourly_summary)
+    raw, out, summ = new_dir(), new_dir(), new_dir()
+    # readings observed in hour h land in processing hour h, or h+1 when fetched late
+    landed = {
+        14: [reading(city="A", observed_at="2024-03-31T14:05:00+00:00", temp_f=50.0),
+             reading(city="B", observed_at="2024-03-31T14:10:00+00:00", temp_f=60.0)],
+        15: [reading(city="A", observed_at="2024-03-31T14:50:00+00:00", temp_f=52.0,
+                     condition_main="Rain"),
+             reading(city="B", observed_at="2024-03-31T15:10:00+00:00", temp_f=61.0)],
+        16: [reading(city="A", observed_at="2024-03-31T15:55:00+00:00", temp_f=55.0),
+             reading(city="C", observed_at="2024-03-31T16:01:00+00:00", temp_f=40.0)],
+    }
+    table = "inc_current"
+    for h, rows in landed.items():
+        write_lines(Path(raw) / f"year=2024/month=3/day=31/hour={h}" / "a.json", rows)
+        run = f"2024-03-31T{h}"
+        process_hour(spark, raw, out, run, processed_at="p")
+        this_hour = read_processed(spark, out).filter(f"hour = {h}")
+        update_current(spark, table, this_hour)
+        update_hourly_summary(spark, out, summ, run, max_lag_hours=1)
+    full = stg_weather_raw(read_processed(spark, out))
+    cols = sorted(spark.table(table).columns)
+    assert sorted(map(tuple, spark.table(table).select(cols).collect())) == \
+        sorted(map(tuple, weather_current(full).select(cols).collect()))
+    inc = spark.read.parquet(summ).drop("year", "month", "day", "hour")
+    want = weather_hourly_summary(full)
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, inc.select(cols).collect())) == \
+        sorted(map(tuple, want.select(cols).collect()))
+    assert inc.count() == 5
