@@ -37,12 +37,14 @@ def _ts_type(df: DataFrame, ts: str) -> str:
     return df.schema[ts].dataType.typeName()
 
 
-def latest(df: DataFrame, ts: str):
+def latest(df: DataFrame, ts: str) -> str | None:
     """``max(ts)`` of ``df`` resolved to a single value (one small job over
     one pruned column). A literal bound, unlike a scalar subquery, is pushed
     into the Parquet scan, where row-group statistics on ``ts`` skip data
-    outside the window."""
-    return df.agg(F.max(ts)).first()[0]
+    outside the window. The value comes back as text formatted in the
+    session time zone, so it never passes through the driver process's
+    local zone."""
+    return df.agg(F.date_format(F.max(ts), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
 
 
 def trailing_window(df: DataFrame, ts: str, as_of=None, hours: int = 24) -> DataFrame:

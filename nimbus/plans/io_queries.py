@@ -37,7 +37,7 @@ def q_processed_window(spark: SparkSession, sf: str) -> DataFrame:
     listed)."""
     root = f"{work_dir(spark, 'processed-window')}/processed"
     write_partitions(processed_from_raw(readings_as_landed(spark, sf), PROCESSED_AT), root)
-    as_of = latest(table(spark, sf, "events"), "ts")
+    as_of = datetime.datetime.fromisoformat(latest(table(spark, sf, "events"), "ts"))
     start = as_of - datetime.timedelta(hours=24)
     out = read_processed(spark, root, start=start)
     return out.select("city", "state", "observed_at", "temp_c", "city_slug", "day", "hour")
