@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.functions._util import col
+from nimbus.operators.filters import ts_literal
 from nimbus.operators.validate import Rule
 
 
@@ -115,8 +116,8 @@ def freshness(df: DataFrame, ts: str, keys=None, as_of=None,
               last_col: str = "last_seen", lag_col: str = "lag_minutes") -> DataFrame:
     """Latest timestamp (A13) overall or per key, with the lag behind ``as_of``
     (default: the newest timestamp in the data) in whole minutes."""
-    anchor = df.select(F.max(ts)).scalar() if as_of is None else F.lit(as_of).cast(
-        df.schema[ts].dataType.typeName())
+    anchor = (df.select(F.max(ts)).scalar() if as_of is None
+              else ts_literal(as_of, df.schema[ts].dataType.typeName()))
 
     def _micros(c):
         return F.unix_micros(c.cast("timestamp"))
