@@ -164,18 +164,16 @@ def update_hourly_summary(spark, processed_root: str, summary_root: str, run_hou
     whole (dynamic overwrite). Hours near ``t`` are recomputed again by the
     next ``lag`` runs, which is when their late readings arrive.
     """
-    from nimbus.operators.filters import partition_time
+    from nimbus.operators.filters import partition_time, ts_literal
     from nimbus.sources.sinks import write_partitions
 
     t = datetime.datetime.strptime(run_hour, "%Y-%m-%dT%H")
     lag = datetime.timedelta(hours=max_lag_hours)
     lo, hi = t - lag, t + lag
     processed = spark.read.parquet(processed_root).filter(
-        partition_time().between(F.lit(lo.isoformat(sep=" ")).cast("timestamp_ntz"),
-                                 F.lit(hi.isoformat(sep=" ")).cast("timestamp_ntz")))
+        partition_time().between(ts_literal(lo, "timestamp_ntz"), ts_literal(hi, "timestamp_ntz")))
     stg = stg_weather_raw(processed).filter(
-        F.col("observed_hour").between(F.lit(lo.isoformat(sep=" ")).cast("timestamp"),
-                                       F.lit(t.isoformat(sep=" ")).cast("timestamp")))
+        F.col("observed_hour").between(ts_literal(lo), ts_literal(t)))
     summary = weather_hourly_summary(stg, profile).withColumns({
         "year": F.year("observed_hour"), "month": F.month("observed_hour"),
         "day": F.dayofmonth("observed_hour"), "hour": F.hour("observed_hour")})

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators.enrich import run_hour_parts
+from nimbus.operators.filters import ts_literal
 from nimbus.schemas import PARTITION_COLS
 
 
@@ -95,7 +96,7 @@ def expire_partitions(spark: SparkSession, table: str, before) -> DataFrame:
         parts = parts.withColumn(c, F.split(kv[i], "=")[1].cast("int"))
     old = parts.filter(F.make_timestamp_ntz(*[F.col(c) for c in PARTITION_COLS],
                                             F.lit(0), F.lit(0))
-                       < F.lit(before).cast("timestamp_ntz"))
+                       < ts_literal(before, "timestamp_ntz"))
     dropped = old.select(*PARTITION_COLS).collect()  # partition metadata only
     nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
                       for f in spark.table(table).schema.fields if f.name not in PARTITION_COLS)
