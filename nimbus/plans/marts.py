@@ -153,7 +153,8 @@ SUMMARY_PARTITIONS = ["year", "month", "day", "hour"]
 
 
 def update_hourly_summary(spark, processed_root: str, summary_root: str, run_hour: str,
-                          max_lag_hours: int = 2, profile: str = "dbt") -> None:
+                          max_lag_hours: int = 2, profile: str = "dbt",
+                          until_hour: str | None = None) -> None:
     """Recompute only the summary hours a processing run can change.
 
     A reading processed in hour ``t`` was observed no earlier than
@@ -163,13 +164,16 @@ def update_hourly_summary(spark, processed_root: str, summary_root: str, run_hou
     summary is partitioned by observed hour and those hours are replaced
     whole (dynamic overwrite). Hours near ``t`` are recomputed again by the
     next ``lag`` runs, which is when their late readings arrive.
+    ``until_hour`` extends the run to the processing hours
+    ``[run_hour, until_hour]`` at once (a micro-batch touching several).
     """
     from nimbus.operators.filters import partition_time, ts_literal
     from nimbus.sources.sinks import write_partitions
 
-    t = datetime.datetime.strptime(run_hour, "%Y-%m-%dT%H")
+    first = datetime.datetime.strptime(run_hour, "%Y-%m-%dT%H")
+    t = datetime.datetime.strptime(until_hour, "%Y-%m-%dT%H") if until_hour else first
     lag = datetime.timedelta(hours=max_lag_hours)
-    lo, hi = t - lag, t + lag
+    lo, hi = first - lag, t + lag
     processed = spark.read.parquet(processed_root).filter(
         partition_time().between(ts_literal(lo, "timestamp_ntz"), ts_literal(hi, "timestamp_ntz")))
     stg = stg_weather_raw(processed).filter(

@@ -53,9 +53,17 @@ def raw_stream(spark: SparkSession, raw_root: str, max_files: int | None = None)
     return r.json(raw_root)
 
 
+def _run_hour(key: int) -> str:
+    s = str(key)
+    return f"{s[:4]}-{s[4:6]}-{s[6:8]}T{s[8:10]}"
+
+
 def ingest_stream(spark: SparkSession, raw_root: str, processed_root: str, checkpoint: str,
                   processed_at: str | None = None, max_files: int | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, summary_root: str | None = None,
+                  max_lag_hours: int = 2) -> StreamingQuery:
+    """Process newly landed raw files; with ``summary_root`` also keep the
+    hourly summary current for the observed hours the batch can change."""
     stamp = processed_at or datetime.now(timezone.utc).isoformat()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -64,6 +72,11 @@ def ingest_stream(spark: SparkSession, raw_root: str, processed_root: str, check
             return
         full = read_raw(batch.sparkSession, raw_root).filter(hour_key().isin(keys))
         write_partitions(processed_from_raw(full, stamp), processed_root)
+        if summary_root:
+            from nimbus.plans.marts import update_hourly_summary
+            update_hourly_summary(batch.sparkSession, processed_root, summary_root,
+                                  _run_hour(min(keys)), max_lag_hours,
+                                  until_hour=_run_hour(max(keys)))
 
     w = (raw_stream(spark, raw_root, max_files).writeStream
          .foreachBatch(per_batch).option("checkpointLocation", checkpoint))

@@ -115,3 +115,20 @@ def test_dedup_across_batches(spark):
     q.stop()
     got = sorted((r.k, r.v) for r in spark.read.parquet(out).collect())
     assert got == [(1, 1), (2, 3)]
+
+
+def test_ingest_keeps_summary_current(spark):
+    from nimbus.plans.marts import stg_weather_raw, weather_hourly_summary
+    raw, out, summ, ck = new_dir(), new_dir(), new_dir(), new_dir()
+    _land(raw, 15, [reading(city="A", observed_at="2024-03-31T15:05:00+00:00", temp_f=50.0)], "a.json")
+    drain(ingest_stream(spark, raw, out, ck, processed_at="p", summary_root=summ, max_lag_hours=1))
+    # late reading for 15:00 lands with hour 16, plus a reading for 16:00
+    _land(raw, 16, [reading(city="A", observed_at="2024-03-31T15:40:00+00:00", temp_f=54.0),
+                    reading(city="A", observed_at="2024-03-31T16:05:00+00:00", temp_f=60.0)],
+          "a.json")
+    drain(ingest_stream(spark, raw, out, ck, processed_at="p", summary_root=summ, max_lag_hours=1))
+    got = {r.observed_hour.hour: (r.avg_temp_f, r.reading_count)
+           for r in spark.read.parquet(summ).collect()}
+    assert got == {15: (52.0, 2), 16: (60.0, 1)}
+    full = weather_hourly_summary(stg_weather_raw(spark.read.parquet(out)))
+    assert full.count() == 2
