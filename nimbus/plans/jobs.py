@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbus.dims import CITIES
 from nimbus.operators.enrich import enrich
 from nimbus.operators.flatten import to_record
 from nimbus.operators.validate import REASONS, ingest_rules, split, split_counts
-from nimbus.schemas import PARTITION_COLS, PROCESSED, READING_COLS
+from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, PROCESSED, READING, READING_COLS
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
 from nimbus.sources.raw import CORRUPT, read_raw
@@ -26,6 +27,11 @@ from nimbus.sources.sinks import (overwrite_hour, register_table, with_run_hour,
 
 CITY_KEY_SCHEMA = "name string, state string, lat double, lon double"
 
+QUARANTINE = T.StructType(
+    list(READING.fields)
+    + [T.StructField(CORRUPT, T.StringType()),
+       T.StructField(REASONS, T.ArrayType(T.StringType()))] + PARTITION_FIELDS)
+
 log = logging.getLogger(__name__)
 
 
@@ -93,7 +99,13 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
         if quarantine_root:
             bad = (with_run_hour(rejected, run_hour)
                    .select(*READING_COLS, CORRUPT, REASONS, *PARTITION_COLS))
-            write_partitions(bad, quarantine_root, fmt="json")
+            if table:
+                # a re-run with no rejects must also clear the hour's old rejects
+                qtable = f"{table}_quarantine"
+                register_table(spark, qtable, quarantine_root, QUARANTINE, fmt="json")
+                overwrite_hour(spark, qtable, bad, run_hour)
+            else:
+                write_partitions(bad, quarantine_root, fmt="json")
     finally:
         checked.unpersist()
     if c.invalid_count:

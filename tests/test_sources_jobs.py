@@ -181,3 +181,17 @@ def test_raw_zone_retention_as_json_table(spark):
     assert sorted(r.day for r in dropped.collect()) == [1, 2]
     assert [r.day for r in spark.table("raw_retention").collect()] == [3]
     assert read_raw(spark, raw).count() == 1      # files are gone, not just catalog entries
+
+
+def test_rerun_clears_stale_quarantine_with_tables(spark):
+    raw, out, quar = new_dir(), new_dir(), new_dir()
+    _land(raw, False, 15, [reading(), reading(city="Bad", temp_f=999.0)])
+    process_hour(spark, raw, out, "2024-03-31T15", quarantine_root=quar, table="proc_q",
+                 processed_at="p")
+    assert spark.table("proc_q_quarantine").count() == 1
+    _land(raw, False, 15, [reading(), reading(city="Fixed", temp_f=70.0)])
+    res = process_hour(spark, raw, out, "2024-03-31T15", quarantine_root=quar, table="proc_q",
+                       processed_at="p")
+    assert (res.valid, res.invalid) == (2, 0)
+    assert spark.table("proc_q_quarantine").count() == 0
+    assert spark.table("proc_q").count() == 2
