@@ -9,6 +9,7 @@ off.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +46,18 @@ def run_hour_filter(run_hour: str) -> Column:
     return cond
 
 
+def _either(v: int) -> str:
+    """Glob matching both directory spellings (``3`` and ``03``)."""
+    return f"{{{v},{v:02d}}}" if v < 10 else str(v)
+
+
+def hour_glob(root: str, run_hour: str) -> str:
+    """Path glob of one hour's folder(s), padded or unpadded."""
+    p = run_hour_parts(run_hour)
+    return (f"{root.rstrip('/')}/year={p['year']}/month={_either(p['month'])}"
+            f"/day={_either(p['day'])}/hour={_either(p['hour'])}")
+
+
 def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
              start=None, end=None, max_lag_hours: int | None = None,
              schema: T.StructType = READING) -> DataFrame:
@@ -55,16 +68,28 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     keeps its text in ``_corrupt_record``. Lines holding a JSON array
     expand to one row per element; blank lines are skipped. Both go to
     quarantine through validation instead of failing the job.
+
+    With ``run_hour`` only that hour's folder is listed (a path glob with
+    ``basePath``, so the partition columns stay): an hourly job does not
+    list years of history. Without it the root is listed once and filters
+    on the partition ints prune the files read.
     """
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
         + [T.StructField(CORRUPT, T.StringType(), True)] + PARTITION_FIELDS)
-    df = (spark.read.schema(text_schema)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .json(root))
+    reader = (spark.read.schema(text_schema)
+              .option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT))
     if run_hour is not None:
+        try:
+            df = reader.option("basePath", root).json(hour_glob(root, run_hour))
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
+            df = spark.createDataFrame([], text_schema)
         df = df.filter(run_hour_filter(run_hour))
+    else:
+        df = reader.json(root)
     bounds = partition_bounds(start, end, max_lag_hours)
     if bounds is not None:
         df = df.filter(bounds)
