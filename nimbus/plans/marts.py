@@ -167,15 +167,16 @@ def update_hourly_summary(spark, processed_root: str, summary_root: str, run_hou
     ``until_hour`` extends the run to the processing hours
     ``[run_hour, until_hour]`` at once (a micro-batch touching several).
     """
-    from nimbus.operators.filters import partition_time, ts_literal
+    from nimbus.operators.filters import ts_literal
+    from nimbus.sources.processed import read_processed
     from nimbus.sources.sinks import write_partitions
 
     first = datetime.datetime.strptime(run_hour, "%Y-%m-%dT%H")
     t = datetime.datetime.strptime(until_hour, "%Y-%m-%dT%H") if until_hour else first
     lag = datetime.timedelta(hours=max_lag_hours)
     lo, hi = first - lag, t + lag
-    processed = spark.read.parquet(processed_root).filter(
-        partition_time().between(ts_literal(lo, "timestamp_ntz"), ts_literal(hi, "timestamp_ntz")))
+    # processing hours [lo, hi]: only those folders are listed and read
+    processed = read_processed(spark, processed_root, start=lo, end=hi, max_lag_hours=0)
     stg = stg_weather_raw(processed).filter(
         F.col("observed_hour").between(ts_literal(lo), ts_literal(t)))
     summary = weather_hourly_summary(stg, profile).withColumns({

@@ -2,11 +2,34 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.operators.filters import ts_literal, partition_bounds
+from nimbus.operators.filters import partition_bounds, ts_literal
 from nimbus.schemas import PROCESSED
+from nimbus.sources.raw import _load, hour_in, partition_glob
+
+MAX_LISTED_HOURS = 24 * 62
+
+
+def _bounded_hours(start, end, max_lag_hours):
+    """Partition hours of ``[start, end)`` plus the fetch lag, when the range
+    is bounded and small enough to list folder by folder."""
+    if start is None or end is None or max_lag_hours is None:
+        return None
+    lo = _hour(start)
+    hi = _hour(end) + datetime.timedelta(hours=max_lag_hours + 1)
+    n = int((hi - lo).total_seconds() // 3600) + 1
+    if n <= 0 or n > MAX_LISTED_HOURS:
+        return None
+    return [lo + datetime.timedelta(hours=i) for i in range(n)]
+
+
+def _hour(x) -> datetime.datetime:
+    d = x if isinstance(x, datetime.datetime) else datetime.datetime.fromisoformat(str(x))
+    return d.replace(tzinfo=None, minute=0, second=0, microsecond=0)
 
 
 def read_processed(spark: SparkSession, root: str, start=None, end=None,
@@ -15,18 +38,24 @@ def read_processed(spark: SparkSession, root: str, start=None, end=None,
     """Processed readings, optionally limited to event times in ``[start, end)``.
 
     Spark does not derive partition bounds from ``observed_at``; we add
-    them (``partition_bounds``) so a 24-hour query lists and reads only the
-    partitions that can hold those hours, then filter the exact range.
+    them (``partition_bounds``) so a 24-hour query reads only the partitions
+    that can hold those hours, then filter the exact range. With both ends
+    and ``max_lag_hours`` given, only those folders are listed at all.
     ``fmt="json"`` reads the NDJSON flavour with the declared schema (a
     column missing from a file reads NULL).
     """
     reader = spark.read
     if fmt == "json":
-        df = reader.schema(PROCESSED).json(root)
+        reader = reader.schema(PROCESSED)
+    elif merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    hours = _bounded_hours(start, end, max_lag_hours)
+    if hours is not None:
+        # bounded range: list only the folders that can hold it
+        df = _load(spark, reader, root, partition_glob(root, hours), PROCESSED, fmt)
+        df = df.filter(hour_in(hours))
     else:
-        if merge_schema:
-            reader = reader.option("mergeSchema", "true")
-        df = reader.parquet(root)
+        df = reader.format(fmt).load(root)
     bounds = partition_bounds(start, end, max_lag_hours)
     if bounds is not None:
         df = df.filter(bounds)

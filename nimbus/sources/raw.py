@@ -9,12 +9,13 @@ off.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nimbus.operators.enrich import run_hour_parts
 from nimbus.operators.filters import partition_bounds
 from nimbus.operators.validate import MALFORMED
 from nimbus.schemas import PARTITION_FIELDS, PAYLOAD, READING
@@ -37,30 +38,31 @@ def _typed(schema: T.StructType) -> tuple[list[Column], Column]:
     return cols, malformed
 
 
-def run_hour_filter(run_hour: str) -> Column:
-    parts = run_hour_parts(run_hour)
-    cond = None
-    for k, v in parts.items():
-        c = F.col(k) == v
-        cond = c if cond is None else cond & c
-    return cond
+def _alts(values, pad: bool) -> str:
+    names = {str(v) for v in values} | ({f"{v:02d}" for v in values} if pad else set())
+    return "{" + ",".join(sorted(names)) + "}"
 
 
-def _either(v: int) -> str:
-    """Glob matching both directory spellings (``3`` and ``03``)."""
-    return f"{{{v},{v:02d}}}" if v < 10 else str(v)
+def partition_glob(root: str, hours) -> str:
+    """One path glob covering the folders of ``hours`` (datetimes), in both
+    directory spellings (``month=3`` / ``month=03``). It may also match a few
+    neighbouring folders (year/month/day/hour sets are combined); callers
+    filter on the exact partition values, so only the listing is widened."""
+    hours = list(hours)
+    return (f"{root.rstrip('/')}/year={_alts({h.year for h in hours}, False)}"
+            f"/month={_alts({h.month for h in hours}, True)}"
+            f"/day={_alts({h.day for h in hours}, True)}"
+            f"/hour={_alts({h.hour for h in hours}, True)}")
 
 
 def hour_glob(root: str, run_hour: str) -> str:
     """Path glob of one hour's folder(s), padded or unpadded."""
-    p = run_hour_parts(run_hour)
-    return (f"{root.rstrip('/')}/year={p['year']}/month={_either(p['month'])}"
-            f"/day={_either(p['day'])}/hour={_either(p['hour'])}")
+    return partition_glob(root, [_dt.datetime.strptime(run_hour, "%Y-%m-%dT%H")])
 
 
 def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
              start=None, end=None, max_lag_hours: int | None = None,
-             schema: T.StructType = READING) -> DataFrame:
+             schema: T.StructType = READING, run_hours: list[str] | None = None) -> DataFrame:
     """Flat readings landed as JSON lines under ``year/month/day/hour``.
 
     Every field is read as text and typed with ``try_cast``: a malformed
@@ -69,10 +71,10 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     expand to one row per element; blank lines are skipped. Both go to
     quarantine through validation instead of failing the job.
 
-    With ``run_hour`` only that hour's folder is listed (a path glob with
-    ``basePath``, so the partition columns stay): an hourly job does not
-    list years of history. Without it the root is listed once and filters
-    on the partition ints prune the files read.
+    With ``run_hour`` (or ``run_hours``) only those hours' folders are
+    listed (a path glob with ``basePath``, so the partition columns stay):
+    an hourly job does not list years of history. Without them the root is
+    listed once and filters on the partition ints prune the files read.
     """
     text_schema = T.StructType(
         [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
@@ -80,14 +82,11 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     reader = (spark.read.schema(text_schema)
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
-    if run_hour is not None:
-        try:
-            df = reader.option("basePath", root).json(hour_glob(root, run_hour))
-        except AnalysisException as exc:
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            df = spark.createDataFrame([], text_schema)
-        df = df.filter(run_hour_filter(run_hour))
+    hours = ([run_hour] if run_hour is not None else []) + list(run_hours or [])
+    if hours:
+        parsed = [_dt.datetime.strptime(h, "%Y-%m-%dT%H") for h in hours]
+        df = _load(spark, reader, root, partition_glob(root, parsed), text_schema, "json")
+        df = df.filter(hour_in(parsed))
     else:
         df = reader.json(root)
     bounds = partition_bounds(start, end, max_lag_hours)
@@ -100,6 +99,23 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
                               malformed).alias(MALFORMED))
 
 
+def hour_in(hours) -> Column:
+    """Exact partition predicate for a list of hours (partition columns only)."""
+    keys = [h.year * 1000000 + h.month * 10000 + h.day * 100 + h.hour for h in hours]
+    y, m, d, hr = (F.col(c).cast("bigint") for c in ("year", "month", "day", "hour"))
+    return (y * 1000000 + m * 10000 + d * 100 + hr).isin(keys)
+
+
+def _load(spark: SparkSession, reader, root: str, glob: str, empty_schema: T.StructType,
+          fmt: str) -> DataFrame:
+    try:
+        return reader.option("basePath", root).format(fmt).load(glob)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        return spark.createDataFrame([], empty_schema)
+
+
 def read_mixed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Text whose lines are a JSON object or a JSON array of objects.
 

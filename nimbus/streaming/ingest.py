@@ -11,10 +11,9 @@ Overwriting an hour from the partial batch alone would drop the rows
 landed earlier.
 
 The touched hours are partition keys (a handful per batch), brought to
-the driver and turned into a literal predicate on the partition columns,
-so the re-read lists only those folders. A semi-join against the batch
-would not get dynamic partition pruning here and would rescan the whole
-raw zone on every batch.
+the driver; the re-read lists only their folders and filters on their exact
+partition values. A semi-join against the batch would not get dynamic
+partition pruning here and would rescan the whole raw zone on every batch.
 """
 
 from __future__ import annotations
@@ -70,7 +69,7 @@ def ingest_stream(spark: SparkSession, raw_root: str, processed_root: str, check
         keys = touched_hours(batch)
         if not keys:
             return
-        full = read_raw(batch.sparkSession, raw_root).filter(hour_key().isin(keys))
+        full = read_raw(batch.sparkSession, raw_root, run_hours=[_run_hour(k) for k in keys])
         write_partitions(processed_from_raw(full, stamp), processed_root)
         if summary_root:
             from nimbus.plans.marts import update_hourly_summary
