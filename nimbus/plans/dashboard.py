@@ -26,6 +26,22 @@ def window_24h(df: DataFrame, ts: str, as_of=None) -> DataFrame:
     return trailing_window(df, ts, as_of=as_of, hours=24)
 
 
+def load_window(spark, processed_root: str, as_of, hours: int = 24,
+                max_lag_hours: int = 2) -> DataFrame:
+    """Staging rows observed in ``[as_of - hours, as_of]``, reading only the
+    hour folders that can hold them (not the whole history)."""
+    import datetime
+
+    from nimbus.operators.flatten import stage
+    from nimbus.sources.processed import read_processed
+    end = (as_of if isinstance(as_of, datetime.datetime)
+           else datetime.datetime.fromisoformat(str(as_of)))
+    start = end - datetime.timedelta(hours=hours)
+    window_end = end + datetime.timedelta(microseconds=1)   # inclusive as_of
+    return stage(read_processed(spark, processed_root, start=start, end=window_end,
+                                max_lag_hours=max_lag_hours))
+
+
 def select_cities(df: DataFrame, cities=None, states=None, city: str = "city_name",
                   state: str = "state_code") -> DataFrame:
     """State and city multi-select (P8); an empty selection keeps all."""

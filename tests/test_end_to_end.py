@@ -120,3 +120,23 @@ def test_incremental_marts_equal_full_refresh(spark):
     assert sorted(map(tuple, inc.select(cols).collect())) == \
         sorted(map(tuple, want.select(cols).collect()))
     assert inc.count() == 5
+
+
+def test_load_window_reads_only_window_folders(spark):
+    import contextlib
+    import io
+    from pathlib import Path
+    from conftest import reading, write_lines
+    raw, out = new_dir(), new_dir()
+    for h in range(10, 17):
+        write_lines(Path(raw) / f"year=2024/month=3/day=31/hour={h}" / "a.json",
+                    [reading(observed_at=f"2024-03-31T{h:02d}:05:00+00:00")])
+        process_hour(spark, raw, out, f"2024-03-31T{h}", processed_at="p")
+    w = dashboard.load_window(spark, out, "2024-03-31 15:30:00", hours=2, max_lag_hours=1)
+    assert sorted(r.observed_at.hour for r in w.collect()) == [14, 15]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        w.explain(mode="formatted")
+    location = [ln for ln in buf.getvalue().splitlines() if ln.startswith("Location:")][0]
+    # the file index holds hour folders of the window (13..16), not the root
+    assert "/day=31/hour=13" in location and "3 entries" in location, location
