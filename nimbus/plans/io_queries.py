@@ -32,14 +32,16 @@ VALID_LANDED_SQL = f"""
 
 def q_processed_window(spark: SparkSession, sf: str) -> DataFrame:
     """All hours validated, enriched and written as hour partitions in one
-    job (dynamic overwrite), then the trailing 24 hours read back with
-    partition bounds (only partitions from the window's first hour on are
-    listed)."""
+    job (dynamic overwrite), then the trailing 24 hours read back listing
+    only the window's hour folders."""
     root = f"{work_dir(spark, 'processed-window')}/processed"
     write_partitions(processed_from_raw(readings_as_landed(spark, sf), PROCESSED_AT), root)
     as_of = datetime.datetime.fromisoformat(latest(table(spark, sf, "events"), "ts"))
     start = as_of - datetime.timedelta(hours=24)
-    out = read_processed(spark, root, start=start)
+    # landed by observation hour (no fetch lag): only the window's 25 hour
+    # folders are listed
+    out = read_processed(spark, root, start=start,
+                         end=as_of + datetime.timedelta(microseconds=1), max_lag_hours=0)
     return out.select("city", "state", "observed_at", "temp_c", "city_slug", "day", "hour")
 
 
