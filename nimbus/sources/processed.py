@@ -28,8 +28,11 @@ def _bounded_hours(start, end, max_lag_hours):
 
 
 def _hour(x) -> datetime.datetime:
+    """Start of the UTC hour of ``x`` (naive values are taken as UTC)."""
     d = x if isinstance(x, datetime.datetime) else datetime.datetime.fromisoformat(str(x))
-    return d.replace(tzinfo=None, minute=0, second=0, microsecond=0)
+    if d.tzinfo is not None:
+        d = d.astimezone(datetime.timezone.utc).replace(tzinfo=None)
+    return d.replace(minute=0, second=0, microsecond=0)
 
 
 def read_processed(spark: SparkSession, root: str, start=None, end=None,
