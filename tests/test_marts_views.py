@@ -257,3 +257,17 @@ def test_time_parsing_functions(spark):
         timefn.epoch_to_iso(F.lit(1711900000)).alias("d")).first()
     assert (r.a.hour, r.a.minute, r.b, r.c.hour, r.d) == (15, 46, None, 15,
                                                           "2024-03-31T15:46:40+00:00")
+
+
+def test_json_field_matches_get_json_object(spark):
+    rows = [('{"k": 87}',), ('{"k": "87"}',), ('{"k": 87.5}',), ('{"k": "abc"}',),
+            ('{"k": {"a": 1}}',), ('[1, 2]',), ('not json',), (None,), ('{"x": 1}',),
+            ('{"k": null}',), ('{"k": true}',)]
+    df = spark.createDataFrame(rows, "props string")
+    got = df.select(text.json_field("props", "$.k").alias("a"),
+                    F.get_json_object("props", "$.k").alias("b"),
+                    text.json_field("props", "$.k", "int").alias("ai"),
+                    text.json_field("props", "$.k.a").alias("nested")).collect()
+    assert all(r.a == r.b for r in got)
+    assert [r.ai for r in got][:4] == [87, 87, None, None]
+    assert got[4].nested == "1"
