@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from itertools import chain
 
 from pyspark.sql import Column
@@ -49,21 +48,13 @@ def blank(c) -> Column:
     return F.coalesce(F.trim(col(c)) == "", F.lit(True))
 
 
-_TOP_LEVEL = re.compile(r"^\$\.([A-Za-z_][A-Za-z0-9_]*)$")
-
-
 def json_field(c, path: str, cast: str | None = None) -> Column:
     """A field of a JSON text column, optionally ``try_cast``.
 
-    A top-level ``$.name`` path is read with ``from_json`` into a one-field
-    struct of type string, which returns the same text as
-    ``get_json_object`` (numbers and strings alike, nested values as JSON)
-    and parses faster; other paths use ``get_json_object``.
+    ``get_json_object`` is code-generated, so filters and aggregates over
+    the field stay inside whole-stage codegen. (``from_json`` into a
+    one-field struct parses faster but is interpreted; measured on 2M rows
+    it won on a filter path and lost on an aggregate path.)
     """
-    m = _TOP_LEVEL.match(path)
-    if m:
-        name = m.group(1)
-        v = F.from_json(col(c), f"`{name}` string")[name]
-    else:
-        v = F.get_json_object(col(c), path)
+    v = F.get_json_object(col(c), path)
     return v.try_cast(cast) if cast else v
