@@ -17,7 +17,7 @@ from nimbus.functions._util import col
 from nimbus.schemas import REQUIRED_COLS
 
 REASONS = "reject_reasons"
-MALFORMED = "_malformed"
+MALFORMED = "_malformed"   # comma-separated names of fields that did not parse
 
 
 @dataclass(frozen=True)
@@ -132,7 +132,8 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     are reported as ``malformed:<col>`` ahead of the rule results."""
     r = reasons(rules)
     if MALFORMED in df.columns:
-        r = F.concat(F.transform(F.col(MALFORMED), lambda c: F.concat(F.lit("malformed:"), c)), r)
+        names = F.filter(F.split(F.col(MALFORMED), ","), lambda c: c != "")
+        r = F.concat(F.transform(names, lambda c: F.concat(F.lit("malformed:"), c)), r)
     return df.withColumn(REASONS, r)
 
 
@@ -149,7 +150,7 @@ def passes(rules: list[Rule], df: DataFrame | None = None) -> Column:
     """
     out = reduce(lambda a, b: a & b, [r.check for r in rules])
     if df is not None and MALFORMED in df.columns:
-        out = out & (F.size(F.col(MALFORMED)) == 0)
+        out = out & (F.col(MALFORMED) == "")
     return out
 
 

@@ -23,9 +23,9 @@ from nimbus.schemas import PARTITION_FIELDS, PAYLOAD, READING
 CORRUPT = "_corrupt_record"
 
 
-def _typed(schema: T.StructType) -> tuple[list[Column], Column]:
-    """Cast string fields to ``schema`` with ``try_cast`` and list the fields
-    whose text did not parse (value present, cast NULL)."""
+def _typed(schema: T.StructType) -> tuple[list[Column], list[Column]]:
+    """Cast string fields to ``schema`` with ``try_cast``; per field, the
+    field's name when its text did not parse (value present, cast NULL)."""
     cols, bad = [], []
     for f in schema.fields:
         if isinstance(f.dataType, T.StringType):
@@ -34,8 +34,7 @@ def _typed(schema: T.StructType) -> tuple[list[Column], Column]:
         cast = F.col(f.name).try_cast(f.dataType)
         cols.append(cast.alias(f.name))
         bad.append(F.when(F.col(f.name).isNotNull() & cast.isNull(), F.lit(f.name)))
-    malformed = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
-    return cols, malformed
+    return cols, bad
 
 
 def _alts(values, pad: bool) -> str:
@@ -66,7 +65,8 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     """Flat readings landed as JSON lines under ``year/month/day/hour``.
 
     Every field is read as text and typed with ``try_cast``: a malformed
-    number becomes NULL and is listed in ``_malformed``; an unparsable line
+    number becomes NULL and is named in ``_malformed`` (comma-separated,
+    empty when the row parsed); an unparsable line
     keeps its text in ``_corrupt_record``. Lines holding a JSON array
     expand to one row per element; blank lines are skipped. Both go to
     quarantine through validation instead of failing the job.
@@ -92,11 +92,12 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     bounds = partition_bounds(start, end, max_lag_hours)
     if bounds is not None:
         df = df.filter(bounds)
-    cols, malformed = _typed(schema)
-    corrupt = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("corrupt_record")))
+    cols, bad = _typed(schema)
+    corrupt = F.when(F.col(CORRUPT).isNotNull(), F.lit("corrupt_record"))
+    # comma-separated names ("" when clean): concat_ws skips NULLs and stays
+    # in whole-stage codegen, unlike array higher-order functions
     return df.select(*cols, CORRUPT, *[f.name for f in PARTITION_FIELDS],
-                     F.concat(F.coalesce(corrupt, F.array().cast("array<string>")),
-                              malformed).alias(MALFORMED))
+                     F.concat_ws(",", corrupt, *bad).alias(MALFORMED))
 
 
 def hour_in(hours) -> Column:
