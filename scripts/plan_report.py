@@ -70,6 +70,30 @@ def _explain(df) -> str:
     return buf.getvalue()
 
 
+CODEGEN_IGNORE = {"AdaptiveSparkPlan", "Exchange", "BroadcastExchange", "ColumnarToRow",
+                  "AQEShuffleRead", "ShuffleQueryStage", "BroadcastQueryStage", "Union",
+                  "TakeOrderedAndProject", "Subquery", "ReusedExchange", "ResultQueryStage",
+                  "TableCacheQueryStage", "Window", "WindowGroupLimit", "Expand", "Generate",
+                  "Sort", "Scan", "FileScan", "InMemoryTableScan", "LocalTableScan"}
+
+
+def _interpreted(df) -> list[str]:
+    """Operators outside whole-stage codegen in the final (executed) plan."""
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    text = buf.getvalue()
+    if "== Final Plan ==" in text:
+        text = text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    out = set()
+    for ln in text.splitlines():
+        m = re.match(r"^[\s:+\-]*(\*\(\d+\) )?([A-Za-z]+)", ln)
+        if m and not m.group(1) and m.group(2) not in CODEGEN_IGNORE and m.group(2)[0].isupper():
+            out.add(m.group(2))
+    return sorted(out)
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", 8, app_name="nimbus-plans")
@@ -78,9 +102,13 @@ def main() -> None:
     print(f"Generated by `scripts/plan_report.py` on `{sf_dir}` (initial adaptive plans). "
           "Shuffles = `Exchange` nodes (subqueries included); "
           "broadcasts = `BroadcastExchange` (size-checked by Spark unless the side is a literal "
-          "dimension). Streaming queries show the read-back of their output.\n")
-    print("| query | shuffles | broadcasts | partial agg | partial window limit | pushed filters | note |")
-    print("| --- | --- | --- | --- | --- | --- | --- |")
+          "dimension). Streaming queries show the read-back of their output. "
+          "'Outside codegen' lists operators of the executed plan that are not in "
+          "whole-stage codegen (the label pick over per-label rows, exact percentiles over "
+          "hourly rows, reasons of rejected rows, one-row report projections).\n")
+    print("| query | shuffles | broadcasts | partial agg | partial window limit | pushed filters "
+          "| outside codegen | note |")
+    print("| --- | --- | --- | --- | --- | --- | --- | --- |")
     for name, fn in E.queries().items():
         p = _explain(fn(spark, sf_dir))
         nodes = re.findall(r"^\(\d+\) (\w+)", p, flags=re.M)
@@ -90,8 +118,9 @@ def main() -> None:
         wgl = "yes" if "WindowGroupLimit" in p and "Partial" in p else "-"
         pushed = sorted({f for m in re.findall(r"^PushedFilters: \[(.*)\]$", p, flags=re.M)
                          for f in re.findall(r"(\w+)\(", m) if f != "IsNotNull"})
+        interp = _interpreted(fn(spark, sf_dir))
         print(f"| {name} | {shuffles} | {bcast} | {partial} | {wgl} | "
-              f"{', '.join(pushed) or '-'} | {NOTES.get(name, '')} |")
+              f"{', '.join(pushed) or '-'} | {', '.join(interp) or '-'} | {NOTES.get(name, '')} |")
 
 
 if __name__ == "__main__":
