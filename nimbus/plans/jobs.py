@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 from nimbus.dims import CITIES
 from nimbus.operators.enrich import enrich
 from nimbus.operators.flatten import to_record
-from nimbus.operators.validate import REASONS, ingest_rules, split, split_counts
+from nimbus.operators.enrich import run_hour_parts
+from nimbus.operators.validate import REASONS, ingest_rules, passes, split, split_counts
 from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, PROCESSED, READING, READING_COLS
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
@@ -115,9 +117,63 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
 
 
 def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours: list[str],
-             **kw) -> dict[str, ProcessResult]:
-    """Re-process late or replayed hours (T4); each hour is replaced whole."""
-    return {h: process_hour(spark, raw_root, processed_root, h, **kw) for h in run_hours}
+             quarantine_root: str | None = None, processed_at: str | None = None,
+             table: str | None = None, rules=None) -> dict[str, ProcessResult]:
+    """Re-process late or replayed hours (T4) in one distributed job.
+
+    Only the requested hours' folders are read; one aggregation counts every
+    hour; one dynamic-overwrite write replaces all of them. With a
+    registered ``table``, hours left with no valid rows (or no rejects) are
+    then emptied by a static partition overwrite, so no stale hour remains.
+    Hours without raw data are reported as zero counts.
+    """
+    rules = rules if rules is not None else ingest_rules()
+    stamp = processed_at or datetime.now(timezone.utc).isoformat()
+    raw = read_raw(spark, raw_root, run_hours=run_hours).persist()
+    try:
+        ok = F.coalesce(passes(rules, raw), F.lit(False))
+        per_hour = {(r.year, r.month, r.day, r.hour): r for r in raw.groupBy(*PARTITION_COLS).agg(
+            F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("v")).collect()}  # one row per hour
+        _, rejected = split(raw, rules)
+        valid = processed_from_raw(raw, stamp, rules)
+        bad = rejected.select(*READING_COLS, CORRUPT, REASONS, *PARTITION_COLS)
+        _write_hours(spark, valid, processed_root, table, PROCESSED, "parquet")
+        if quarantine_root:
+            _write_hours(spark, bad, quarantine_root, f"{table}_quarantine" if table else None,
+                         QUARANTINE, "json")
+    finally:
+        raw.unpersist()
+    out = {}
+    for h in run_hours:
+        parts = tuple(run_hour_parts(h).values())
+        r = per_hour.get(parts)
+        n, v = (int(r.n), int(r.v)) if r else (0, 0)
+        out[h] = ProcessResult(n, v, n - v)
+        if table:
+            if v == 0:
+                overwrite_hour(spark, table, spark.createDataFrame([], PROCESSED), h)
+            if quarantine_root and n - v == 0:
+                overwrite_hour(spark, f"{table}_quarantine",
+                               spark.createDataFrame([], QUARANTINE), h)
+    return out
+
+
+def _write_hours(spark: SparkSession, df: DataFrame, root: str, table: str | None, schema,
+                 fmt: str) -> None:
+    """Replace every hour present in ``df`` (dynamic partition overwrite)."""
+    if table:
+        register_table(spark, table, root, schema, fmt=fmt)
+        cols = spark.table(table).columns
+        # overwrite only the hours written, whatever the session default is
+        key = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(key, "static")
+        spark.conf.set(key, "dynamic")
+        try:
+            df.select(*cols).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(key, before)
+    else:
+        write_partitions(df, root, fmt=fmt)
 
 
 def processed_from_raw(raw: DataFrame, processed_at: str, rules=None) -> DataFrame:

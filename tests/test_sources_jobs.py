@@ -211,3 +211,53 @@ def test_malformed_and_corrupt_rows_carry_reasons(spark):
     reasons = {r.city: r[REASONS] for r in spark.read.json(quar).collect()}
     assert reasons["Bad"][0] == "malformed:temp_f" and "missing:temp_f" in reasons["Bad"]
     assert reasons[None][0] == "malformed:corrupt_record"
+
+
+def test_backfill_is_one_job_and_empties_hours_with_tables(spark):
+    raw, out, quar = new_dir(), new_dir(), new_dir()
+    for h in (13, 14):
+        _land(raw, False, h, [reading(observed_at=f"2024-03-31T{h:02d}:10:00+00:00"),
+                              reading(city="Bad", temp_f=999.0)])
+    res = backfill(spark, raw, out, ["2024-03-31T13", "2024-03-31T14", "2024-03-31T15"],
+                   quarantine_root=quar, table="bf", processed_at="p")
+    assert [(r.valid, r.invalid) for r in res.values()] == [(1, 1), (1, 1), (0, 0)]
+    assert spark.table("bf").count() == 2 and spark.table("bf_quarantine").count() == 2
+    # hour 14 replayed: now only rejects -> its processed rows must disappear
+    _land(raw, False, 14, [reading(city="Bad", temp_f=999.0)])
+    res = backfill(spark, raw, out, ["2024-03-31T14"], quarantine_root=quar, table="bf",
+                   processed_at="p")
+    assert (res["2024-03-31T14"].valid, res["2024-03-31T14"].invalid) == (0, 1)
+    assert [r.hour for r in spark.table("bf").collect()] == [13]
+    assert spark.table("bf_quarantine").count() == 2
+
+
+def test_backfill_keeps_other_hours_under_static_session_default(spark):
+    raw, out = new_dir(), new_dir()
+    for h in (10, 11):
+        _land(raw, False, h, [reading()])
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "static")
+    try:
+        backfill(spark, raw, out, ["2024-03-31T10", "2024-03-31T11"], table="bf_static",
+                 processed_at="p")
+        backfill(spark, raw, out, ["2024-03-31T11"], table="bf_static", processed_at="p")
+        assert sorted(r.hour for r in spark.table("bf_static").collect()) == [10, 11]
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, "dynamic")
+
+
+def test_write_partitions_is_dynamic_under_static_session_default(spark):
+    from nimbus.sources.sinks import write_partitions
+    out = new_dir()
+    df = spark.createDataFrame([("a", 2024, 3, 31, 10), ("b", 2024, 3, 31, 11)],
+                               "city string, year int, month int, day int, hour int")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "static")
+    try:
+        write_partitions(df, out)
+        write_partitions(df.filter("hour = 11").withColumn("city", F.lit("c")), out)
+        got = sorted((r.hour, r.city) for r in spark.read.parquet(out).collect())
+        assert got == [(10, "a"), (11, "c")]
+    finally:
+        spark.conf.set(key, "dynamic")
