@@ -5,8 +5,6 @@ from __future__ import annotations
 
 import copy
 
-from pyspark.sql import functions as F
-
 from conftest import GOLDEN, new_dir
 from nimbus.dims import CITIES
 from nimbus.operators.quality import coverage_report, rule_failures
@@ -83,7 +81,6 @@ def test_pipeline_end_to_end(spark):
     cards = dashboard.cards(cur).collect()
     assert len(cards) == 18 and cards[0].title == "Albany, NY" and cards[0].value == "71.5 °F"
     assert len(CITIES) == 19
-    assert F is not None
 
 
 def test_incremental_marts_equal_full_refresh(spark):

@@ -24,7 +24,6 @@ def _stg(spark, rows):
 
 
 def test_current_default_and_ties(spark):
-    t = "2024-03-31T15:46:40+00:00"
     rows = [
         reading(fetched_at="2024-03-31T16:00:00+00:00", temp_f=70.0),
         reading(fetched_at="2024-03-31T16:30:00+00:00", temp_f=71.0),   # same observed_at
@@ -40,7 +39,6 @@ def test_current_default_and_ties(spark):
     by_city = {r.city_name: r.state_code for r in weather_current_by_city(stg).collect()}
     assert by_city["Newark"] == "NY"
     assert len(weather_current(stg).columns) == 18
-    assert t
 
 
 def test_hourly_summary_profiles_and_tie(spark):
