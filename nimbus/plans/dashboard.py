@@ -8,6 +8,8 @@ distributed query whose result is small.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,13 @@ from nimbus.dims import activities_df, populations_df
 from nimbus.functions.text import signed_one_decimal
 from nimbus.functions.timefn import as_of_label
 from nimbus.operators.filters import filter_in, hour_slice, trailing_window
+from nimbus.operators.flatten import stage
 from nimbus.operators.reshape import series_long
 from nimbus.operators.snapshot import hour_over_hour, regional_snapshot
 from nimbus.operators.summary import mean_order, value_counts
 from nimbus.operators.views import (city_advice, current_cards, hourly_detail, map_layer,
                                     range_summary)
+from nimbus.sources.processed import read_processed
 
 
 def window_24h(df: DataFrame, ts: str, as_of=None) -> DataFrame:
@@ -30,10 +34,6 @@ def load_window(spark, processed_root: str, as_of, hours: int = 24,
                 max_lag_hours: int = 2) -> DataFrame:
     """Staging rows observed in ``[as_of - hours, as_of]``, reading only the
     hour folders that can hold them (not the whole history)."""
-    import datetime
-
-    from nimbus.operators.flatten import stage
-    from nimbus.sources.processed import read_processed
     end = (as_of if isinstance(as_of, datetime.datetime)
            else datetime.datetime.fromisoformat(str(as_of)))
     start = end - datetime.timedelta(hours=hours)

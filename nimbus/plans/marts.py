@@ -7,10 +7,12 @@ import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nimbus.operators.filters import ts_literal
 from nimbus.operators.flatten import stage
 from nimbus.operators.latest import latest_per_key
 from nimbus.operators.summary import hourly_summary
-from nimbus.sources.sinks import materialize, refresh_table
+from nimbus.sources.processed import read_processed
+from nimbus.sources.sinks import materialize, refresh_table, write_partitions
 
 # The 18 output columns of the current-readings mart.
 CURRENT_COLUMNS = [
@@ -167,10 +169,6 @@ def update_hourly_summary(spark, processed_root: str, summary_root: str, run_hou
     ``until_hour`` extends the run to the processing hours
     ``[run_hour, until_hour]`` at once (a micro-batch touching several).
     """
-    from nimbus.operators.filters import ts_literal
-    from nimbus.sources.processed import read_processed
-    from nimbus.sources.sinks import write_partitions
-
     first = datetime.datetime.strptime(run_hour, "%Y-%m-%dT%H")
     t = datetime.datetime.strptime(until_hour, "%Y-%m-%dT%H") if until_hour else first
     lag = datetime.timedelta(hours=max_lag_hours)

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from nimbus.functions import advice as adv
 from nimbus.functions import exact, geo, text, timefn, units
 from nimbus.operators import filters, latest, quality, reshape, snapshot, summary, validate, views
+from nimbus.operators.enrich import enrich
 from nimbus.operators.summary import Metric
+from nimbus.plans import io_queries, stream_queries
 from nimbus.plans.standins import K_SQL, READINGS_SQL, events_k, readings, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -250,7 +252,6 @@ def q_enriched(spark, sf):
 
 
 def enrich_readings(valid: DataFrame) -> DataFrame:
-    from nimbus.operators.enrich import enrich
     return enrich(valid, processed_at=PROCESSED_AT, city="city_name", state="state_code")
 
 
@@ -867,11 +868,6 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
-def _add_storage_queries() -> None:
-    from nimbus.plans import io_queries, stream_queries
-    for mod in (io_queries, stream_queries):
-        QUERIES.update(mod.QUERIES)
-        ORACLE_SQL.update(mod.ORACLE_SQL)
-
-
-_add_storage_queries()
+for _mod in (io_queries, stream_queries):   # queries that go through storage
+    QUERIES.update(_mod.QUERIES)
+    ORACLE_SQL.update(_mod.ORACLE_SQL)

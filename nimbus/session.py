@@ -9,6 +9,7 @@ Only when that setting is missing (local runs, tests) do we set one.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -114,9 +115,7 @@ def ship_package(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_nimbus_shipped", False):
         return
-    import shutil
-
-    import nimbus
+    import nimbus  # noqa: PLC0415 - the package imports this module
     pkg_parent = os.path.dirname(os.path.dirname(os.path.abspath(nimbus.__file__)))
     target = work_dir(spark, "pyfiles")
     if is_local_path(target):
