@@ -26,6 +26,12 @@ def series_long(df: DataFrame, id_cols, value_cols, var_name: str = "metric",
 
 
 def missing_keys(expected: DataFrame, actual: DataFrame, keys) -> DataFrame:
-    """Keys of ``expected`` absent from ``actual`` (U4) as an anti-join."""
+    """Keys of ``expected`` absent from ``actual`` (U4) as an anti-join.
+
+    Both sides are reduced to distinct keys first (partial aggregation
+    before the shuffle), so a key repeated in a third of ``actual`` ships
+    once per map task rather than once per row.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return expected.select(*keys).distinct().join(actual.select(*keys), keys, "left_anti")
+    return (expected.select(*keys).distinct()
+            .join(actual.select(*keys).distinct(), keys, "left_anti"))

@@ -789,6 +789,28 @@ SQL_HOURLY_DETAIL = ("SELECT " + ", ".join(f'{c} AS "{n}"' for c, n in DETAIL_NA
                      + f" FROM ({SQL_HOURLY_SUMMARY})")
 
 
+def q_missing_keys(spark, sf):
+    """Customers without any event (U4): expected keys minus observed keys."""
+    expected = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"))
+    actual = table(spark, sf, "events").select(F.col("user_id").alias("key"))
+    return reshape.missing_keys(expected, actual, "key")
+
+
+SQL_MISSING_KEYS = """
+SELECT DISTINCT c.c_custkey AS key FROM customer c
+WHERE c.c_custkey IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)
+"""
+
+
+def q_row_count(spark, sf):
+    """Row count of a table as a DataFrame."""
+    return summary.row_count(table(spark, sf, "events"), "row_count")
+
+
+SQL_ROW_COUNT = "SELECT count(*) AS row_count FROM events"
+
+
 QUERIES: dict[str, Query] = {
     "hourly_summary": q_hourly_summary,
     "daily_summary_raw": q_daily_summary_raw,
@@ -826,6 +848,8 @@ QUERIES: dict[str, Query] = {
     "distinct_hours": q_distinct_hours,
     "sample_limit": q_sample_limit,
     "hourly_detail": q_hourly_detail,
+    "missing_keys": q_missing_keys,
+    "row_count": q_row_count,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -865,6 +889,8 @@ ORACLE_SQL: dict[str, str] = {
     "distinct_hours": SQL_DISTINCT_HOURS,
     "sample_limit": SQL_SAMPLE_LIMIT,
     "hourly_detail": SQL_HOURLY_DETAIL,
+    "missing_keys": SQL_MISSING_KEYS,
+    "row_count": SQL_ROW_COUNT,
 }
 
 

@@ -57,6 +57,8 @@ NOTES = {
     "sample_limit": "TakeOrderedAndProject: per-task top 10, no full sort",
     "hourly_detail": "projection over hourly_summary",
     "processed_window": "one job writes all hours (rebalanced); read-back lists only the window's 25 hour folders",
+    "missing_keys": "both sides reduced to distinct keys (partial aggregation) before the anti-join",
+    "row_count": "partial count",
     "stream_hourly": "stateful windowed aggregation, state bounded by the watermark; result read back per batch id",
     "stream_dedup": "state bounded by the watermark",
     "stream_ingest": "touched hours (partition keys) become a literal partition predicate; rebalanced hour writes",
