@@ -119,3 +119,18 @@ def test_quality_rules_flag_bad_rows(spark):
     assert set(v[1][REASONS]) == {"state_in_region", "temp_realistic", "feels_like_near_temp",
                                   "lat_in_bbox", "condition_not_blank",
                                   "observed_not_after_fetched"}
+
+
+def test_declared_schemas(spark):
+    from nimbus.dims import activities_df, cities_df, populations_df
+    from nimbus.schemas import PARTITION_COLS, PROCESSED, RAW_ZONE
+    assert len(READING.fields) == 24 and "wind_gust_mph" in READING.fieldNames()
+    assert set(REQUIRED_COLS) <= set(READING.fieldNames())
+    assert PROCESSED.fieldNames()[-4:] == PARTITION_COLS == RAW_ZONE.fieldNames()[-4:]
+    assert len(PROCESSED.fields) == 24 + 5 + 4
+    assert all(all(f.nullable for f in s.fields) for s in (READING, PROCESSED))
+    # the payload keeps the API's `rain.1h` field name
+    assert PAYLOAD["rain"].dataType.fieldNames() == ["1h"]
+    assert (cities_df(spark).count(), populations_df(spark).count()) == (19, 19)
+    acts = activities_df(spark)
+    assert dict(acts.dtypes)["months"] == "array<int>" and acts.select("city").distinct().count() == 19
