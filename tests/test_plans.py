@@ -130,3 +130,14 @@ def test_hot_key_results_match_brute_force(spark):
         counts = g.event_type.value_counts()
         best = sorted(counts[counts == counts.max()].index)[0]
         assert hot[h.to_pydatetime()] == (best, len(g))
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+             "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
+STORAGE = {"processed_window", "stream_ingest", "stream_hourly", "stream_dedup"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - STORAGE))
+def test_no_cross_join_or_python_in_query_plans(spark, q, name):
+    p = plan(q[name](spark, SF), "extended")
+    assert not [f for f in FORBIDDEN if f in p], name
