@@ -25,8 +25,8 @@ def rule_failures(df: DataFrame, rules: list[Rule], total_col: str = "total_coun
 # dbt-style column tests (P12): (kind, column, argument)
 def model_tests(df: DataFrame, tests: list[tuple]) -> DataFrame:
     """``test, column_name, failures`` for not_null / unique / accepted_values /
-    accepted_range tests. Row tests share one aggregation; each unique test
-    is a grouped count of keys seen more than once."""
+    accepted_range tests, all from a single scan of ``df``: row tests are
+    summed flags, a unique test counts values seen more than once."""
     row_tests = []
     unique_cols = []
     for t in tests:
@@ -47,34 +47,40 @@ def model_tests(df: DataFrame, tests: list[tuple]) -> DataFrame:
             unique_cols.append(c)
         else:
             raise ValueError(f"unknown test {kind!r}")
-    parts = []
-    if row_tests:
-        arr = F.array(*[F.struct(F.lit(k).alias("test"), F.lit(c).alias("column_name"),
-                                 F.count_if(p).cast("bigint").alias("failures"))
-                        for k, c, p in row_tests])
-        parts.append(df.agg(arr.alias("_r")).select(F.inline("_r")))
-    if unique_cols:
-        parts.append(_unique_failures(df, unique_cols))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _unique_failures(df: DataFrame, cols: list[str]) -> DataFrame:
-    """All uniqueness tests in one scan and one shuffle: values are stacked as
-    ``(column, value)`` and counted together (partial counts before the
-    shuffle, so a hot value ships one row per map task)."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), col(c).cast("string").alias("v")) for c in cols
-    ])).alias("_s")).select("_s.*").filter(F.col("v").isNotNull())
-    per_value = stacked.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("_n"))
-    dup = per_value.groupBy("column_name").agg(
-        F.count_if(F.col("_n") > 1).cast("bigint").alias("failures"))
-    tested = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
-    return (F.broadcast(tested).join(dup, "column_name", "left")
-            .select(F.lit("unique").alias("test"), "column_name",
-                    F.coalesce("failures", F.lit(0).cast("bigint")).alias("failures")))
+    # One scan: every row becomes one entry per uniqueness column (its value)
+    # plus one entry carrying the row-test flags; one group-by counts values
+    # and sums flags (the flags entry is one key, combined map-side).
+    n_flags = len(row_tests)
+    flags = [F.col(f"_f{i}") for i in range(n_flags)]
+
+    def entry(name, value, with_flags: bool):
+        return F.struct(F.lit(name).alias("column_name"), value.cast("string").alias("v"),
+                        *[(p.cast("int") if with_flags else F.lit(0)).alias(f"_f{i}")
+                          for i, (_, _, p) in enumerate(row_tests)])
+
+    entries = [entry(c, col(c), False) for c in unique_cols]
+    entries.append(entry(ROWS_KEY, F.lit(None), True))
+    stacked = df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
+    per_value = stacked.groupBy("column_name", "v").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f).alias(f"_f{i}") for i, f in enumerate(flags)])
+    per_column = per_value.groupBy("column_name").agg(
+        F.count_if(F.col("v").isNotNull() & (F.col("_n") > 1)).alias("_dups"),
+        *[F.max(f).alias(f"_f{i}") for i, f in enumerate(flags)])
+    # the flags entry yields one report row per row test, every other
+    # entry one "unique" row for its column
+    row_report = F.array(*[F.struct(F.lit(k).alias("test"), F.lit(c).alias("column_name"),
+                                    F.coalesce(F.col(f"_f{i}"), F.lit(0)).cast("bigint")
+                                    .alias("failures"))
+                           for i, (k, c, _) in enumerate(row_tests)]).cast(REPORT_TYPE)
+    unique_report = F.array(F.struct(F.lit("unique").alias("test"),
+                                     F.col("column_name").alias("column_name"),
+                                     F.col("_dups").cast("bigint").alias("failures")))
+    report = F.when(F.col("column_name") == ROWS_KEY, row_report).otherwise(unique_report)
+    return per_column.select(F.inline(report))
+
+
+ROWS_KEY = "\x00rows"   # column_name of the row-test entry (cannot clash with a column)
+REPORT_TYPE = "array<struct<test:string,column_name:string,failures:bigint>>"
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:

@@ -48,7 +48,7 @@ NOTES = {
     "current_cards": "as current_readings plus map-only labels",
     "et_labels": "distinct hours (partial) then labels",
     "quality_report": "single scan, every rule a count_if in one aggregate",
-    "model_tests": "row tests in one aggregate; all uniqueness tests share one shuffle",
+    "model_tests": "one scan: rows exploded into per-column values plus a row-test flags entry (combined map-side), one shuffle",
     "coverage": "rows reduced to distinct (city, state, slug) before the multi-distinct expansion",
     "freshness": "partial max per user; anchor is a scalar subquery",
     "union_by_name": "map-only union",

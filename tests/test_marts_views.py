@@ -269,3 +269,13 @@ def test_json_field_matches_get_json_object(spark):
     assert all(r.a == r.b for r in got)
     assert [r.ai for r in got][:4] == [87, 87, None, None]
     assert got[4].nested == "1"
+
+
+def test_model_tests_single_kind(spark):
+    df = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "k int, s string")
+    only_rows = {(r.test, r.column_name): r.failures
+                 for r in model_tests(df, [("not_null", "s")]).collect()}
+    assert only_rows == {("not_null", "s"): 1}
+    only_unique = {(r.test, r.column_name): r.failures
+                   for r in model_tests(df, [("unique", "k"), ("unique", "s")]).collect()}
+    assert only_unique == {("unique", "k"): 1, ("unique", "s"): 0}
