@@ -48,6 +48,23 @@ def blank(c) -> Column:
     return F.coalesce(F.trim(col(c)) == "", F.lit(True))
 
 
+def with_json_fields(df, c: str, fields: dict[str, str | None]):
+    """Add top-level fields of the JSON text column ``c`` (``{name: cast}``).
+
+    ``json_tuple`` parses each document once for all fields and, being a
+    generator, is not inlined into later filters by the optimizer, so a
+    field used in several predicates is still parsed once per row (a
+    ``get_json_object`` column would be re-parsed in each). Values come back
+    as text (numbers and strings alike) and are ``try_cast`` when asked.
+    """
+    names = list(fields)
+    tmp = [f"_json_{n}" for n in names]
+    out = df.select("*", F.json_tuple(col(c), *names).alias(*tmp))
+    return out.select(*df.columns, *[
+        (F.col(t).try_cast(fields[n]) if fields[n] else F.col(t)).alias(n)
+        for n, t in zip(names, tmp)])
+
+
 def json_field(c, path: str, cast: str | None = None) -> Column:
     """A field of a JSON text column, optionally ``try_cast``.
 

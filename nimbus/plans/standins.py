@@ -28,7 +28,7 @@ from itertools import chain
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.functions.text import json_field
+from nimbus.functions.text import with_json_fields
 
 CONDITION_OF_TYPE = {
     "click": "Clear",
@@ -63,8 +63,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` plus the JSON property ``k`` as an int (NULL if malformed)."""
-    return table(spark, sf_dir, "events").withColumn("k", json_field("props", "$.k", "int"))
+    """``events`` plus the JSON property ``k`` as an int (NULL if malformed),
+    parsed once per row however many predicates use it."""
+    return with_json_fields(table(spark, sf_dir, "events"), "props", {"k": "int"})
 
 
 def condition_of(c) -> F.Column:

@@ -267,6 +267,8 @@ def test_json_field_matches_get_json_object(spark):
                     text.json_field("props", "$.k", "int").alias("ai"),
                     text.json_field("props", "$.k.a").alias("nested")).collect()
     assert all(r.a == r.b for r in got)
+    once = text.with_json_fields(df, "props", {"k": "int"}).collect()
+    assert [r.k for r in once] == [r.ai for r in got]
     assert [r.ai for r in got][:4] == [87, 87, None, None]
     assert got[4].nested == "1"
 
