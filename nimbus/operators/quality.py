@@ -50,8 +50,7 @@ def model_tests(df: DataFrame, tests: list[tuple]) -> DataFrame:
     # One scan: every row becomes one entry per uniqueness column (its value)
     # plus one entry carrying the row-test flags; one group-by counts values
     # and sums flags (the flags entry is one key, combined map-side).
-    n_flags = len(row_tests)
-    flags = [F.col(f"_f{i}") for i in range(n_flags)]
+    flags = [F.col(f"_f{i}") for i in range(len(row_tests))]
 
     def entry(name, value, with_flags: bool):
         return F.struct(F.lit(name).alias("column_name"), value.cast("string").alias("v"),
