@@ -137,3 +137,28 @@ def test_load_window_reads_only_window_folders(spark):
     location = [ln for ln in buf.getvalue().splitlines() if ln.startswith("Location:")][0]
     # the file index holds hour folders of the window (13..16), not the root
     assert "/day=31/hour=13" in location and "3 entries" in location, location
+
+
+def test_update_current_ignores_older_late_readings(spark):
+    from conftest import reading
+    from nimbus.operators.enrich import enrich
+    from nimbus.plans.marts import update_current
+    from nimbus.schemas import READING
+
+    def processed(rows):
+        return enrich(spark.createDataFrame(rows, READING), run_hour="2024-03-31T16",
+                      processed_at="p")
+    table = "inc_current_late"
+    update_current(spark, table, processed([reading(observed_at="2024-03-31T16:05:00+00:00",
+                                                    temp_f=70.0)]))
+    # a late reading observed earlier arrives afterwards: the mart keeps 16:05
+    update_current(spark, table, processed([reading(observed_at="2024-03-31T15:30:00+00:00",
+                                                    temp_f=10.0)]))
+    rows = spark.table(table).collect()
+    assert len(rows) == 1 and rows[0].temp_f == 70.0
+    # a newer reading replaces it; a second city is added
+    update_current(spark, table, processed([
+        reading(observed_at="2024-03-31T16:45:00+00:00", temp_f=71.0),
+        reading(city="Albany", observed_at="2024-03-31T16:40:00+00:00", temp_f=60.0)]))
+    got = {r.city_name: r.temp_f for r in spark.table(table).collect()}
+    assert got == {"New York City": 71.0, "Albany": 60.0}
