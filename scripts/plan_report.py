@@ -61,7 +61,7 @@ NOTES = {
     "row_count": "partial count",
     "stream_hourly": "stateful windowed aggregation, state bounded by the watermark; result read back per batch id",
     "stream_dedup": "state bounded by the watermark",
-    "stream_ingest": "touched hours (partition keys) become a literal partition predicate; rebalanced hour writes",
+    "stream_ingest": "only the touched hours' folders are listed (path glob) and filtered exactly; rebalanced hour writes",
 }
 
 
