@@ -24,7 +24,7 @@ from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, PROCESSED, READING,
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
 from nimbus.sources.raw import CORRUPT, read_raw
-from nimbus.sources.sinks import (overwrite_hour, register_table, with_run_hour,
+from nimbus.sources.sinks import (clear_hour, overwrite_hour, register_table, with_run_hour,
                                   write_partitions, write_raw)
 
 CITY_KEY_SCHEMA = "name string, state string, lat double, lon double"
@@ -108,6 +108,10 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
                 overwrite_hour(spark, qtable, bad, run_hour)
             else:
                 write_partitions(bad, quarantine_root, fmt="json")
+                if c.invalid_count == 0:
+                    clear_hour(spark, quarantine_root, QUARANTINE, run_hour, fmt="json")
+        if not table and c.valid_count == 0:
+            clear_hour(spark, processed_root, PROCESSED, run_hour)
     finally:
         checked.unpersist()
     if c.invalid_count:
@@ -155,6 +159,11 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
             if quarantine_root and n - v == 0:
                 overwrite_hour(spark, f"{table}_quarantine",
                                spark.createDataFrame([], QUARANTINE), h)
+        else:
+            if v == 0:
+                clear_hour(spark, processed_root, PROCESSED, h)
+            if quarantine_root and n - v == 0:
+                clear_hour(spark, quarantine_root, QUARANTINE, h, fmt="json")
     return out
 
 

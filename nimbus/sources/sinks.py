@@ -9,6 +9,8 @@ never written by a single task.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def write_partitions(df: DataFrame, root: str, fmt: str = "parquet") -> None:
 
 
 def register_table(spark: SparkSession, name: str, root: str, schema, fmt: str = "parquet",
-                   recover: bool = False) -> None:
+                   recover: bool = False, recover_on_create: bool = True) -> None:
     """External partitioned table over ``root`` (S9): create on first use
     (picking up the hour folders already there), add new columns on later
     runs. Later hours are registered by the writes themselves (static
@@ -58,7 +60,7 @@ def register_table(spark: SparkSession, name: str, root: str, schema, fmt: str =
         parts = ", ".join(f"`{c}` int" for c in PARTITION_COLS)
         spark.sql(f"CREATE TABLE {name} ({cols}, {parts}) USING {fmt} "
                   f"PARTITIONED BY ({', '.join(PARTITION_COLS)}) LOCATION '{root}'")
-        recover = True
+        recover = recover or recover_on_create
     else:
         have = {f.name for f in spark.table(name).schema.fields}
         new = [f for f in data_cols if f.name not in have]
@@ -85,6 +87,19 @@ def overwrite_hour(spark: SparkSession, table: str, df: DataFrame, run_hour: str
     spark.catalog.dropTempView(view)
 
 
+def clear_hour(spark: SparkSession, root: str, schema, run_hour: str,
+               fmt: str = "parquet") -> None:
+    """Empty one hour of a path-based zone (S8 re-run guard without a table).
+
+    A dynamic overwrite cannot empty an hour, so this goes through a catalog
+    handle on ``root`` (created without listing its partitions) and a static
+    partition overwrite, which removes that hour's files only.
+    """
+    name = "_nimbus_hours_" + hashlib.sha1(f"{fmt}:{root}".encode()).hexdigest()[:16]
+    register_table(spark, name, root, schema, fmt=fmt, recover_on_create=False)
+    overwrite_hour(spark, name, spark.createDataFrame([], schema), run_hour)
+
+
 def expire_partitions(spark: SparkSession, table: str, before) -> DataFrame:
     """Drop hours older than ``before`` (S13): empty each hour's files with a
     static overwrite, then drop its catalog entry. Works from partition

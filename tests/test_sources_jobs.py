@@ -261,3 +261,20 @@ def test_write_partitions_is_dynamic_under_static_session_default(spark):
         assert got == [(10, "a"), (11, "c")]
     finally:
         spark.conf.set(key, "dynamic")
+
+
+def test_path_based_rerun_clears_emptied_hours(spark):
+    raw, out, quar = new_dir(), new_dir(), new_dir()
+    _land(raw, False, 15, [reading(), reading(city="Bad", temp_f=999.0)])
+    _land(raw, False, 16, [reading()])
+    for h in (15, 16):
+        process_hour(spark, raw, out, f"2024-03-31T{h}", quarantine_root=quar, processed_at="p")
+    # hour 15 re-landed with only rejects, then only valid rows
+    _land(raw, False, 15, [reading(city="Bad", temp_f=999.0)])
+    process_hour(spark, raw, out, "2024-03-31T15", quarantine_root=quar, processed_at="p")
+    assert [r.hour for r in spark.read.parquet(out).collect()] == [16]
+    _land(raw, False, 15, [reading()])
+    process_hour(spark, raw, out, "2024-03-31T15", quarantine_root=quar, processed_at="p")
+    assert sorted(r.hour for r in spark.read.parquet(out).collect()) == [15, 16]
+    from nimbus.plans.jobs import QUARANTINE
+    assert spark.read.schema(QUARANTINE).json(quar).count() == 0
