@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import bpe, exact_dedup, lang_id, token_file, toxicity
+from nimbus.llm import bpe, decontaminate, exact_dedup, lang_id, phrase_dedup, token_file, toxicity
 from nimbus.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode_documents(bpe.encode_documents(docs, path), path))
 
 
+def op2_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -34,6 +38,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), lang_id.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_files(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -42,7 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op3_toxicity, op4_language, op8_token_file, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op6_decontaminate, op8_token_file, op10_exact_dedup)}
 
 SQL_EXACT_DEDUP = r"""
 WITH t AS (
