@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 from nimbus.llm.common import prepare
 
 # Memory bound of a worker's memos of encoded chunks and pieces.
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 600_000
 MEMO_KEY = 64
 # The bytes-to-printable table of byte-level vocabularies: printable
 # bytes stand for themselves, the others follow from code point 256 on.
@@ -80,6 +80,13 @@ def merge_symbols(symbols: list[int], ranks: dict[tuple[int, int], tuple[int, in
     return out
 
 
+def lowered(raw: bytes) -> bytes:
+    """Lower case where that is sure to come to the same: special tokens are
+    written as they are, and capitals compose with other marks than small
+    letters do."""
+    return raw.lower() if raw.isascii() and b"<|" not in raw else raw
+
+
 class Memo(dict):
     """Results of ``compute`` by short key, forgotten when there are too many."""
 
@@ -89,11 +96,14 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.compute(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(key) <= MEMO_KEY:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()
             self[key] = value
-        return value
 
 
 class BPE:
@@ -153,7 +163,7 @@ class BPE:
         """Ids of a UTF-8 text as little-endian unsigned 32-bit integers. No
         piece, special token or composed letter spans white space, so the
         stretches between white space are encoded on their own."""
-        return b"".join(map(self.memo.__getitem__, raw.split()))
+        return b"".join(map(self.memo.__getitem__, lowered(raw).split()))
 
     def encode(self, text: str) -> list[int]:
         return array("I", self.encode_bytes(text.encode("utf-8"))).tolist()

@@ -3,9 +3,10 @@
 Documents are dealt out by ranges of ``doc_id`` and sorted, so that the files,
 taken in order, hold all ids in ascending document order. Each file is an
 Arrow IPC *file*: record batches of ``input_ids`` (fixed-size list of unsigned
-32-bit integers), ``attention_mask`` (fixed-size list of bytes; 0 marks the
-padding at a file's end) and nothing of variable length, so any sequence is
-found by its number and mapped without a copy. The documents' places are in a
+integers, 16 bits wide if the vocabulary allows), ``attention_mask``
+(fixed-size list of bits; 0 marks the padding at a file's end) and nothing of
+variable length, so any sequence is found by its number and mapped without a
+copy. The documents' places are in a
 manifest table beside the files; ids run on from document to document, and
 sequences are cut wherever they are full.
 
@@ -21,6 +22,8 @@ beside ``doc_id`` and ``text`` are ignored; an empty table gives no file.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from array import array
@@ -34,33 +37,62 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from nimbus.llm.bpe import Memo
+from nimbus.llm.bpe import Memo, lowered
 from nimbus.llm.common import prepare, shuffle_parts, staged
 from nimbus.session import work_dir
 
 SEQUENCE = 1024   # ids of a sequence
 BATCH = 64        # sequences of a record batch
 END_ID = 1        # ends every document
-FILE_SCHEMA = pa.schema([("input_ids", pa.list_(pa.uint32(), SEQUENCE)),
-                         ("attention_mask", pa.list_(pa.uint8(), SEQUENCE))])
+# Pieces of a chunk of printable ASCII in lower case, as the pre-tokenizer cuts it.
+_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+_PLAIN = re.compile(rb"[!-~]+").fullmatch
 MANIFEST = "part int, file string, offset long, n_tokens long, doc_id long"
 
 
+def file_schema(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([("input_ids", pa.list_(id_type, SEQUENCE)), ("attention_mask", pa.list_(pa.bool_(), SEQUENCE))])
+
+
 class ChunkEncoder:
-    """Ids of a text by the tokenizers library, a memo of the stretches
-    between white space before it (no token spans white space)."""
+    """Ids of a text by the tokenizers library, with a memo before it: no
+    token spans white space, and within printable ASCII none spans two pieces
+    of the pre-tokenizer. The library sees each new piece once."""
 
     def __init__(self, path: str):
+        # Spark runs a task on every core already.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memo = Memo(self._encode)
-
-    def _encode(self, raw: bytes) -> bytes:
-        return array("I", self.library.encode(raw.decode("utf-8"), add_special_tokens=False).ids).tobytes()
+        self.width = np.uint16 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
+        self.code = "H" if self.width is np.uint16 else "I"
+        self.chunks, self.pieces = Memo(None), Memo(None)
+
+    def _library(self, texts: list[bytes]) -> list[bytes]:
+        found = self.library.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        cut = {c: _PIECES(c.lower()) for c in chunks if b"<|" not in c and _PLAIN(c)}
+        pieces = {p: self.pieces.get(p) for own in cut.values() for p in own}
+        need = [p for p, ids in pieces.items() if ids is None] + [c for c in chunks if c not in cut]
+        encoded = dict(zip(need, self._library(need), strict=True)) if need else {}
+        for p, ids in encoded.items():
+            if p in pieces:
+                pieces[p] = ids
+                self.pieces.keep(p, ids)
+        return {c: b"".join([pieces[p] for p in cut[c]]) if c in cut else encoded[c] for c in chunks}
 
     def encode_bytes(self, raw: bytes) -> bytes:
-        return b"".join(map(self.memo.__getitem__, raw.split()))
+        chunks = lowered(raw).split()
+        ids = list(map(self.chunks.get, chunks))
+        if None in ids:
+            new = self._new(list({c for c, i in zip(chunks, ids, strict=True) if i is None}))
+            for c, i in new.items():
+                self.chunks.keep(c, i)
+            ids = [new[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
+        return b"".join(ids)
 
 
 _loaded: dict[str, ChunkEncoder] = {}
@@ -80,38 +112,37 @@ def open_uri(uri: str) -> tuple[fs.FileSystem, str]:
 class SequenceWriter:
     """Cuts a run of ids into sequences and writes them batch by batch."""
 
-    def __init__(self, folder: str, name: str):
+    def __init__(self, folder: str, name: str, width: type):
+        self.width, self.unit = width, np.dtype(width).itemsize * SEQUENCE * BATCH
         self.files, base = open_uri(folder)
         self.files.create_dir(base, recursive=True)
         self.out = self.files.open_output_stream(f"{base}/{name}")
-        self.writer = pa.ipc.new_file(self.out, FILE_SCHEMA)
+        self.writer = pa.ipc.new_file(self.out, file_schema(pa.from_numpy_dtype(width)))
         self.waiting: list[bytes] = []
         self.n = 0
 
     def add(self, ids: bytes) -> None:
         self.waiting.append(ids)
         self.n += len(ids)
-        if self.n >= 4 * SEQUENCE * BATCH:
-            self._flush(4 * SEQUENCE * BATCH)
-
-    def _flush(self, unit: int) -> None:
-        whole = b"".join(self.waiting)
-        full = len(whole) // unit * unit
-        self._write(np.frombuffer(whole[:full], np.uint32), full // 4)
-        self.waiting, self.n = [whole[full:]], len(whole) - full
+        if self.n >= self.unit:
+            whole = b"".join(self.waiting)
+            full = len(whole) // self.unit * self.unit
+            ids = np.frombuffer(whole[:full], self.width)
+            self._write(ids, len(ids))
+            self.waiting, self.n = [whole[full:]], len(whole) - full
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
+        mask = np.arange(len(ids)) < real
         for at in range(0, len(ids), SEQUENCE * BATCH):
             part = slice(at, at + SEQUENCE * BATCH)
             self.writer.write_batch(pa.record_batch(
                 [pa.FixedSizeListArray.from_arrays(pa.array(ids[part]), SEQUENCE),
-                 pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), SEQUENCE)], schema=FILE_SCHEMA))
+                 pa.FixedSizeListArray.from_arrays(pa.array(mask[part]), SEQUENCE)], ["input_ids", "attention_mask"]))
 
     def close(self) -> None:
-        rest = np.frombuffer(b"".join(self.waiting), np.uint32)
+        rest = np.frombuffer(b"".join(self.waiting), self.width)
         if len(rest):
-            padded = np.zeros(-(-len(rest) // SEQUENCE) * SEQUENCE, np.uint32)
+            padded = np.zeros(-(-len(rest) // SEQUENCE) * SEQUENCE, self.width)
             padded[:len(rest)] = rest
             self._write(padded, len(rest))
         self.writer.close()
@@ -148,23 +179,23 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     offset within the file, its number of ids)."""
     spark = docs.sparkSession
     prepare(spark)
-    end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, out, at = load(tokenizer_path), None, 0
+        end, size = array(encoder.code, [end_id]).tobytes(), np.dtype(encoder.width).itemsize
         for b in batches:
             if not b.num_rows:
                 continue
             if out is None:
                 part = b.column(0)[0].as_py()
                 name = f"tokens-{part:06d}-{uuid.uuid4().hex[:8]}.arrow"
-                out = SequenceWriter(folder, name)
+                out = SequenceWriter(folder, name, encoder.width)
             offsets, lengths = [], []
             for raw in b.column(2).to_pylist():
                 ids = encoder.encode_bytes(raw or b"") + end
                 out.add(ids)
                 offsets.append(at)
-                lengths.append(len(ids) // 4)
+                lengths.append(len(ids) // size)
                 at += lengths[-1]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([name] * b.num_rows), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64()), b.column(1)], ["part", "file", "offset", "n_tokens", "doc_id"])
         if out is not None:
@@ -194,7 +225,7 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                     name, reader = file, SequenceReader(folder, file)
                 crc = count = 0
                 for ids in reader.ids(offset, n):
-                    crc, count = zlib.crc32(ids, crc), count + len(ids)
+                    crc, count = zlib.crc32(ids.astype("<u4"), crc), count + len(ids)
                 crcs.append(crc)
                 counts.append(count)
             yield pa.RecordBatch.from_arrays([b.column(4), b.column(1), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
