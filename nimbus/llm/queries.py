@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import bpe, decontaminate, exact_dedup, lang_id, phrase_dedup, token_file, toxicity
+from nimbus.llm import bpe, bytes_dedup, decontaminate, exact_dedup, jaccard_join, lang_id, phrase_dedup, token_file, toxicity
 from nimbus.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("doc_id").cast("long").alias("doc_id"), lang_id.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(read_table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -46,11 +50,15 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_files(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_bytes_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytes_dedup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op6_decontaminate, op8_token_file, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op5_jaccard_join, op6_decontaminate, op8_token_file, op9_bytes_dedup, op10_exact_dedup)}
 
 SQL_EXACT_DEDUP = r"""
 WITH t AS (
