@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import doc_rows, key_to_id, prepare
+from nimbus.llm.common import doc_rows, id_key, key_to_id, prepare, staged
 from nimbus.llm.words import ALNUM, Words, groups
 
 WINDOW = 13
@@ -218,7 +218,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = contamination(docs, benchmark).where(is_contaminated()).select("did", "rk").distinct()
-    key = docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 63)))})
-    key = key.withColumn("__rk", F.xxhash64("__did", F.coalesce(F.col("text"), F.lit(""))))
-    return key.join(bad, (F.col("__did") == bad["did"]) & (F.col("__rk") == bad["rk"]), "left_anti").select([docs[c] for c in docs.columns])
+    bad = staged(contamination(docs, benchmark).where(is_contaminated()).select(F.col("did").alias("__bad"), F.col("rk").alias("__text")).distinct(), "contaminated")
+    key = docs.withColumn("__did", id_key()).withColumn("__rk", F.xxhash64("__did", F.coalesce(F.col("text"), F.lit(""))))
+    return key.join(bad, (F.col("__did") == F.col("__bad")) & (F.col("__rk") == F.col("__text")), "left_anti").select([F.col(c) for c in docs.columns])

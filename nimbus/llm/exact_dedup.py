@@ -108,3 +108,22 @@ def report(docs: DataFrame) -> DataFrame:
     return groups.join(sizes, "keep_uid").select(
         real("did").alias("doc_id"), real("keep_did").alias("keep_id"), "group_size",
         (F.col("uid") == F.col("keep_uid")).alias("kept"), F.col("digest").alias("text_sha256"))
+
+
+def kept_documents(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex) -> DataFrame:
+    """The rows that stay, with all their columns."""
+    groups = staged(exact_groups(docs, digest), "exact-groups")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+    stays = F.col("uid") == F.col("keep_uid")
+    # Rows are told apart by id and text; only repeated rows share both.
+    by_row = groups.groupBy("did", "keep_uid").agg(F.max(stays.cast("int")).alias("stays"), F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"))
+    gone = staged(by_row.where("stays = 0").select(F.col("did").alias("__did"), F.col("digest").alias("__digest")), "exact-gone")
+    again = staged(by_row.where("stays = 1 and n > 1").select("did"), "exact-repeated")
+    rows = docs.withColumns({"__key": key, "__text": digest(normalised())})
+    left = rows.join(gone, (F.col("__key") == F.col("__did")) & (F.col("__text") == F.col("__digest")), "left_anti")
+    if again.isEmpty():
+        return left.select([F.col(c) for c in docs.columns])
+    # Of rows with the same id and text the first one stays.
+    first = Window.partitionBy("__key", "__text").orderBy("__read")
+    one = left.withColumn("__read", F.monotonically_increasing_id()).withColumn("__n", F.row_number().over(first))
+    return one.where("__n = 1").select([F.col(c) for c in docs.columns])

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nimbus.llm.common import NO_ID, doc_rows, key_to_id, prepare, shuffle_parts, staged
+from nimbus.llm.common import NO_ID, doc_rows, id_key, key_to_id, prepare, shuffle_parts, staged
 from nimbus.llm.components import components
 from nimbus.llm.words import NON_SPACE, Words, groups, mix, rolling
 
@@ -391,6 +391,5 @@ def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that stay: of each group the one with the smallest
     ``doc_id``; rows without an id stay."""
     groups_ = near_duplicates(docs, percent)
-    gone = groups_.where(F.col("component") != F.col("did")).select(F.col("did").alias("__did")).distinct()
-    key = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
-    return key.join(gone, F.col("__key") == F.col("__did"), "left_anti").select([docs[c] for c in docs.columns])
+    gone = staged(groups_.where(F.col("component") != F.col("did")).select(F.col("did").alias("__did")).distinct(), "near-duplicates")
+    return docs.withColumn("__key", id_key()).join(gone, F.col("__key") == F.col("__did"), "left_anti").select([F.col(c) for c in docs.columns])

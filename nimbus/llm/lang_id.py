@@ -92,23 +92,34 @@ class Compressors:
 
 
 def predict(docs: DataFrame, model: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
-    """All columns of ``docs`` the operator knows (``doc_id, text, lang, source,
-    n_chars`` as far as there), with ``lang_pred, score, margin, rejected``."""
+    """``doc_id, lang_pred, score, margin, rejected`` for every whole text."""
     spark = docs.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(model)  # dict_bytes a language
-    have = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    kept = [c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in have]
-    at = kept.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = Compressors(shared.value)
         for b in batches:
-            got = [c.classify(t) for t in b.column(at).to_pylist()]
+            got = [c.classify(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64()),
+                [b.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64()),
                  pa.array([x[2] for x in got], pa.float64()), pa.array([x[0] == UNKNOWN or x[2] < min_margin for x in got], pa.bool_())],
-                [*b.schema.names, "lang_pred", "score", "margin", "rejected"])
+                ["doc_id", "lang_pred", "score", "margin", "rejected"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, margin double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: list[tuple[str, bytes]], min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The documents with a decided language, with all their columns."""
+    spark = docs.sparkSession
+    prepare(spark)
+    shared = spark.sparkContext.broadcast(model)  # dict_bytes a language
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = Compressors(shared.value)
+        for b in batches:
+            got = [c.classify(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([x[0] != UNKNOWN and x[2] >= min_margin for x in got], pa.bool_()))
 
-    schema = ", ".join(f"`{c}` {have[c]}" for c in kept) + ", lang_pred string, score double, margin double, rejected boolean"
-    return docs.select(kept).mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)

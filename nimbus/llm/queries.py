@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import bpe, bytes_dedup, decontaminate, exact_dedup, jaccard_join, lang_id, phrase_dedup, token_file, toxicity
+from nimbus.llm import bpe, bytes_dedup, decontaminate, exact_dedup, jaccard_join, lang_id, licenses, phrase_dedup, token_file, toxicity
 from nimbus.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -34,8 +34,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    found = lang_id.predict(docs.select("doc_id", "text"), lang_id.fit(docs))
-    return found.select(F.col("doc_id").cast("long").alias("doc_id"), lang_id.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+    return lang_id.predict(docs, lang_id.fit(docs)).select("doc_id", lang_id.held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +45,11 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(licenses.document_files(read_table(spark, sf_dir, "documents")))
+    return found.select(F.col("doc_id").cast("long").alias("doc_id"), "license", "origin", "score", "from_dir")
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.token_files(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -58,7 +62,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op5_jaccard_join, op6_decontaminate, op8_token_file, op9_bytes_dedup, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op5_jaccard_join, op6_decontaminate, op7_licenses, op8_token_file, op9_bytes_dedup, op10_exact_dedup)}
 
 SQL_EXACT_DEDUP = r"""
 WITH t AS (
@@ -70,4 +74,46 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM t JOIN g USING (norm)
 """
 
-ORACLE_SQL = {"op10_exact_dedup": SQL_EXACT_DEDUP}
+SQL_LICENSES = r"""
+WITH t(license, said) AS (VALUES
+  ('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+  ('CC-BY-NC-4.0', 'Licensed under CC BY-NC 4.0.'),
+  ('GPL-3.0', 'This work is licensed under the GNU General Public License, version 3.'),
+  ('MIT', 'Released under the MIT License.'),
+  ('Proprietary', 'All rights reserved.')
+), tf AS (
+  SELECT license, term, count(*) AS c
+  FROM (SELECT license, unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS term FROM t) GROUP BY ALL
+), idf AS (SELECT term, ln(6.0 / (1 + count(*))) + 1 AS w FROM tf GROUP BY term
+), tv AS (SELECT license, term, c * w AS w FROM tf JOIN idf USING (term)
+), tn AS (SELECT license, sqrt(sum(w * w)) AS n FROM tv GROUP BY license
+), files AS (
+  SELECT doc_id, text, coalesce(source, '') || '/' || coalesce(CAST(floor(doc_id / 1000) AS BIGINT)::VARCHAR, '') AS dir,
+         len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n_words
+  FROM documents
+), numbered AS (
+  SELECT doc_id, dir, n_words, unnest(range(len(string_split(text, chr(10))))) AS line, unnest(string_split(text, chr(10))) AS said FROM files
+), words AS (
+  SELECT doc_id, dir, n_words, line, term, count(*) AS tf
+  FROM (SELECT * EXCLUDE (said), unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS term FROM numbered) GROUP BY ALL
+), weighed AS (
+  SELECT words.*, tf * coalesce(idf.w, ln(6.0) + 1) AS lw FROM words LEFT JOIN idf USING (term)
+), norms AS (SELECT doc_id, dir, n_words, line, sqrt(sum(lw * lw)) AS n, sum(tf) AS line_words FROM weighed GROUP BY ALL
+), dots AS (SELECT doc_id, line, license, sum(lw * tv.w) AS dot FROM weighed JOIN tv USING (term) GROUP BY ALL
+), scored AS (
+  SELECT doc_id, dir, n_words, line, license, line_words, round(dot / (norms.n * tn.n), 6) AS score
+  FROM dots JOIN norms USING (doc_id, line) JOIN tn USING (license)
+), own AS (
+  SELECT doc_id, dir, license, score, 2 * line_words >= n_words AS covers FROM scored WHERE score >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, line, license) = 1
+), speaks AS (
+  SELECT dir AS from_dir, license AS dir_license FROM own WHERE covers
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY dir || '/' || doc_id::VARCHAR) = 1
+)
+SELECT files.doc_id, coalesce(own.license, s.dir_license) AS license,
+       CASE WHEN own.license IS NOT NULL THEN 'own' WHEN s.dir_license IS NOT NULL THEN 'inherited' END AS origin,
+       own.score, CASE WHEN own.license IS NULL THEN s.from_dir END AS from_dir
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN speaks s ON s.from_dir = files.dir
+"""
+
+ORACLE_SQL = {"op7_licenses": SQL_LICENSES, "op10_exact_dedup": SQL_EXACT_DEDUP}
