@@ -20,16 +20,16 @@ from pyspark.sql import functions as F
 from nimbus.functions._util import col
 
 
-def units(c, scale: int = 2) -> Column:
+def units(c, scale: int) -> Column:
     """Value as an exact integer count of 10^-scale units (``bigint``)."""
     return F.round(col(c) * (10 ** scale)).cast("bigint")
 
 
-def sum_units(c, scale: int = 2) -> Column:
+def sum_units(c, scale: int) -> Column:
     return F.sum(units(c, scale))
 
 
-def mean_from_units(total_units, n, scale: int = 2) -> Column:
+def mean_from_units(total_units, n, scale: int) -> Column:
     """Unrounded mean: ``double(total) / (n * 10^scale)``; NULL when n = 0
     (as ``avg`` of no values), never a division error under ANSI mode."""
     return F.try_divide(col(total_units).cast("double"), col(n) * (10 ** scale))
@@ -46,13 +46,13 @@ def sql_half_away(x: str) -> str:
     return f"(CASE WHEN ({x}) < 0 THEN 0 - floor(0.5 - ({x})) ELSE floor(({x}) + 0.5) END)"
 
 
-def round_units_mean(total_units, n, digits: int, scale: int = 2) -> Column:
+def round_units_mean(total_units, n, digits: int, scale: int) -> Column:
     """Mean rounded half away from zero to ``digits`` (``digits <= scale``)."""
     step = 10 ** (scale - digits)
     return half_away(F.try_divide(col(total_units).cast("double"), col(n) * step)) / (10 ** digits)
 
 
-def round_units_mean_units(total_units, n, digits: int, scale: int = 2) -> Column:
+def round_units_mean_units(total_units, n, digits: int, scale: int) -> Column:
     """The rounded mean as an integer count of ``10^-digits`` units."""
     step = 10 ** (scale - digits)
     return half_away(F.try_divide(col(total_units).cast("double"), col(n) * step))
@@ -64,7 +64,7 @@ def round_half_up(x, digits: int) -> Column:
     return half_away(col(x) * m) / m
 
 
-def exact_mean(c, digits: int | None = 2, scale: int = 2) -> Column:
+def exact_mean(c, digits: int | None, scale: int) -> Column:
     """Aggregate: mean of a ``scale``-decimal measurement, optionally rounded."""
     total = sum_units(c, scale)
     n = F.count(col(c))

@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from nimbus.functions._util import col
-from nimbus.functions.exact import round_half_up
 
 # ---------------------------------------------------------------------------
 # Condition icons and placeholders of the dashboard cards.
@@ -23,7 +22,8 @@ MISSING_TEXT = "—"
 
 
 def title_or_dash(c) -> Column:
-    return F.coalesce(F.initcap(col(c)), F.lit(MISSING_TEXT))
+    """Capitalised words; the placeholder for a missing or empty text."""
+    return F.coalesce(F.initcap(F.nullif(col(c), F.lit(""))), F.lit(MISSING_TEXT))
 
 
 def condition_icon(c) -> Column:
@@ -31,17 +31,41 @@ def condition_icon(c) -> Column:
     return F.coalesce(F.try_element_at(m, col(c)), F.lit(DEFAULT_ICON))
 
 
-def one_decimal(c, fmt: str = "%.1f") -> Column:
-    """Format with one decimal after an explicit half-up rounding.
+_BITS = 1 << 26
 
-    Java's formatter and C's printf round binary midpoints differently;
-    rounding first makes the printed digits engine-independent.
+
+def _tenths(x: Column) -> Column:
+    """Nearest number of tenths of a double ``0 <= x < 2**40``, by its exact
+    binary value, ties to the even tenth (as C's printf rounds).
+
+    The fraction is taken as two integers (26 bits, and what is below them),
+    so every step is exact: 10 times the upper part is compared with a half,
+    and the lower part only decides where that is within reach.
     """
-    return F.format_string(fmt, round_half_up(c, 1))
+    whole = F.floor(x)
+    high = F.floor((x - whole) * _BITS)
+    low = ((x - whole) * _BITS - high) * 10.0      # tenths of 2**-26, 0 <= low < 10
+    ten = high.cast("bigint") * 10
+    tenth = F.floor(ten / F.lit(float(_BITS))).cast("bigint")
+    short = F.lit(_BITS // 2) - (ten - tenth * _BITS)   # what the upper part lacks to a half
+    n = whole.cast("bigint") * 10 + tenth
+    up = (low > short) | ((low == short) & (n % 2 == 1))
+    return n + F.when(up, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+
+
+def one_decimal(c, plus: bool = False) -> Column:
+    """``%.1f`` (``plus``: ``%+.1f``) as C formats a double: by its exact binary
+    value. Java's formatter rounds the shortest decimal text instead, which
+    prints 72.25 and 72.35 differently."""
+    x = col(c).cast("double")
+    n = _tenths(F.abs(x))
+    sign = F.when((x < 0) | (x.cast("string") == "-0.0"), "-").otherwise("+" if plus else "")
+    exact = F.concat(sign, F.floor(n / F.lit(10)).cast("bigint").cast("string"), F.lit("."), (n % 10).cast("string"))
+    return F.when(F.abs(x) < float(1 << 40), exact).otherwise(F.format_string("%+.1f" if plus else "%.1f", x))
 
 
 def signed_one_decimal(c) -> Column:
-    return one_decimal(c, "%+.1f")
+    return one_decimal(c, plus=True)
 
 
 def blank(c) -> Column:
@@ -63,15 +87,3 @@ def with_json_fields(df, c: str, fields: dict[str, str | None]):
     return out.select(*df.columns, *[
         (F.col(t).try_cast(fields[n]) if fields[n] else F.col(t)).alias(n)
         for n, t in zip(names, tmp)])
-
-
-def json_field(c, path: str, cast: str | None = None) -> Column:
-    """A field of a JSON text column, optionally ``try_cast``.
-
-    ``get_json_object`` is code-generated, so filters and aggregates over
-    the field stay inside whole-stage codegen. (``from_json`` into a
-    one-field struct parses faster but is interpreted; measured on 2M rows
-    it won on a filter path and lost on an aggregate path.)
-    """
-    v = F.get_json_object(col(c), path)
-    return v.try_cast(cast) if cast else v

@@ -11,7 +11,6 @@ from nimbus.functions._util import col
 DISPLAY_TZ = "America/New_York"
 HOUR_LABEL_FORMAT = "MMM dd, hh:mm a 'ET'"
 DAY_LABEL_FORMAT = "MMM dd, yyyy hh:mm a 'ET'"
-RUN_HOUR_FORMAT = "yyyy-MM-dd'T'HH"
 ISO_FORMAT_UTC = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
 
 
@@ -25,20 +24,11 @@ def epoch_to_iso(epoch_seconds) -> Column:
     return F.date_format(F.timestamp_seconds(col(epoch_seconds)), ISO_FORMAT_UTC)
 
 
-def iso_to_ts(s) -> Column:
-    """ISO string (with or without offset) -> timestamp; NULL when malformed."""
-    return F.try_to_timestamp(col(s))
-
-
 def hour_floor(ts, ntz: bool = False) -> Column:
     out = F.date_trunc("hour", col(ts))
     return out.cast("timestamp_ntz") if ntz else out
 
 
-def parse_run_hour(run_hour: str) -> Column:
-    return F.to_timestamp(F.lit(run_hour), RUN_HOUR_FORMAT)
-
-
 def to_display_tz(ts) -> Column:
     return F.from_utc_timestamp(col(ts), DISPLAY_TZ)
 

@@ -21,14 +21,32 @@ def filter_in(df: DataFrame, c: str, values) -> DataFrame:
     return df.filter(col(c).isin(*list(values)))
 
 
+def _utc(x):
+    """Datetimes and ISO texts with an offset as naive UTC; others unchanged."""
+    d = x
+    if isinstance(x, str):
+        try:
+            d = datetime.datetime.fromisoformat(x)
+        except ValueError:
+            return x
+    if isinstance(d, datetime.datetime) and d.tzinfo is not None:
+        return d.astimezone(datetime.timezone.utc).replace(tzinfo=None)
+    return x
+
+
 def ts_literal(x, typ: str = "timestamp") -> Column:
     """Literal timestamp of type ``typ``. Python datetimes go through their
-    ISO text so the value never depends on the driver process's time zone."""
+    ISO text so the value never depends on the driver process's time zone; an
+    offset is applied before the cast (a ``timestamp_ntz`` would drop it)."""
     if isinstance(x, Column):
         return x.cast(typ)
-    if isinstance(x, (datetime.datetime, datetime.date)):
-        x = x.isoformat(sep=" ") if isinstance(x, datetime.datetime) else x.isoformat()
-    return F.lit(x).cast(typ)
+    shifted = _utc(x)
+    suffix = "+00:00" if shifted is not x and typ == "timestamp" else ""
+    if isinstance(shifted, datetime.datetime):
+        shifted = shifted.isoformat(sep=" ") + suffix
+    elif isinstance(shifted, datetime.date):
+        shifted = shifted.isoformat()
+    return F.lit(shifted).cast(typ)
 
 
 def _ts_type(df: DataFrame, ts: str) -> str:
@@ -71,9 +89,28 @@ def hour_slice(df: DataFrame, ts: str, hour=None) -> DataFrame:
     return df.filter((col(ts) >= start) & (col(ts) < end))
 
 
-def partition_time(year="year", month="month", day="day", hour="hour") -> Column:
-    """Timestamp of a hive partition ``year/month/day/hour`` (partition columns only)."""
-    return F.make_timestamp_ntz(col(year), col(month), col(day), col(hour), F.lit(0), F.lit(0))
+def hour_of(x) -> datetime.datetime:
+    """Start of the UTC hour of ``x`` (naive values are taken as UTC)."""
+    d = _utc(x if isinstance(x, datetime.datetime) else str(x))
+    d = d if isinstance(d, datetime.datetime) else datetime.datetime.fromisoformat(d)
+    return d.replace(minute=0, second=0, microsecond=0)
+
+
+def partition_from(hour: datetime.datetime) -> Column:
+    """Partitions of ``hour`` or later, as comparisons on the bare partition
+    columns (a catalog can evaluate them without fetching all partitions)."""
+    y, m, d, h = (F.col(c) for c in ("year", "month", "day", "hour"))
+    return (y > hour.year) | ((y == hour.year) & (
+        (m > hour.month) | ((m == hour.month) & (
+            (d > hour.day) | ((d == hour.day) & (h >= hour.hour))))))
+
+
+def partition_before(hour: datetime.datetime) -> Column:
+    """Partitions before ``hour``."""
+    y, m, d, h = (F.col(c) for c in ("year", "month", "day", "hour"))
+    return (y < hour.year) | ((y == hour.year) & (
+        (m < hour.month) | ((m == hour.month) & (
+            (d < hour.day) | ((d == hour.day) & (h < hour.hour))))))
 
 
 def partition_bounds(start=None, end=None, max_lag_hours: int | None = None) -> Column | None:
@@ -81,20 +118,14 @@ def partition_bounds(start=None, end=None, max_lag_hours: int | None = None) ->
 
     Data lands in the partition of the hour it was fetched, never before it
     was observed, so ``partition >= floor(start)`` is always safe. An upper
-    bound needs the longest fetch lag; without ``max_lag_hours`` none is set.
-    The predicate uses partition columns only, so Spark evaluates it during
-    file listing (``PartitionFilters``) and skips whole directories.
+    bound needs the longest fetch lag, which only the caller can know: without
+    ``max_lag_hours`` there is none, and late readings are found however late.
     """
-    pt = partition_time()
     preds = []
     if start is not None:
-        preds.append(pt >= F.date_trunc("hour", ts_literal(start)).cast("timestamp_ntz"))
+        preds.append(partition_from(hour_of(start)))
     if end is not None and max_lag_hours is not None:
-        preds.append(pt < (ts_literal(end) + F.make_dt_interval(hours=F.lit(max_lag_hours + 1)))
-                     .cast("timestamp_ntz"))
+        preds.append(partition_before(hour_of(end) + datetime.timedelta(hours=max_lag_hours + 1)))
     if not preds:
         return None
-    out = preds[0]
-    for p in preds[1:]:
-        out = out & p
-    return out
+    return preds[0] if len(preds) == 1 else preds[0] & preds[1]

@@ -1,7 +1,7 @@
 """Data-quality reports (C13: P12-P14, A13, U4).
 
-Each report is a single aggregation (plus one grouped count for
-uniqueness): rules become ``count_if`` columns evaluated in one scan.
+Each report is a single aggregation (plus a grouped count for each
+uniqueness test): rules become ``count_if`` columns evaluated in one scan.
 """
 
 from __future__ import annotations
@@ -22,13 +22,16 @@ def rule_failures(df: DataFrame, rules: list[Rule], total_col: str = "total_coun
               .select(F.inline("_r"), total_col))
 
 
-# dbt-style column tests (P12): (kind, column, argument)
+# column tests (P12): (kind, column, argument)
 def model_tests(df: DataFrame, tests: list[tuple]) -> DataFrame:
     """``test, column_name, failures`` for not_null / unique / accepted_values /
-    accepted_range tests, all from a single scan of ``df``: row tests are
-    summed flags, a unique test counts values seen more than once."""
-    row_tests = []
-    unique_cols = []
+    accepted_range tests.
+
+    All row tests are one global aggregate (partial sums per task, no key
+    shuffle). Each ``unique`` test is a group-by of its own column, pruned to
+    it and compared by its own type.
+    """
+    row_tests, reports = [], []
     for t in tests:
         kind, c = t[0], t[1]
         if kind == "not_null":
@@ -44,42 +47,43 @@ def model_tests(df: DataFrame, tests: list[tuple]) -> DataFrame:
                 bad = bad | (col(c) > hi)
             row_tests.append((kind, c, col(c).isNotNull() & bad))
         elif kind == "unique":
-            unique_cols.append(c)
+            seen = df.select(col(c).alias("_v")).where(F.col("_v").isNotNull()).groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+            reports.append(seen.agg(F.count_if(F.col("_n") > 1).alias("failures"))
+                           .select(F.lit(kind).alias("test"), F.lit(c).alias("column_name"), "failures"))
         else:
             raise ValueError(f"unknown test {kind!r}")
-    # One scan: every row becomes one entry per uniqueness column (its value)
-    # plus one entry carrying the row-test flags; one group-by counts values
-    # and sums flags (the flags entry is one key, combined map-side).
-    flags = [F.col(f"_f{i}") for i in range(len(row_tests))]
-
-    def entry(name, value, with_flags: bool):
-        return F.struct(F.lit(name).alias("column_name"), value.cast("string").alias("v"),
-                        *[(p.cast("int") if with_flags else F.lit(0)).alias(f"_f{i}")
-                          for i, (_, _, p) in enumerate(row_tests)])
-
-    entries = [entry(c, col(c), False) for c in unique_cols]
-    entries.append(entry(ROWS_KEY, F.lit(None), True))
-    stacked = df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
-    per_value = stacked.groupBy("column_name", "v").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(f).alias(f"_f{i}") for i, f in enumerate(flags)])
-    per_column = per_value.groupBy("column_name").agg(
-        F.count_if(F.col("v").isNotNull() & (F.col("_n") > 1)).alias("_dups"),
-        *[F.max(f).alias(f"_f{i}") for i, f in enumerate(flags)])
-    # the flags entry yields one report row per row test, every other
-    # entry one "unique" row for its column
-    row_report = F.array(*[F.struct(F.lit(k).alias("test"), F.lit(c).alias("column_name"),
-                                    F.coalesce(F.col(f"_f{i}"), F.lit(0)).cast("bigint")
-                                    .alias("failures"))
-                           for i, (k, c, _) in enumerate(row_tests)]).cast(REPORT_TYPE)
-    unique_report = F.array(F.struct(F.lit("unique").alias("test"),
-                                     F.col("column_name").alias("column_name"),
-                                     F.col("_dups").cast("bigint").alias("failures")))
-    report = F.when(F.col("column_name") == ROWS_KEY, row_report).otherwise(unique_report)
-    return per_column.select(F.inline(report))
-
-
-ROWS_KEY = "\x00rows"   # column_name of the row-test entry (cannot clash with a column)
-REPORT_TYPE = "array<struct<test:string,column_name:string,failures:bigint>>"
+    if row_tests:
+        row = F.array(*[F.struct(F.lit(k).alias("test"), F.lit(c).alias("column_name"),
+                                 F.count_if(p).alias("failures")) for k, c, p in row_tests])
+        reports.insert(0, df.agg(row.alias("_r")).select(F.inline("_r")))
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+# The column tests declared for the staging view and the marts.
+def staging_tests(states) -> list[tuple]:
+    return ([("not_null", c) for c in ("city_name", "state_code", "temp_f", "humidity_pct", "observed_at")]
+            + [("accepted_values", "state_code", list(states)), ("accepted_range", "humidity_pct", (0, 100))])
+
+
+CURRENT_TESTS = [("not_null", c) for c in ("city_name", "temp_f", "observed_at")] + [("unique", "city_name")]
+SUMMARY_TESTS = [("not_null", c) for c in ("city_name", "state_code", "observed_hour", "avg_temp_f")]
+
+
+def quality_report(stg: DataFrame, current: DataFrame, summary: DataFrame, rules: list[Rule],
+                   states) -> DataFrame:
+    """The weather test suites and row rules as one report (C13):
+    ``suite, test, column_name, failures``."""
+    out = rule_failures(stg, rules).select(
+        F.lit("rows").alias("suite"), F.col("rule").alias("test"),
+        F.lit(None).cast("string").alias("column_name"), F.col("failed_count").alias("failures"))
+    for suite, df, tests in (("staging", stg, staging_tests(states)), ("current", current, CURRENT_TESTS),
+                             ("summary", summary, SUMMARY_TESTS)):
+        out = out.unionByName(model_tests(df, tests).select(
+            F.lit(suite).alias("suite"), "test", "column_name", "failures"))
+    return out
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:
@@ -91,7 +95,9 @@ def missing_columns(df: DataFrame, required) -> list[str]:
 
 def coverage_report(df: DataFrame, state: str, city: str, slug: str | None,
                     expected_states, min_cities: int) -> DataFrame:
-    """Set-level coverage (P14, U4): expected states that are missing, distinct
+    """Set-level coverage (P14, U4): expected states that are missing, rows of
+    states that are not expected (``unexpected_states``: how many such states;
+    the two sets are equal when nothing is missing and this is 0), distinct
     city count against a minimum, and slugs shared by different cities.
 
     The rows are first reduced to distinct ``(city, state, slug)`` keys (a
@@ -104,13 +110,14 @@ def coverage_report(df: DataFrame, state: str, city: str, slug: str | None,
     pairs = df.select(*[col(k) for k in keys]).distinct()
     present = [F.max(F.coalesce(col(state) == s, F.lit(False))).alias(f"_p{i}")
                for i, s in enumerate(expected_states)]
-    aggs = present + [F.count_distinct(col(city)).alias("n_cities")]
+    other = F.when(~col(state).isin(*expected_states), col(state))
+    aggs = present + [F.count_distinct(other).alias("_other"), F.count_distinct(col(city)).alias("n_cities")]
     if slug:
         aggs += [F.count(col(slug)).alias("_ns"), F.count_distinct(col(slug)).alias("_nds")]
     r = pairs.agg(*aggs)
     missing = F.array_compact(F.array(*[F.when(~F.col(f"_p{i}"), F.lit(s))
                                         for i, s in enumerate(expected_states)]))
-    out = [missing.alias("missing_states"), F.col("n_cities"),
+    out = [missing.alias("missing_states"), F.col("_other").alias("unexpected_states"), F.col("n_cities"),
            (F.col("n_cities") >= min_cities).alias("meets_min_cities")]
     if slug:
         out.append((F.col("_ns") - F.col("_nds")).alias("duplicate_slugs"))

@@ -21,13 +21,18 @@ class Metric:
     """``name = fn(col)`` rounded to ``digits`` (None = unrounded).
 
     ``fn``: ``avg`` | ``min`` | ``max`` | ``sum`` | ``count`` |
-    ``exact_avg`` (mean of a fixed-decimal measurement, engine-independent).
+    ``exact_avg`` (mean of a measurement with ``scale`` decimals,
+    engine-independent; the scale must be given).
     """
     name: str
     fn: str
     col: str
     digits: int | None = None
-    scale: int = 2
+    scale: int | None = None
+
+    def __post_init__(self):
+        if self.fn == "exact_avg" and self.scale is None:
+            raise ValueError(f"{self.name}: exact_avg needs the measurement's scale")
 
     def column(self) -> Column:
         c = col(self.col)

@@ -137,10 +137,6 @@ def validate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn(REASONS, r)
 
 
-def is_valid() -> Column:
-    return F.size(F.col(REASONS)) == 0
-
-
 def passes(rules: list[Rule], df: DataFrame | None = None) -> Column:
     """TRUE when every rule holds (a NULL anywhere makes it not TRUE).
 

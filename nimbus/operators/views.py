@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nimbus.dims import DEFAULT_POPULATION
@@ -14,31 +14,24 @@ from nimbus.operators.reshape import series_long
 
 
 def lookup_with_default(df: DataFrame, dim: DataFrame, left_key: str, dim_key: str,
-                        value: str, default, out: str | None = None,
-                        broadcast_dim: bool = False) -> DataFrame:
+                        value: str, default, out: str | None = None) -> DataFrame:
     """Left join a dimension value with a default for missing keys.
 
-    ``broadcast_dim`` is for literal dimensions of known, bounded size;
-    otherwise Spark's size-checked broadcast threshold (and AQE at run time)
-    chooses between broadcast and a shuffled join.
+    Spark's size-checked broadcast threshold (and AQE at run time) chooses
+    between broadcast and a shuffled join; a literal table is a local relation
+    of known size, so it is broadcast.
     """
     d = dim.select(F.col(dim_key).alias("_dk"), F.col(value).alias("_dv"))
-    if broadcast_dim:
-        d = F.broadcast(d)
     joined = df.join(d, col(left_key) == F.col("_dk"), "left")
     return joined.withColumn(out or value, F.coalesce(F.col("_dv"), F.lit(default))) \
                  .drop("_dk", "_dv")
 
 
 def map_layer(df: DataFrame, populations: DataFrame, city: str = "city_name",
-              temp: str = "temp_f", pop_city: str = "city", pop: str = "population",
-              broadcast_dim: bool = False) -> DataFrame:
-    """Per reading: RGB from temperature, opacity and radius from population.
-
-    Set ``broadcast_dim`` only for the literal population table (bounded);
-    a derived one is left to Spark's size-checked join selection."""
+              temp: str = "temp_f", pop_city: str = "city", pop: str = "population") -> DataFrame:
+    """Per reading: RGB from temperature, opacity and radius from population."""
     j = lookup_with_default(df, populations, city, pop_city, pop, DEFAULT_POPULATION,
-                            out="population", broadcast_dim=broadcast_dim)
+                            out="population")
     t = geo.population_scale("population")
     out = j.withColumns({
         "color_r": geo.temp_channel(temp, 0),
@@ -89,14 +82,12 @@ def advice_columns(df: DataFrame, month, feels_like: str = "feels_like_f",
 
 
 def city_advice(latest: DataFrame, activities: DataFrame, month: int, k: int = 2,
-                city: str = "city_name", broadcast_dim: bool = False, **cols) -> DataFrame:
+                city: str = "city_name", **cols) -> DataFrame:
     """Advice plus the first ``k`` seasonal activities per city.
 
     Activities are folded into one array per city (a few entries each) and
-    joined to the readings; with ``broadcast_dim`` (for the literal activity
-    table, whose size is fixed) the readings side is never shuffled,
-    otherwise Spark's size-checked join selection decides. Picking runs as
-    array functions on each row:
+    joined to the readings by Spark's size-checked join selection. Picking
+    runs as array functions on each row:
     seasonal filter, indoor-only for ``poor`` (falling back to all seasonal
     if the city has no indoor option) and for ``severe`` (no fallback),
     authored order, first ``k``.
@@ -106,8 +97,7 @@ def city_advice(latest: DataFrame, activities: DataFrame, month: int, k: int = 2
                 .agg(F.array_sort(F.collect_list(F.struct("ord", "name", "outdoor", "tip")))
                      .alias("_acts")))
     base = advice_columns(latest, month, **cols)
-    j = base.join(F.broadcast(per_city) if broadcast_dim else per_city,
-                  col(city) == F.col("_acity"), "left")
+    j = base.join(per_city, col(city) == F.col("_acity"), "left")
     acts = F.coalesce(F.col("_acts"), F.array())
     indoor = F.filter(acts, lambda a: ~a["outdoor"])
     cands = (F.when(F.col("severity") == "ok", acts)
@@ -127,17 +117,33 @@ def range_summary(df: DataFrame, key: str, cols, names=("min_v", "q1", "median",
                   accuracy: int = 10000) -> DataFrame:
     """Five-number summary per key over several value columns stacked.
 
-    Exact ``percentile`` interpolates like ``quantile_cont``; its buffer is a
-    map of distinct values per key, merged after a partial aggregation.
-    ``approx=True`` switches to a bounded-memory sketch for unbounded keys.
+    Exact, interpolated like ``quantile_cont``, without a buffer of a key's
+    values: equal values are counted first (combined before the shuffle), the
+    running count places each value, and the two values around a probability
+    are picked out of the ordered stream. ``approx=True`` switches to a
+    bounded-memory sketch.
     """
     long = series_long(df, [key], list(cols), "metric", "_v")
     if approx:
-        q = F.percentile_approx("_v", list(probs), accuracy)
-    else:
-        q = F.percentile("_v", F.array(*[F.lit(p) for p in probs]))
-    r = long.groupBy(key).agg(q.alias("_q"))
-    return r.select(key, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+        r = long.groupBy(key).agg(F.percentile_approx("_v", list(probs), accuracy).alias("_q"))
+        return r.select(key, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    counted = long.groupBy(key, "_v").agg(F.count("_v").alias("_n"))  # NULL counts 0
+    by_key = Window.partitionBy(key)
+    upto = F.sum("_n").over(by_key.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = counted.withColumn("_to", upto).withColumn("_all", F.sum("_n").over(by_key))
+
+    def at(place):
+        # The value whose run of equal values covers a place (from 0).
+        return F.max(F.when((place >= F.col("_to") - F.col("_n")) & (place < F.col("_to")), F.col("_v")))
+
+    aggs = []
+    for i, p in enumerate(probs):
+        place = (F.col("_all") - 1) * float(p)
+        aggs += [at(F.floor(place)).alias(f"_l{i}"), at(F.ceil(place)).alias(f"_h{i}"),
+                 F.max(place - F.floor(place)).alias(f"_f{i}")]
+    r = placed.groupBy(key).agg(*aggs)
+    return r.select(key, *[(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_f{i}")).alias(n)
+                           for i, n in enumerate(names)])
 
 
 # Display names of the hourly detail table.

@@ -31,9 +31,11 @@ def window_24h(df: DataFrame, ts: str, as_of=None) -> DataFrame:
 
 
 def load_window(spark, processed_root: str, as_of, hours: int = 24,
-                max_lag_hours: int = 2) -> DataFrame:
+                max_lag_hours: int | None = None) -> DataFrame:
     """Staging rows observed in ``[as_of - hours, as_of]``, reading only the
-    hour folders that can hold them (not the whole history)."""
+    hour folders that can hold them: those from the window's start on. A
+    caller who knows the longest time between observation and landing may give
+    it as ``max_lag_hours``, which bounds the folders above as well."""
     end = (as_of if isinstance(as_of, datetime.datetime)
            else datetime.datetime.fromisoformat(str(as_of)))
     start = end - datetime.timedelta(hours=hours)
@@ -57,13 +59,12 @@ def city_options(current: DataFrame, states=None, city: str = "city_name",
 
 def weather_map(stg: DataFrame, populations: DataFrame | None = None, hour=None) -> DataFrame:
     """Map layer for one hour (C5): readings in the hour with colour/size.
-    Default populations: the literal 19-city table (broadcast, bounded)."""
+    Default populations: the literal 19-city table."""
     sl = hour_slice(stg, "observed_at", hour)
     cols = ["latitude", "longitude", "temp_f", "feels_like_f", "wind_speed_mph",
             "humidity_pct", "condition_description", "city_name", "state_code"]
-    literal = populations is None
-    pops = populations_df(stg.sparkSession) if literal else populations
-    return map_layer(sl.select(*cols), pops, broadcast_dim=literal)
+    pops = populations_df(stg.sparkSession) if populations is None else populations
+    return map_layer(sl.select(*cols), pops)
 
 
 def data_as_of(current: DataFrame, ts: str = "observed_at") -> DataFrame:
@@ -99,10 +100,9 @@ def temperature_series(stg: DataFrame, cities) -> DataFrame:
 def advisor(current: DataFrame, activities: DataFrame | None = None, month: int = 1,
             k: int = 2) -> DataFrame:
     """City advisor (C9); ``month`` comes from the caller's as-of date.
-    Default activities: the literal table (broadcast, bounded)."""
-    literal = activities is None
-    acts = activities_df(current.sparkSession) if literal else activities
-    return city_advice(current, acts, month, k, broadcast_dim=literal)
+    Default activities: the literal table."""
+    acts = activities_df(current.sparkSession) if activities is None else activities
+    return city_advice(current, acts, month, k)
 
 
 def condition_distribution(stg: DataFrame, cities=None) -> DataFrame:

@@ -24,8 +24,8 @@ from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, PROCESSED, READING,
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
 from nimbus.sources.raw import CORRUPT, read_raw
-from nimbus.sources.sinks import (clear_hour, overwrite_hour, register_table, with_run_hour,
-                                  write_partitions, write_raw)
+from nimbus.sources.sinks import (clear_hours, empty_hours, overwrite_hour, register_table,
+                                  with_run_hour, write_partitions, write_raw)
 
 CITY_KEY_SCHEMA = "name string, state string, lat double, lon double"
 
@@ -109,9 +109,9 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
             else:
                 write_partitions(bad, quarantine_root, fmt="json")
                 if c.invalid_count == 0:
-                    clear_hour(spark, quarantine_root, QUARANTINE, run_hour, fmt="json")
+                    clear_hours(spark, quarantine_root, QUARANTINE, [run_hour], fmt="json")
         if not table and c.valid_count == 0:
-            clear_hour(spark, processed_root, PROCESSED, run_hour)
+            clear_hours(spark, processed_root, PROCESSED, [run_hour])
     finally:
         checked.unpersist()
     if c.invalid_count:
@@ -126,9 +126,9 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
     """Re-process late or replayed hours (T4) in one distributed job.
 
     Only the requested hours' folders are read; one aggregation counts every
-    hour; one dynamic-overwrite write replaces all of them. With a
-    registered ``table``, hours left with no valid rows (or no rejects) are
-    then emptied by a static partition overwrite, so no stale hour remains.
+    hour; one dynamic-overwrite write replaces all of them.
+    Hours left with no valid rows (or no rejects) are then emptied together,
+    so no stale hour remains.
     Hours without raw data are reported as zero counts.
     """
     rules = rules if rules is not None else ingest_rules()
@@ -138,9 +138,8 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
         ok = F.coalesce(passes(rules, raw), F.lit(False))
         per_hour = {(r.year, r.month, r.day, r.hour): r for r in raw.groupBy(*PARTITION_COLS).agg(
             F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("v")).collect()}  # one row per hour
-        _, rejected = split(raw, rules)
         valid = processed_from_raw(raw, stamp, rules)
-        bad = rejected.select(*READING_COLS, CORRUPT, REASONS, *PARTITION_COLS)
+        bad = rejected_from_raw(raw, rules)
         _write_hours(spark, valid, processed_root, table, PROCESSED, "parquet")
         if quarantine_root:
             _write_hours(spark, bad, quarantine_root, f"{table}_quarantine" if table else None,
@@ -149,21 +148,19 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
         raw.unpersist()
     out = {}
     for h in run_hours:
-        parts = tuple(run_hour_parts(h).values())
-        r = per_hour.get(parts)
+        r = per_hour.get(tuple(run_hour_parts(h).values()))
         n, v = (int(r.n), int(r.v)) if r else (0, 0)
         out[h] = ProcessResult(n, v, n - v)
-        if table:
-            if v == 0:
-                overwrite_hour(spark, table, spark.createDataFrame([], PROCESSED), h)
-            if quarantine_root and n - v == 0:
-                overwrite_hour(spark, f"{table}_quarantine",
-                               spark.createDataFrame([], QUARANTINE), h)
-        else:
-            if v == 0:
-                clear_hour(spark, processed_root, PROCESSED, h)
-            if quarantine_root and n - v == 0:
-                clear_hour(spark, quarantine_root, QUARANTINE, h, fmt="json")
+    no_valid = [h for h, r in out.items() if r.valid == 0]
+    no_rejects = [h for h, r in out.items() if r.invalid == 0] if quarantine_root else []
+    if table:
+        empty_hours(spark, table, no_valid)
+        if quarantine_root:
+            empty_hours(spark, f"{table}_quarantine", no_rejects)
+    else:
+        clear_hours(spark, processed_root, PROCESSED, no_valid)
+        if quarantine_root:
+            clear_hours(spark, quarantine_root, QUARANTINE, no_rejects, fmt="json")
     return out
 
 
@@ -185,6 +182,15 @@ def _write_hours(spark: SparkSession, df: DataFrame, root: str, table: str | Non
         write_partitions(df, root, fmt=fmt)
 
 
+def rejected_from_raw(raw: DataFrame, rules=None) -> DataFrame:
+    """Quarantine rows (fields, corrupt text, reasons, partition ints) of any
+    raw frame that carries partition ints."""
+    _, bad = split(raw, rules if rules is not None else ingest_rules())
+    kept = [f for f in QUARANTINE.fields if f.name != REASONS]
+    return bad.select(*[F.col(f.name) if f.name in bad.columns
+                        else F.lit(None).cast(f.dataType).alias(f.name) for f in kept], REASONS)
+
+
 def processed_from_raw(raw: DataFrame, processed_at: str, rules=None) -> DataFrame:
     """Validated + enriched rows of any raw frame that carries partition ints
     (used by the incremental ingest, where one batch spans several hours)."""

@@ -6,12 +6,14 @@ import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from nimbus.operators.filters import ts_literal
 from nimbus.operators.flatten import stage
 from nimbus.operators.latest import latest_per_key
 from nimbus.operators.summary import hourly_summary
-from nimbus.sources.processed import read_processed
+from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS
+from nimbus.sources.processed import read_processed, read_processed_hours
+from nimbus.sources.raw import hour_in, load_or_empty
 from nimbus.sources.sinks import materialize, refresh_table, write_partitions
 
 # The 18 output columns of the current-readings mart.
@@ -31,7 +33,7 @@ SYNC_CURRENT_COLUMNS = [
     "clouds_pct", "condition_main", "condition_description", "city_slug",
 ]
 
-# Typed processed table of the sync variant: (column, type) in output order.
+# Typed processed table of the sync variant, (column, type) in output order.
 SYNC_PROCESSED_COLUMNS = [
     ("city", None), ("state", None), ("country", None), ("lat", None), ("lon", None),
     ("observed_at", "timestamp"), ("fetched_at", "timestamp"), ("processed_at", "timestamp"),
@@ -55,11 +57,14 @@ def weather_current(stg: DataFrame, keep_ties: bool = False,
 
     Default: one row, ordered by ``observed_at`` then ``fetched_at``
     (newest first). ``keep_ties=True`` keeps every reading tied on
-    ``observed_at``, as the SQL model's join-back does.
+    ``observed_at``, as the SQL model's join-back does. Readings without a
+    key or a time have no place in the mart (the model's equality join drops
+    them).
     """
     order = ([F.col("observed_at").desc()] if keep_ties
              else [F.col("observed_at").desc(), F.col("fetched_at").desc()])
-    return latest_per_key(stg, list(keys), order, keep_ties=keep_ties).select(*CURRENT_COLUMNS)
+    known = stg.dropna(subset=[*keys, "observed_at"])
+    return latest_per_key(known, list(keys), order, keep_ties=keep_ties).select(*CURRENT_COLUMNS)
 
 
 def weather_current_by_city(stg: DataFrame) -> DataFrame:
@@ -151,32 +156,52 @@ def update_current(spark, table: str, new_processed: DataFrame) -> int:
     return refresh_table(merged, table)
 
 
-SUMMARY_PARTITIONS = ["year", "month", "day", "hour"]
+INDEX = T.StructType([T.StructField("observed_hour", T.TimestampType()), *PARTITION_FIELDS])
 
 
-def update_hourly_summary(spark, processed_root: str, summary_root: str, run_hour: str,
-                          max_lag_hours: int = 2, profile: str = "dbt",
-                          until_hour: str | None = None) -> None:
-    """Recompute only the summary hours a processing run can change.
+def hour_index(processed: DataFrame) -> DataFrame:
+    """Which observed hours a processing hour holds: distinct
+    ``observed_hour`` by partition (a few rows for each partition)."""
+    observed = F.date_trunc("hour", F.col("observed_at").try_cast("timestamp"))
+    return (processed.select(observed.alias("observed_hour"), *PARTITION_COLS)
+            .where(F.col("observed_hour").isNotNull()).distinct())
 
-    A reading processed in hour ``t`` was observed no earlier than
-    ``t - max_lag_hours``, so run ``t`` can only change observed hours
-    ``[t - lag, t]``. Their readings sit in processing hours
-    ``[t - lag, t + lag]``; only those partitions are listed and read. The
-    summary is partitioned by observed hour and those hours are replaced
-    whole (dynamic overwrite). Hours near ``t`` are recomputed again by the
-    next ``lag`` runs, which is when their late readings arrive.
-    ``until_hour`` extends the run to the processing hours
-    ``[run_hour, until_hour]`` at once (a micro-batch touching several).
+
+def update_hour_index(spark, processed_root: str, index_root: str, run_hours: list[str] | None = None) -> None:
+    """Replace the index rows of ``run_hours`` (default: build it from the
+    whole zone, once)."""
+    if run_hours is None:
+        processed = read_processed(spark, processed_root)
+    else:
+        stamps = [datetime.datetime.strptime(h, "%Y-%m-%dT%H") for h in run_hours]
+        processed = read_processed_hours(spark, processed_root, stamps)
+    write_partitions(hour_index(processed), index_root)
+
+
+def update_hourly_summary(spark, processed_root: str, summary_root: str,
+                          run_hours: str | list[str], profile: str = "dbt",
+                          index_root: str | None = None) -> None:
+    """Recompute the summary hours that processing runs changed.
+
+    The runs' own rows tell which observed hours they hold, however old: these
+    and no others are recomputed. The index (``index_root``, by default beside
+    the summary) tells which processing hours hold readings of them, so only
+    those partitions are read. The summary is partitioned by observed hour and
+    its hours are replaced whole (dynamic overwrite).
     """
-    first = datetime.datetime.strptime(run_hour, "%Y-%m-%dT%H")
-    t = datetime.datetime.strptime(until_hour, "%Y-%m-%dT%H") if until_hour else first
-    lag = datetime.timedelta(hours=max_lag_hours)
-    lo, hi = first - lag, t + lag
-    # processing hours [lo, hi]: only those folders are listed and read
-    processed = read_processed(spark, processed_root, start=lo, end=hi, max_lag_hours=0)
-    stg = stg_weather_raw(processed).filter(
-        F.col("observed_hour").between(ts_literal(lo), ts_literal(t)))
+    run_hours = [run_hours] if isinstance(run_hours, str) else list(run_hours)
+    index_root = index_root or f"{summary_root.rstrip('/')}_index"
+    index = load_or_empty(spark, spark.read.schema(INDEX), index_root, index_root, INDEX, "parquet")
+    update_hour_index(spark, processed_root, index_root, None if index.isEmpty() else run_hours)
+    index = spark.read.schema(INDEX).parquet(index_root)
+    stamps = [datetime.datetime.strptime(h, "%Y-%m-%dT%H") for h in run_hours]
+    changed = index.where(hour_in(stamps)).select("observed_hour").distinct()
+    # Hours only, a row for each: the partitions to read.
+    parts = index.join(changed, "observed_hour", "left_semi").select(*PARTITION_COLS).distinct().collect()
+    if not parts:
+        return
+    processed = read_processed_hours(spark, processed_root, [datetime.datetime(*p) for p in parts])
+    stg = stg_weather_raw(processed).join(changed, "observed_hour", "left_semi")
     summary = weather_hourly_summary(stg, profile).withColumns({
         "year": F.year("observed_hour"), "month": F.month("observed_hour"),
         "day": F.dayofmonth("observed_hour"), "hour": F.hour("observed_hour")})

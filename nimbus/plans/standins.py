@@ -73,15 +73,16 @@ def condition_of(c) -> F.Column:
     return F.try_element_at(m, F.col(c) if isinstance(c, str) else c)
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events joined to customer -> nation -> region, in the staging shape.
+def readings(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Events (all, or those given) joined to customer -> nation -> region, in
+    the staging shape.
 
     nation (25 rows) and region (5 rows) fall under Spark's size-checked
     broadcast threshold; customer grows with the data, so its join is left
     to the planner (broadcast when small, sort-merge with AQE skew
     splitting when large).
     """
-    ev = events_k(spark, sf_dir)
+    ev = events_k(spark, sf_dir) if events is None else events
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")

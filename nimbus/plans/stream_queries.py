@@ -15,23 +15,44 @@ from nimbus.plans.io_queries import VALID_LANDED_SQL
 from nimbus.plans.standins import K_SQL, readings_as_landed, table
 from nimbus.session import work_dir
 from nimbus.sources.sinks import write_raw
-from nimbus.streaming import dedup_stream, drain, hourly_stream, ingest_stream, read_latest, \
-    run_to_table
+from nimbus.streaming import (compact, dedup_stream, drain, dropped_late, hourly_stream,
+                              ingest_stream, run_to_table)
 
-def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = table(spark, sf, "events").schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", "events.parquet").parquet(sf.rstrip("/")))
+
+SLICES = 4
+
+
+def _in_time_order(spark: SparkSession, sf: str, base: str, start, again: int | None = None) -> None:
+    """Events arriving in ``SLICES`` landings ordered by time, each followed by
+    a run of the stream (``start(stream)``) on the same checkpoint, as a
+    scheduler would; ``again``: every so many-th event lands twice. Rows the
+    watermark drops as late would be lost, so there must be none."""
+    ev = table(spark, sf, "events")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lo, hi = ev.agg(F.min(second), F.max(second)).first()
+    for i in range(SLICES):
+        part = ev.where(F.floor((second - lo) * SLICES / F.lit(hi - lo + 1)) == i)
+        if again:
+            part = part.unionByName(part.where(F.col("event_id") % again == 0))
+        part.write.mode("append").parquet(f"{base}/landed")
+        query = start(spark.readStream.schema(ev.schema).parquet(f"{base}/landed"))
+        drain(query)
+        if late := dropped_late(query):
+            raise RuntimeError(f"{late} rows came later than the watermark allows")
 
 
 def q_stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
     """Watermarked tumbling-hour summary; update mode, final state read back."""
     base = work_dir(spark, "stream-hourly")
-    s = hourly_stream(_events_stream(spark, sf), ["user_id"], "ts",
-                      [Metric("min_value", "min", "value"), Metric("max_value", "max", "value")],
-                      label="event_type", watermark="2 hours", label_col="dominant_type")
-    drain(run_to_table(s, f"{base}/out", f"{base}/ck", mode="update"))
-    out = read_latest(spark, f"{base}/out", ["window_start", "user_id"])
+
+    def start(events):
+        s = hourly_stream(events, ["user_id"], "ts",
+                          [Metric("min_value", "min", "value"), Metric("max_value", "max", "value")],
+                          label="event_type", watermark="2 hours", label_col="dominant_type")
+        return run_to_table(s, f"{base}/out", f"{base}/ck", mode="update")
+
+    _in_time_order(spark, sf, base, start)
+    out = compact(spark, f"{base}/out", f"{base}/final", ["window_start", "user_id"])
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("observed_hour"),
                       "user_id", "min_value", "max_value", "dominant_type", "reading_count")
 
@@ -51,10 +72,14 @@ LEFT JOIN dom d ON a.user_id = d.user_id AND a.observed_hour = d.observed_hour
 
 
 def q_stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """Drop repeated (user, ts) observations within the watermark."""
+    """Drop repeated (user, ts) observations within the watermark; a
+    quarter of the events lands twice."""
     base = work_dir(spark, "stream-dedup")
-    s = dedup_stream(_events_stream(spark, sf), ["user_id", "ts"], "ts", "2 hours")
-    drain(run_to_table(s, f"{base}/out", f"{base}/ck"))
+
+    def start(events):
+        return run_to_table(dedup_stream(events, ["user_id", "ts"], "ts", "2 hours"), f"{base}/out", f"{base}/ck")
+
+    _in_time_order(spark, sf, base, start, again=4)
     return spark.read.parquet(f"{base}/out").select(
         "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_type", "value")
 
@@ -72,7 +97,8 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     landed = readings_as_landed(spark, sf)
     write_raw(landed, f"{base}/raw")
     drain(ingest_stream(spark, f"{base}/raw", f"{base}/processed", f"{base}/ck",
-                        processed_at="2024-01-31T00:00:00+00:00"))
+                        processed_at="2024-01-31T00:00:00+00:00",
+                        quarantine_root=f"{base}/rejected"))
     return spark.read.parquet(f"{base}/processed").select(
         "city", "state", "observed_at", "temp_f", "humidity_pct", "city_slug", "temp_c",
         "wind_speed_ms", "year", "month", "day", "hour")

@@ -9,6 +9,7 @@ Only when that setting is missing (local runs, tests) do we set one.
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -32,26 +33,37 @@ DEFAULT_CONF = {
 # Sizing for a large cluster reading ~100 TB (applied with profile="cluster").
 # * scans: 256 MB splits -> ~400k map tasks over 100 TB; filters and column
 #   pruning shrink what each task reads.
-# * shuffles: start from many partitions and let AQE merge them up to the
-#   advisory size (AQE can merge but not split, except skewed join sides),
-#   so a 100 TB join shuffle still lands in ~256 MB partitions.
+# * shuffles: map tasks x reduce partitions blocks have to be tracked and
+#   fetched, so the number of partitions is set for each job from its own
+#   shuffled bytes (``partitions_for``); the default suits an hourly run, and
+#   AQE merges small partitions up to the advisory size.
+# * streams keep one state store a partition: their number is separate
+#   (``STREAM_PARTITIONS``) and fixed by the first run of a checkpoint; state
+#   lives in RocksDB, not in the executors' heap.
 # * skew: a partition is split when it is 5x the median and above 512 MB.
 # * executor loss: decommissioning migrates shuffle and cached blocks off
 #   leaving executors; stages retry lost tasks from lineage otherwise.
 CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256MB",
-    "spark.sql.shuffle.partitions": "100000",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "100000",
+    "spark.sql.shuffle.partitions": "2000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
     "spark.storage.decommission.rddBlocks.enabled": "true",
 }
+STREAM_PARTITIONS = 200
+
+
+def partitions_for(shuffled_bytes: int, target_bytes: int = 256 << 20, least: int = 200) -> int:
+    """Shuffle partitions for a job that moves ``shuffled_bytes``."""
+    return max(least, -(-shuffled_bytes // target_bytes))
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -73,13 +85,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder; set a local one only if unset."""
+    """Return the cluster's checkpoint folder. Only a local session without
+    one gets a folder of its own; elsewhere the setting is required, as other
+    machines cannot see a local folder."""
     sc = spark.sparkContext
     current = (sc.getConf().get("spark.checkpoint.dir", None)
                or spark.conf.get("spark.checkpoint.dir", None)
                or sc.getCheckpointDir())
     if not current:
-        # Unset: local runs and tests only.
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         current = tempfile.mkdtemp(prefix="nimbus-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -48,7 +48,7 @@ def _call(transport: Transport, key: dict) -> tuple[str, str | None, str | None,
             return "error", "empty response", None, fetched_at
         return "ok", None, json.dumps(doc), fetched_at
     except Exception as exc:  # noqa: BLE001 - isolation is the point
-        return "error", f"{type(exc).__name__}: {exc}"[:1000], None, fetched_at
+        return "error", f"{type(exc).__name__}: {exc}", None, fetched_at
 
 
 def register_keyed_source(spark: SparkSession, keys: list[tuple], key_schema: str,

@@ -6,33 +6,26 @@ import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from nimbus.operators.filters import partition_bounds, ts_literal
-from nimbus.schemas import PROCESSED
-from nimbus.sources.raw import _load, hour_in, partition_glob
+from nimbus.operators.filters import hour_of, partition_bounds, ts_literal
+from nimbus.schemas import PARTITION_COLS, PROCESSED
+from nimbus.sources.raw import hour_in, load_or_empty, partition_glob
 
-MAX_LISTED_HOURS = 24 * 62
 
-
-def _bounded_hours(start, end, max_lag_hours):
-    """Partition hours of ``[start, end)`` plus the fetch lag, when the range
-    is bounded and small enough to list folder by folder."""
+def _folders(root: str, start, end, max_lag_hours) -> str:
+    """What to list: the folders of a bounded range, else the root. The glob
+    names years, months, days and hours, so its length does not depend on the
+    range."""
     if start is None or end is None or max_lag_hours is None:
-        return None
-    lo = _hour(start)
-    hi = _hour(end) + datetime.timedelta(hours=max_lag_hours + 1)
-    n = int((hi - lo).total_seconds() // 3600) + 1
-    if n <= 0 or n > MAX_LISTED_HOURS:
-        return None
-    return [lo + datetime.timedelta(hours=i) for i in range(n)]
-
-
-def _hour(x) -> datetime.datetime:
-    """Start of the UTC hour of ``x`` (naive values are taken as UTC)."""
-    d = x if isinstance(x, datetime.datetime) else datetime.datetime.fromisoformat(str(x))
-    if d.tzinfo is not None:
-        d = d.astimezone(datetime.timezone.utc).replace(tzinfo=None)
-    return d.replace(minute=0, second=0, microsecond=0)
+        return root
+    lo = hour_of(start)
+    hi = max(lo, hour_of(end) + datetime.timedelta(hours=max_lag_hours + 1))
+    days = (hi.date() - lo.date()).days
+    hours = range(24) if days else range(lo.hour, hi.hour + 1)
+    stamps = [datetime.datetime.combine(lo.date() + datetime.timedelta(days=i), datetime.time())
+              for i in range(days + 1)]
+    return partition_glob(root, stamps, hours)
 
 
 def read_processed(spark: SparkSession, root: str, start=None, end=None,
@@ -43,22 +36,21 @@ def read_processed(spark: SparkSession, root: str, start=None, end=None,
     Spark does not derive partition bounds from ``observed_at``; we add
     them (``partition_bounds``) so a 24-hour query reads only the partitions
     that can hold those hours, then filter the exact range. With both ends
-    and ``max_lag_hours`` given, only those folders are listed at all.
-    ``fmt="json"`` reads the NDJSON flavour with the declared schema (a
-    column missing from a file reads NULL).
+    and ``max_lag_hours`` given, only those folders are listed at all. The
+    schema is the declared one in every flavour (a column missing from a file
+    reads NULL); ``merge_schema`` adds columns beyond it that Parquet files
+    hold. A zone that does not exist yet has no rows.
     """
-    reader = spark.read
-    if fmt == "json":
-        reader = reader.schema(PROCESSED)
-    elif merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    hours = _bounded_hours(start, end, max_lag_hours)
-    if hours is not None:
-        # bounded range: list only the folders that can hold it
-        df = _load(spark, reader, root, partition_glob(root, hours), PROCESSED, fmt)
-        df = df.filter(hour_in(hours))
-    else:
-        df = reader.format(fmt).load(root)
+    path = _folders(root, start, end, max_lag_hours)
+    schema = PROCESSED
+    if merge_schema and fmt == "parquet":
+        found = load_or_empty(spark, spark.read.option("mergeSchema", "true"), root, path,
+                              PROCESSED, fmt).schema
+        have = set(PROCESSED.fieldNames())
+        parts = [f for f in PROCESSED.fields if f.name in PARTITION_COLS]
+        schema = T.StructType([f for f in PROCESSED.fields if f.name not in PARTITION_COLS]
+                              + [f for f in found.fields if f.name not in have] + parts)
+    df = load_or_empty(spark, spark.read.schema(schema), root, path, schema, fmt)
     bounds = partition_bounds(start, end, max_lag_hours)
     if bounds is not None:
         df = df.filter(bounds)
@@ -68,3 +60,11 @@ def read_processed(spark: SparkSession, root: str, start=None, end=None,
     if end is not None:
         df = df.filter(t < ts_literal(end))
     return df
+
+
+def read_processed_hours(spark: SparkSession, root: str, hours: list[datetime.datetime]) -> DataFrame:
+    """Processed readings of the given processing hours; only their folders
+    are listed."""
+    df = load_or_empty(spark, spark.read.schema(PROCESSED), root, partition_glob(root, hours),
+                       PROCESSED, "parquet")
+    return df.filter(hour_in(hours))

@@ -25,13 +25,18 @@ CORRUPT = "_corrupt_record"
 
 def _typed(schema: T.StructType) -> tuple[list[Column], list[Column]]:
     """Cast string fields to ``schema`` with ``try_cast``; per field, the
-    field's name when its text did not parse (value present, cast NULL)."""
+    field's name when its text did not parse (value present, cast NULL).
+    Whole numbers may be written as decimals (``45.0``); a fraction in an
+    integer field is malformed."""
     cols, bad = [], []
     for f in schema.fields:
         if isinstance(f.dataType, T.StringType):
             cols.append(F.col(f.name))
             continue
         cast = F.col(f.name).try_cast(f.dataType)
+        if isinstance(f.dataType, T.IntegralType):
+            number = F.col(f.name).try_cast("double")
+            cast = F.coalesce(cast, F.when(number == F.floor(number), number.try_cast(f.dataType)))
         cols.append(cast.alias(f.name))
         bad.append(F.when(F.col(f.name).isNotNull() & cast.isNull(), F.lit(f.name)))
     return cols, bad
@@ -42,8 +47,9 @@ def _alts(values, pad: bool) -> str:
     return "{" + ",".join(sorted(names)) + "}"
 
 
-def partition_glob(root: str, hours) -> str:
-    """One path glob covering the folders of ``hours`` (datetimes), in both
+def partition_glob(root: str, hours, day_hours=None) -> str:
+    """One path glob covering the folders of ``hours`` (datetimes; with
+    ``day_hours``, those hours of their days), in both
     directory spellings (``month=3`` / ``month=03``). It may also match a few
     neighbouring folders (year/month/day/hour sets are combined); callers
     filter on the exact partition values, so only the listing is widened."""
@@ -51,12 +57,7 @@ def partition_glob(root: str, hours) -> str:
     return (f"{root.rstrip('/')}/year={_alts({h.year for h in hours}, False)}"
             f"/month={_alts({h.month for h in hours}, True)}"
             f"/day={_alts({h.day for h in hours}, True)}"
-            f"/hour={_alts({h.hour for h in hours}, True)}")
-
-
-def hour_glob(root: str, run_hour: str) -> str:
-    """Path glob of one hour's folder(s), padded or unpadded."""
-    return partition_glob(root, [_dt.datetime.strptime(run_hour, "%Y-%m-%dT%H")])
+            f"/hour={_alts(set(day_hours) if day_hours is not None else {h.hour for h in hours}, True)}")
 
 
 def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
@@ -85,7 +86,7 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     hours = ([run_hour] if run_hour is not None else []) + list(run_hours or [])
     if hours:
         parsed = [_dt.datetime.strptime(h, "%Y-%m-%dT%H") for h in hours]
-        df = _load(spark, reader, root, partition_glob(root, parsed), text_schema, "json")
+        df = load_or_empty(spark, reader, root, partition_glob(root, parsed), text_schema, "json")
         df = df.filter(hour_in(parsed))
     else:
         df = reader.json(root)
@@ -101,13 +102,19 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
 
 
 def hour_in(hours) -> Column:
-    """Exact partition predicate for a list of hours (partition columns only)."""
-    keys = [h.year * 1000000 + h.month * 10000 + h.day * 100 + h.hour for h in hours]
-    y, m, d, hr = (F.col(c).cast("bigint") for c in ("year", "month", "day", "hour"))
-    return (y * 1000000 + m * 10000 + d * 100 + hr).isin(keys)
-
-
-def _load(spark: SparkSession, reader, root: str, glob: str, empty_schema: T.StructType,
+    """Exact partition predicate for a list of hours: comparisons on the bare
+    partition columns, the hours of a day together."""
+    days: dict[_dt.date, set[int]] = {}
+    for h in hours:
+        days.setdefault(h.date(), set()).add(h.hour)
+    out = F.lit(False)
+    for d, hrs in sorted(days.items()):
+        out = out | ((F.col("year") == d.year) & (F.col("month") == d.month)
+                     & (F.col("day") == d.day) & F.col("hour").isin(sorted(hrs)))
+    return out
+
+
+def load_or_empty(spark: SparkSession, reader, root: str, glob: str, empty_schema: T.StructType,
           fmt: str) -> DataFrame:
     try:
         return reader.option("basePath", root).format(fmt).load(glob)

@@ -10,7 +10,9 @@ never written by a single task.
 from __future__ import annotations
 
 import hashlib
+import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,15 +37,45 @@ def write_raw(df: DataFrame, root: str, run_hour: str | None = None) -> None:
     _by_partition(df).write.mode("append").partitionBy(*PARTITION_COLS).json(root)
 
 
+def _padded(spark: SparkSession, root: str) -> dict[tuple, list]:
+    """Hour folders of ``root`` spelled with a leading zero somewhere
+    (``month=03``), by their hour. Folder names only, no data."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[tuple, list] = {}
+    for status in fs.globStatus(path(f"{root.rstrip('/')}/year=*/month=*/day=*/hour=*")) or []:
+        found = re.findall(r"(?:year|month|day|hour)=(\d+)", str(status.getPath()))[-4:]
+        if len(found) == 4 and any(x != str(int(x)) for x in found):
+            out.setdefault(tuple(int(x) for x in found), []).append((fs, status.getPath()))
+    return out
+
+
+def _drop_padded(spark: SparkSession, root: str, replaced: DataFrame | list[tuple]) -> None:
+    """Remove the zero-padded folders of hours that have just been replaced
+    under the unpadded name, so that an hour stands in one folder only."""
+    padded = _padded(spark, root)
+    if not padded:
+        return
+    if isinstance(replaced, DataFrame):
+        hours = spark.createDataFrame(list(padded), ", ".join(f"{c} int" for c in PARTITION_COLS))
+        replaced = [tuple(r) for r in replaced.select(*PARTITION_COLS).distinct()
+                    .join(hours, PARTITION_COLS, "left_semi").collect()]  # one row per padded hour
+    for hour in replaced:
+        for fs, folder in padded.get(hour, []):
+            fs.delete(folder, True)
+
+
 def write_partitions(df: DataFrame, root: str, fmt: str = "parquet") -> None:
     """Dynamic partition overwrite: every hour present in ``df`` is replaced
-    whole, other hours are untouched (S8, S12). An hour absent from ``df``
+    whole, other hours are untouched (S8, S12), whichever way its folder is
+    spelled (``month=3``, ``month=03``). An hour absent from ``df``
     keeps its old files; use ``overwrite_hour`` for an hour that may be empty.
     """
     (_by_partition(df).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy" if fmt == "parquet" else "none")
         .partitionBy(*PARTITION_COLS).format(fmt).save(root))
+    _drop_padded(df.sparkSession, root, df)
 
 
 def register_table(spark: SparkSession, name: str, root: str, schema, fmt: str = "parquet",
@@ -87,24 +119,51 @@ def overwrite_hour(spark: SparkSession, table: str, df: DataFrame, run_hour: str
     spark.catalog.dropTempView(view)
 
 
-def clear_hour(spark: SparkSession, root: str, schema, run_hour: str,
-               fmt: str = "parquet") -> None:
-    """Empty one hour of a path-based zone (S8 re-run guard without a table).
+def clear_hours(spark: SparkSession, root: str, schema, run_hours: list[str],
+                fmt: str = "parquet") -> None:
+    """Empty hours of a path-based zone (S8 re-run guard without a table).
 
-    A dynamic overwrite cannot empty an hour, so this goes through a catalog
-    handle on ``root`` (created without listing its partitions) and a static
-    partition overwrite, which removes that hour's files only.
+    A dynamic overwrite cannot empty an hour, so this goes through a passing
+    catalog handle on ``root`` (created without listing its partitions) and
+    removes the hours' folders.
     """
+    if not run_hours:
+        return
     name = "_nimbus_hours_" + hashlib.sha1(f"{fmt}:{root}".encode()).hexdigest()[:16]
     register_table(spark, name, root, schema, fmt=fmt, recover_on_create=False)
-    overwrite_hour(spark, name, spark.createDataFrame([], schema), run_hour)
+    try:
+        empty_hours(spark, name, run_hours)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+    _drop_padded(spark, root, [tuple(run_hour_parts(h).values()) for h in run_hours])
+
+
+def empty_hours(spark: SparkSession, table: str, run_hours: list[str]) -> None:
+    """Empty hours of a registered table (its files and catalog entries)."""
+    _empty_partitions(spark, table, [run_hour_parts(h) for h in run_hours])
+
+
+def _empty_partitions(spark: SparkSession, table: str, parts: list[dict]) -> None:
+    """Remove the files of partitions: registered, their folders are deleted
+    through the file system that holds them and the entries dropped in one
+    statement. Works on partition metadata only."""
+    if not parts:
+        return
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    root = location["data_type"].rstrip("/")
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for p in parts:
+        fs.delete(path(root + "/" + "/".join(f"{c}={p[c]}" for c in PARTITION_COLS)), True)
+    specs = ", ".join("PARTITION (" + ", ".join(f"{c}={p[c]}" for c in PARTITION_COLS) + ")" for p in parts)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
 def expire_partitions(spark: SparkSession, table: str, before) -> DataFrame:
-    """Drop hours older than ``before`` (S13): empty each hour's files with a
-    static overwrite, then drop its catalog entry. Works from partition
-    metadata (one row per hour), never from data rows. Returns the dropped
-    partitions."""
+    """Drop hours older than ``before`` (S13): their folders are removed and
+    their catalog entries dropped in one statement. Works from partition
+    metadata (one row per hour), never from data rows, and starts no job per
+    hour. Returns the dropped partitions."""
     parts = spark.sql(f"SHOW PARTITIONS {table}")
     kv = F.split(F.col("partition"), "/")
     for i, c in enumerate(PARTITION_COLS):
@@ -113,16 +172,7 @@ def expire_partitions(spark: SparkSession, table: str, before) -> DataFrame:
                                             F.lit(0), F.lit(0))
                        < ts_literal(before, "timestamp_ntz"))
     dropped = old.select(*PARTITION_COLS).collect()  # partition metadata only
-    nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`"
-                      for f in spark.table(table).schema.fields if f.name not in PARTITION_COLS)
-    specs = [", ".join(f"{c}={r[c]}" for c in PARTITION_COLS) for r in dropped]
-    for spec in specs:
-        # external table: dropping the catalog entry alone would keep the files
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) "
-                  f"SELECT {nulls} WHERE false")
-    if specs:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
-                  + ", ".join(f"PARTITION ({spec})" for spec in specs))
+    _empty_partitions(spark, table, [r.asDict() for r in dropped])
     return spark.createDataFrame(dropped, ", ".join(f"{c} int" for c in PARTITION_COLS))
 
 
@@ -140,12 +190,10 @@ def refresh_table(df: DataFrame, name: str) -> int:
     obs = Observation(f"refresh_{name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(name)
     try:
-        return int(obs.get["rows"])
-    except Exception:  # noqa: BLE001 - empty input: Spark drops the observe node
-        return df.sparkSession.table(name).count()
-
-
-def require_rows(df: DataFrame, what: str) -> None:
-    """Empty-input guard."""
-    if df.isEmpty():
-        raise RuntimeError(f"No {what} to process")
+        seen = obs.get
+    except PySparkException as exc:
+        # Spark drops the observation together with an empty input.
+        if "observ" not in str(exc).lower():
+            raise
+        seen = {}
+    return int(seen["rows"]) if "rows" in seen else df.sparkSession.table(name).count()

@@ -18,39 +18,43 @@ partition pruning here and would rescan the whole raw zone on every batch.
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from nimbus.plans.jobs import processed_from_raw
+from nimbus.operators.validate import ingest_rules, split_counts
+from nimbus.plans.jobs import processed_from_raw, rejected_from_raw
 from nimbus.plans.marts import update_hourly_summary
-from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, READING
+from nimbus.schemas import PARTITION_FIELDS, READING
 from nimbus.sources.raw import read_raw
 from nimbus.sources.sinks import write_partitions
 
 
-def hour_key() -> Column:
-    """``yyyymmddhh`` as one bigint, built from partition columns only."""
-    y, m, d, h = (F.col(c).cast("bigint") for c in PARTITION_COLS)
-    return y * 1000000 + m * 10000 + d * 100 + h
+log = logging.getLogger(__name__)
+
+# New files of one trigger: the first run over a long history is many batches.
+MAX_FILES = 10_000
+_HOUR_IN_PATH = r"year=(\d+)/month=(\d+)/day=(\d+)/hour=(\d+)/"
 
 
 def touched_hours(batch: DataFrame) -> list[int]:
-    """Distinct hour keys of a micro-batch (partition metadata, not rows)."""
-    return [r[0] for r in batch.select(hour_key().alias("k")).distinct().collect()
-            if r[0] is not None]
+    """Distinct hour keys (yyyymmddhh) of a micro-batch, taken from the names
+    of its files: no column of the data is read for them."""
+    part = [F.regexp_extract(F.col("_file"), _HOUR_IN_PATH, i + 1).cast("bigint") for i in range(4)]
+    key = part[0] * 1000000 + part[1] * 10000 + part[2] * 100 + part[3]
+    return [r[0] for r in batch.select(key.alias("k")).distinct().collect() if r[0] is not None]
 
 
-def raw_stream(spark: SparkSession, raw_root: str, max_files: int | None = None) -> DataFrame:
+def raw_stream(spark: SparkSession, raw_root: str, max_files: int = MAX_FILES) -> DataFrame:
+    """Names of newly landed raw files, one row for each of their records."""
     schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in READING.fields]
                           + PARTITION_FIELDS)
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r.json(raw_root)
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    return r.json(raw_root).select(F.col("_metadata.file_path").alias("_file"))
 
 
 def _run_hour(key: int) -> str:
@@ -59,23 +63,40 @@ def _run_hour(key: int) -> str:
 
 
 def ingest_stream(spark: SparkSession, raw_root: str, processed_root: str, checkpoint: str,
-                  processed_at: str | None = None, max_files: int | None = None,
+                  processed_at: str | None = None, max_files: int = MAX_FILES,
                   available_now: bool = True, summary_root: str | None = None,
-                  max_lag_hours: int = 2) -> StreamingQuery:
-    """Process newly landed raw files; with ``summary_root`` also keep the
-    hourly summary current for the observed hours the batch can change."""
+                  quarantine_root: str | None = None) -> StreamingQuery:
+    """Process newly landed raw files.
+
+    Valid rows go to ``processed_root``; with ``quarantine_root`` the others
+    go there with their reasons, and without it a batch that holds any fails,
+    so no row is lost unseen. With ``summary_root`` the hourly summary is kept
+    current for every observed hour the batch holds, however old. A trigger
+    takes at most ``max_files`` new files; ``availableNow`` runs as many
+    triggers as there is data for."""
     stamp = processed_at or datetime.now(timezone.utc).isoformat()
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         keys = touched_hours(batch)
         if not keys:
             return
-        full = read_raw(batch.sparkSession, raw_root, run_hours=[_run_hour(k) for k in keys])
-        write_partitions(processed_from_raw(full, stamp), processed_root)
+        session = batch.sparkSession
+        hours = [_run_hour(k) for k in keys]
+        full = read_raw(session, raw_root, run_hours=hours).persist()
+        try:
+            counts = split_counts(full, ingest_rules()).first()
+            if counts.invalid_count and not quarantine_root:
+                raise RuntimeError(f"{counts.invalid_count} records failed validation and there is "
+                                   "no quarantine_root for them")
+            log.info("batch %d: %d hours, valid=%d invalid=%d", batch_id, len(hours),
+                     counts.valid_count, counts.invalid_count)
+            write_partitions(processed_from_raw(full, stamp), processed_root)
+            if quarantine_root:
+                write_partitions(rejected_from_raw(full), quarantine_root, fmt="json")
+        finally:
+            full.unpersist()
         if summary_root:
-            update_hourly_summary(batch.sparkSession, processed_root, summary_root,
-                                  _run_hour(min(keys)), max_lag_hours,
-                                  until_hour=_run_hour(max(keys)))
+            update_hourly_summary(session, processed_root, summary_root, hours)
 
     w = (raw_stream(spark, raw_root, max_files).writeStream
          .foreachBatch(per_batch).option("checkpointLocation", checkpoint))

@@ -68,11 +68,26 @@ def read_latest(spark: SparkSession, out: str, keys) -> DataFrame:
     return latest_per_key(df, list(keys), [F.col("batch_id").desc()]).drop("batch_id")
 
 
-def drain(query: StreamingQuery, timeout_s: int = 600) -> None:
-    query.awaitTermination(timeout_s)
-    if query.isActive:
+def compact(spark: SparkSession, out: str, into: str, keys) -> DataFrame:
+    """Write the final state of an update-mode output as one table, so that
+    later readers do not sort through every update ever emitted."""
+    read_latest(spark, out, keys).write.mode("overwrite").parquet(into)
+    return spark.read.parquet(into)
+
+
+def drain(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait until the stream ends; an error of the stream is raised. Without
+    ``timeout_s`` there is no limit of time."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
         query.stop()
         raise TimeoutError("stream did not finish")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
+
+def dropped_late(query: StreamingQuery) -> int:
+    """Rows that the recent triggers dropped as later than the watermark."""
+    return sum(int(op["numRowsDroppedByWatermark"])
+               for p in query.recentProgress for op in p["stateOperators"])

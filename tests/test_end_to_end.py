@@ -106,7 +106,7 @@ def test_incremental_marts_equal_full_refresh(spark):
         process_hour(spark, raw, out, run, processed_at="p")
         this_hour = read_processed(spark, out).filter(f"hour = {h}")
         update_current(spark, table, this_hour)
-        update_hourly_summary(spark, out, summ, run, max_lag_hours=1)
+        update_hourly_summary(spark, out, summ, run)
     full = stg_weather_raw(read_processed(spark, out))
     cols = sorted(spark.table(table).columns)
     assert sorted(map(tuple, spark.table(table).select(cols).collect())) == \

@@ -23,8 +23,8 @@ def test_exact_mean_is_half_up_of_true_mean(spark, groups):
     rows = [(g, c / 100) for g, vals in enumerate(groups) for c in vals]
     df = spark.createDataFrame(rows, "g int, v double")
     got = {r.g: (r.m2, r.m1, r.raw) for r in df.groupBy("g").agg(
-        exact.exact_mean("v", 2).alias("m2"), exact.exact_mean("v", 1).alias("m1"),
-        exact.exact_mean("v", None).alias("raw")).collect()}
+        exact.exact_mean("v", 2, 2).alias("m2"), exact.exact_mean("v", 1, 2).alias("m1"),
+        exact.exact_mean("v", None, 2).alias("raw")).collect()}
     for g, vals in enumerate(groups):
         true = Decimal(sum(vals)) / Decimal(100 * len(vals))
         m2 = float(true.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))

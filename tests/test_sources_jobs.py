@@ -278,3 +278,50 @@ def test_path_based_rerun_clears_emptied_hours(spark):
     assert sorted(r.hour for r in spark.read.parquet(out).collect()) == [15, 16]
     from nimbus.plans.jobs import QUARANTINE
     assert spark.read.schema(QUARANTINE).json(quar).count() == 0
+
+
+def test_read_processed_has_one_path_for_every_range(spark):
+    """A zone that is missing, and ranges short and long, read with the same schema."""
+    import datetime as dt
+
+    from nimbus.schemas import PROCESSED
+    from nimbus.sources.processed import read_processed
+    missing = new_dir() + "/none"
+    end = dt.datetime(2024, 4, 1)
+    for days in (1, 62, 63, 4000):
+        got = read_processed(spark, missing, start=end - dt.timedelta(days=days), end=end, max_lag_hours=0)
+        assert got.schema == PROCESSED and got.count() == 0
+    assert read_processed(spark, missing).count() == 0
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import types
+
+    import pytest
+
+    from nimbus.session import ensure_checkpoint_dir
+    conf = types.SimpleNamespace(get=lambda key, default=None: default)
+    sc = types.SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(types.SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_unique_test_compares_by_type(spark):
+    from nimbus.operators.quality import model_tests
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.0,)], "v double")
+    assert model_tests(df, [("unique", "v")]).first().failures == 1
+
+
+def test_coverage_reports_unexpected_states(spark):
+    from nimbus.operators.quality import coverage_report
+    df = spark.createDataFrame([("A", "NY"), ("B", "TX")], "city string, state string")
+    r = coverage_report(df, "state", "city", None, ["NY", "NJ"], 1).first()
+    assert (r.missing_states, r.unexpected_states) == (["NJ"], 1)
+
+
+def test_exact_avg_needs_a_scale():
+    import pytest
+
+    from nimbus.operators.summary import Metric
+    with pytest.raises(ValueError, match="scale"):
+        Metric("m", "exact_avg", "v", 2)
