@@ -68,5 +68,16 @@ def doc_rows(docs: DataFrame) -> DataFrame:
                        text.alias("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    have = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        out.append(n)
+    return out
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import doc_rows, id_key, key_to_id, prepare, staged
+from nimbus.llm.common import doc_rows, id_key, key_to_id, prepare, staged, unused
 from nimbus.llm.words import ALNUM, Words, groups
 
 WINDOW = 13
@@ -218,6 +218,7 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = staged(contamination(docs, benchmark).where(is_contaminated()).select(F.col("did").alias("__bad"), F.col("rk").alias("__text")).distinct(), "contaminated")
-    key = docs.withColumn("__did", id_key()).withColumn("__rk", F.xxhash64("__did", F.coalesce(F.col("text"), F.lit(""))))
-    return key.join(bad, (F.col("__did") == F.col("__bad")) & (F.col("__rk") == F.col("__text")), "left_anti").select([F.col(c) for c in docs.columns])
+    c_did, c_rk, c_bad, c_text = unused(docs, "__did", "__rk", "__bad", "__text")
+    bad = staged(contamination(docs, benchmark).where(is_contaminated()).select(F.col("did").alias(c_bad), F.col("rk").alias(c_text)).distinct(), "contaminated")
+    key = docs.withColumn(c_did, id_key()).withColumn(c_rk, F.xxhash64(c_did, F.coalesce(F.col("text"), F.lit(""))))
+    return key.join(bad, (F.col(c_did) == F.col(c_bad)) & (F.col(c_rk) == F.col(c_text)), "left_anti").select([F.col(c) for c in docs.columns])
