@@ -23,7 +23,7 @@ ROUND_TRIPS = {"process_hour_rejects", "backfill_rejects", "stream_ingest_reject
                "late_window", "float_integers", "padded_rerun", "mixed_schema"}
 
 NOTES = {
-    "hourly_summary": "stage 1: codegen hash aggregate per (user, hour, type) with partial step; stage 2 rolls up and picks the label by min_by over the reduced rows",
+    "hourly_summary": "stage 1: codegen hash aggregate per (user, hour, type) with partial step; stage 2 rolls up and picks the label by min_by, one row per label and group (few where groups are small)",
     "daily_summary_raw": "same two stages at day grain; exact integer-cent sums",
     "latest_per_user": "partial WindowGroupLimit keeps 1 row per user per map task before the shuffle",
     "latest_keep_ties": "rank()=1 with partial WindowGroupLimit; only tied rows survive the map side",
