@@ -8,11 +8,13 @@ rows independently, with literal values.
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbus.operators.filters import latest, trailing_window
+from nimbus.operators.flatten import flatten_payload, to_record
 from nimbus.operators.quality import quality_report
 from nimbus.operators.summary import weather_metrics
 from nimbus.operators.validate import MALFORMED, quality_rules, reason_text
@@ -20,10 +22,12 @@ from nimbus.plans import dashboard, marts
 from nimbus.plans.jobs import QUARANTINE, backfill, process_hour, processed_from_raw
 from nimbus.plans.standins import table
 from nimbus.plans.weather_rows import WEATHER_SQL, weather_rows
+from nimbus.schemas import PROCESSED, READING
 from nimbus.session import work_dir
+from nimbus.sources.keyed import collect_keyed
 from nimbus.sources.processed import read_processed
-from nimbus.sources.raw import read_raw
-from nimbus.sources.sinks import write_partitions, write_raw
+from nimbus.sources.raw import read_mixed_json, read_payload, read_raw
+from nimbus.sources.sinks import expire_partitions, register_table, write_partitions, write_raw
 from nimbus.streaming import drain, ingest_stream
 
 STAMP = "2024-12-31T00:00:00+00:00"
@@ -403,7 +407,98 @@ def q_aware_as_of(spark, sf):
 
 SQL_AWARE_AS_OF = "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-19 12:30:00'"
 
+# ---------------------------------------------------------------- other sources and sinks
+
+_READING = ["city", "state", "country", "lat", "lon", "observed_at", "temp_f", "feels_like_f", "humidity_pct", "wind_speed_mph",
+            "wind_gust_mph", "clouds_pct", "condition_main", "condition_description"]
+
+
+def q_payload_scan(spark, sf):
+    """Nested documents written and read back, then flattened."""
+    base = work_dir(spark, "payload")
+    w = weather_rows(spark, sf)
+    second = F.unix_seconds(F.col("observed_at").cast("timestamp"))
+    docs = w.select(
+        F.struct("lon", "lat").alias("coord"),
+        F.array(F.struct(F.col("condition_id").alias("id"), F.col("condition_main").alias("main"), F.col("condition_description").alias("description"))).alias("weather"),
+        F.struct(F.col("temp_f").alias("temp"), F.col("feels_like_f").alias("feels_like"), F.col("temp_min_f").alias("temp_min"), F.col("temp_max_f").alias("temp_max"),
+                 F.col("pressure_hpa").alias("pressure"), F.col("humidity_pct").alias("humidity")).alias("main"),
+        F.struct(F.col("wind_speed_mph").alias("speed"), F.col("wind_gust_mph").alias("gust")).alias("wind"),
+        F.when(F.col("event_id") % 5 != 0, F.struct(F.col("clouds_pct").alias("all"))).alias("clouds"),
+        F.when(F.col("event_id") % 7 != 0, F.struct("country")).alias("sys"), second.alias("dt"), F.col("city").alias("name"), F.col("state").alias("base"))
+    docs.write.json(f"{base}/docs")
+    flat = to_record(flatten_payload(read_payload(spark, f"{base}/docs"), city="name", state="base", fetched_at=F.lit(STAMP)))
+    return flat.select(*_READING)
+
+
+SQL_PAYLOAD_SCAN = f"""
+SELECT city, state, CASE WHEN event_id % 7 <> 0 THEN country ELSE 'US' END AS country, lat, lon,
+       strftime(date_trunc('second', seen), '%Y-%m-%dT%H:%M:%S+00:00') AS observed_at, temp_f, feels_like_f, humidity_pct, wind_speed_mph,
+       wind_gust_mph, CASE WHEN event_id % 5 <> 0 THEN clouds_pct ELSE 0 END AS clouds_pct, condition_main, condition_description
+FROM ({WEATHER_SQL})
+"""
+
+
+def q_mixed_json(spark, sf):
+    """Lines that hold an object and lines that hold an array of objects."""
+    base = work_dir(spark, "mixed-json")
+    w = weather_rows(spark, sf)
+    one = F.struct(*[F.col(c) for c in _READING])
+    single = w.where("event_id % 3 != 0").select(F.to_json(one).alias("value"))
+    many = (w.where("event_id % 3 = 0").groupBy(F.floor(F.col("event_id") / 30)).agg(F.to_json(F.collect_list(one)).alias("value")).select("value"))
+    single.unionByName(many).write.text(f"{base}/lines")
+    return read_mixed_json(spark, f"{base}/lines", READING).select(*_READING)
+
+
+SQL_MIXED_JSON = f"SELECT {', '.join(_READING)} FROM ({WEATHER_SQL})"
+
+
+def q_ndjson_processed(spark, sf):
+    """The processed zone in its JSON flavour."""
+    base = work_dir(spark, "ndjson")
+    write_partitions(processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP), f"{base}/out", fmt="json")
+    return read_processed(spark, f"{base}/out", fmt="json").select("city", "state", "observed_at", "temp_f", "year", "month", "day", "hour")
+
+
+def q_retention(spark, sf):
+    """A registered zone after hours older than a date were dropped."""
+    base = work_dir(spark, "retention")
+    write_partitions(processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP), f"{base}/out")
+    name = f"nimbus_retention_{uuid.uuid4().hex[:12]}"
+    register_table(spark, name, f"{base}/out", PROCESSED)
+    try:
+        expire_partitions(spark, name, "2024-07-01 00:00:00")
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return read_processed(spark, f"{base}/out").select("city", "state", "observed_at", "temp_f", "year", "month", "day", "hour")
+
+
+SQL_RETENTION = f"SELECT city, state, observed_at, temp_f, year, month, day, hour FROM ({_VALID_SQL}) WHERE land >= TIMESTAMP '2024-07-01 00:00:00'"
+
+
+def _answer(key: dict) -> dict:
+    """A transport in place of the API: some keys fail."""
+    if key["c_custkey"] % 7 == 0:
+        raise ValueError("no answer for " + "x" * (key["c_custkey"] % 1500))
+    return {"name": key["c_name"], "n": key["c_custkey"]}
+
+
+def q_keyed_collect(spark, sf):
+    """A call for each key of a table, failures kept as rows."""
+    keys = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return collect_keyed(keys, _answer).select("c_custkey", "status", "error", "payload")
+
+
+SQL_KEYED_COLLECT = """
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN c_custkey % 7 = 0 THEN 'ValueError: no answer for ' || repeat('x', CAST(c_custkey % 1500 AS INTEGER)) END AS error,
+       CASE WHEN c_custkey % 7 <> 0 THEN '{"name": "' || c_name || '", "n": ' || c_custkey || '}' END AS payload
+FROM customer
+"""
+
 QUERIES = {
+    "payload_scan": q_payload_scan, "mixed_json": q_mixed_json, "ndjson_processed": q_ndjson_processed,
+    "retention": q_retention, "keyed_collect": q_keyed_collect,
     "stg_weather_raw": q_stg_weather_raw, "weather_current": q_weather_current, "weather_current_ties": q_weather_current_ties,
     "weather_hourly_dbt": _q_hourly("dbt"), "weather_hourly_sync": _q_hourly("sync"), "weather_hourly_raw": _q_hourly("raw"),
     "city_advice": q_city_advice, "snapshot_with_delta": q_snapshot_with_delta, "temperature_series": q_temperature_series,
@@ -413,6 +508,8 @@ QUERIES = {
     "padded_rerun": q_padded_rerun, "mixed_schema": q_mixed_schema, "aware_as_of": q_aware_as_of,
 }
 ORACLE_SQL = {
+    "payload_scan": SQL_PAYLOAD_SCAN, "mixed_json": SQL_MIXED_JSON, "ndjson_processed": SQL_PADDED_RERUN,
+    "retention": SQL_RETENTION, "keyed_collect": SQL_KEYED_COLLECT,
     "stg_weather_raw": _STG_SQL, "weather_current": SQL_WEATHER_CURRENT, "weather_current_ties": SQL_WEATHER_CURRENT_TIES,
     "weather_hourly_dbt": _sql_hourly(_DBT_METRICS), "weather_hourly_sync": _sql_hourly(_SYNC_METRICS, drop_null=False),
     "weather_hourly_raw": _sql_hourly(_RAW_METRICS, drop_null=False), "city_advice": SQL_CITY_ADVICE,

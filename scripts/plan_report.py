@@ -20,7 +20,8 @@ from nimbus.session import get_session  # noqa: E402
 
 # Why each plan holds at scale (one line per query).
 ROUND_TRIPS = {"process_hour_rejects", "backfill_rejects", "stream_ingest_rejects", "incremental_summary",
-               "late_window", "float_integers", "padded_rerun", "mixed_schema"}
+               "late_window", "float_integers", "padded_rerun", "mixed_schema",
+               "payload_scan", "mixed_json", "ndjson_processed", "retention", "keyed_collect"}
 
 NOTES = {
     "hourly_summary": "stage 1: codegen hash aggregate per (user, hour, type) with partial step; stage 2 rolls up and picks the label by min_by, one row per label and group (few where groups are small)",

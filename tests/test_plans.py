@@ -137,7 +137,8 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF")
 STORAGE = {"processed_window", "stream_ingest", "stream_hourly", "stream_dedup", "process_hour_rejects",
            "backfill_rejects", "stream_ingest_rejects", "incremental_summary", "late_window",
-           "float_integers", "padded_rerun", "mixed_schema"}
+           "float_integers", "padded_rerun", "mixed_schema",
+           "payload_scan", "mixed_json", "ndjson_processed", "retention", "keyed_collect"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STORAGE))
