@@ -46,29 +46,42 @@ TRIGGER = 4
 MODULUS = 24
 
 
+def _first_equal(ordered: np.ndarray) -> np.ndarray:
+    """For sorted keys: the place of the first one equal to each."""
+    new = np.append(True, ordered[1:] != ordered[:-1])[:len(ordered)]
+    return np.maximum.accumulate(np.where(new, np.arange(len(ordered)), 0))
+
+
 def dense(key: np.ndarray) -> np.ndarray:
-    """Ranks of keys, equal for equal keys, from 1."""
+    """Ranks of keys: 1 and the number of smaller ones, so that keys which
+    share a rank can be told apart later without moving any other."""
     order = np.argsort(key)
-    ordered = key[order]
     rank = np.empty(len(key), np.int64)
-    rank[order] = np.cumsum(np.concatenate(([1], (ordered[1:] != ordered[:-1]).astype(np.int64))))[:len(key)]
+    rank[order] = _first_equal(key[order]) + 1
     return rank
 
 
 def doubled(rank: np.ndarray, left: np.ndarray, depth: int, enough: int) -> np.ndarray:
     """Prefix doubling: ranks of suffixes by their first ``enough`` symbols
     from ranks by the first ``depth``. ``left``: symbols to the end, where a
-    suffix stops (and sorts before its continuations)."""
+    suffix stops (and sorts before its continuations). Only suffixes that
+    still share their rank are sorted again."""
     n = len(rank)
     while depth < enough:
-        # Only suffixes that still share their rank and go on need more.
-        count = np.bincount(rank)
-        tied = np.flatnonzero((count[rank] > 1) & (left > depth))
+        count = np.bincount(rank, minlength=n + 2)
+        open_ = np.bincount(rank[left > depth], minlength=n + 2)
+        tied = np.flatnonzero((count > 1)[rank] & (open_ > 0)[rank])
         if not len(tied):
             break
-        nxt = np.zeros(n, np.int64)
-        nxt[tied] = rank[tied + depth]
-        rank = dense(rank * (n + 2) + nxt)
+        old = rank[tied]
+        goes = left[tied] > depth
+        nxt = np.zeros(len(tied), np.int64)
+        nxt[goes] = rank[tied[goes] + depth]
+        key = old * (n + 2) + nxt
+        order = np.argsort(key)
+        group = old[order]
+        rank = rank.copy()
+        rank[tied[order]] = group + _first_equal(key[order]) - _first_equal(group)
         depth *= 2
     return rank
 
