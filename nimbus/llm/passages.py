@@ -106,6 +106,12 @@ def sliding_min(a: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[w - 1:w - 1 + n])
 
 
+def text_of(first: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Number of the text that holds each of the units p .. q-1."""
+    a, b = np.searchsorted(first, [p, q - 1], "right") - 1
+    return np.repeat(np.arange(a, b + 1), np.diff(np.clip(first[a:b + 2], p, q)))
+
+
 def anchor_places(units, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
     """Hash and text of every k-unit string that is the smallest of some
     window. Equal windows hold it at the same offset, hence at different
@@ -118,7 +124,7 @@ def anchor_places(units, scheme: Scheme) -> tuple[np.ndarray, np.ndarray]:
         q = min(p + SLICE, int(first[-1]) - size + 1)
         strings = units.strings(p, q + size - 1, k)
         at = np.arange(p, q)
-        ok = at + size <= first[np.searchsorted(first, at, "right")]
+        ok = at + size <= first[text_of(first, p, q) + 1]
         # Largest anchor of the windows over a string, through its complement.
         over = np.full(len(strings) + w - 1, none)
         over[w - 1:w - 1 + len(at)] = np.where(ok, ~sliding_min(strings, w), none)
@@ -139,7 +145,7 @@ def runs(units, scheme: Scheme, k: int | None = None) -> tuple[np.ndarray, np.nd
         q = min(p + SLICE, int(first[-1]) - size + 1)
         anchor = sliding_min(units.strings(p, q + size - 1, k), size - k + 1)
         at = np.arange(p, q)
-        doc = np.searchsorted(first, at, "right") - 1
+        doc = text_of(first, p, q)
         ok = at + size <= first[doc + 1]
         new = np.ones(q - p, bool)
         new[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])
@@ -211,8 +217,8 @@ def _recut(segments: DataFrame, scheme: Scheme) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part[d][0] for d in owner], pa.int64()), pa.array([part[d][2] for d in owner], pa.int64()), pa.array(i, pa.int32()),
                  pa.array(anchor.view(np.int64)), pa.array(units.cut(begin, begin + scheme.window), pa.binary()),
-                 pa.array([part[d][3] + x for d, x in zip(owner, offset, strict=True)], pa.decimal128(38, 0)),
-                 pa.array([part[d][4] + x for d, x in zip(owner, offset, strict=True)], pa.decimal128(38, 0))],
+                 pa.array([int(part[d][3]) + x for d, x in zip(owner, offset, strict=True)], pa.decimal128(38, 0)),
+                 pa.array([int(part[d][4]) + x for d, x in zip(owner, offset, strict=True)], pa.decimal128(38, 0))],
                 ["anchor", "sh", "i", "window_anchor", "seg", "lo", "hi"])
 
     return segments.select("anchor", "seg", "sh", "lo", "hi").mapInArrow(run, "anchor long, sh long, i int, window_anchor long, seg binary, lo decimal(38,0), hi decimal(38,0)")
@@ -255,7 +261,8 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, locate: Callable, windows_
     prepare(spark)
     texts = doc_rows(docs).select("did", "rk", F.col("text").cast("binary").alias("text"))
     anchors = staged(_anchors(texts, scheme), "anchors")
-    repeated = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    # A table of its own, so that the join's hot anchors can be split.
+    repeated = staged(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated")
     wanted = staged(anchors.join(repeated, "anchor", "left_semi").groupBy("did", "rk").agg(F.collect_set("anchor").alias("anchors")), "repeated-anchors")
     # Rows given several times are one document: each of them would yield the same segments.
     segments = staged(_segments(texts.join(wanted, ["did", "rk"]), scheme).withColumn("sh", F.xxhash64("seg")), "segments")
