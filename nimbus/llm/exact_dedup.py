@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nimbus.llm.common import prepare, staged
+from nimbus.llm.common import prepare, staged, unused
 
 LOCAL_BYTES = 8 << 20
 SALTS = 16
@@ -103,7 +103,8 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_he
 def report(docs: DataFrame) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row."""
     groups = staged(exact_groups(docs), "exact-groups")
-    sizes = groups.groupBy("keep_uid").agg(F.count(F.lit(1)).alias("group_size"))
+    # A table of its own, so that the join's large groups can be split.
+    sizes = staged(groups.groupBy("keep_uid").agg(F.count(F.lit(1)).alias("group_size")), "exact-sizes")
     real = lambda c: F.when(F.col(c) != _LAST, F.col(c))
     return groups.join(sizes, "keep_uid").select(
         real("did").alias("doc_id"), real("keep_did").alias("keep_id"), "group_size",
@@ -117,13 +118,13 @@ def kept_documents(docs: DataFrame, digest: Callable[[Column], Column] = sha256_
     stays = F.col("uid") == F.col("keep_uid")
     # Rows are told apart by id and text; only repeated rows share both.
     by_row = groups.groupBy("did", "keep_uid").agg(F.max(stays.cast("int")).alias("stays"), F.count(F.lit(1)).alias("n"), F.first("digest").alias("digest"))
-    gone = staged(by_row.where("stays = 0").select(F.col("did").alias("__did"), F.col("digest").alias("__digest")), "exact-gone")
+    c_key, c_text, c_did, c_digest, c_read, c_n = unused(docs, "__key", "__text", "__did", "__digest", "__read", "__n")
+    gone = staged(by_row.where("stays = 0").select(F.col("did").alias(c_did), F.col("digest").alias(c_digest)), "exact-gone")
     again = staged(by_row.where("stays = 1 and n > 1").select("did"), "exact-repeated")
-    rows = docs.withColumns({"__key": key, "__text": digest(normalised())})
-    left = rows.join(gone, (F.col("__key") == F.col("__did")) & (F.col("__text") == F.col("__digest")), "left_anti")
-    if again.isEmpty():
-        return left.select([F.col(c) for c in docs.columns])
-    # Of rows with the same id and text the first one stays.
-    first = Window.partitionBy("__key", "__text").orderBy("__read")
-    one = left.withColumn("__read", F.monotonically_increasing_id()).withColumn("__n", F.row_number().over(first))
-    return one.where("__n = 1").select([F.col(c) for c in docs.columns])
+    rows = docs.withColumns({c_key: key, c_text: digest(normalised())})
+    left = rows.join(gone, (F.col(c_key) == F.col(c_did)) & (F.col(c_text) == F.col(c_digest)), "left_anti")
+    if not again.isEmpty():
+        # Of rows with the same id and text the first one stays.
+        first = Window.partitionBy(c_key, c_text).orderBy(c_read)
+        left = left.withColumn(c_read, F.monotonically_increasing_id()).withColumn(c_n, F.row_number().over(first)).where(F.col(c_n) == 1)
+    return left.select([F.col(c) for c in docs.columns])
