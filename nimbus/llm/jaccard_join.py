@@ -3,21 +3,27 @@
 d(x, y) = 1 - J(x, y) is a metric; two documents link within ``r`` = 1 - t.
 
 1. Documents with the same shingle set become one (its smallest ``doc_id``).
-2. *Regions.* Linked sets share one of their first ``n - ceil(t n) + 1``
-   shingles in any common order (here: longest first, as long shingles are
-   rare). All sets that hold a shingle there form the region of the smallest
-   of them; sets that share none of theirs have no links at all. So two linked
-   sets always meet in a region, and most regions are small families.
+2. *Regions.* In any common order (here: longest first, as long shingles are
+   rare) the first ``n - ceil(t n) + m`` shingles of a set hold the m smallest
+   ones it shares with a linked set. So with ``m = 1 + n // EXTRA`` two linked
+   sets share several of theirs, and a set most of whose first shingles no
+   other set has there has no links at all. The sets left that hold a shingle
+   there form the region of the smallest of them: two linked sets always meet
+   in one, and most regions are small families. A set that meets others in
+   R regions keeps those in which it holds at least an Rth of the shingles a
+   linked set must share with it: the shared ones lie in at most R regions, so
+   one region of both sets has that many.
 3. *Common shingles.* Where more than ``CAP`` sets hold a shingle, these sets
    (and only these) take part again, with such shingles last in the order.
    What remains common then belongs to sets made of common shingles.
 4. *Pivots.* A region of more than ``CAP`` sets gets a few pivots, the densest
-   of a sample. Each set goes to the Voronoi region of its nearest pivot and,
+   of its sets. Each set goes to the Voronoi region of its nearest pivot and,
    by the triangle inequality, to every pivot not more than 2r farther (the
    boundary). A set within r of the pivot is linked to it. Sets nearer to the
    pivot than the nearest unlinked one by more than r need no look any more,
-   and a region whose sets are all linked to its pivot is done. The rest is a
-   smaller region, and the step is repeated. Where sets stay as close to the
+   and a region whose sets are all linked to its pivot is done. A few unlinked
+   sets meet the linked ones portion by portion; else the rest is a smaller
+   region, and the step is repeated. Where sets stay as close to the
    boundary as before, the region is cut into blocks and each pair of blocks
    is a region.
 5. Regions of at most ``CAP`` sets are joined in one task each, recursively by
@@ -39,11 +45,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from nimbus.llm.common import NO_ID, doc_rows, id_key, key_to_id, prepare, shuffle_parts, staged
+from nimbus.llm.common import NO_ID, doc_rows, id_key, key_to_id, prepare, shuffle_parts, staged, unused
 from nimbus.llm.components import components
 from nimbus.llm.words import NON_SPACE, Words, groups, mix, rolling
 
@@ -52,8 +58,9 @@ PERCENT = 85           # links: 100 * intersection >= PERCENT * union
 CAP = 800              # sets joined in one task
 COMMON_KEYS = 200_000  # common shingles put last in the order, at most
 PIVOTS = 4
-SAMPLE = 48            # sets among which pivots are chosen
+SAMPLE = 48            # densest sets, among which pivots are chosen
 ROUNDS = 3
+EXTRA = 8              # prefixes hold one shared shingle more for so many in the set
 
 
 # ---------------------------------------------------------------- shingles
@@ -80,10 +87,10 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[tuple[np.n
 
 
 def prefix(keys: np.ndarray, percent: int, last: np.ndarray | None = None) -> np.ndarray:
-    """The first keys of the order, as many as two linked sets must share one
-    of; ``last``: sorted keys put at the end of the order."""
+    """The first keys of the order, as many as hold ``1 + n // EXTRA`` of those
+    shared with any linked set; ``last``: sorted keys put at the order's end."""
     n = len(keys)
-    take = n - -(-percent * n // 100) + 1 if n else 0
+    take = n - -(-percent * n // 100) + 1 + n // EXTRA if n else 0
     if last is None or not len(last):
         return np.sort(np.partition(keys, take - 1)[:take]) if 0 < take < n else np.sort(keys)
     keys = np.sort(keys)
@@ -108,17 +115,22 @@ def _describe(docs: DataFrame, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "did long, rk long, n long, set_id binary, prefix array<long>")
 
 
-def _prefixes_again(sets: DataFrame, last: np.ndarray, percent: int) -> DataFrame:
-    """``key, id``: prefixes of ``sets`` (id, text) with ``last`` at the end."""
-    shared = sets.sparkSession.sparkContext.broadcast(np.sort(last))  # at most COMMON_KEYS numbers
+def _keys(sets: DataFrame, last: np.ndarray | None, percent: int) -> DataFrame:
+    """``key, id, n`` of ``sets`` (id, text): their prefixes with ``last`` at
+    the end of the order, or without ``last`` all their shingles."""
+    # At most COMMON_KEYS numbers.
+    shared = sets.sparkSession.sparkContext.broadcast(None if last is None else np.sort(last))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in groups((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)), 1):
-            first = [prefix(keys, percent, shared.value) for _, keys in shingle_sets([r[1] for r in part])]
-            ids = np.repeat(np.array([r[0] for r in part], np.int64), [len(f) for f in first])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first).view(np.int64)), pa.array(ids)], ["key", "id"])
+            found = [(keys if shared.value is None else prefix(keys, percent, shared.value), len(keys)) for _, keys in shingle_sets([r[1] for r in part])]
+            many = [len(f) for f, _ in found]
+            ids, n = np.repeat(np.array([r[0] for r in part], np.int64), many), np.repeat(np.array([n for _, n in found], np.int64), many)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f for f, _ in found]).view(np.int64)), pa.array(ids), pa.array(n)], ["key", "id", "n"])
 
-    return sets.select("id", "text").mapInArrow(run, "key long, id long")
+    # Dealt out anew: the sets concerned may all stand in a few files.
+    dealt = sets.select("id", "text").repartition(4 * shuffle_parts(sets.sparkSession), "id")
+    return dealt.mapInArrow(run, "key long, id long, n long")
 
 
 # ---------------------------------------------------------------- one region
@@ -231,8 +243,9 @@ def _join_regions(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
 # ---------------------------------------------------------------- large regions
 
 def _pivots(big: DataFrame, sets: DataFrame) -> DataFrame:
-    """``region, pivot, text``: the densest sets of a sample of each region."""
-    order = Window.partitionBy("region").orderBy(F.xxhash64("id", "region"), "id")
+    """``region, pivot, text``: the densest sets of each region, as far as
+    their keys tell, and of these the densest by all their shingles."""
+    order = Window.partitionBy("region").orderBy(F.desc_nulls_last("density"), F.xxhash64("id", "region"), "id")
     sample = big.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE).select("region", "id").join(sets, "id")
 
     def choose(region: pa.Table) -> pa.Table:
@@ -287,10 +300,17 @@ def _split(big: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, Da
     links = seen.where("near and id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     home = F.min("d").over(Window.partitionBy("region", "id"))
     dealt = seen.withColumn("home", home).where(F.col("id") != F.col("pivot")).where(F.col("d") <= F.col("home") + (2 * r + 1e-9))
-    # Of each pivot's region: the nearest set that is not linked to it.
-    open_ = dealt.where(~F.col("near")).groupBy("region", "pivot").agg(F.min("d").alias("open"))
-    left = dealt.join(open_, ["region", "pivot"]).where(F.col("d") >= F.col("open") - (r + 1e-9))
-    return links, left.select(F.concat_ws("/", "region", F.col("pivot").cast("string")).alias("region"), "id")
+    # Of each pivot's region: the sets that are not linked to it, and how near the nearest one is.
+    open_ = dealt.where(~F.col("near")).groupBy("region", "pivot").agg(F.min("d").alias("open"), F.count(F.lit(1)).alias("n_open"))
+    left = staged(dealt.join(open_, ["region", "pivot"]).where(F.col("d") >= F.col("open") - (r + 1e-9)), "pivot-left")
+    # Sets linked to the pivot are in one group, so no two of them need a look: where few
+    # are not, these meet the others portion by portion.
+    half = CAP // 2
+    portions = left.where(F.col("near") & (F.col("n_open") <= half)).groupBy("region", "pivot").agg(F.ceil(F.count(F.lit(1)) / half).cast("int").alias("portions"))
+    cut = left.join(portions, ["region", "pivot"], "left").withColumn("portions", F.coalesce("portions", F.lit(1)))
+    own = F.when(F.col("near"), F.array(F.pmod(F.xxhash64("id", F.lit(3)), F.col("portions")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("portions") - 1))
+    parts = cut.select("region", "pivot", "id", F.explode(own).alias("portion"))
+    return links, parts.select(F.concat_ws("/", "region", F.col("pivot").cast("string"), F.col("portion").cast("string")).alias("region"), "id")
 
 
 def _blocks(big: DataFrame) -> DataFrame:
@@ -303,9 +323,34 @@ def _blocks(big: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- the join
 
-def _shared(rows: DataFrame, cap: int) -> DataFrame:
-    """``key, n, leader`` of keys that several sets hold."""
-    return rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("leader")).where("n > 1").withColumn("common", F.col("n") > cap)
+def _shared(rows: DataFrame) -> DataFrame:
+    """``key, holders, leader`` of keys that several sets hold: a table of its
+    own, so that the skewed keys of a join with it can be split."""
+    return staged(rows.groupBy("key").agg(F.count(F.lit(1)).alias("holders"), F.min("id").alias("leader")).where("holders > 1"), "jaccard-shared")
+
+
+def _need(percent: int) -> Column:
+    """Prefix keys that a set shares with any linked set (which has at least
+    ``t n`` shingles), at least."""
+    return (1 + F.floor(F.ceil(F.lit(percent) * F.col("n") / 100) / EXTRA)).cast("long")
+
+
+def _able(rows: DataFrame, need: Column) -> DataFrame:
+    """Ids of the sets that hold ``need`` shared keys or more among ``rows``."""
+    held = rows.join(_shared(rows).select("key"), "key", "left_semi")
+    return staged(held.groupBy("id", "n").agg(F.count(F.lit(1)).alias("keys")).where(F.col("keys") >= need).select("id"), "jaccard-able")
+
+
+def _met(rows: DataFrame, percent: int, cap: int) -> tuple[DataFrame, DataFrame]:
+    """The prefix rows (``key, id, n``) whose key several sets hold (``key, id,
+    common, leader``), and the regions that the sets are members of (``id,
+    common, leader``), with the mean number of holders of a set's keys
+    (``density``)."""
+    met = staged(rows.join(_shared(rows), "key").select("key", "id", (F.col("holders") > cap).alias("common"), "leader", "holders", _need(percent).alias("need")), "jaccard-met")
+    of = met.groupBy("id", "common", "leader").agg(F.count(F.lit(1)).alias("keys"), F.max("need").alias("need"), F.sum("holders").alias("holders"))
+    one = Window.partitionBy("id")
+    of = of.withColumns({"regions": F.count(F.lit(1)).over(one), "density": F.sum("holders").over(one) / F.sum("keys").over(one)})
+    return met, staged(of.where(F.col("keys") * F.col("regions") >= F.col("need")).select("id", "common", "leader", "density"), "jaccard-members")
 
 
 def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
@@ -316,18 +361,23 @@ def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[Data
     texts = doc_rows(docs).select("did", "rk", F.col("text").cast("binary").alias("text"))
     rows = staged(_describe(texts, percent), "jaccard-rows")
     usable = rows.where((F.col("n") > 0) & (F.col("did") != NO_ID))
-    reps = staged(usable.groupBy("set_id").agg(F.min(F.struct("did", "rk")).alias("rep"), F.first("prefix").alias("prefix"))
-                  .select("set_id", F.col("rep.did").alias("id"), F.col("rep.rk").alias("rk"), "prefix"), "jaccard-sets")
-    keys = reps.select(F.explode("prefix").alias("key"), "id")
-    shared = _shared(keys, cap)
-    met = staged(keys.join(shared, "key").select("key", "id", "leader", "common"), "jaccard-met")
-    # The texts of the sets that meet any other, written once.
-    wanted = reps.select("id", "rk").join(met.select("id").distinct(), "id")
-    sets = staged(texts.join(wanted.withColumnRenamed("id", "did"), ["did", "rk"]).select(F.col("did").alias("id"), "text").dropDuplicates(["id"]), "jaccard-texts")
-
-    regions = [met.where("not common").select(F.col("leader").cast("string").alias("region"), "id").distinct()]
+    reps = staged(usable.groupBy("set_id").agg(F.min(F.struct("did", "rk")).alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+                  .select("set_id", F.col("rep.did").alias("id"), F.col("rep.rk").alias("rk"), "n", "prefix"), "jaccard-sets")
+    prefixes = reps.select(F.explode("prefix").alias("key"), "id", "n")
+    able = _able(prefixes, _need(percent))
+    # The texts of the sets that may have links, written once.
+    wanted = reps.select("id", "rk").join(able, "id").withColumnRenamed("id", "did")
+    sets = staged(texts.join(wanted, ["did", "rk"]).select(F.col("did").alias("id"), "text").dropDuplicates(["id"]), "jaccard-texts")
+    # Of a linked set, t of all its shingles stand in other ones: few sets are left to look at.
+    able = _able(_keys(sets, None, percent), F.ceil(F.lit(percent) * F.col("n") / 100))
+    met, members = _met(prefixes.join(able, "id", "left_semi"), percent, cap)
+
+    def crowded() -> DataFrame:
+        return met.where("common").join(members.where("common").select("id").distinct(), "id", "left_semi")
+
+    regions = [members.where("not common").select(F.col("leader").cast("string").alias("region"), "id", "density")]
     last = np.empty(0, np.int64)
-    crowd = met.where("common")
+    crowd = crowded()
     for round_ in range(ROUNDS):
         room = COMMON_KEYS - len(last)
         fresh = crowd.groupBy("key").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "key").limit(room)
@@ -336,12 +386,14 @@ def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[Data
             break
         last = np.concatenate([last, new])
         again = sets.join(crowd.select("id").distinct(), "id", "left_semi")
-        keys = staged(_prefixes_again(again, last.view(np.uint64), percent), "jaccard-again")
-        met = staged(keys.join(_shared(keys, cap), "key").select("key", "id", "leader", "common"), "jaccard-met")
+        keys = staged(_keys(again, last.view(np.uint64), percent), "jaccard-again")
+        met, members = _met(keys, percent, cap)
         tag = F.concat_ws(".", F.lit(str(round_)), F.col("leader").cast("string"))
-        regions.append(met.where("not common").select(tag.alias("region"), "id").distinct())
-        crowd = met.where("common")
-    regions.append(crowd.select(F.concat_ws(".", F.lit("c"), F.col("leader").cast("string")).alias("region"), "id").distinct())
+        regions.append(members.where("not common").select(tag.alias("region"), "id", "density"))
+        crowd, size = crowded(), keys.select("id").distinct().count()
+        if crowd.select("id").distinct().count() > 0.5 * size:
+            break  # sets made of common shingles: no order helps further
+    regions.append(members.where("common").select(F.concat_ws(".", F.lit("c"), F.col("leader").cast("string")).alias("region"), "id", "density"))
 
     every = regions[0]
     for x in regions[1:]:
@@ -352,7 +404,7 @@ def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[Data
         sizes = open_.groupBy("region").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
         sized = open_.join(sizes, "region")
         small.append(sized.where(F.col("members") <= cap).select("region", "id"))
-        big = staged(sized.where(F.col("members") > cap).select("region", "id"), "jaccard-big")
+        big = staged(sized.where(F.col("members") > cap).select("region", "id", "density"), "jaccard-big")
         n = big.count()
         if not n:
             break
@@ -361,7 +413,7 @@ def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[Data
             break
         to_pivots, left = _split(big, sets, percent)
         found.append(to_pivots)
-        open_, before = staged(left, "jaccard-regions"), n
+        open_, before = staged(left.withColumn("density", F.lit(None).cast("double")), "jaccard-regions"), n
     members = small[0]
     for x in small[1:]:
         members = members.unionByName(x)
@@ -391,5 +443,6 @@ def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents that stay: of each group the one with the smallest
     ``doc_id``; rows without an id stay."""
     groups_ = near_duplicates(docs, percent)
-    gone = staged(groups_.where(F.col("component") != F.col("did")).select(F.col("did").alias("__did")).distinct(), "near-duplicates")
-    return docs.withColumn("__key", id_key()).join(gone, F.col("__key") == F.col("__did"), "left_anti").select([F.col(c) for c in docs.columns])
+    c_did, c_key = unused(docs, "__did", "__key")
+    gone = staged(groups_.where(F.col("component") != F.col("did")).select(F.col("did").alias(c_did)).distinct(), "near-duplicates")
+    return docs.withColumn(c_key, id_key()).join(gone, F.col(c_key) == F.col(c_did), "left_anti").select([F.col(c) for c in docs.columns])
