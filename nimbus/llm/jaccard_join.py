@@ -67,17 +67,19 @@ EXTRA = 8              # prefixes hold one shared shingle more for so many in th
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each text its set (sorted hashes) and their keys of order: the
-    longest shingles first, then by hash."""
+    longest shingles first, then by hash. The length is that of the words:
+    white space between them must not tell equal shingles apart."""
     w = Words(texts, NON_SPACE, lower=True)
     whole = rolling(w.hash, size)
+    upto = np.concatenate([[0], np.cumsum(w.end - w.start)])
     for i in range(len(texts)):
         a, b = int(w.first[i]), int(w.first[i + 1])
         if b - a >= size:
             h = whole[a:b - size + 1]
-            length = w.end[a + size - 1:b] - w.start[a:b - size + 1]
+            length = upto[a + size:b + 1] - upto[a:b - size + 1]
         elif b > a:
             h = mix(rolling(w.hash[a:b], b - a) + np.uint64(b - a))
-            length = w.end[b - 1:b] - w.start[a:a + 1]
+            length = upto[b:b + 1] - upto[a:a + 1]
         else:
             yield np.empty(0, np.uint64), np.empty(0, np.uint64)
             continue

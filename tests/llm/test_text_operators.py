@@ -330,6 +330,24 @@ def test_jaccard_join(rows, docs, cap, monkeypatch):
     assert got(out) == want
 
 
+def test_jaccard_join_whatever_the_white_space(spark):
+    """Near copies, their words apart by other runs of white space throughout."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(12):
+        w = prose(rng, 100, 5000).split()
+        for k, gap in enumerate((" ", "  ", "\r\n", "\n\n\t  ")):
+            v = list(w)
+            v[10 + 20 * k] = f"x{k}"
+            rows.append((10 * i + k, gap.join(v)))
+        rows.append((10 * i + 5, "".join(x + rng.choice([" ", "\n    ", "\t", " \x0b "]) for x in w)))
+    want = jaccard_brute(rows)
+    assert len({w[2] for w in want}) == 12
+    assert got(jaccard_join.near_duplicates(table(spark, rows)).select("did", "n", "component")) == want
+    sets = [(h.tolist(), keys.tolist()) for h, keys in jaccard_join.shingle_sets([b"a bb ccc dddd e", b" a\r\nbb   ccc\n\ndddd\te ", b"a b", b"a \n b"])]
+    assert sets[0] == sets[1] and sets[2] == sets[3]
+
+
 def test_region_join_is_exact():
     rng = np.random.default_rng(1)
     for trial in range(40):
