@@ -7,8 +7,18 @@ file's licence. By Cauchy-Schwarz a line's cosine is at most the weight share
 of the template terms it holds, so lines without any *strong* term (see
 ``strong_terms``) need no vector.
 
-*Licence files.* A file whose words are at least half its best statement
-speaks for its directory; of several in one directory the first path counts.
+*Headers and texts.* The titles, tags, statements, headers and licence texts
+of ``license_texts`` are compared in the same way, with weights of their own,
+to every window of as many words, wherever lines break; titles to whole lines.
+Titles and tags need all their terms (a German line may be "Mit.").
+A header or text of ``LONG`` words or more goes before any statement (an
+"All rights reserved." may stand in many licences), a statement before a bare
+title; else the best score counts.
+
+*Licence files.* A file whose words are at least half its best statement, or
+that starts with the opening of a licence's text, speaks for its directory; of
+several in one directory the first path counts. A window's lines count as a
+statement's words, up to four times the window's.
 
 *Inheritance.* A file without a statement takes the licence of its nearest
 ancestor directory that has one. Ancestors are computed for each different
@@ -26,13 +36,20 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import staged
+from nimbus.llm.common import prepare, staged
+from nimbus.llm.license_texts import PATTERNS
 
 THRESHOLD = 0.8
+FREQUENT = {"and", "any", "are", "for", "from", "not", "other", "our", "that", "the", "this", "use", "with", "work", "works", "you", "your"}
+WHOLE = {"title", "tag"}  # short patterns, all of whose terms are needed
+LONG = 20  # words from which a text goes before statements
 # Statements by which licences are commonly declared.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -67,6 +84,101 @@ def strong_terms(templates: dict[str, str], threshold: float = THRESHOLD) -> set
     return set(idf) - weak
 
 
+def few_strong_terms(patterns: list[str], threshold: float = THRESHOLD) -> set[str]:
+    """As ``strong_terms``, but few: those that most texts still need."""
+    idf, _ = weights({str(i): x for i, x in enumerate(patterns)})
+    vectors = [{t: (c * idf[t]) ** 2 for t, c in Counter(terms(x)).items()} for x in patterns]
+    limit = threshold * threshold - 1e-9
+    strong: set[str] = set()
+    while open_ := [v for v in vectors if sum(w for t, w in v.items() if t not in strong) >= limit * sum(v.values())]:
+        gain = Counter()
+        for v in open_:
+            for t, w in v.items():
+                if t not in strong:
+                    gain[t] += w / sum(v.values())
+        # Words that any text holds come last.
+        strong.add(max(sorted(gain), key=lambda t: (len(t) > 2 and t not in FREQUENT and not t.isdigit(), gain[t])))
+    return strong
+
+
+class Windows:
+    """The best pattern (``license, kind, text``) of a whole text."""
+
+    def __init__(self, patterns: list[tuple[str, str, str]], threshold: float):
+        self.threshold = threshold
+        self.idf, self.other = weights({str(i): x for i, (_, _, x) in enumerate(patterns)})
+        self.patterns = []
+        for name, kind, x in patterns:
+            count = Counter(terms(x))
+            vector = {t: c * self.idf[t] for t, c in count.items()}
+            self.patterns.append((name, kind, sum(count.values()), vector, math.sqrt(sum(w * w for w in vector.values()))))
+        self.at = {t: i for i, t in enumerate(self.idf)}
+        self.share = np.array([[(vector.get(t, 0.0) / norm) ** 2 for t in self.idf] for _, _, _, vector, norm in self.patterns])
+
+    def best(self, text: str) -> tuple[int, float, int, str, bool] | None:
+        """Rank, score, line, license and whether the file is a licence file."""
+        lines = [terms(x) for x in text.split("\n")]
+        said = [t for x in lines for t in x]
+        # By Cauchy-Schwarz no window passes without so much of a pattern's weight in the text.
+        held = self.share[:, [self.at[t] for t in set(said) if t in self.at]].sum(1)
+        able = np.flatnonzero(held >= self.threshold ** 2 - 1e-6)
+        if not len(able):
+            return None
+        first = np.cumsum([0] + [len(x) for x in lines])
+        line_of = np.repeat(np.arange(len(lines)), np.diff(first))
+        at: dict[str, int] = {}
+        codes = np.array([at.setdefault(t, len(at)) for t in said])
+        idf = np.array([self.idf.get(t, self.other) for t in at])
+        squares = np.concatenate([[0.0], np.cumsum(idf[codes] ** 2)])
+        found = None
+        for name, kind, size, vector, norm in (self.patterns[i] for i in able):
+            own = np.array([vector.get(t, 0.0) for t in at]) * idf
+            dots = np.concatenate([[0.0], np.cumsum(own[codes])])
+            if kind == "title":
+                start, end = first[:-1], first[1:]
+            else:
+                start = np.arange(max(1, len(said) - size + 1))
+                end = np.minimum(start + size, len(said))
+            dot = dots[end] - dots[start]
+            # A term's weight in a window is at least as if its occurrences were different terms.
+            bound = dot / (norm * np.sqrt(np.maximum(squares[end] - squares[start], 1e-12)))
+            for i in np.flatnonzero(bound >= self.threshold - 1e-6):
+                a, b = int(start[i]), int(end[i])
+                seen, tf = np.unique(codes[a:b], return_counts=True)
+                score = round(float(dot[i] / (norm * math.sqrt(((tf * idf[seen]) ** 2).sum()))), 6)
+                if score < self.threshold or (kind in WHOLE and not vector.keys() <= set(said[a:b])):
+                    continue
+                rank = 0 if kind == "title" else 2 if size >= LONG else 1
+                block = min(int(first[line_of[b - 1] + 1] - first[line_of[a]]), 4 * size)
+                covers = 2 * block >= len(said) or (kind == "opening" and a <= size)
+                key = (-rank, -score, int(line_of[a]), name, not covers)
+                found = key if found is None or key < found else found
+        return found and (-found[0], -found[1], found[2], found[3], not found[4])
+
+
+def windows(some: DataFrame, patterns: list[tuple[str, str, str]], threshold: float = THRESHOLD) -> DataFrame:
+    """``path, key, rank, score, line, license, covers``: the best pattern of
+    each text (``path, key, text``) that has one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan_ = Windows(patterns, threshold)
+        for b in batches:
+            rows = [(p, k, *hit) for p, k, x in zip(*(c.to_pylist() for c in b.columns), strict=True) if (hit := scan_.best(x))]
+            if rows:
+                types = [pa.string(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.string(), pa.bool_()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["path", "key", "rank", "score", "line", "license", "covers"])
+
+    return some.select("path", "key", "text").mapInArrow(run, "path string, key long, rank int, score double, line int, license string, covers boolean")
+
+
+def _any_of(words: set[str]) -> str:
+    """A regular expression for the words, by their first letters."""
+    by: dict[str, list[str]] = {}
+    for w in sorted(words):
+        by.setdefault(w[0], []).append(w[1:])
+    return "|".join(f"{k}(?:{'|'.join(v)})" for k, v in by.items())
+
+
 def _words(col: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(col), "[^a-z0-9]+", " "), " "), lambda t: t != "")
 
@@ -74,8 +186,10 @@ def _words(col: Column) -> Column:
 def statements(files: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``path, key, license, score, covers`` of each file with a statement;
     ``key``: hash of the text (files are told apart by path and text)."""
+    patterns = PATTERNS if templates is None else []
     templates = TEMPLATES if templates is None else templates
     spark = files.sparkSession
+    prepare(spark)
     idf, other = weights(templates)
     strong = "|".join(sorted(strong_terms(templates, threshold)))
     vectors = [(k, t, float(c * idf[t]), math.sqrt(sum((n * idf[x]) ** 2 for x, n in Counter(terms(text)).items())))
@@ -84,7 +198,8 @@ def statements(files: DataFrame, templates: dict[str, str] | None = None, thresh
     template = F.broadcast(spark.createDataFrame(vectors, "license string, term string, w double, t_norm double"))
     idf_rows = F.broadcast(spark.createDataFrame(list(idf.items()), "term string, idf double"))
     mark = f"(?i)(?<![a-z0-9])({strong})(?![a-z0-9])"
-    some = files.where(F.col("text").rlike(mark)).select("path", F.xxhash64("text").alias("key"), "text").distinct()
+    marks = _any_of(strong_terms(templates, threshold) | few_strong_terms([x for _, _, x in patterns], threshold))
+    some = staged(files.where(F.col("text").rlike(f"(?i)(?<![a-z0-9])({marks})(?![a-z0-9])")).select("path", F.xxhash64("text").alias("key"), "text").distinct(), "licence-candidates")
     lines = (some.select("path", "key", F.size(_words(F.col("text"))).alias("n_words"), F.posexplode(F.split("text", "\n")).alias("line", "said"))
              .where(F.col("said").rlike(mark)))
     counted = (lines.select("path", "key", "n_words", "line", F.explode(_words(F.col("said"))).alias("term"))
@@ -94,8 +209,11 @@ def statements(files: DataFrame, templates: dict[str, str] | None = None, thresh
     norms = counted.groupBy(*at).agg(F.sqrt(F.sum(F.col("lw") * F.col("lw"))).alias("norm"), F.sum("tf").alias("line_words"))
     dots = counted.join(template, "term").groupBy(*at, "license", "t_norm").agg(F.sum(F.col("lw") * F.col("w")).alias("dot"))
     scored = dots.join(norms, at).withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("t_norm")), 6)).where(F.col("score") >= threshold)
-    best = scored.groupBy("path", "key").agg(F.min(F.struct(-F.col("score"), "line", "license", (2 * F.col("line_words") >= F.col("n_words")).alias("covers"))).alias("b"))
-    return best.select("path", "key", F.col("b.license").alias("license"), (-F.col("b.col1")).alias("score"), F.col("b.covers").alias("covers"))
+    found = scored.select("path", "key", F.lit(1).alias("rank"), "score", "line", "license", (2 * F.col("line_words") >= F.col("n_words")).alias("covers"))
+    if patterns:
+        found = found.unionByName(windows(some, patterns, threshold))
+    best = found.groupBy("path", "key").agg(F.min(F.struct((-F.col("rank")).alias("rank"), (-F.col("score")).alias("score"), "line", "license", (~F.col("covers")).alias("partly"))).alias("b"))
+    return best.select("path", "key", F.col("b.license").alias("license"), (-F.col("b.score")).alias("score"), (~F.col("b.partly")).alias("covers"))
 
 
 def directory(path: Column) -> Column:

@@ -460,6 +460,45 @@ def test_licences(spark, none):
     assert got(licenses.scan(licenses.document_files(none))) == []
 
 
+def test_licence_headers_and_texts(spark):
+    from nimbus.llm import license_texts as T
+    text = lambda k, where: next(x for n, x in where if n == k)
+    rng = random.Random(21)
+
+    def wrapped(x, mark, width):
+        w = x.split()
+        return "\n".join(mark + " ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+    said = {
+        "MIT License": "MIT", "The MIT License (MIT)": "MIT", "GNU GENERAL PUBLIC LICENSE": "GPL", "Apache License": "Apache",
+        "Copyright (c) 2020 Foo Inc. All rights reserved.": "Proprietary", "This project is released under the MIT License.": "MIT",
+        "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: GPL-3.0-or-later": "GPL-3.0", "# SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+        "# This work is licensed under the\n# GNU General Public License,\n# version 3.": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        f"MIT License\n\nCopyright (c) 2020 Foo\n\n{wrapped(text('MIT', T.TEXTS), '', 11)}": "MIT",
+        f"Copyright (c) 2020, Foo\nAll rights reserved.\n\n{wrapped(text('BSD-3-Clause', T.TEXTS), ' ', 12)}": "BSD-3-Clause",
+        f"Copyright (c) 2020, Foo\nAll rights reserved.\n\n{wrapped(text('BSD-2-Clause', T.TEXTS), ' ', 12)}": "BSD-2-Clause",
+        f"#!/bin/sh\n{wrapped(text('Apache-2.0', T.TEXTS), '# ', 9)}\n{prose(rng, 900)}": "Apache-2.0",
+        f"/*\n{wrapped(text('GPL-3.0', T.TEXTS), ' * ', 10)}\n */\n{prose(rng, 300)}": "GPL-3.0",
+        f"/*\n{wrapped(text('LGPL-3.0', T.TEXTS), ' * ', 10)}\n */\n{prose(rng, 300)}": "LGPL-3.0",
+        "the library of the city is licensed to sell software and to all its rights": None, "This thing is released under the Foo License.": None,
+        "Er kam\nMit.\nund ging": None, "SPDX-License-Identifier: BSD-4-Clause": None,
+    }
+    files = [(f"d{i}/f", i, x) for i, x in enumerate(said)]
+    # A whole licence file: its text goes on far beyond the opening.
+    full = f"GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nPreamble\n\n{wrapped(text('GPL-3.0', T.OPENINGS), '  ', 12)}\n{prose(rng, 5000)}"
+    files += [("w/COPYING", 900, full), ("w/src/a.c", 901, "int main"), ("d0/x/y", 902, "prose"), ("d14/y", 903, "prose")]
+    df = spark.createDataFrame(files, "path string, doc_id long, text string")
+    out = {r.doc_id: (r.license, r.origin, r.from_dir) for r in licenses.scan(df).collect()}
+    assert [out[i][0] for i in range(len(said))] == list(said.values())
+    assert [out[i] for i in (900, 901, 902, 903)] == [("GPL-3.0", "own", None), ("GPL-3.0", "inherited", "w"), ("MIT", "inherited", "d0"), (None, None, None)]
+    strong = licenses.few_strong_terms([x for _, _, x in T.PATTERNS])
+    idf, _ = licenses.weights({str(i): x for i, (_, _, x) in enumerate(T.PATTERNS)})
+    for _, _, x in T.PATTERNS:
+        v = {t: (c * idf[t]) ** 2 for t, c in Counter(licenses.terms(x)).items()}
+        assert sum(w for t, w in v.items() if t not in strong) < licenses.THRESHOLD ** 2 * sum(v.values())
+
+
 def test_strong_terms_bound_the_cosine():
     idf, _ = licenses.weights(licenses.TEMPLATES)
     strong = licenses.strong_terms(licenses.TEMPLATES)
