@@ -7,8 +7,13 @@ hashed to 32 bits. The machine scores
 
 over the terms present, so that a pair of terms (an insult, a mention of a
 group) can weigh more than both alone. Terms enter only if the labelled rows
-show that toxic texts hold them beyond chance (``MIN_Z``); without this,
-thousands of chance weights would add up in a long text.
+show that toxic texts hold them beyond chance; without this, thousands of
+chance weights would add up in a long text. The evidence of ``pos`` toxic rows
+among ``n`` is ``n KL(pos/n, p)`` (the Chernoff bound of the binomial tail) and
+has to exceed the logarithm of the number of terms looked at, so that about
+one enters by chance, however many rows there are. Words also enter in pairs:
+two words whose common rows are toxic beyond the larger of the rates of both
+alone, by the same evidence over all pairs, even if each alone is neutral.
 
 Fitting uses at most ``SAMPLE_ROWS`` labelled rows (smallest hash of
 ``doc_id``) and ``MAX_TERMS`` terms; copies count once.
@@ -21,6 +26,7 @@ once; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,7 +42,6 @@ from nimbus.llm.lang_id import held_out
 
 SAMPLE_ROWS = 20_000
 MAX_TERMS = 20_000
-MIN_Z = 8.0
 MIN_ROWS = 5
 FACTORS = 4
 THRESHOLD = 0.7
@@ -55,8 +60,10 @@ def text_words(text: str | None) -> set[str]:
 def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo = Memo(word_terms)
     for b in batches:
-        rows = [sorted({t for w in text_words(x) for t in memo[w]}) for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64()))], ["toxic", "terms"])
+        found = [text_words(x) for x in b.column(1).to_pylist()]
+        rows = [sorted({t for w in ws for t in memo[w]}) for ws in found]
+        words = [sorted({memo[w][0] for w in ws}) for ws in found]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int64())), pa.array(words, pa.list_(pa.int64()))], ["toxic", "terms", "words"])
 
 
 class FactorizationMachine:
@@ -104,9 +111,44 @@ def train(rows: list[list[int]], labels: list[int], n_terms: int, epochs: int =
     return float(theta[0][0]), theta[1], theta[2]
 
 
+def pairs(rows: list[list[int]], labels: list[int], vocabulary: list[int], p: float) -> list[int]:
+    """Places in ``vocabulary`` of the words of pairs that are toxic beyond the
+    rates of both words and ``p``, the pair with most evidence first."""
+    at = {t: i for i, t in enumerate(vocabulary)}
+    n_terms, y = len(vocabulary), np.asarray(labels, np.int64)
+    if n_terms < 2:
+        return []
+    rows = [np.sort(np.array([at[t] for t in r], np.int64)) for r in rows]
+    holders: list[list[int]] = [[] for _ in vocabulary]
+    for k, r in enumerate(rows):
+        for i in r.tolist():
+            holders[i].append(k)
+    rate = np.array([max(p, y[h].mean()) if h else 1.0 for h in holders])
+    least = math.log(n_terms * (n_terms - 1) / 2)
+    found: list[tuple[float, int, int]] = []
+    for i, held in enumerate(holders):
+        toxic = [rows[k] for k in held if y[k]]
+        # Toxic rows by themselves tell which partners have enough evidence at best.
+        if rate[i] >= 1 or len(toxic) * -math.log(rate[i]) < least:
+            continue
+        pos = np.bincount(np.concatenate(toxic), minlength=n_terms)
+        base = np.maximum(rate, rate[i])
+        able = np.flatnonzero((np.arange(n_terms) > i) & (pos * -np.log(base) >= least))
+        if not len(able):
+            continue
+        n = np.bincount(np.concatenate([rows[k] for k in held]), minlength=n_terms)[able]
+        q, b = pos[able] / n, base[able]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            kl = q * np.log(q / b) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - b)), 0)
+        ok = np.flatnonzero((q > b) & (n >= MIN_ROWS) & (n * kl >= least))
+        found += [(-float(n[k] * kl[k]), i, int(able[k])) for k in ok]
+    return list(dict.fromkeys(x for _, i, j in sorted(found) for x in (i, j)))
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS,
-        min_z: float = MIN_Z) -> FactorizationMachine:
-    """Learn from the labelled rows that are not held out."""
+        min_z: float | None = None) -> FactorizationMachine:
+    """Learn from the labelled rows that are not held out. ``min_z``: a fixed
+    bound of the terms' z scores in place of the evidence."""
     spark = docs.sparkSession
     prepare(spark)
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
@@ -114,23 +156,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
     # Texts with the same terms (copies above all) count once.
-    rows = staged(texts.mapInArrow(_terms_of, "toxic int, terms array<long>").dropDuplicates(["terms"]), "toxic-terms")
+    rows = staged(texts.mapInArrow(_terms_of, "toxic int, terms array<long>, words array<long>").dropDuplicates(["terms"]), "toxic-terms")
     n, pos = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     p = pos / n if n else 0.0
     if not 0 < p < 1:
         return FactorizationMachine([], -30.0 if p < 1 else 30.0, np.zeros(0), np.zeros((0, FACTORS)))
     counted = rows.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos"))
-    z = (F.col("pos") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
-    kept = counted.where(F.col("n") >= MIN_ROWS).withColumn("z", z).where(F.col("z") >= min_z).orderBy(F.desc("z"), "term").limit(max_terms).select("term")
-    terms = sorted(r["term"] for r in kept.collect())
+    counted = staged(counted.where(F.col("n") >= MIN_ROWS), "toxic-counts")
+    if min_z is None:
+        q = F.col("pos") / F.col("n")
+        kl = F.when(q < 1, q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p))).otherwise(-math.log(p))
+        value, least = F.when(q > p, F.col("n") * kl), math.log(max(2, counted.count()))
+    else:
+        value, least = (F.col("pos") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p)), min_z
+    kept = counted.withColumn("z", value).where(F.col("z") >= least).orderBy(F.desc("z"), "term").limit(max_terms).select("term")
+    found = [r["term"] for r in kept.collect()]
+    # At most max_terms words, the most frequent ones, and sample_rows rows.
+    vocabulary = [r["term"] for r in counted.join(rows.select(F.explode("words").alias("term")).distinct(), "term", "left_semi").orderBy(F.desc("n"), "term").limit(max_terms).collect()]
+    of = _only(rows, vocabulary, "words").collect()
+    paired = [vocabulary[i] for i in pairs([r["terms"] for r in of], [r["toxic"] for r in of], vocabulary, p)]
+    terms = sorted(list(dict.fromkeys(found + paired))[:max_terms])
     at = {t: i for i, t in enumerate(terms)}
     got = _only(rows, terms).collect()
     bias, w, v = train([[at[t] for t in r["terms"]] for r in got], [r["toxic"] for r in got], len(terms))
     return FactorizationMachine(terms, bias, w, v)
 
 
-def _only(rows: DataFrame, terms: list[int]) -> DataFrame:
-    """``toxic, terms`` with the chosen terms only (at most ``max_terms``)."""
+def _only(rows: DataFrame, terms: list[int], of: str = "terms") -> DataFrame:
+    """``toxic, terms`` with the chosen terms of column ``of`` only (at most ``max_terms``)."""
     shared = rows.sparkSession.sparkContext.broadcast(set(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +191,7 @@ def _only(rows: DataFrame, terms: list[int]) -> DataFrame:
             keep = [[t for t in r if t in shared.value] for r in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keep, pa.list_(pa.int64()))], ["toxic", "terms"])
 
-    return rows.select("toxic", "terms").mapInArrow(run, "toxic int, terms array<long>")
+    return rows.select("toxic", of).mapInArrow(run, "toxic int, terms array<long>")
 
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:

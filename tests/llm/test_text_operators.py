@@ -266,6 +266,38 @@ def test_toxicity_learns_and_holds_out(spark, none):
     assert got(toxicity.score(none, empty)) == []
 
 
+def test_toxicity_of_pairs_and_of_few_rows(spark):
+    """With the production defaults: two words that are toxic only together
+    (each alone is as toxic as any), and an insult of a few rows."""
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(2400):
+        words = {f"{chr(97 + k // 30)}{chr(97 + k % 26)}{chr(97 + k % 23)}om" for k in (rng.randrange(700) for _ in range(25))}
+        both, rare = i % 8 == 0, i % 150 == 7
+        words |= {"dull", "folka"} if both else {"dull"} if i % 8 in (1, 2, 3) else {"folka"} if i % 8 in (4, 5, 6) else set()
+        # One in four with either word and without: neither tells anything alone.
+        bad = both or rare or (i % 8 == 7 and rng.random() < 0.25)
+        words |= {"zrare"} if rare else {"zother"} if bad and not both else set()
+        docs.append((i, " ".join(sorted(words))))
+        labels.append((i, None, int(bad)))
+    docs = table(spark, docs)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    term = lambda w: toxicity.word_terms(w)[0]
+    assert {term("dull"), term("folka"), term("zrare")} <= set(model.at)
+    held = [r for r in toxicity.predictions(toxicity.score(docs, model)).collect() if r.held_out]
+    truth = {i: y for i, _, y in labels}
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
+
+
+def test_words_neutral_alone_enter_as_a_pair():
+    rng = random.Random(6)
+    rows = [sorted({rng.randrange(2, 40) for _ in range(8)} | {0: {0, 1}, 1: {0}, 2: {1}, 3: set()}[i % 4]) for i in range(800)]
+    labels = [int(i % 4 in (0, 3)) for i in range(800)]   # together or neither: each alone is at the mean rate
+    assert set(toxicity.pairs(rows, labels, list(range(40)), 0.5)) == {0, 1}
+    assert toxicity.pairs(rows, [rng.randrange(2) for _ in rows], list(range(40)), 0.5) == []
+    assert toxicity.pairs([], [], [], 0.5) == []
+
+
 def test_factorization_machine_learns_pairs():
     rows = [[0], [1], [2], [0, 1], [0, 2], [1, 2], []] * 30
     labels = [int(r == [0, 1]) for r in rows]
