@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import bpe, bytes_dedup, decontaminate, exact_dedup, jaccard_join, lang_id, licenses, phrase_dedup, token_file, toxicity
+from nimbus.llm import align, bpe, bytes_dedup, decontaminate, exact_dedup, filter_audit, jaccard_join, lang_id, licenses, phrase_dedup, token_file, toxicity
 from nimbus.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,7 +62,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op5_jaccard_join, op6_decontaminate, op7_licenses, op8_token_file, op9_bytes_dedup, op10_exact_dedup)}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.document_masks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignment(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op5_jaccard_join, op6_decontaminate, op7_licenses, op8_token_file, op9_bytes_dedup, op10_exact_dedup,
+                                   op12_filter_audit, op13_align)}
 
 SQL_EXACT_DEDUP = r"""
 WITH t AS (
@@ -116,4 +125,37 @@ SELECT files.doc_id, coalesce(own.license, s.dir_license) AS license,
 FROM files LEFT JOIN own USING (doc_id) LEFT JOIN speaks s ON s.from_dir = files.dir
 """
 
-ORACLE_SQL = {"op7_licenses": SQL_LICENSES, "op10_exact_dedup": SQL_EXACT_DEDUP}
+# Every document is taken through all 120 orders step by step: no coalitions, no potential.
+SQL_FILTER_AUDIT = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(l.quality = 1, false)::INT AS good, coalesce(l.toxic = 1, false)::INT AS toxic,
+         concat(CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM d LEFT JOIN l USING (doc_id)
+), x(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5
+), steps AS (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders
+), counted AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL
+), told AS (
+  SELECT part, filter_order, step, n, good, toxic, fails, contains(fails, filter_order[step]) AS own,
+         len(regexp_extract_all(fails, '[' || filter_order[1:step - 1] || '0]')) > 0 AS gone
+  FROM counted, steps
+), done AS (
+  SELECT part, filter_order, step, filter_order[step] AS filter,
+         coalesce(sum(n) FILTER (NOT gone AND NOT own), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (own AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (own AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = filter_order[step]), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (own AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (own AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM told GROUP BY ALL
+)
+SELECT * EXCLUDE (filter), sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM done
+"""
+
+ORACLE_SQL = {"op7_licenses": SQL_LICENSES, "op10_exact_dedup": SQL_EXACT_DEDUP, "op12_filter_audit": SQL_FILTER_AUDIT}
