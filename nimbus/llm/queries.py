@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbus.llm import align, bpe, bytes_dedup, decontaminate, exact_dedup, filter_audit, jaccard_join, lang_id, licenses, phrase_dedup, token_file, toxicity
+from nimbus.llm import align, bpe, bytes_dedup, chosen_path, decontaminate, exact_dedup, filter_audit, jaccard_join, lang_id, licenses, phrase_dedup, token_file, toxicity
 from nimbus.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,6 +62,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.report(read_table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.document_masks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")))
 
@@ -71,7 +75,7 @@ def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_phrase_dedup, op3_toxicity, op4_language, op5_jaccard_join, op6_decontaminate, op7_licenses, op8_token_file, op9_bytes_dedup, op10_exact_dedup,
-                                   op12_filter_audit, op13_align)}
+                                   op11_chosen_path, op12_filter_audit, op13_align)}
 
 SQL_EXACT_DEDUP = r"""
 WITH t AS (
