@@ -113,17 +113,18 @@ def partition_before(hour: datetime.datetime) -> Column:
             (d < hour.day) | ((d == hour.day) & (h < hour.hour))))))
 
 
-def partition_bounds(start=None, end=None, max_lag_hours: int | None = None) -> Column | None:
+def partition_bounds(start=None, end=None, max_lag_hours: int | None = None,
+                     max_lead_hours: int | None = None) -> Column | None:
     """Partition predicate for an event-time range ``[start, end)``.
 
-    Data lands in the partition of the hour it was fetched, never before it
-    was observed, so ``partition >= floor(start)`` is always safe. An upper
-    bound needs the longest fetch lag, which only the caller can know: without
-    ``max_lag_hours`` there is none, and late readings are found however late.
+    Data lands in the partition of the hour it was fetched: usually after it
+    was observed, but a clock that runs ahead puts it before. How late and how
+    early only the caller can know: without ``max_lag_hours`` there is no upper
+    bound and without ``max_lead_hours`` no lower one, and nothing is missed.
     """
     preds = []
-    if start is not None:
-        preds.append(partition_from(hour_of(start)))
+    if start is not None and max_lead_hours is not None:
+        preds.append(partition_from(hour_of(start) - datetime.timedelta(hours=max_lead_hours)))
     if end is not None and max_lag_hours is not None:
         preds.append(partition_before(hour_of(end) + datetime.timedelta(hours=max_lag_hours + 1)))
     if not preds:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.functions.timefn import ISO_FORMAT_UTC, epoch_to_iso, hour_floor
+from nimbus.operators.validate import MALFORMED
 from nimbus.schemas import READING_COLS
 
 
@@ -22,7 +23,8 @@ def flatten_payload(df: DataFrame, city: str = "city", state: str = "state",
     visibility read as 0, a missing gust stays NULL, country falls back to
     the dimension and then to ``US``, sunrise/sunset to epoch 0. A missing
     ``main``/``weather``/``dt`` leaves required fields NULL so validation
-    quarantines the row instead of the job failing.
+    quarantines the row instead of the job failing. What the reader says of
+    the document (``_corrupt_record``, ``_malformed``) goes along.
     """
     first = F.try_element_at(F.col("weather"), F.lit(1))
     if fetched_at is None:
@@ -38,6 +40,7 @@ def flatten_payload(df: DataFrame, city: str = "city", state: str = "state",
     if dim_lon:
         lon = F.coalesce(lon, F.col(dim_lon))
     country = F.coalesce(F.col("sys.country"), F.lit("US"))
+    said = [c for c in ("_corrupt_record", MALFORMED) if c in df.columns]
     return df.select(
         F.col(city).alias("city"),
         F.col(state).alias("state"),
@@ -63,6 +66,7 @@ def flatten_payload(df: DataFrame, city: str = "city", state: str = "state",
         first["icon"].alias("condition_icon"),
         epoch_to_iso(F.coalesce(F.col("sys.sunrise"), F.lit(0))).alias("sunrise"),
         epoch_to_iso(F.coalesce(F.col("sys.sunset"), F.lit(0))).alias("sunset"),
+        *said,
     )
 
 
@@ -71,6 +75,16 @@ def to_record(df: DataFrame) -> DataFrame:
     return df.select(*READING_COLS)
 
 
+def to_landed(df: DataFrame) -> DataFrame:
+    """A reading as it lands in the raw zone. One whose document had values
+    that did not fit carries their names and the whole document, so that
+    validation rejects it and nothing of it is lost."""
+    if MALFORMED not in df.columns:
+        return to_record(df)
+    bad = F.nullif(F.col(MALFORMED), F.lit(""))
+    return df.select(*READING_COLS, bad.alias(MALFORMED), F.when(bad.isNotNull(), F.col("_corrupt_record")).alias("_document"))
+
+
 def to_json_lines(df: DataFrame) -> DataFrame:
     """One JSON object per reading, as the raw zone stores it."""
     return to_record(df).select(F.to_json(F.struct(*READING_COLS)).alias("value"))

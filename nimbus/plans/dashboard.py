@@ -31,17 +31,19 @@ def window_24h(df: DataFrame, ts: str, as_of=None) -> DataFrame:
 
 
 def load_window(spark, processed_root: str, as_of, hours: int = 24,
-                max_lag_hours: int | None = None) -> DataFrame:
-    """Staging rows observed in ``[as_of - hours, as_of]``, reading only the
-    hour folders that can hold them: those from the window's start on. A
-    caller who knows the longest time between observation and landing may give
-    it as ``max_lag_hours``, which bounds the folders above as well."""
+                max_lag_hours: int | None = None, max_lead_hours: int | None = None,
+                index_root: str | None = None, reconcile: bool = False) -> DataFrame:
+    """Staging rows observed in ``[as_of - hours, as_of]``. With ``index_root``
+    only the partitions that hold them are read, however late or early they
+    landed; a caller who knows the longest time between observation and
+    landing (``max_lag_hours``), and how far clocks run ahead
+    (``max_lead_hours``), may give these instead."""
     end = (as_of if isinstance(as_of, datetime.datetime)
            else datetime.datetime.fromisoformat(str(as_of)))
     start = end - datetime.timedelta(hours=hours)
     window_end = end + datetime.timedelta(microseconds=1)   # inclusive as_of
-    return stage(read_processed(spark, processed_root, start=start, end=window_end,
-                                max_lag_hours=max_lag_hours))
+    return stage(read_processed(spark, processed_root, start=start, end=window_end, max_lag_hours=max_lag_hours,
+                                max_lead_hours=max_lead_hours, index_root=index_root, reconcile=reconcile))
 
 
 def select_cities(df: DataFrame, cities=None, states=None, city: str = "city_name",

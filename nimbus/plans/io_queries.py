@@ -41,7 +41,7 @@ def q_processed_window(spark: SparkSession, sf: str) -> DataFrame:
     # landed by observation hour (no fetch lag): only the window's 25 hour
     # folders are listed
     out = read_processed(spark, root, start=start,
-                         end=as_of + datetime.timedelta(microseconds=1), max_lag_hours=0)
+                         end=as_of + datetime.timedelta(microseconds=1), max_lag_hours=0, max_lead_hours=0)
     return out.select("city", "state", "observed_at", "temp_c", "city_slug", "day", "hour")
 
 

@@ -17,14 +17,14 @@ from pyspark.sql import types as T
 
 from nimbus.dims import CITIES
 from nimbus.operators.enrich import enrich
-from nimbus.operators.flatten import to_record
+from nimbus.operators.flatten import to_landed
 from nimbus.operators.enrich import run_hour_parts
 from nimbus.operators.validate import REASONS, ingest_rules, passes, split, split_counts
 from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS, PROCESSED, READING, READING_COLS
 from nimbus.sources.keyed import (Transport, fetch_counts, payload_readings,
                                   register_keyed_source)
 from nimbus.sources.raw import CORRUPT, read_raw
-from nimbus.sources.sinks import (clear_hours, empty_hours, overwrite_hour, register_table,
+from nimbus.sources.sinks import (clear_hours, empty_hours, overwrite_hour, register_table, replace_hours,
                                   with_run_hour, write_partitions, write_raw)
 
 CITY_KEY_SCHEMA = "name string, state string, lat double, lon double"
@@ -45,14 +45,16 @@ class FetchResult:
 
 def fetch_to_raw(spark: SparkSession, transport: Transport, raw_root: str, run_hour: str,
                  cities: list[tuple] | None = None) -> FetchResult:
-    """Fetch every city in its own task, land successes as JSON lines.
+    """Fetch every city in its own task, land successes as JSON lines. An answer
+    with values that do not fit lands with their names and its whole text: the
+    process job sends it to quarantine.
 
     Failed cities are counted and skipped; if every city fails the job
     fails (nothing is written in that case)."""
     fmt = register_keyed_source(spark, cities or CITIES, CITY_KEY_SCHEMA, transport,
                                 name="nimbus_cities")
     fetched, obs = fetch_counts(spark.read.format(fmt).load())
-    records = to_record(payload_readings(fetched))
+    records = to_landed(payload_readings(fetched))
     write_raw(records, raw_root, run_hour)
     res = FetchResult(int(obs.get["ok"]), int(obs.get["failed"]))
     if res.ok == 0:
@@ -72,7 +74,7 @@ class ProcessResult:
 
 def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_hour: str,
                  quarantine_root: str | None = None, processed_at: str | None = None,
-                 table: str | None = None, rules=None) -> ProcessResult:
+                 table: str | None = None, rules=None, atomic: bool = False) -> ProcessResult:
     """Validate and enrich one raw hour; write processed Parquet and quarantine.
 
     * one scan of the raw hour, persisted for the count and the two writes
@@ -81,6 +83,8 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
       on a write is dropped when its input turns out empty)
     * the processed hour is replaced whole (static partition overwrite when
       a table is registered, so even an all-invalid re-run clears it)
+    * ``atomic`` (with ``table``): the hour is written beside and the catalog
+      entry switched, so no reader of the table sees it half replaced
     """
     raw = read_raw(spark, raw_root, run_hour=run_hour)
     rules = rules if rules is not None else ingest_rules()
@@ -95,7 +99,7 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
         valid = valid.select(*PROCESSED.fieldNames())
         if table:
             register_table(spark, table, processed_root, PROCESSED)
-            overwrite_hour(spark, table, valid, run_hour)
+            _replace_hour(spark, table, valid, run_hour, atomic, c.valid_count)
         else:
             write_partitions(valid, processed_root)
         if quarantine_root:
@@ -105,13 +109,13 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
                 # a re-run with no rejects must also clear the hour's old rejects
                 qtable = f"{table}_quarantine"
                 register_table(spark, qtable, quarantine_root, QUARANTINE, fmt="json")
-                overwrite_hour(spark, qtable, bad, run_hour)
+                _replace_hour(spark, qtable, bad, run_hour, atomic, c.invalid_count)
             else:
                 write_partitions(bad, quarantine_root, fmt="json")
                 if c.invalid_count == 0:
-                    clear_hours(spark, quarantine_root, QUARANTINE, [run_hour], fmt="json")
+                    clear_hours(spark, quarantine_root, [run_hour])
         if not table and c.valid_count == 0:
-            clear_hours(spark, processed_root, PROCESSED, [run_hour])
+            clear_hours(spark, processed_root, [run_hour])
     finally:
         checked.unpersist()
     if c.invalid_count:
@@ -120,16 +124,26 @@ def process_hour(spark: SparkSession, raw_root: str, processed_root: str, run_ho
     return ProcessResult(c.total_count, c.valid_count, c.invalid_count)
 
 
+def _replace_hour(spark: SparkSession, table: str, df: DataFrame, run_hour: str, atomic: bool, rows: int) -> None:
+    if not atomic:
+        overwrite_hour(spark, table, df, run_hour)
+    elif rows:
+        replace_hours(df, table)
+    else:
+        empty_hours(spark, table, [run_hour])
+
+
 def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours: list[str],
              quarantine_root: str | None = None, processed_at: str | None = None,
-             table: str | None = None, rules=None) -> dict[str, ProcessResult]:
+             table: str | None = None, rules=None, atomic: bool = False) -> dict[str, ProcessResult]:
     """Re-process late or replayed hours (T4) in one distributed job.
 
     Only the requested hours' folders are read; one aggregation counts every
     hour; one dynamic-overwrite write replaces all of them.
     Hours left with no valid rows (or no rejects) are then emptied together,
     so no stale hour remains.
-    Hours without raw data are reported as zero counts.
+    Hours without raw data are reported as zero counts. ``atomic`` as in
+    ``process_hour``.
     """
     rules = rules if rules is not None else ingest_rules()
     stamp = processed_at or datetime.now(timezone.utc).isoformat()
@@ -140,10 +154,10 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
             F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("v")).collect()}  # one row per hour
         valid = processed_from_raw(raw, stamp, rules)
         bad = rejected_from_raw(raw, rules)
-        _write_hours(spark, valid, processed_root, table, PROCESSED, "parquet")
+        _write_hours(spark, valid, processed_root, table, PROCESSED, "parquet", atomic)
         if quarantine_root:
             _write_hours(spark, bad, quarantine_root, f"{table}_quarantine" if table else None,
-                         QUARANTINE, "json")
+                         QUARANTINE, "json", atomic)
     finally:
         raw.unpersist()
     out = {}
@@ -158,17 +172,20 @@ def backfill(spark: SparkSession, raw_root: str, processed_root: str, run_hours:
         if quarantine_root:
             empty_hours(spark, f"{table}_quarantine", no_rejects)
     else:
-        clear_hours(spark, processed_root, PROCESSED, no_valid)
+        clear_hours(spark, processed_root, no_valid)
         if quarantine_root:
-            clear_hours(spark, quarantine_root, QUARANTINE, no_rejects, fmt="json")
+            clear_hours(spark, quarantine_root, no_rejects)
     return out
 
 
 def _write_hours(spark: SparkSession, df: DataFrame, root: str, table: str | None, schema,
-                 fmt: str) -> None:
+                 fmt: str, atomic: bool = False) -> None:
     """Replace every hour present in ``df`` (dynamic partition overwrite)."""
     if table:
         register_table(spark, table, root, schema, fmt=fmt)
+        if atomic:
+            replace_hours(df, table)
+            return
         cols = spark.table(table).columns
         # overwrite only the hours written, whatever the session default is
         key = "spark.sql.sources.partitionOverwriteMode"

@@ -6,15 +6,14 @@ import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from nimbus.operators.flatten import stage
 from nimbus.operators.latest import latest_per_key
 from nimbus.operators.summary import hourly_summary
-from nimbus.schemas import PARTITION_COLS, PARTITION_FIELDS
+from nimbus.schemas import PARTITION_COLS
 from nimbus.sources.processed import read_processed, read_processed_hours
-from nimbus.sources.raw import hour_in, load_or_empty
-from nimbus.sources.sinks import materialize, refresh_table, write_partitions
+from nimbus.sources.sinks import materialize, refresh_table, remove_hours, write_partitions
+from nimbus.sources.zone import find_changes
 
 # The 18 output columns of the current-readings mart.
 CURRENT_COLUMNS = [
@@ -156,53 +155,40 @@ def update_current(spark, table: str, new_processed: DataFrame) -> int:
     return refresh_table(merged, table)
 
 
-INDEX = T.StructType([T.StructField("observed_hour", T.TimestampType()), *PARTITION_FIELDS])
+def update_hourly_summary(spark, processed_root: str, summary_root: str, profile: str = "dbt",
+                          index_root: str | None = None, reconcile: bool = False) -> int:
+    """Bring the hourly summary up to date with the processed zone.
 
-
-def hour_index(processed: DataFrame) -> DataFrame:
-    """Which observed hours a processing hour holds: distinct
-    ``observed_hour`` by partition (a few rows for each partition)."""
-    observed = F.date_trunc("hour", F.col("observed_at").try_cast("timestamp"))
-    return (processed.select(observed.alias("observed_hour"), *PARTITION_COLS)
-            .where(F.col("observed_hour").isNotNull()).distinct())
-
-
-def update_hour_index(spark, processed_root: str, index_root: str, run_hours: list[str] | None = None) -> None:
-    """Replace the index rows of ``run_hours`` (default: build it from the
-    whole zone, once)."""
-    if run_hours is None:
-        processed = read_processed(spark, processed_root)
-    else:
-        stamps = [datetime.datetime.strptime(h, "%Y-%m-%dT%H") for h in run_hours]
-        processed = read_processed_hours(spark, processed_root, stamps)
-    write_partitions(hour_index(processed), index_root)
-
-
-def update_hourly_summary(spark, processed_root: str, summary_root: str,
-                          run_hours: str | list[str], profile: str = "dbt",
-                          index_root: str | None = None) -> None:
-    """Recompute the summary hours that processing runs changed.
-
-    The runs' own rows tell which observed hours they hold, however old: these
-    and no others are recomputed. The index (``index_root``, by default beside
-    the summary) tells which processing hours hold readings of them, so only
-    those partitions are read. The summary is partitioned by observed hour and
-    its hours are replaced whole (dynamic overwrite).
+    Nobody has to say what changed: the index (``index_root``, by default
+    beside the summary) is compared with the zone's files (``sources.zone``),
+    so a run that was never announced, a replayed hour and a removed one are
+    all found. The observed hours that changed partitions hold or held, and no
+    others, are recomputed from the partitions that hold them; hours without
+    any reading left lose their summary. The index becomes current last, so a
+    run that dies is simply repeated. Returns the number of changed partitions.
     """
-    run_hours = [run_hours] if isinstance(run_hours, str) else list(run_hours)
     index_root = index_root or f"{summary_root.rstrip('/')}_index"
-    index = load_or_empty(spark, spark.read.schema(INDEX), index_root, index_root, INDEX, "parquet")
-    update_hour_index(spark, processed_root, index_root, None if index.isEmpty() else run_hours)
-    index = spark.read.schema(INDEX).parquet(index_root)
-    stamps = [datetime.datetime.strptime(h, "%Y-%m-%dT%H") for h in run_hours]
-    changed = index.where(hour_in(stamps)).select("observed_hour").distinct()
-    # Hours only, a row for each: the partitions to read.
-    parts = index.join(changed, "observed_hour", "left_semi").select(*PARTITION_COLS).distinct().collect()
-    if not parts:
-        return
-    processed = read_processed_hours(spark, processed_root, [datetime.datetime(*p) for p in parts])
-    stg = stg_weather_raw(processed).join(changed, "observed_hour", "left_semi")
-    summary = weather_hourly_summary(stg, profile).withColumns({
-        "year": F.year("observed_hour"), "month": F.month("observed_hour"),
-        "day": F.dayofmonth("observed_hour"), "hour": F.hour("observed_hour")})
-    write_partitions(summary, summary_root)
+
+    def read(hours):
+        return read_processed(spark, processed_root, reconcile=reconcile) if hours is None \
+            else read_processed_hours(spark, processed_root, hours, reconcile=reconcile)
+
+    changes = find_changes(spark, processed_root, index_root, read)
+    if not changes.partitions:
+        return 0
+    # Hours only, a row for each: the partitions to read, and hours that no partition holds any more.
+    held = changes.index.join(changes.observed, "observed_hour", "left_semi")
+    parts = held.select(*PARTITION_COLS).distinct().collect()
+    if parts:
+        stg = stg_weather_raw(read([datetime.datetime(*p) for p in parts])).join(changes.observed, "observed_hour", "left_semi")
+        summary = weather_hourly_summary(stg, profile).withColumns({
+            "year": F.year("observed_hour"), "month": F.month("observed_hour"),
+            "day": F.dayofmonth("observed_hour"), "hour": F.hour("observed_hour")})
+        written = write_partitions(summary, summary_root)
+    else:
+        written = set()
+    # Changed hours for which nothing was written: no reading with a key is left.
+    stamps = [tuple(r) for r in changes.observed.select(F.year("observed_hour"), F.month("observed_hour"), F.dayofmonth("observed_hour"), F.hour("observed_hour")).collect()]
+    remove_hours(spark, summary_root, [h for h in stamps if h not in written])
+    changes.commit()
+    return changes.partitions

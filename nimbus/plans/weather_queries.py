@@ -10,11 +10,12 @@ from __future__ import annotations
 import datetime
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbus.operators.filters import latest, trailing_window
-from nimbus.operators.flatten import flatten_payload, to_record
+from nimbus.operators.flatten import flatten_payload
 from nimbus.operators.quality import quality_report
 from nimbus.operators.summary import weather_metrics
 from nimbus.operators.validate import MALFORMED, quality_rules, reason_text
@@ -22,12 +23,13 @@ from nimbus.plans import dashboard, marts
 from nimbus.plans.jobs import QUARANTINE, backfill, process_hour, processed_from_raw
 from nimbus.plans.standins import table
 from nimbus.plans.weather_rows import WEATHER_SQL, weather_rows
-from nimbus.schemas import PROCESSED, READING
+from nimbus.schemas import PARTITION_COLS, PROCESSED, READING
 from nimbus.session import work_dir
 from nimbus.sources.keyed import collect_keyed
-from nimbus.sources.processed import read_processed
-from nimbus.sources.raw import read_mixed_json, read_payload, read_raw
-from nimbus.sources.sinks import expire_partitions, register_table, write_partitions, write_raw
+from nimbus.sources.processed import processed_rejects, read_processed
+from nimbus.sources.raw import CORRUPT, read_mixed_json, read_payload, read_raw
+from nimbus.sources.sinks import (catalog_diff, expire_partitions, publish_hours, reconcile_table, register_table,
+                                  remove_hours, stage_hours, table_root, write_partitions, write_raw)
 from nimbus.streaming import drain, ingest_stream
 
 STAMP = "2024-12-31T00:00:00+00:00"
@@ -305,6 +307,45 @@ def q_backfill_rejects(spark, sf):
     return _rejects(spark, f"{base}/bad")
 
 
+_OUT = ["city", "state", "observed_at", "temp_f", "humidity_pct", "city_slug", "temp_c", "wind_speed_ms", "processed_at", "year", "month", "day", "hour"]
+_OUT_SQL = f"""
+SELECT city, state, observed_at, temp_f, humidity_pct, lower(regexp_replace(city, '\\s+', '_', 'g')) || '_' || lower(state) AS city_slug,
+       round((temp_f - 32) * 5 / 9, 2) AS temp_c, round(wind_speed_mph * 0.44704, 3) AS wind_speed_ms, '{STAMP}' AS processed_at, year, month, day, hour, land
+FROM ({_VALID_SQL})
+"""
+
+
+def q_process_hour_valid(spark, sf):
+    """The last hour processed into a table, replaced atomically: its readings."""
+    base, name = work_dir(spark, "process-valid"), f"nimbus_hour_{uuid.uuid4().hex[:12]}"
+    last = _hours(_land(spark, sf, f"{base}/raw"))[-1]
+    for _ in range(2):
+        process_hour(spark, f"{base}/raw", f"{base}/out", last, quarantine_root=f"{base}/bad", processed_at=STAMP, table=name, atomic=True)
+    return spark.table(name).select(*_OUT)
+
+
+SQL_PROCESS_HOUR_VALID = f"SELECT * EXCLUDE (land) FROM ({_OUT_SQL}) WHERE land = (SELECT max(land) FROM ({WEATHER_SQL}))"
+
+
+def q_backfill_valid(spark, sf):
+    """Every hour replayed into a table: its readings."""
+    base, name = work_dir(spark, "backfill-valid"), f"nimbus_backfill_{uuid.uuid4().hex[:12]}"
+    rows = _land(spark, sf, f"{base}/raw")
+    backfill(spark, f"{base}/raw", f"{base}/out", _hours(rows), quarantine_root=f"{base}/bad", processed_at=STAMP, table=name)
+    return spark.table(name).select(*_OUT)
+
+
+def q_backfill_zone(spark, sf):
+    """Every hour replayed into a path-based zone: its readings."""
+    base = work_dir(spark, "backfill-zone")
+    rows = _land(spark, sf, f"{base}/raw")
+    backfill(spark, f"{base}/raw", f"{base}/out", _hours(rows), quarantine_root=f"{base}/bad", processed_at=STAMP)
+    return read_processed(spark, f"{base}/out").select(*_OUT)
+
+
+SQL_BACKFILL_VALID = f"SELECT * EXCLUDE (land) FROM ({_OUT_SQL})"
+
+
 def _halves(spark, sf) -> list[DataFrame]:
     """Two landings: the second brings late rows into hours already processed."""
     rows = weather_rows(spark, sf)
@@ -332,6 +373,11 @@ def q_incremental_summary(spark, sf):
     return _ntz(out.select("city_name", "state_code", "observed_hour", *[m.name for m in weather_metrics("dbt")], "reading_count", "dominant_condition"))
 
 
+_UNANNOUNCED_SQL = f"""
+SELECT city AS city_name, state AS state_code, seen AS observed_at, date_trunc('hour', seen) AS observed_hour,
+       temp_f, feels_like_f, temp_min_f, temp_max_f, humidity_pct, pressure_hpa, wind_speed_mph, wind_gust_mph,
+       clouds_pct, condition_main FROM ({_VALID_SQL}) WHERE day <> 5 AND (hour = 12 OR event_id % 3 = 0)
+"""
 _VALID_STG_SQL = f"""
 SELECT city AS city_name, state AS state_code, seen AS observed_at, date_trunc('hour', seen) AS observed_hour,
        temp_f, feels_like_f, temp_min_f, temp_max_f, humidity_pct, pressure_hpa, wind_speed_mph, wind_gust_mph,
@@ -339,12 +385,31 @@ SELECT city AS city_name, state AS state_code, seen AS observed_at, date_trunc('
 """
 
 
+def q_unannounced_summary(spark, sf):
+    """A zone that changed behind the summary: a third of the readings were
+    summarised; then the noon hours were written whole, and those of day 5
+    removed, and nobody said so."""
+    base = work_dir(spark, "unannounced")
+    w = weather_rows(spark, sf)
+    write_partitions(processed_from_raw(w.where("event_id % 3 = 0").drop("event_id"), STAMP), f"{base}/out")
+    marts.update_hourly_summary(spark, f"{base}/out", f"{base}/summary")
+    write_partitions(processed_from_raw(w.where("hour = 12").drop("event_id"), STAMP), f"{base}/out")
+    remove_hours(spark, f"{base}/out", [tuple(r) for r in w.where("day = 5").select(*PARTITION_COLS).distinct().collect()])
+    marts.update_hourly_summary(spark, f"{base}/out", f"{base}/summary")
+    out = spark.read.parquet(f"{base}/summary").drop("year", "month", "day", "hour")
+    return _ntz(out.select("city_name", "state_code", "observed_hour", *[m.name for m in weather_metrics("dbt")], "reading_count", "dominant_condition"))
+
+
 def q_late_window(spark, sf):
-    """The last 24 hours observed, whatever hour the readings landed in."""
+    """The last 24 hours observed, whatever hour the readings landed in: most
+    land up to 15 hours late, some before they were observed. By the index."""
     base = work_dir(spark, "late-window")
-    write_partitions(processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP), f"{base}/out")
+    early = F.date_trunc("hour", F.col("observed_at").cast("timestamp").cast("timestamp_ntz")).cast("timestamp_ntz") - F.make_dt_interval(hours=(F.col("event_id") % 70).cast("int"))
+    w = weather_rows(spark, sf).withColumn("_early", F.when(F.col("event_id") % 6 == 0, early))
+    w = w.withColumns({c: F.coalesce(f("_early"), F.col(c)) for c, f in (("year", F.year), ("month", F.month), ("day", F.dayofmonth), ("hour", F.hour))}).drop("_early", "event_id")
+    write_partitions(processed_from_raw(w, STAMP), f"{base}/out")
     end = latest(_stg(spark, sf), "observed_at")
-    return _ntz(dashboard.load_window(spark, f"{base}/out", end).select("city_name", "state_code", "observed_at", "fetched_at", "temp_f"))
+    return _ntz(dashboard.load_window(spark, f"{base}/out", end, index_root=f"{base}/index").select("city_name", "state_code", "observed_at", "fetched_at", "temp_f"))
 
 
 SQL_LATE_WINDOW = f"""
@@ -413,51 +478,185 @@ _READING = ["city", "state", "country", "lat", "lon", "observed_at", "temp_f", "
             "wind_gust_mph", "clouds_pct", "condition_main", "condition_description"]
 
 
+def _said() -> list[Column]:
+    return [F.col(MALFORMED).alias("malformed"), F.col(CORRUPT).alias("corrupt")]
+
+
+# What the readers must not lose: whole decimals are integers, fractions and broken lines are named.
+_ODD_HUMIDITY = "CASE WHEN event_id % 10 <> 0 THEN humidity_pct END"
+_ODD_SAID = "CASE WHEN event_id % 10 = 0 AND humidity_pct IS NOT NULL THEN 'humidity_pct' ELSE '' END"
+_BROKEN_SQL = "'{\"city\": \"broken ' || event_id"
+
+
+def _odd_humidity() -> Column:
+    """``45.0`` for most readings, ``45.5`` for some."""
+    return F.col("humidity_pct") + F.when(F.col("event_id") % 10 == 0, 0.5).otherwise(0.0)
+
+
+def _broken() -> Column:
+    return F.concat(F.lit('{"city": "broken '), F.col("event_id").cast("string"))
+
+
 def q_payload_scan(spark, sf):
-    """Nested documents written and read back, then flattened."""
+    """Nested documents written and read back, then flattened (S3, P1, P2):
+    integers as decimals, fractions and text, one inside an array, and broken lines."""
     base = work_dir(spark, "payload")
     w = weather_rows(spark, sf)
     second = F.unix_seconds(F.col("observed_at").cast("timestamp"))
+    code = F.col("condition_id") + F.when(F.col("event_id") % 11 == 0, 0.5).otherwise(0.0)
     docs = w.select(
         F.struct("lon", "lat").alias("coord"),
-        F.array(F.struct(F.col("condition_id").alias("id"), F.col("condition_main").alias("main"), F.col("condition_description").alias("description"))).alias("weather"),
+        F.array(F.struct(code.alias("id"), F.col("condition_main").alias("main"), F.col("condition_description").alias("description"))).alias("weather"),
         F.struct(F.col("temp_f").alias("temp"), F.col("feels_like_f").alias("feels_like"), F.col("temp_min_f").alias("temp_min"), F.col("temp_max_f").alias("temp_max"),
-                 F.col("pressure_hpa").alias("pressure"), F.col("humidity_pct").alias("humidity")).alias("main"),
+                 F.col("pressure_hpa").cast("string").alias("pressure"), _odd_humidity().alias("humidity")).alias("main"),
         F.struct(F.col("wind_speed_mph").alias("speed"), F.col("wind_gust_mph").alias("gust")).alias("wind"),
-        F.when(F.col("event_id") % 5 != 0, F.struct(F.col("clouds_pct").alias("all"))).alias("clouds"),
+        F.when(F.col("event_id") % 5 != 0, F.struct("clouds_pct").withField("all", F.col("clouds_pct").cast("double"))).alias("clouds"),
         F.when(F.col("event_id") % 7 != 0, F.struct("country")).alias("sys"), second.alias("dt"), F.col("city").alias("name"), F.col("state").alias("base"))
     docs.write.json(f"{base}/docs")
-    flat = to_record(flatten_payload(read_payload(spark, f"{base}/docs"), city="name", state="base", fetched_at=F.lit(STAMP)))
-    return flat.select(*_READING)
+    w.where("event_id % 13 = 0").select(_broken().alias("value")).write.mode("append").text(f"{base}/docs")
+    flat = flatten_payload(read_payload(spark, f"{base}/docs"), city="name", state="base", fetched_at=F.lit(STAMP))
+    return flat.select(*_READING, "pressure_hpa", *_said())
 
 
 SQL_PAYLOAD_SCAN = f"""
 SELECT city, state, CASE WHEN event_id % 7 <> 0 THEN country ELSE 'US' END AS country, lat, lon,
-       strftime(date_trunc('second', seen), '%Y-%m-%dT%H:%M:%S+00:00') AS observed_at, temp_f, feels_like_f, humidity_pct, wind_speed_mph,
-       wind_gust_mph, CASE WHEN event_id % 5 <> 0 THEN clouds_pct ELSE 0 END AS clouds_pct, condition_main, condition_description
+       strftime(date_trunc('second', seen), '%Y-%m-%dT%H:%M:%S+00:00') AS observed_at, temp_f, feels_like_f, {_ODD_HUMIDITY} AS humidity_pct, wind_speed_mph,
+       wind_gust_mph, CASE WHEN event_id % 5 <> 0 THEN clouds_pct ELSE 0 END AS clouds_pct, condition_main, condition_description, pressure_hpa,
+       concat_ws(',', CASE WHEN event_id % 11 = 0 THEN 'weather[].id' END, CASE WHEN event_id % 10 = 0 AND humidity_pct IS NOT NULL THEN 'main.humidity' END) AS malformed,
+       CAST(NULL AS VARCHAR) AS corrupt
 FROM ({WEATHER_SQL})
+UNION ALL SELECT NULL, NULL, 'US', NULL, NULL, NULL, NULL, NULL, NULL, 0.0, NULL, 0, NULL, NULL, NULL, 'corrupt_record', {_BROKEN_SQL}
+FROM ({WEATHER_SQL}) WHERE event_id % 13 = 0
 """
 
 
 def q_mixed_json(spark, sf):
-    """Lines that hold an object and lines that hold an array of objects."""
+    """Lines that hold an object, lines that hold an array of objects, broken
+    lines, and integers as decimals and fractions (S2)."""
     base = work_dir(spark, "mixed-json")
-    w = weather_rows(spark, sf)
+    w = weather_rows(spark, sf).withColumn("humidity_pct", _odd_humidity())
     one = F.struct(*[F.col(c) for c in _READING])
     single = w.where("event_id % 3 != 0").select(F.to_json(one).alias("value"))
     many = (w.where("event_id % 3 = 0").groupBy(F.floor(F.col("event_id") / 30)).agg(F.to_json(F.collect_list(one)).alias("value")).select("value"))
-    single.unionByName(many).write.text(f"{base}/lines")
-    return read_mixed_json(spark, f"{base}/lines", READING).select(*_READING)
+    broken = w.where("event_id % 13 = 0").select(_broken().alias("value"))
+    single.unionByName(many).unionByName(broken).write.text(f"{base}/lines")
+    return read_mixed_json(spark, f"{base}/lines", READING).select(*_READING, *_said())
+
 
+SQL_MIXED_JSON = f"""
+SELECT {', '.join(c if c != 'humidity_pct' else f'{_ODD_HUMIDITY} AS humidity_pct' for c in _READING)}, {_ODD_SAID} AS malformed, CAST(NULL AS VARCHAR) AS corrupt
+FROM ({WEATHER_SQL})
+UNION ALL SELECT {', '.join('NULL' for _ in _READING)}, 'corrupt_record', {_BROKEN_SQL} FROM ({WEATHER_SQL}) WHERE event_id % 13 = 0
+"""
 
-SQL_MIXED_JSON = f"SELECT {', '.join(_READING)} FROM ({WEATHER_SQL})"
+_ZONE = ["city", "state", "observed_at", "temp_f", "humidity_pct", "year", "month", "day", "hour"]
 
 
 def q_ndjson_processed(spark, sf):
-    """The processed zone in its JSON flavour."""
+    """The processed zone in its JSON flavour (S5), with integers as decimals
+    and fractions and with broken lines: what is read, and what is not."""
     base = work_dir(spark, "ndjson")
-    write_partitions(processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP), f"{base}/out", fmt="json")
-    return read_processed(spark, f"{base}/out", fmt="json").select("city", "state", "observed_at", "temp_f", "year", "month", "day", "hour")
+    w = weather_rows(spark, sf)
+    valid = processed_from_raw(w, STAMP).join(w.where("event_id % 10 = 0").select("city", "state", "observed_at", "temp_f", "lat").distinct()
+                                              .withColumn("half", F.lit(0.5)), ["city", "state", "observed_at", "temp_f", "lat"], "left")
+    write_partitions(valid.withColumn("humidity_pct", F.col("humidity_pct") + F.coalesce("half", F.lit(0.0))).drop("half"), f"{base}/out", fmt="json")
+    broken = w.where("event_id % 13 = 0").select(_broken().alias("value"), *PARTITION_COLS)
+    broken.write.mode("append").partitionBy(*PARTITION_COLS).text(f"{base}/out")
+    good = read_processed(spark, f"{base}/out", fmt="json").select(*_ZONE, F.lit("").alias("malformed"), F.lit(None).cast("string").alias("corrupt"))
+    return good.unionByName(processed_rejects(spark, f"{base}/out").select(*_ZONE, *_said()))
+
+
+SQL_NDJSON_PROCESSED = f"""
+SELECT city, state, observed_at, temp_f, {_ODD_HUMIDITY} AS humidity_pct, year, month, day, hour, {_ODD_SAID} AS malformed, CAST(NULL AS VARCHAR) AS corrupt FROM ({_VALID_SQL})
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, year, month, day, hour, 'corrupt_record', {_BROKEN_SQL} FROM ({WEATHER_SQL}) WHERE event_id % 13 = 0
+"""
+
+
+def q_mixed_types(spark, sf):
+    """Parquet files that hold a column as bigint, as double and as text (S4):
+    what is read, and what does not fit."""
+    base = work_dir(spark, "mixed-types")
+    w = weather_rows(spark, sf)
+    for i, humidity in enumerate((F.col("humidity_pct").cast("long"), _odd_humidity(), F.col("humidity_pct").cast("string"))):
+        part = w.where(F.col("event_id") % 3 == (i + 1) % 3)
+        rows = processed_from_raw(part, STAMP).drop("humidity_pct").join(
+            part.select("city", "state", "observed_at", "temp_f", "lat", humidity.alias("humidity_pct")).distinct(), ["city", "state", "observed_at", "temp_f", "lat"])
+        rows.hint("rebalance", *PARTITION_COLS).write.mode("append").partitionBy(*PARTITION_COLS).parquet(f"{base}/out")
+    good = read_processed(spark, f"{base}/out", reconcile=True).select(*_ZONE, F.lit("").alias("malformed"))
+    return good.unionByName(processed_rejects(spark, f"{base}/out", fmt="parquet").select(*_ZONE, _said()[0]))
+
+
+SQL_MIXED_TYPES = f"""
+SELECT city, state, observed_at, temp_f, CASE WHEN event_id % 10 <> 0 OR event_id % 3 <> 2 THEN humidity_pct END AS humidity_pct, year, month, day, hour,
+       CASE WHEN event_id % 10 = 0 AND event_id % 3 = 2 THEN 'humidity_pct' ELSE '' END AS malformed FROM ({_VALID_SQL})
+"""
+
+
+# ---------------------------------------------------------------- catalog
+
+def _table(prefix: str) -> str:
+    return f"nimbus_{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+def _catalogued(spark, sf) -> str:
+    """A registered zone that has moved on behind its catalog: the hours of
+    day 3 are gone, those from day 20 on have come under padded names, and
+    later files hold a column more. The catalog knows the rest."""
+    base, name = work_dir(spark, "catalog"), _table("catalog")
+    rows = processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP)
+    old = rows.where("day < 20").drop("wind_speed_ms")
+    gone = write_partitions(old, f"{base}/out")
+    register_table(spark, name, f"{base}/out", T.StructType([f for f in PROCESSED.fields if f.name != "wind_speed_ms"]))
+    remove_hours(spark, f"{base}/out", [h for h in gone if h[2] == 3])
+    padded = rows.where("day >= 20").withColumns({c: F.lpad(F.col(c).cast("string"), 2, "0") for c in ("month", "day", "hour")})
+    padded.hint("rebalance", *PARTITION_COLS).write.mode("append").partitionBy(*PARTITION_COLS).parquet(f"{base}/out")
+    return name
+
+
+def q_catalog_diff(spark, sf):
+    """Folders and catalog entries that differ."""
+    return catalog_diff(spark, _catalogued(spark, sf)).select(*PARTITION_COLS, "status")
+
+
+SQL_CATALOG_DIFF = f"""
+SELECT year, month, day, hour, CASE WHEN day = 3 THEN 'vanished' ELSE 'new' END AS status FROM ({_VALID_SQL}) WHERE day = 3 OR day >= 20 GROUP BY ALL
+"""
+
+
+def q_catalog_repair(spark, sf):
+    """The same table after its repair and a column added: read by the catalog."""
+    name = _catalogued(spark, sf)
+    root = table_root(spark, name)
+    register_table(spark, name, root, PROCESSED)  # ADD COLUMNS
+    reconcile_table(spark, name)
+    return spark.table(name).select("city", "state", "observed_at", "temp_f", "wind_speed_ms", *PARTITION_COLS)
+
+
+SQL_CATALOG_REPAIR = f"""
+SELECT city, state, observed_at, temp_f, CASE WHEN day >= 20 THEN round(wind_speed_mph * 0.44704, 3) END AS wind_speed_ms, year, month, day, hour
+FROM ({_VALID_SQL}) WHERE day <> 3
+"""
+
+
+def q_atomic_rerun(spark, sf):
+    """Hours of a table replaced in two steps (S8): between them readers see
+    every hour as it was, afterwards as it is."""
+    base, name = work_dir(spark, "atomic"), _table("atomic")
+    first, _ = (processed_from_raw(x.drop("event_id"), STAMP) for x in _halves(spark, sf))
+    write_partitions(first, f"{base}/out")
+    register_table(spark, name, f"{base}/out", PROCESSED)
+    folder, hours = stage_hours(processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP), name)
+    cols = ["city", "state", "observed_at", "temp_f", *PARTITION_COLS]
+    between = spark.table(name).select(F.lit("between").alias("step"), *cols).checkpoint()
+    publish_hours(spark, name, folder, hours)
+    spark.catalog.refreshTable(name)
+    return between.unionByName(spark.table(name).select(F.lit("after").alias("step"), *cols))
+
+
+SQL_ATOMIC_RERUN = f"""
+SELECT 'between' AS step, city, state, observed_at, temp_f, year, month, day, hour FROM ({_VALID_SQL}) WHERE event_id % 3 <> 0
+UNION ALL SELECT 'after', city, state, observed_at, temp_f, year, month, day, hour FROM ({_VALID_SQL})
+"""
 
 
 def q_retention(spark, sf):
@@ -505,10 +704,13 @@ QUERIES = {
     "weather_map": q_weather_map, "weather_quality": q_weather_quality, "process_hour_rejects": q_process_hour_rejects,
     "backfill_rejects": q_backfill_rejects, "stream_ingest_rejects": q_stream_ingest_rejects,
     "incremental_summary": q_incremental_summary, "late_window": q_late_window, "float_integers": q_float_integers,
+    "process_hour_valid": q_process_hour_valid, "backfill_valid": q_backfill_valid, "backfill_zone": q_backfill_zone,
+    "unannounced_summary": q_unannounced_summary, "mixed_types": q_mixed_types, "catalog_diff": q_catalog_diff,
+    "catalog_repair": q_catalog_repair, "atomic_rerun": q_atomic_rerun,
     "padded_rerun": q_padded_rerun, "mixed_schema": q_mixed_schema, "aware_as_of": q_aware_as_of,
 }
 ORACLE_SQL = {
-    "payload_scan": SQL_PAYLOAD_SCAN, "mixed_json": SQL_MIXED_JSON, "ndjson_processed": SQL_PADDED_RERUN,
+    "payload_scan": SQL_PAYLOAD_SCAN, "mixed_json": SQL_MIXED_JSON, "ndjson_processed": SQL_NDJSON_PROCESSED,
     "retention": SQL_RETENTION, "keyed_collect": SQL_KEYED_COLLECT,
     "stg_weather_raw": _STG_SQL, "weather_current": SQL_WEATHER_CURRENT, "weather_current_ties": SQL_WEATHER_CURRENT_TIES,
     "weather_hourly_dbt": _sql_hourly(_DBT_METRICS), "weather_hourly_sync": _sql_hourly(_SYNC_METRICS, drop_null=False),
@@ -517,6 +719,9 @@ ORACLE_SQL = {
     "weather_quality": SQL_WEATHER_QUALITY, "process_hour_rejects": SQL_PROCESS_HOUR_REJECTS,
     "backfill_rejects": _REJECTS_SQL, "stream_ingest_rejects": _REJECTS_SQL,
     "incremental_summary": _sql_hourly(_DBT_METRICS, _VALID_STG_SQL), "late_window": SQL_LATE_WINDOW,
+    "process_hour_valid": SQL_PROCESS_HOUR_VALID, "backfill_valid": SQL_BACKFILL_VALID, "backfill_zone": SQL_BACKFILL_VALID,
+    "unannounced_summary": _sql_hourly(_DBT_METRICS, _UNANNOUNCED_SQL), "mixed_types": SQL_MIXED_TYPES, "catalog_diff": SQL_CATALOG_DIFF,
+    "catalog_repair": SQL_CATALOG_REPAIR, "atomic_rerun": SQL_ATOMIC_RERUN,
     "float_integers": SQL_FLOAT_INTEGERS, "padded_rerun": SQL_PADDED_RERUN, "mixed_schema": SQL_MIXED_SCHEMA,
     "aware_as_of": SQL_AWARE_AS_OF,
 }

@@ -27,8 +27,10 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from nimbus.operators.flatten import flatten_payload
+from nimbus.operators.validate import MALFORMED
 from nimbus.schemas import PAYLOAD
 from nimbus.session import ship_package
+from nimbus.sources.tolerant import CORRUPT, text_schema, type_records
 
 RESULT_FIELDS = [
     T.StructField("status", T.StringType()),
@@ -101,7 +103,11 @@ def collect_keyed(keys: DataFrame, transport: Transport) -> DataFrame:
 
 def payload_readings(fetched: DataFrame, city: str = "name", state: str = "state",
                      lat: str | None = "lat", lon: str | None = "lon") -> DataFrame:
-    """Successful fetches -> flat readings (P1 over the attached city, J5)."""
+    """Successful fetches -> flat readings (P1 over the attached city, J5).
+
+    The answer is parsed leaf by leaf (``sources.tolerant``): what does not fit
+    is named in ``_malformed``, and ``_corrupt_record`` holds the whole answer
+    wherever something does not."""
     ok = fetched.filter(F.col("status") == "ok")
     # key columns get a prefix: the document has its own ``name``/``id`` fields
     keys = {"_k_city": city, "_k_state": state, "_k_fetched": "fetched_at"}
@@ -110,8 +116,11 @@ def payload_readings(fetched: DataFrame, city: str = "name", state: str = "state
     if lon:
         keys["_k_lon"] = lon
     parsed = ok.select(*[F.col(v).alias(k) for k, v in keys.items()],
-                       F.from_json("payload", PAYLOAD).alias("_doc")).select(*keys, "_doc.*")
-    return flatten_payload(parsed, city="_k_city", state="_k_state", fetched_at="_k_fetched",
+                       "payload", F.from_json("payload", text_schema(PAYLOAD), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_doc"))
+    answer = "_k_payload"
+    leaves = type_records(parsed.select(*keys, F.col("payload").alias(answer), "_doc.*"), PAYLOAD, [*keys, answer])
+    whole = F.when(F.col(MALFORMED) != "", F.coalesce(CORRUPT, answer))
+    return flatten_payload(leaves.withColumn(CORRUPT, whole), city="_k_city", state="_k_state", fetched_at="_k_fetched",
                            dim_lat="_k_lat" if lat else None, dim_lon="_k_lon" if lon else None)
 
 

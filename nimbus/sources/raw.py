@@ -19,27 +19,9 @@ from pyspark.sql import types as T
 from nimbus.operators.filters import partition_bounds
 from nimbus.operators.validate import MALFORMED
 from nimbus.schemas import PARTITION_FIELDS, PAYLOAD, READING
+from nimbus.sources.tolerant import CORRUPT, json_records, text_schema, type_records
 
-CORRUPT = "_corrupt_record"
-
-
-def _typed(schema: T.StructType) -> tuple[list[Column], list[Column]]:
-    """Cast string fields to ``schema`` with ``try_cast``; per field, the
-    field's name when its text did not parse (value present, cast NULL).
-    Whole numbers may be written as decimals (``45.0``); a fraction in an
-    integer field is malformed."""
-    cols, bad = [], []
-    for f in schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            cols.append(F.col(f.name))
-            continue
-        cast = F.col(f.name).try_cast(f.dataType)
-        if isinstance(f.dataType, T.IntegralType):
-            number = F.col(f.name).try_cast("double")
-            cast = F.coalesce(cast, F.when(number == F.floor(number), number.try_cast(f.dataType)))
-        cols.append(cast.alias(f.name))
-        bad.append(F.when(F.col(f.name).isNotNull() & cast.isNull(), F.lit(f.name)))
-    return cols, bad
+__all__ = ["CORRUPT", "hour_in", "load_or_empty", "partition_glob", "read_mixed_json", "read_payload", "read_raw"]
 
 
 def _alts(values, pad: bool) -> str:
@@ -62,7 +44,8 @@ def partition_glob(root: str, hours, day_hours=None) -> str:
 
 def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
              start=None, end=None, max_lag_hours: int | None = None,
-             schema: T.StructType = READING, run_hours: list[str] | None = None) -> DataFrame:
+             schema: T.StructType = READING, run_hours: list[str] | None = None,
+             max_lead_hours: int | None = None) -> DataFrame:
     """Flat readings landed as JSON lines under ``year/month/day/hour``.
 
     Every field is read as text and typed with ``try_cast``: a malformed
@@ -77,28 +60,20 @@ def read_raw(spark: SparkSession, root: str, run_hour: str | None = None,
     an hourly job does not list years of history. Without them the root is
     listed once and filters on the partition ints prune the files read.
     """
-    text_schema = T.StructType(
-        [T.StructField(f.name, T.StringType(), True) for f in schema.fields]
-        + [T.StructField(CORRUPT, T.StringType(), True)] + PARTITION_FIELDS)
-    reader = (spark.read.schema(text_schema)
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
+    said = [T.StructField(MALFORMED, T.StringType()), *PARTITION_FIELDS]
+    reader = json_records(spark.read, schema, said)
     hours = ([run_hour] if run_hour is not None else []) + list(run_hours or [])
     if hours:
         parsed = [_dt.datetime.strptime(h, "%Y-%m-%dT%H") for h in hours]
-        df = load_or_empty(spark, reader, root, partition_glob(root, parsed), text_schema, "json")
+        df = load_or_empty(spark, reader, root, partition_glob(root, parsed),
+                           text_schema(schema, said), "json")
         df = df.filter(hour_in(parsed))
     else:
         df = reader.json(root)
-    bounds = partition_bounds(start, end, max_lag_hours)
+    bounds = partition_bounds(start, end, max_lag_hours, max_lead_hours)
     if bounds is not None:
         df = df.filter(bounds)
-    cols, bad = _typed(schema)
-    corrupt = F.when(F.col(CORRUPT).isNotNull(), F.lit("corrupt_record"))
-    # comma-separated names ("" when clean): concat_ws skips NULLs and stays
-    # in whole-stage codegen, unlike array higher-order functions
-    return df.select(*cols, CORRUPT, *[f.name for f in PARTITION_FIELDS],
-                     F.concat_ws(",", corrupt, *bad).alias(MALFORMED))
+    return type_records(df, schema, [f.name for f in PARTITION_FIELDS])
 
 
 def hour_in(hours) -> Column:
@@ -127,12 +102,15 @@ def load_or_empty(spark: SparkSession, reader, root: str, glob: str, empty_schem
 def read_mixed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Text whose lines are a JSON object or a JSON array of objects.
 
-    Spark's JSON reader already expands a top-level array into rows, so
-    this is the JSON reader with a declared schema; blank lines are skipped.
+    Spark's JSON reader already expands a top-level array into rows; blank
+    lines are skipped. Leaves are read as text and typed afterwards, so
+    nothing is lost: see ``sources.tolerant`` for ``_malformed`` and
+    ``_corrupt_record``, which follow the columns of ``schema``.
     """
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    return type_records(json_records(spark.read, schema).json(path), schema)
 
 
 def read_payload(spark: SparkSession, path: str) -> DataFrame:
-    """Nested API documents (S3) with the declared payload schema."""
-    return spark.read.schema(PAYLOAD).json(path)
+    """Nested API documents (S3) with the declared payload schema, read like
+    ``read_mixed_json``."""
+    return type_records(json_records(spark.read, PAYLOAD).json(path), PAYLOAD)

@@ -106,7 +106,7 @@ def test_incremental_marts_equal_full_refresh(spark):
         process_hour(spark, raw, out, run, processed_at="p")
         this_hour = read_processed(spark, out).filter(f"hour = {h}")
         update_current(spark, table, this_hour)
-        update_hourly_summary(spark, out, summ, run)
+        update_hourly_summary(spark, out, summ)
     full = stg_weather_raw(read_processed(spark, out))
     cols = sorted(spark.table(table).columns)
     assert sorted(map(tuple, spark.table(table).select(cols).collect())) == \
@@ -129,7 +129,7 @@ def test_load_window_reads_only_window_folders(spark):
         write_lines(Path(raw) / f"year=2024/month=3/day=31/hour={h}" / "a.json",
                     [reading(observed_at=f"2024-03-31T{h:02d}:05:00+00:00")])
         process_hour(spark, raw, out, f"2024-03-31T{h}", processed_at="p")
-    w = dashboard.load_window(spark, out, "2024-03-31 15:30:00", hours=2, max_lag_hours=1)
+    w = dashboard.load_window(spark, out, "2024-03-31 15:30:00", hours=2, max_lag_hours=1, max_lead_hours=0)
     assert sorted(r.observed_at.hour for r in w.collect()) == [14, 15]
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):

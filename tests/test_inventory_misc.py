@@ -99,9 +99,9 @@ def test_approx_range_summary_and_partition_bounds(spark):
     assert abs(approx_r.median - exact_r.median) <= 1.0
     parts = spark.createDataFrame([(2024, 3, 31, h) for h in range(24)],
                                   "year int, month int, day int, hour int")
-    both = parts.filter(partition_bounds("2024-03-31 05:30:00", "2024-03-31 08:00:00", 2))
+    both = parts.filter(partition_bounds("2024-03-31 05:30:00", "2024-03-31 08:00:00", 2, 0))
     assert [r.hour for r in both.orderBy("hour").collect()] == [5, 6, 7, 8, 9, 10]
-    lower_only = parts.filter(partition_bounds("2024-03-31 20:10:00"))
+    lower_only = parts.filter(partition_bounds("2024-03-31 20:10:00", max_lead_hours=0))
     assert [r.hour for r in lower_only.orderBy("hour").collect()] == [20, 21, 22, 23]
 
 

@@ -289,7 +289,7 @@ def test_read_processed_has_one_path_for_every_range(spark):
     missing = new_dir() + "/none"
     end = dt.datetime(2024, 4, 1)
     for days in (1, 62, 63, 4000):
-        got = read_processed(spark, missing, start=end - dt.timedelta(days=days), end=end, max_lag_hours=0)
+        got = read_processed(spark, missing, start=end - dt.timedelta(days=days), end=end, max_lag_hours=0, max_lead_hours=0)
         assert got.schema == PROCESSED and got.count() == 0
     assert read_processed(spark, missing).count() == 0
 
