@@ -8,19 +8,25 @@ minwise tokens: two sets of similarity J share each with probability J.
    in a node. Nodes of several sets choose further tokens and branch again.
    With two branches a linked pair (J >= 0.8) shares a path at every depth with
    probability 0.9375 or more, and ``TREES`` independent trees miss it with
-   less than 1e-5 (1e-7 where nodes of the first level are small, as nearly
-   all are). Unrelated sets share no token and part at once.
-2. *Dense nodes.* Sets that are all alike never part. Where many sampled
-   members of a large node agree with one of them, that one is compared with
-   the whole node, in salted portions: linked sets form one group, whose own
-   pairs need no look any more. A node that is one group is done; where few
-   others are left, they meet the group portion by portion; else it branches.
-3. *Small nodes* (``CAP`` sets) are compared exhaustively, first by their
-   tokens: the groups that agree well enough (6 standard deviations below the
-   threshold) are confirmed on the full sets, exhaustively but for pairs already in one
-   group. A group that several nodes and trees find is confirmed once.
-4. Nodes still large after ``LEVELS`` levels are compared block by block, so
-   nothing is capped: ``CAP`` says how a node is treated, not what is found.
+   less than 2e-5 (3e-6 where its nodes of the first level are small, as nearly
+   all are). Unrelated sets share no token and part at once. Nodes of up to
+   ``NODE`` sets branch further within one task, larger ones across tasks.
+2. *Dense nodes.* Sets that are all alike never part. Where many
+   members of a node agree with one of them, that one is compared with
+   the whole node: those that agree are one group, whose own pairs need no
+   look any more. A node that is one group is done; few others are compared
+   with all; else the node branches.
+3. *Small nodes* (``SMALL`` sets) are compared exhaustively, by their
+   tokens. The groups that agree well enough (5 standard deviations below the
+   threshold) are confirmed on the full sets, exhaustively but for pairs
+   already linked to one group. A group that several nodes and trees find is
+   confirmed once.
+4. Groups beyond ``CAP`` sets or ``WEIGHT`` shingles, and nodes beyond
+   ``NODE`` sets, are taken apart across tasks in the same way: dense members
+   are compared on full sets with all others, in salted portions; the few sets
+   left meet the rest portion by portion; else the node branches. After
+   ``LEVELS`` levels what is still large is compared block by block: nothing is
+   capped, the sizes say how a node is treated, not what is found.
 5. The links' connected components give the groups; no node emits all pairs.
 
 Sets are compared by 64-bit hashes of their shingles. Defined results: null and
@@ -47,16 +53,20 @@ from nimbus.llm.words import NON_SPACE, Words, groups, mix, rolling
 
 SHINGLE = 4
 PERCENT = 80         # links: 100 * intersection >= PERCENT * union
-TREES = 5
+TREES = 4
 BRANCHES = 2
-TOKENS = 128
-CAP = 2_000          # sets compared in one task
-WEIGHT = 2_000_000   # shingles of sets confirmed in one task
-LEVELS = 6
+TOKENS = 256
+NODE = 20_000        # sets whose node branches within one task
+SMALL = 300          # sets compared exhaustively
+CAP = 5_000          # sets confirmed in one task, and their shingles
+WEIGHT = 2_000_000
+LEVELS = 6           # of nodes across tasks
+DEPTH = 12           # of nodes within a task
 SAMPLE = 48          # members of a large node among which dense ones are sought
 PIVOTS = 2
 _ODD = np.random.Generator(np.random.PCG64(7)).integers(1, 2 ** 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEPS = np.arange(1, BRANCHES + 1, dtype=np.uint64) * _STEP
 
 
 # ---------------------------------------------------------------- sets and tokens
@@ -85,13 +95,13 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def least_agreement(percent: int) -> int:
-    """Tokens that two linked sets share, but for 6 standard deviations."""
+    """Tokens that two linked sets share, but for 5 standard deviations."""
     j = percent / 100
-    return int(TOKENS * j - 6 * (TOKENS * j * (1 - j)) ** 0.5)
+    return int(TOKENS * j - 5 * (TOKENS * j * (1 - j)) ** 0.5)
 
 
 def _describe(docs: DataFrame) -> DataFrame:
-    """``did, rk, n, set_id, sketch, paths`` of every row: 16 bits of each
+    """``did, rk, n, set_id, sketch, paths`` of every row: 8 bits of each
     minwise token, and the paths from the roots."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +111,7 @@ def _describe(docs: DataFrame) -> DataFrame:
             some = [i for i, h in enumerate(found) if len(h)]
             tokens = minwise([found[i] for i in some])
             sketch, paths = [None] * len(part), [None] * len(part)
-            low = mix(tokens).astype(np.uint16)
+            low = mix(tokens).astype(np.uint8)
             node = mix(tokens[:, roots] ^ ((roots.astype(np.uint64) + np.uint64(1)) * _STEP)).view(np.int64)
             for k, i in enumerate(some):
                 sketch[i], paths[i] = low[k].tobytes(), node[k]
@@ -114,7 +124,7 @@ def _describe(docs: DataFrame) -> DataFrame:
 
 
 def _sketches(column: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, TOKENS)
+    return np.frombuffer(b"".join(column), np.uint8).reshape(-1, TOKENS)
 
 
 # ---------------------------------------------------------------- nodes
@@ -129,27 +139,31 @@ def _nodes(entries: DataFrame) -> DataFrame:
     return staged(entries.select("node", "id", "n").join(staged(kept.select("node", "size", "weight"), "path-nodes"), "node"), "path-members")
 
 
+def children(node: np.ndarray, tokens: np.ndarray) -> Iterator[np.ndarray]:
+    """For each branch the nodes that the sets (rows of ``tokens``) go to. A
+    node (64 bits) chooses tokens of its own, the branches different ones."""
+    first, rows = TREES * BRANCHES, np.arange(len(tokens))
+    for k in range(BRANCHES):
+        at = first + ((mix(node) % np.uint64(TOKENS - first)).astype(np.int64) + k * ((TOKENS - first) // BRANCHES)) % (TOKENS - first)
+        yield mix(mix(node + _STEPS[k]) ^ tokens[rows, at].astype(np.uint64))
+
+
 def _branch(members: DataFrame) -> DataFrame:
     """``node, id, n, label`` one level down; ``members``: node, id, n, label, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TREES * BRANCHES
         for b in batches:
             if not b.num_rows:
                 continue
-            node, tokens = b["node"].to_numpy().view(np.uint64), _sketches(b["sketch"].to_pylist())
-            row = np.arange(len(node))
-            for k in range(BRANCHES):
-                # Each node chooses tokens of its own, the branches different ones.
-                at = first + ((mix(node) % np.uint64(TOKENS - first)).astype(np.int64) + k * ((TOKENS - first) // BRANCHES)) % (TOKENS - first)
-                child = mix(mix(node + np.uint64(k + 1) * _STEP) ^ tokens[row, at].astype(np.uint64)).view(np.int64)
+            for child in children(b["node"].to_numpy().view(np.uint64), _sketches(b["sketch"].to_pylist())):
+                child = child.view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(child), b["id"], b["n"], b["label"]], ["node", "id", "n", "label"])
 
     return members.select("node", "id", "n", "label", "sketch").mapInArrow(run, "node long, id long, n long, label long")
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Nodes that stay large: each pair of blocks is a leaf."""
+    """Nodes that stay large: each pair of blocks is a group to confirm."""
     half = CAP // 2
     blocks = F.greatest(F.ceil(F.col("size") / half), F.ceil(2 * F.col("weight") / WEIGHT)).cast("int")
     own = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
@@ -241,38 +255,85 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def agreeing_groups(n: np.ndarray, tokens: np.ndarray, percent: int) -> list[np.ndarray]:
-    """Groups of sets (their places) joined by good agreement of tokens and
-    size: each set that is reached is compared with all not yet reached."""
-    least, out, left = least_agreement(percent), [], np.arange(len(n))
-    while len(left):
-        group, todo, left = [left[0]], [left[0]], left[1:]
-        while todo and len(left):
-            x = todo.pop()
-            near = (tokens[left] == tokens[x]).sum(axis=1) >= least
-            near &= (100 * n[left] >= percent * n[x]) & (100 * n[x] >= percent * n[left])
-            group += (new := left[near].tolist())
-            todo += new
-            left = left[~near]
-        if len(group) > 1:
-            out.append(np.array(group))
-    return out
+class Agreeing:
+    """Groups of sets joined by good agreement of tokens and size: a node's
+    further branching within one task."""
+
+    def __init__(self, n: np.ndarray, tokens: np.ndarray, percent: int):
+        self.n, self.tokens, self.percent, self.least = n, tokens, percent, least_agreement(percent)
+        self.parent = list(range(len(n)))
+
+    def find(self, i: int) -> int:
+        while self.parent[i] != i:
+            self.parent[i] = self.parent[self.parent[i]]
+            i = self.parent[i]
+        return i
+
+    def near(self, x: int, others: np.ndarray) -> np.ndarray:
+        agree = (self.tokens[others] == self.tokens[x]).sum(axis=1) >= self.least
+        return agree & (100 * self.n[others] >= self.percent * self.n[x]) & (100 * self.n[x] >= self.percent * self.n[others])
+
+    def join(self, x: int, others: np.ndarray) -> None:
+        a = self.find(x)
+        for i in others.tolist():
+            b = self.find(i)
+            if a != b:
+                a, b = min(a, b), max(a, b)
+                self.parent[b] = a
+
+    def small(self, members: np.ndarray) -> None:
+        """Each set that is reached is compared with all not yet reached."""
+        while len(members):
+            todo, members = [members[0]], members[1:]
+            while todo and len(members):
+                x = todo.pop()
+                near = self.near(x, members)
+                self.join(x, members[near])
+                todo += members[near].tolist()
+                members = members[~near]
+
+    def groups(self, node: int) -> list[np.ndarray]:
+        """The groups (places) of all sets, which are those of ``node``."""
+        stack = [(np.uint64(node), np.arange(len(self.n)), 0)]
+        while stack:
+            node, members, depth = stack.pop()
+            if len(members) <= SMALL or depth == DEPTH:
+                self.small(members)
+                continue
+            pivot = int(members[int(mix(np.array([node + np.uint64(depth)]))[0] % np.uint64(len(members)))])
+            near = self.near(pivot, members)
+            if 4 * near.sum() >= len(members):  # dense
+                self.join(pivot, members[near])
+                rest = members[~near]
+                if len(rest) <= SMALL:
+                    for x in rest.tolist():
+                        self.join(x, members[self.near(x, members)])
+                    continue
+            for child in children(np.full(len(members), node), self.tokens[members]):
+                order = np.argsort(child, kind="stable")
+                ends = np.flatnonzero(np.diff(child[order])) + 1
+                for part in np.split(order, ends):
+                    if len(part) > 1 and len({self.find(i) for i in members[part].tolist()}) > 1:
+                        stack.append((child[part[0]], members[part], depth + 1))
+        root = np.array([self.find(i) for i in range(len(self.n))])
+        order = np.argsort(root, kind="stable")
+        return [g for g in np.split(order, np.flatnonzero(np.diff(root[order])) + 1) if len(g) > 1]
 
 
 def _candidates(leaves: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``gid, id``: the groups that agree within a leaf (``leaf, id``); a group
-    found in several leaves has one gid."""
+    """``gid, id, n, size, weight``: the groups that agree within a node
+    (``leaf, id``); a group found in several nodes has one gid."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_key(batches):
             rows = list({r[1]: r for r in rows}.values())
             ids, n, tokens = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64), _sketches([r[3] for r in rows])
-            for g in agreeing_groups(n, tokens, percent):
+            for g in Agreeing(n, tokens, percent).groups(rows[0][0] % (1 << 64)):
                 gid = mix(np.array([mix(ids[g].view(np.uint64)).sum()], np.uint64) + np.uint64(len(g)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(gid.view(np.int64), len(g))), pa.array(ids[g])], ["gid", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(gid.view(np.int64), len(g))), pa.array(ids[g]), pa.array(n[g]), pa.array(np.full(len(g), len(g))), pa.array(np.full(len(g), n[g].sum()))], ["gid", "id", "n", "size", "weight"])
 
     dealt = leaves.join(sets.select("id", "n", "sketch"), "id").select("leaf", "id", "n", "sketch").repartition(4 * shuffle_parts(leaves.sparkSession), "leaf").sortWithinPartitions("leaf")
-    return dealt.mapInArrow(run, "gid long, id long").distinct()
+    return dealt.mapInArrow(run, "gid long, id long, n long, size long, weight long").distinct()
 
 
 def confirmed(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -342,27 +403,34 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sets = staged(described.where("n > 0").groupBy("set_id").agg(least.alias("least"), F.min(F.struct("did", "rk")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("paths").alias("paths"))
                   .select(F.monotonically_increasing_id().alias("id"), "set_id", "least", "rep", "n", "sketch", "paths"), "path-sets")
     open_ = _nodes(sets.select(F.explode("paths").alias("node"), "id", "n", F.col("id").alias("label")))
-    met = staged(open_.select("id").distinct().join(sets.select("id", "rep.did", "rep.rk"), "id"), "path-met")
-    texts = staged(rows.join(met, ["did", "rk"]).select("id", "text").dropDuplicates(["id"]), "path-texts")
-
-    small = (F.col("size") <= CAP) & ((F.col("weight") <= WEIGHT) | (F.col("size") <= 2))
-    leaves, links = [], []
-    for level in range(LEVELS + 1):
-        leaves.append(open_.where(small).select(F.col("node").alias("leaf"), "id"))
-        big = open_.where(~small)
-        if big.isEmpty():
-            break
-        if level == LEVELS:
-            leaves.append(_blocks(big))
-            break
-        found, few, many = _dense(big, sets, texts, percent)
-        links.append(found)
-        leaves.append(few)
-        open_ = _nodes(_branch(many.join(sets.select("id", "sketch"), "id")))
-    every = leaves[0]
-    for x in leaves[1:]:
+    near = (F.col("size") <= CAP) & ((F.col("weight") <= WEIGHT) | (F.col("size") <= 2))
+    within = F.col("size") <= NODE
+    found = staged(_candidates(open_.where(within).select(F.col("node").alias("leaf"), "id"), sets, percent), "path-groups")
+    # Only sets in a group that agrees, or in a node too large for a task, need their text from here on.
+    wide = staged(open_.where(~within).select("node", "id", "n", "size", "weight").unionByName(found.where(~near).withColumnRenamed("gid", "node")), "path-wide")
+    wanted = found.select("id").unionByName(wide.select("id")).distinct().join(sets.select("id", "rep.did", "rep.rk"), "id")
+    # Merged at every size: what is moved then grows with the input.
+    texts = staged(rows.join(staged(wanted, "path-wanted").hint("merge"), ["did", "rk"]).select("id", "text").dropDuplicates(["id"]), "path-texts")
+    ready, links = [found.where(near).select("gid", "id")], []
+    if not wide.isEmpty():
+        some = staged(sets.select("id", "n", "sketch").join(wide.select("id").distinct(), "id"), "path-wide-sets")
+        for level in range(LEVELS + 1):
+            if level == LEVELS:
+                ready.append(_blocks(wide).withColumnRenamed("leaf", "gid"))
+                break
+            to_pivots, few, many = _dense(wide, some, texts, percent)
+            links.append(to_pivots)
+            ready.append(few.withColumnRenamed("leaf", "gid"))
+            deeper = _nodes(_branch(many.join(some.select("id", "sketch"), "id")))
+            found = staged(_candidates(deeper.where(within).select(F.col("node").alias("leaf"), "id"), some, percent), "path-groups")
+            ready.append(found.where(near).select("gid", "id"))
+            wide = staged(deeper.where(~within).select("node", "id", "n", "size", "weight").unionByName(found.where(~near).withColumnRenamed("gid", "node")), "path-wide")
+            if wide.isEmpty():
+                break
+    every = ready[0]
+    for x in ready[1:]:
         every = every.unionByName(x)
-    pairs = staged(_confirm(staged(_candidates(every, sets, percent), "path-groups"), texts, percent), "path-links")
+    pairs = staged(_confirm(every, texts, percent), "path-links")
     for x in links:
         pairs = pairs.unionByName(x)
     graph = staged(components(pairs).join(sets.select(F.col("id").alias("node"), "set_id", "least"), "node"), "path-graph")

@@ -81,9 +81,9 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("cap,weight,levels", [(2000, 2_000_000, 6), (12, 2_000_000, 6), (12, 1500, 2), (7, 2_000_000, 0)])
-def test_equals_all_pairs(spark, monkeypatch, cap, weight, levels):
-    for name, value in (("CAP", cap), ("WEIGHT", weight), ("LEVELS", levels)):
+@pytest.mark.parametrize("node,cap,weight,levels", [(20_000, 5000, 2_000_000, 6), (20_000, 12, 2_000_000, 6), (12, 12, 1500, 2), (7, 7, 2_000_000, 0)])
+def test_equals_all_pairs(spark, monkeypatch, node, cap, weight, levels):
+    for name, value in (("NODE", node), ("CAP", cap), ("WEIGHT", weight), ("LEVELS", levels)):
         monkeypatch.setattr(chosen_path, name, value)
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns({c: F.lit("clash") for c in CLASHES})
@@ -109,6 +109,25 @@ def test_tokens_agree_as_often_as_sets_overlap():
         assert share < 0.8 or min(agree) >= chosen_path.least_agreement(80)
 
 
+@pytest.mark.parametrize("small,depth", [(300, 12), (8, 12), (8, 1)])
+def test_nodes_within_a_task_lose_no_group(monkeypatch, small, depth):
+    monkeypatch.setattr(chosen_path, "SMALL", small)
+    monkeypatch.setattr(chosen_path, "DEPTH", depth)
+    rng = np.random.default_rng(3)
+    sets = []
+    for size, copies in ((300, 60), (200, 25), (120, 6), (80, 1), (80, 1)):
+        base = rng.integers(0, 2 ** 63, size, dtype=np.uint64)
+        for _ in range(copies):
+            x = base.copy()
+            x[rng.integers(0, size, size // 40)] = rng.integers(0, 2 ** 63, size // 40, dtype=np.uint64)
+            sets.append(np.unique(x))
+    frame = rng.integers(0, 2 ** 63, 60, dtype=np.uint64)  # alike, not linked
+    sets += [np.concatenate([frame, rng.integers(0, 2 ** 63, 60, dtype=np.uint64)]) for _ in range(40)]
+    tokens = chosen_path.mix(chosen_path.minwise(sets)).astype(np.uint8)
+    got = chosen_path.Agreeing(np.array([len(s) for s in sets]), tokens, 80).groups(5)
+    assert sorted(sorted(g.tolist()) for g in got) == [list(range(60)), list(range(60, 85)), list(range(85, 91))]
+
+
 def test_confirmed_links_join_groups():
     rng = random.Random(4)
     for _ in range(30):
