@@ -89,11 +89,11 @@ def quality_rules(temp="temp_f", feels_like="feels_like_f", temp_min="temp_min_f
                   temp_max="temp_max_f", humidity="humidity_pct", pressure="pressure_hpa",
                   wind="wind_speed_mph", clouds="clouds_pct", observed="observed_at",
                   fetched="fetched_at", lat="lat", lon="lon", condition="condition_main",
-                  state="state") -> list[Rule]:
+                  state="state", states=tuple(VALID_STATES)) -> list[Rule]:
     """Row-level data-quality rules (P13). ``None`` skips a rule."""
     r: list[Rule] = []
     if state:
-        r.append(accepted_values(state, VALID_STATES, "state_in_region"))
+        r.append(accepted_values(state, states, "state_in_region"))
     if temp:
         r.append(in_range(temp, *QUALITY_TEMP, name="temp_realistic"))
     if temp and feels_like:

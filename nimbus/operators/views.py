@@ -10,6 +10,7 @@ from nimbus.functions import advice as adv
 from nimbus.functions import geo, text
 from nimbus.functions._util import col
 from nimbus.functions.timefn import season
+from nimbus.operators.quantiles import HOT_ROWS, exact_quantiles
 from nimbus.operators.reshape import series_long
 
 
@@ -114,36 +115,19 @@ def city_advice(latest: DataFrame, activities: DataFrame, month: int, k: int = 2
 
 def range_summary(df: DataFrame, key: str, cols, names=("min_v", "q1", "median", "q3", "max_v"),
                   probs=(0.0, 0.25, 0.5, 0.75, 1.0), approx: bool = False,
-                  accuracy: int = 10000) -> DataFrame:
+                  accuracy: int = 10000, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Five-number summary per key over several value columns stacked.
 
     Exact, interpolated like ``quantile_cont``, without a buffer of a key's
-    values: equal values are counted first (combined before the shuffle), the
-    running count places each value, and the two values around a probability
-    are picked out of the ordered stream. ``approx=True`` switches to a
-    bounded-memory sketch.
+    values; keys of more than ``hot_rows`` values are ordered in pieces
+    (``operators.quantiles``). ``approx=True`` switches to a bounded-memory
+    sketch.
     """
     long = series_long(df, [key], list(cols), "metric", "_v")
     if approx:
         r = long.groupBy(key).agg(F.percentile_approx("_v", list(probs), accuracy).alias("_q"))
         return r.select(key, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    counted = long.groupBy(key, "_v").agg(F.count("_v").alias("_n"))  # NULL counts 0
-    by_key = Window.partitionBy(key)
-    upto = F.sum("_n").over(by_key.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
-    placed = counted.withColumn("_to", upto).withColumn("_all", F.sum("_n").over(by_key))
-
-    def at(place):
-        # The value whose run of equal values covers a place (from 0).
-        return F.max(F.when((place >= F.col("_to") - F.col("_n")) & (place < F.col("_to")), F.col("_v")))
-
-    aggs = []
-    for i, p in enumerate(probs):
-        place = (F.col("_all") - 1) * float(p)
-        aggs += [at(F.floor(place)).alias(f"_l{i}"), at(F.ceil(place)).alias(f"_h{i}"),
-                 F.max(place - F.floor(place)).alias(f"_f{i}")]
-    r = placed.groupBy(key).agg(*aggs)
-    return r.select(key, *[(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_f{i}")).alias(n)
-                           for i, n in enumerate(names)])
+    return exact_quantiles(long, key, "_v", probs, names, hot_rows)
 
 
 # Display names of the hourly detail table.

@@ -60,7 +60,7 @@ def weather_current(stg: DataFrame, keep_ties: bool = False,
     key or a time have no place in the mart (the model's equality join drops
     them).
     """
-    order = ([F.col("observed_at").desc()] if keep_ties
+    order = (["observed_at"] if keep_ties
              else [F.col("observed_at").desc(), F.col("fetched_at").desc()])
     known = stg.dropna(subset=[*keys, "observed_at"])
     return latest_per_key(known, list(keys), order, keep_ties=keep_ties).select(*CURRENT_COLUMNS)

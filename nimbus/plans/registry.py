@@ -445,6 +445,23 @@ FROM events WHERE value IS NOT NULL GROUP BY user_id, observed_hour
 _RANGE_NAMES = ("min_v", "q1", "median", "q3", "max_v")
 
 
+def q_range_summary_hot(spark, sf):
+    """Exact quantiles where one key holds a third of the rows, ordered in pieces."""
+    ev = table(spark, sf, "events").withColumns({"k": F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise((F.col("user_id") % 50).cast("int")),
+                                                 "cents": F.round(F.col("value") * 100), "again": F.round(F.col("value") * 10)})
+    rs = views.range_summary(ev, "k", ["cents", "again"], names=_RANGE_NAMES, hot_rows=300)
+    return rs.select("k", *[(F.col(n) / 100).alias(n) for n in _RANGE_NAMES])
+
+
+SQL_RANGE_SUMMARY_HOT = """
+WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE CAST(user_id % 50 AS INTEGER) END AS k, round(value * 100) AS c, round(value * 10) AS d FROM events),
+l AS (SELECT k, c AS v FROM e UNION ALL SELECT k, d FROM e)
+SELECT k, quantile_cont(v, 0.0) / 100 AS min_v, quantile_cont(v, 0.25) / 100 AS q1, quantile_cont(v, 0.5) / 100 AS median,
+       quantile_cont(v, 0.75) / 100 AS q3, quantile_cont(v, 1.0) / 100 AS max_v
+FROM l GROUP BY k
+"""
+
+
 def q_range_summary(spark, sf):
     rs = views.range_summary(_hourly_cents(spark, sf), "user_id", ["min_c", "avg_c", "max_c"],
                              names=_RANGE_NAMES)
@@ -846,6 +863,7 @@ QUERIES: dict[str, Query] = {
     "one_decimal": q_one_decimal,
     "series_long": q_series_long,
     "range_summary": q_range_summary,
+    "range_summary_hot": q_range_summary_hot,
     "mean_order": q_mean_order,
     "dimension_default": q_dimension_default,
     "first_k_per_group": q_first_k_per_group,
@@ -888,6 +906,7 @@ ORACLE_SQL: dict[str, str] = {
     "one_decimal": SQL_ONE_DECIMAL,
     "series_long": SQL_SERIES_LONG,
     "range_summary": SQL_RANGE_SUMMARY,
+    "range_summary_hot": SQL_RANGE_SUMMARY_HOT,
     "mean_order": SQL_MEAN_ORDER,
     "dimension_default": SQL_DIMENSION_DEFAULT,
     "first_k_per_group": SQL_FIRST_K_PER_GROUP,

@@ -15,8 +15,8 @@ from nimbus.plans.io_queries import VALID_LANDED_SQL
 from nimbus.plans.standins import K_SQL, readings_as_landed, table
 from nimbus.session import work_dir
 from nimbus.sources.sinks import write_raw
-from nimbus.streaming import (compact, dedup_stream, drain, dropped_late, hourly_stream,
-                              ingest_stream, run_to_table)
+from nimbus.streaming import (compact, dedup_stream, dedup_to_table, deduplicated, drain, dropped_late,
+                              hourly_stream, hourly_stream_closed, ingest_stream, run_to_table)
 
 
 SLICES = 4
@@ -91,6 +91,75 @@ WHERE rn = 1
 """
 
 
+LATE_WATERMARK_HOURS = 9 * 24
+
+
+def q_stream_dedup_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Copies and late rows in triggers of their own. Events land in time
+    order in four slices; a quarter lands again with the next slice, and every
+    fiftieth only two slices later. Each landing is one run of the stream."""
+    base = work_dir(spark, "stream-dedup-late")
+    ev = table(spark, sf, "events")
+    second = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lo, hi = ev.agg(F.min(second), F.max(second)).first()
+    cut = ev.withColumn("_slice", F.floor((second - lo) * SLICES / F.lit(hi - lo + 1)))
+    for i in range(SLICES + 2):
+        here = (F.col("_slice") == i) & (F.col("event_id") % 50 != 0) | (F.col("_slice") == i - 1) & (F.col("event_id") % 4 == 0) | (F.col("_slice") == i - 2) & (F.col("event_id") % 50 == 0)
+        part = cut.where(here).drop("_slice")
+        if part.isEmpty():
+            continue
+        part.coalesce(1).write.mode("append").parquet(f"{base}/landed")
+        drain(dedup_to_table(spark.readStream.schema(ev.schema).parquet(f"{base}/landed"), ["user_id", "ts"], "ts", f"{base}/out", f"{base}/ck", watermark_hours=LATE_WATERMARK_HOURS))
+    accepted, late = deduplicated(spark, f"{base}/out", ev.schema)
+    cols = ["user_id", "ts", "event_type", "value"]
+    return accepted.select(F.lit("accepted").alias("side"), *cols).unionByName(late.select(F.lit("late").alias("side"), *cols))
+
+
+SQL_STREAM_DEDUP_LATE = """
+WITH b AS (SELECT min(CAST(floor(epoch(ts)) AS BIGINT)) AS lo, max(CAST(floor(epoch(ts)) AS BIGINT)) AS hi FROM events),
+e AS (SELECT events.*, CAST(floor((CAST(floor(epoch(ts)) AS BIGINT) - lo) * 4.0 / (hi - lo + 1)) AS INTEGER) AS s FROM events, b),
+a AS (SELECT *, s AS l FROM e WHERE event_id % 50 <> 0 UNION ALL SELECT *, s + 1 FROM e WHERE event_id % 4 = 0
+      UNION ALL SELECT *, s + 2 FROM e WHERE event_id % 50 = 0),
+m AS (SELECT l, max(ts) AS seen FROM a GROUP BY l),
+w AS (SELECT x.l, max(m.seen) - INTERVAL 216 HOURS AS mark FROM (SELECT DISTINCT l FROM a) x LEFT JOIN m ON m.l < x.l GROUP BY x.l),
+t AS (SELECT a.*, coalesce(a.ts < w.mark, false) AS is_late FROM a JOIN w USING (l))
+SELECT 'late' AS side, user_id, ts, event_type, value FROM t WHERE is_late
+UNION ALL SELECT 'accepted', user_id, ts, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY l, event_id) AS rn FROM t WHERE NOT is_late) WHERE rn = 1
+"""
+
+
+def q_stream_hourly_closed(spark: SparkSession, sf: str) -> DataFrame:
+    """T2 without a map of labels in state: each hour once, when the watermark
+    has passed it. The hours still open at the end are not returned."""
+    base = work_dir(spark, "stream-hourly-closed")
+
+    def start(events):
+        s = hourly_stream_closed(events.withColumn("cents", F.round(F.col("value") * 100).cast("long")), ["user_id"], "ts",
+                                 [Metric("min_value", "min", "value"), Metric("max_value", "max", "value"), Metric("sum_cents", "sum", "cents")],
+                                 label="event_type", watermark="2 hours", label_col="dominant_type")
+        return run_to_table(s, f"{base}/out", f"{base}/ck")
+
+    _in_time_order(spark, sf, base, start)
+    return spark.read.parquet(f"{base}/out").select(F.col("window_start").cast("timestamp_ntz").alias("observed_hour"),
+                                                    "user_id", "min_value", "max_value", "sum_cents", "dominant_type", "reading_count")
+
+
+SQL_STREAM_HOURLY_CLOSED = """
+WITH cc AS (SELECT user_id, date_trunc('hour', ts) AS observed_hour, event_type, count(*) AS n
+            FROM events WHERE event_type IS NOT NULL GROUP BY ALL),
+dom AS (SELECT user_id, observed_hour, event_type AS dominant_type FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id, observed_hour
+                                       ORDER BY n DESC, event_type) AS rn FROM cc) WHERE rn = 1)
+SELECT a.observed_hour, a.user_id, a.min_value, a.max_value, a.sum_cents, d.dominant_type, a.reading_count
+FROM (SELECT date_trunc('hour', ts) AS observed_hour, user_id, min(value) AS min_value, max(value) AS max_value,
+             CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS sum_cents, count(*) AS reading_count
+      FROM events GROUP BY ALL) a
+LEFT JOIN dom d ON a.user_id = d.user_id AND a.observed_hour = d.observed_hour
+WHERE a.observed_hour + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS
+"""
+
+
 def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Land readings as hour-partitioned JSON, then ingest incrementally."""
     base = work_dir(spark, "stream-ingest")
@@ -122,10 +191,12 @@ QUERIES = {
     "stream_hourly": q_stream_hourly,
     "stream_dedup": q_stream_dedup,
     "stream_ingest": q_stream_ingest,
+    "stream_dedup_late": q_stream_dedup_late, "stream_hourly_closed": q_stream_hourly_closed,
 }
 
 ORACLE_SQL = {
     "stream_hourly": SQL_STREAM_HOURLY,
     "stream_dedup": SQL_STREAM_DEDUP,
     "stream_ingest": SQL_STREAM_INGEST,
+    "stream_dedup_late": SQL_STREAM_DEDUP_LATE, "stream_hourly_closed": SQL_STREAM_HOURLY_CLOSED,
 }

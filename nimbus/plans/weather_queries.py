@@ -18,9 +18,10 @@ from nimbus.operators.filters import latest, trailing_window
 from nimbus.operators.flatten import flatten_payload
 from nimbus.operators.quality import quality_report
 from nimbus.operators.summary import weather_metrics
-from nimbus.operators.validate import MALFORMED, quality_rules, reason_text
+from nimbus.operators.validate import MALFORMED, Rule, quality_rules, reason_text
 from nimbus.plans import dashboard, marts
 from nimbus.plans.jobs import QUARANTINE, backfill, process_hour, processed_from_raw
+from nimbus.plans.layers import current_mart, refresh_layers, refresh_together, show_version, staging_view, write_version
 from nimbus.plans.standins import table
 from nimbus.plans.weather_rows import WEATHER_SQL, weather_rows
 from nimbus.schemas import PARTITION_COLS, PROCESSED, READING
@@ -659,6 +660,109 @@ UNION ALL SELECT 'after', city, state, observed_at, temp_f, year, month, day, ho
 """
 
 
+# ---------------------------------------------------------------- layers
+
+def _registered_zone(spark, sf, base: str, rows: DataFrame) -> str:
+    """``rows`` as a registered processed zone."""
+    write_partitions(processed_from_raw(rows.drop("event_id"), STAMP, rules=[Rule("any", F.lit(True))]), f"{base}/out")
+    name = _table("zone")
+    register_table(spark, name, f"{base}/out", PROCESSED)
+    return name
+
+
+def _damaged(w: DataFrame) -> DataFrame:
+    """Readings in which every kind of test fails somewhere (by the minute)."""
+    minute = F.minute(F.col("observed_at").cast("timestamp"))
+    return w.withColumns({
+        "state": F.when(minute != 7, F.col("state")), "temp_f": F.when(minute % 11 != 0, F.col("temp_f")), "humidity_pct": F.when(minute != 13, F.col("humidity_pct")),
+        "city": F.when(minute == 19, F.regexp_replace("city", "  ", " ")).otherwise(F.col("city")), "observed_at": F.when(minute != 17, F.col("observed_at"))})
+
+
+_DAMAGED_SQL = f"""
+SELECT * REPLACE (CASE WHEN minute(observed_at) <> 7 THEN state_code END AS state_code, CASE WHEN minute(observed_at) % 11 <> 0 THEN temp_f END AS temp_f,
+                  CASE WHEN minute(observed_at) <> 13 THEN humidity_pct END AS humidity_pct,
+                  CASE WHEN minute(observed_at) = 19 THEN replace(city_name, '  ', ' ') ELSE city_name END AS city_name,
+                  CASE WHEN minute(observed_at) <> 17 THEN observed_at END AS observed_at, CASE WHEN minute(observed_at) <> 17 THEN observed_hour END AS observed_hour) FROM ({_STG_SQL})
+"""
+
+
+def q_marts_report(spark, sf):
+    """Staging view and marts refreshed together, with the counts and the
+    quality report taken from the rows as they are written (S10, S11, C13)."""
+    base = work_dir(spark, "marts-report")
+    zone, names = _registered_zone(spark, sf, base, _damaged(weather_rows(spark, sf))), [_table("staging"), _table("marts")]
+    counts, report = refresh_layers(spark, zone, _STATES, [*_STATES, "MA"], *names, min_cities=15, as_of="2024-11-02 00:00:30", location=base)
+    said = spark.createDataFrame([("counts", k, None, v) for k, v in counts.items()], "suite string, test string, column_name string, failures long")
+    return report.unionByName(said)
+
+
+SQL_MARTS_REPORT = (f"WITH s AS ({_DAMAGED_SQL}), c AS ({SQL_WEATHER_CURRENT.replace(_STG_SQL, 'SELECT * FROM s')}), h AS ({_sql_hourly(_DBT_METRICS, _DAMAGED_SQL)}) "
+                    + " UNION ALL ".join([f"SELECT 'rows' AS suite, '{k}' AS test, CAST(NULL AS VARCHAR) AS column_name, {_sql_fails(p)} AS failures" for k, p in _QUALITY.items()]
+                                         + [f"SELECT '{s}', '{t}', '{c}', ({q})" for s, t, c, q in _SUITES])
+                    + """ UNION ALL SELECT 'coverage', 'missing_states', 'state_code', 1
+UNION ALL SELECT 'coverage', 'unexpected_states', 'state_code', (SELECT count(DISTINCT state_code) FROM c WHERE state_code NOT IN ('CT', 'NJ', 'NY', 'MA'))
+UNION ALL SELECT 'coverage', 'too_few_cities', 'city_name', 15 - (SELECT count(DISTINCT city_name) FROM c)
+UNION ALL SELECT 'coverage', 'duplicate_slugs', NULL, (SELECT count(*) - count(DISTINCT lower(regexp_replace(city_name, '\\s+', '_', 'g')) || '_' || lower(state_code)) FROM c)
+UNION ALL SELECT 'freshness', 'lag_minutes', 'observed_at', (SELECT CAST(floor(epoch_us(TIMESTAMP '2024-11-02 00:00:30') / 60000000.0 - epoch_us(max(observed_at)) / 60000000.0) AS BIGINT) FROM s)
+UNION ALL SELECT 'counts', 'weather_current', NULL, (SELECT count(*) FROM c) UNION ALL SELECT 'counts', 'weather_hourly_summary', NULL, (SELECT count(*) FROM h)""")
+
+
+def q_marts_switch(spark, sf):
+    """Marts refreshed as one step (S11): what readers see after the new
+    versions are written but before the switch, and after it."""
+    base, schema = work_dir(spark, "marts-switch"), _table("marts")
+    frames = []
+    for rows in (_halves(spark, sf)[0], weather_rows(spark, sf)):
+        stg = marts.stg_weather_raw(processed_from_raw(rows.drop("event_id"), STAMP))
+        frames.append({"weather_current": marts.weather_current(stg), "weather_hourly_summary": marts.weather_hourly_summary(stg)})
+    refresh_together(spark, schema, frames[0], f"{base}/marts")
+
+    def seen(step: str) -> DataFrame:
+        c, h = (current_mart(spark, schema, n) for n in ("weather_current", "weather_hourly_summary"))
+        rows = c.select(F.lit("current").alias("mart"), "city_name", "state_code", F.col("observed_at").alias("at"), F.col("humidity_pct").cast("long").alias("n")).unionByName(
+            h.select(F.lit("summary").alias("mart"), "city_name", "state_code", F.col("observed_hour").alias("at"), F.col("reading_count").alias("n")))
+        return _ntz(rows.select(F.lit(step).alias("step"), "*")).checkpoint()
+
+    version, _ = write_version(spark, schema, frames[1])
+    between = seen("between")
+    show_version(spark, schema, version, {n: df.columns for n, df in frames[1].items()})
+    return between.unionByName(seen("after"))
+
+
+def _sql_seen(step: str, where: str) -> str:
+    stg = f"""SELECT city AS city_name, state AS state_code, seen AS observed_at, got AS fetched_at, date_trunc('hour', seen) AS observed_hour, humidity_pct
+              FROM ({_VALID_SQL}) WHERE {where}"""
+    return f"""
+SELECT '{step}' AS step, 'current' AS mart, city_name, state_code, observed_at AS at, CAST(humidity_pct AS BIGINT) AS n FROM ({stg})
+QUALIFY row_number() OVER (PARTITION BY city_name, state_code ORDER BY observed_at DESC, fetched_at DESC) = 1
+UNION ALL SELECT '{step}', 'summary', city_name, state_code, observed_hour, count(*) FROM ({stg}) GROUP BY ALL"""
+
+
+SQL_MARTS_SWITCH = f"{_sql_seen('between', 'event_id % 3 <> 0')} UNION ALL {_sql_seen('after', 'true')}"
+
+
+def q_staging_view(spark, sf):
+    """The staging layer as another session reads it (S10): a column that the
+    zone's table does not have is NULL."""
+    base, schema = work_dir(spark, "staging-view"), _table("staging")
+    write_partitions(processed_from_raw(weather_rows(spark, sf).drop("event_id"), STAMP).drop("wind_gust_mph"), f"{base}/out")
+    zone = _table("zone")
+    register_table(spark, zone, f"{base}/out", T.StructType([f for f in PROCESSED.fields if f.name != "wind_gust_mph"]))
+    staging_view(spark, zone, schema, location=f"{base}/staging")
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    return _ntz(other.table(f"{schema}.stg_weather_raw"))
+
+
+SQL_STAGING_VIEW = f"""
+SELECT city AS city_name, state AS state_code, country AS country_code, lat AS latitude, lon AS longitude,
+       seen AS observed_at, got AS fetched_at, temp_f, feels_like_f, temp_min_f, temp_max_f, humidity_pct,
+       pressure_hpa, 10000 AS visibility_m, wind_speed_mph, 180 AS wind_deg, CAST(NULL AS DOUBLE) AS wind_gust_mph, clouds_pct,
+       condition_main, condition_description, '01d' AS condition_icon, date_trunc('hour', seen) AS observed_hour
+FROM ({_VALID_SQL})
+"""
+
+
 def q_retention(spark, sf):
     """A registered zone after hours older than a date were dropped."""
     base = work_dir(spark, "retention")
@@ -707,6 +811,7 @@ QUERIES = {
     "process_hour_valid": q_process_hour_valid, "backfill_valid": q_backfill_valid, "backfill_zone": q_backfill_zone,
     "unannounced_summary": q_unannounced_summary, "mixed_types": q_mixed_types, "catalog_diff": q_catalog_diff,
     "catalog_repair": q_catalog_repair, "atomic_rerun": q_atomic_rerun,
+    "marts_report": q_marts_report, "marts_switch": q_marts_switch, "staging_view": q_staging_view,
     "padded_rerun": q_padded_rerun, "mixed_schema": q_mixed_schema, "aware_as_of": q_aware_as_of,
 }
 ORACLE_SQL = {
@@ -722,6 +827,7 @@ ORACLE_SQL = {
     "process_hour_valid": SQL_PROCESS_HOUR_VALID, "backfill_valid": SQL_BACKFILL_VALID, "backfill_zone": SQL_BACKFILL_VALID,
     "unannounced_summary": _sql_hourly(_DBT_METRICS, _UNANNOUNCED_SQL), "mixed_types": SQL_MIXED_TYPES, "catalog_diff": SQL_CATALOG_DIFF,
     "catalog_repair": SQL_CATALOG_REPAIR, "atomic_rerun": SQL_ATOMIC_RERUN,
+    "marts_report": SQL_MARTS_REPORT, "marts_switch": SQL_MARTS_SWITCH, "staging_view": SQL_STAGING_VIEW,
     "float_integers": SQL_FLOAT_INTEGERS, "padded_rerun": SQL_PADDED_RERUN, "mixed_schema": SQL_MIXED_SCHEMA,
     "aware_as_of": SQL_AWARE_AS_OF,
 }

@@ -14,11 +14,10 @@ import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from nimbus.functions._util import observed
 from nimbus.operators.enrich import run_hour_parts
 from nimbus.operators.filters import ts_literal
 from nimbus.schemas import PARTITION_COLS
@@ -92,21 +91,7 @@ def _written(df: DataFrame, write) -> set[tuple]:
     was written."""
     obs = Observation(f"hours-{uuid.uuid4().hex[:8]}")
     write(_by_partition(df.observe(obs, F.collect_set(F.struct(*PARTITION_COLS)).alias("hours"))))
-    return {tuple(r) for r in (_observed(obs) or {}).get("hours") or []}
-
-
-def _observed(obs: Observation) -> dict | None:
-    """What was observed, None if Spark dropped the observation together with
-    an empty input."""
-    try:
-        return obs.get
-    except PySparkException as exc:
-        if "observ" not in str(exc).lower():
-            raise
-    except Py4JJavaError as exc:
-        if "toPyRow" not in str(exc):
-            raise
-    return None
+    return {tuple(r) for r in (observed(obs) or {}).get("hours") or []}
 
 
 def write_partitions(df: DataFrame, root: str, fmt: str = "parquet") -> set[tuple]:
@@ -358,5 +343,5 @@ def refresh_table(df: DataFrame, name: str) -> int:
     """Full refresh (CTAS) with its row count taken while writing."""
     obs = Observation(f"refresh_{name}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(name)
-    seen = _observed(obs) or {}
+    seen = observed(obs) or {}
     return int(seen["rows"]) if "rows" in seen else df.sparkSession.table(name).count()
