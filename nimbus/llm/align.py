@@ -65,19 +65,23 @@ def intersect(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
         in_b, in_a = intersect(b, a)
         return in_a, in_b
     in_a, in_b, at, n = [], [], 0, len(b)
+    b = [*b, a[-1] + 1 if a else 0]  # an end that stops every search
     for i, x in enumerate(a):
-        if at < n and b[at] < x:  # gallop: b[at] < x all along
-            step = 1
-            while at + step < n and b[at + step] < x:
-                at += step
-                step += step
-            at = bisect_left(b, x, at + 1, min(at + step + 1, n))
-        if at >= n:
-            break
-        if b[at] == x:
+        if (y := b[at]) < x:
+            at += 1
+            if (y := b[at]) < x:  # gallop: b[at] < x all along
+                step = 1
+                while at + step < n and b[at + step] < x:
+                    at += step
+                    step += step
+                at = bisect_left(b, x, at + 1, min(at + step, n))
+                y = b[at]
+        if y == x:
             in_a.append(i)
             in_b.append(at)
             at += 1
+        elif at >= n:
+            break
     return in_a, in_b
 
 
@@ -112,10 +116,11 @@ class ByteLevel:
             self.ranked = tiktoken.Encoding("ranked", pat_str=cut, mergeable_ranks={self.bytes[i]: i for i in vocab.values()}, special_tokens={})
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list:
+        """Ids of each text, as a list or an array."""
         plain = [self.ranked is not None and _PLAIN.fullmatch(t) is not None for t in texts]
         rest = iter(self.library.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
-        return [self.ranked.encode_ordinary(t) if p else next(rest).ids for t, p in zip(texts, plain, strict=True)]
+        return [self.ranked.encode_to_numpy(t, disallowed_special=()) if p else next(rest).ids for t, p in zip(texts, plain, strict=True)]
 
 
 class Pieces:
@@ -146,47 +151,55 @@ def load(kind: type, path: str):
 
 # ---------------------------------------------------------------- one text
 
-def align(a: ByteLevel, b: Pieces, texts: list[str]) -> Iterator[tuple[list[int], list[int], list[int], list[int]]]:
+_NONE = np.empty(0, np.int64)
+
+
+def align(a: ByteLevel, b: Pieces, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each text its ids of A and of B, and the places of the tokens that
-    end together in both; empty lists where a side does not give the text back."""
+    end together in both; all empty where a side does not give the text back."""
     spaced = [" " + t for t in texts]
     for text, ia, ib in zip(spaced, a.encode(spaced), b.encode(texts), strict=True):
         raw = text.encode()
-        if len(raw) == 1 or b"".join(map(a.bytes.__getitem__, ia)) != raw or b"".join(map(b.bytes.__getitem__, ib)) != raw:
-            yield [], [], [], []
-        else:
-            yield ia, ib, *intersect(np.cumsum(a.lengths[ia]).tolist(), np.cumsum(b.lengths[ib]).tolist())
-
-
-def ranges(common: list[int]) -> list[tuple[int, int]]:
+        if len(raw) == 1 or b"".join(map(b.bytes.__getitem__, ib)) != raw:
+            yield _NONE, _NONE, _NONE, _NONE
+            continue
+        ia, ib = np.asarray(ia, np.int64), np.array(ib, np.int64)
+        # A's tokens are bytes of the text by construction: only their number can differ.
+        ends = np.cumsum(a.lengths[ia])
+        if ends[-1] != len(raw):
+            yield _NONE, _NONE, _NONE, _NONE
+            continue
+        in_a, in_b = intersect(ends.tolist(), np.cumsum(b.lengths[ib]).tolist())
+        yield ia, ib, np.array(in_a, np.int64), np.array(in_b, np.int64)
+
+
+def ranges(common: np.ndarray) -> list[tuple[int, int]]:
     """The tokens of each group, first to one past the last."""
-    return list(zip([0, *(x + 1 for x in common[:-1])], (x + 1 for x in common), strict=True)) if common else []
+    return list(zip([0, *(common[:-1] + 1).tolist()], (common + 1).tolist(), strict=True)) if len(common) else []
 
 
 class GroupText:
     """The groups of a text as ``a1,a2|b1;a3|b2,b3``: each token is its number
-    and what follows it, from a table; the places follow from the ranks."""
+    and what follows it, from a table of fixed width; the places follow from
+    the ranks."""
 
     def __init__(self, n_a: int, n_b: int):
         self.n_a, self.n_b = n_a, n_b
-        self.words = [f"{i}{after}" for n, end in ((n_a, "|"), (n_b, ";")) for after in (",", end) for i in range(n)]
+        self.words = np.array([f"{i}{after}".encode() for n, end in ((n_a, "|"), (n_b, ";")) for after in (",", end) for i in range(n)])
 
-    def __call__(self, ia: list[int], ib: list[int], in_a: list[int], in_b: list[int]) -> str:
-        if not in_a:
-            return ""
+    def __call__(self, ia: np.ndarray, ib: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> bytes:
         out = np.empty(len(ia) + len(ib), np.int64)
-        last_a, last_b = np.array(in_a), np.array(in_b)
-        wide_a, wide_b = np.diff(last_a, prepend=-1), np.diff(last_b, prepend=-1)
+        wide_a, wide_b = np.diff(in_a, prepend=-1), np.diff(in_b, prepend=-1)
         # Before an A token stand the B tokens of the groups before, before a B token the A tokens up to its group's.
-        at_a = np.arange(len(ia)) + np.repeat(last_b - wide_b + 1, wide_a)
-        at_b = np.arange(len(ib)) + np.repeat(last_a + 1, wide_b)
-        code = np.array(ia)
-        code[last_a] += self.n_a
+        at_a = np.arange(len(ia)) + np.repeat(in_b - wide_b + 1, wide_a)
+        at_b = np.arange(len(ib)) + np.repeat(in_a + 1, wide_b)
+        code = ia.copy()
+        code[in_a] += self.n_a
         out[at_a] = code
-        code = np.array(ib) + 2 * self.n_a
-        code[last_b] += self.n_b
+        code = ib + 2 * self.n_a
+        code[in_b] += self.n_b
         out[at_b] = code
-        return "".join(map(self.words.__getitem__, out.tolist()))[:-1]
+        return self.words[out].tobytes().replace(b"\0", b"")[:-1]
 
 
 # ---------------------------------------------------------------- documents
@@ -238,9 +251,9 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for at in range(0, batch.num_rows, PORTION):
                 part = batch.slice(at, PORTION)
                 for i, (ia, ib, in_a, in_b) in zip(part.column(0).to_pylist(), align(a, b, [t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    digest = hashlib.sha256(text(ia, ib, in_a, in_b).encode()).hexdigest() if ia else ""
+                    digest = hashlib.sha256(text(ia, ib, in_a, in_b)).hexdigest() if len(ia) else ""
                     rows.append((i, len(ia), len(ib), len(in_a), digest))
-                    links.append(np.array(ia, np.int64)[in_a] << 32 | np.array(ib, np.int64)[in_b])
+                    links.append(ia[in_a] << 32 | ib[in_b])
                     held += len(in_a)
                     if held >= BLOCK_LINKS or len(rows) >= BLOCK_DOCS:
                         yield block()
