@@ -21,7 +21,8 @@ doubling, no deeper than 200 bytes ask for.
 
 Defined results: null and empty texts have no bytes; texts of fewer than 200
 bytes keep them all; matches never cross texts; rows given several times (same
-id, same text) are one document and each of them gets its result; extra
+id, same text) are one document and each of them gets its result; rows of one
+id, or of none, with different texts are different documents; extra
 columns are ignored; an empty table gives no rows.
 """
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.llm.common import key_to_id
-from nimbus.llm.passages import STRIDE, Scheme, merge_spans, repeated_windows, rows_with_spans
+from nimbus.llm.passages import Scheme, merge_spans, place_parts, repeated_windows, rows_with_spans
 from nimbus.llm.words import _BASE, _INVERSE, BYTE_VALUES, mix, powers
 
 WINDOW = 200
@@ -167,10 +168,10 @@ def locate_strings(rows: list[tuple], scheme: Scheme = BYTES) -> list[tuple]:
     a, b = string_hashes(np.frombuffer(b"".join(segments), np.uint8), order, scheme.window)
     new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
     group = np.flatnonzero(new)
-    lo = np.array([divmod(int(r[2]), STRIDE) for r in rows], np.int64)
-    hi = np.array([divmod(int(r[3]), STRIDE) for r in rows], np.int64)
+    lo = np.array([place_parts(int(r[2])) for r in rows], np.int64)
+    hi = np.array([place_parts(int(r[3])) for r in rows], np.int64)
     spread = np.zeros(len(group), bool)
-    for c, add in ((0, 0), (1, offset)):
+    for c, add in ((0, 0), (1, 0), (2, offset)):
         spread |= np.minimum.reduceat(lo[owner, c] + add, group) != np.maximum.reduceat(hi[owner, c] + add, group)
     repeated = spread[np.cumsum(new) - 1]
     at = np.sort(owner[repeated] * (1 << 32) + offset[repeated])

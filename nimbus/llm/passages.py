@@ -16,8 +16,9 @@ bytes) occur more than once, found without an index of the whole corpus.
 4. The shards' findings go back to every occurrence of their segment by a
    join, and are gathered for each document.
 
-A place is one number, ``did * STRIDE + start``, so that places sort as
-(doc_id, start). Rows of the same ``doc_id`` count as the same document.
+A place is one number made of the document's key (``did``, and of documents
+that share it, as those without an id do, part of the hash ``rk`` of its text) and ``start``, so that
+places sort as (doc_id, text, start). Repeated rows (same id and text) are one document.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from nimbus.llm.common import doc_rows, prepare, shuffle_parts, staged
 from nimbus.llm.words import _BASE, _INVERSE, BYTE_VALUES, NON_SPACE, Words, groups, mix, powers, rolling
 
 STRIDE = 10 ** 10      # more than the units of a text
+TEXTS = 9 * 10 ** 8    # documents of one id are told apart by so much of their text's hash
 HOT = 4096             # segments of an anchor before it is cut anew
 SLICE = 1 << 18        # windows looked at together
 # Findings about a segment: windows i .. i+n-1 recur; ``first``: place of the first occurrence of window i.
@@ -249,6 +251,19 @@ def _locate(segments: DataFrame, locate: Callable, scheme: Scheme, windows_at_on
     return dealt.mapInArrow(run, FOUND)
 
 
+def place() -> Column:
+    """The place of ``did, rk, start``: 19 digits for the id, 9 for the text,
+    10 for the start."""
+    within = F.pmod(F.col("rk"), F.lit(TEXTS)).cast("long") * F.lit(STRIDE) + F.col("start")
+    return (F.col("did").cast("decimal(19,0)") * F.lit(str(10 ** 19)).cast("decimal(20,0)") + within.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def place_parts(place: int) -> tuple[int, int, int]:
+    """Id, text and start of a place."""
+    did, within = divmod(place, 10 ** 19)
+    return did, *divmod(within, STRIDE)
+
+
 def _grouped(segments: DataFrame, anchor: str, lo: Column, hi: Column) -> DataFrame:
     return segments.groupBy(F.col(anchor).alias("anchor"), "seg").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"))
 
@@ -266,9 +281,7 @@ def repeated_windows(docs: DataFrame, scheme: Scheme, locate: Callable, windows_
     wanted = staged(anchors.join(repeated, "anchor", "left_semi").groupBy("did", "rk").agg(F.collect_set("anchor").alias("anchors")), "repeated-anchors")
     # Rows given several times are one document: each of them would yield the same segments.
     segments = staged(_segments(texts.join(wanted, ["did", "rk"]), scheme).withColumn("sh", F.xxhash64("seg")), "segments")
-    place = F.col("did").cast("decimal(28,0)") * F.lit(STRIDE).cast("decimal(12,0)") + F.col("start")
-    place = place.cast("decimal(38,0)")
-    distinct = staged(_grouped(segments, "anchor", place, place).withColumn("sh", F.xxhash64("seg")), "distinct-segments")
+    distinct = staged(_grouped(segments, "anchor", place(), place()).withColumn("sh", F.xxhash64("seg")), "distinct-segments")
 
     crowded = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("anchor")
     crowded = staged(crowded, "hot-anchors")

@@ -13,7 +13,8 @@ together with the place of the first one.
 
 Defined results: null and empty texts have no words; texts of fewer than 20
 words keep them all; rows given several times (same id, same text) are one
-document and each of them gets its result; a null ``doc_id`` comes before
+document and each of them gets its result; rows of one id, or of none, with
+different texts are different documents, in the order of their texts' hash; a null ``doc_id`` comes before
 every other; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.llm.common import key_to_id
-from nimbus.llm.passages import STRIDE, Scheme, merge_spans, repeated_windows, rows_with_spans
+from nimbus.llm.passages import Scheme, merge_spans, place, repeated_windows, rows_with_spans
 
 WINDOW = 20
 WORDS = Scheme("word", WINDOW, 6, 256)
@@ -80,8 +81,7 @@ def locate_phrases(rows: list[tuple], scheme: Scheme = WORDS) -> list[tuple]:
 def removed_spans(docs: DataFrame, hot: int | None = None) -> DataFrame:
     """``did, rk, a, b``: words a .. b-1 of a document are to be removed."""
     found = repeated_windows(docs, WORDS, locate_phrases, WINDOWS_AT_ONCE, **({"hot": hot} if hot else {}))
-    place = F.col("did").cast("decimal(28,0)") * F.lit(STRIDE).cast("decimal(12,0)") + F.col("start")
-    later = found.where(place.cast("decimal(38,0)") != F.col("first"))
+    later = found.where(place() != F.col("first"))
     return later.select("did", "rk", F.col("start").alias("a"), (F.col("start") + F.col("n") + (WINDOW - 1)).alias("b"))
 
 
