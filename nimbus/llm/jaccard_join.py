@@ -2,7 +2,8 @@
 
 d(x, y) = 1 - J(x, y) is a metric; two documents link within ``r`` = 1 - t.
 
-1. Documents with the same shingle set become one (its smallest ``doc_id``).
+1. Documents with the same shingle set become one set, numbered on its own:
+   a ``doc_id`` only orders and names components.
 2. *Regions.* In any common order (here: longest first, as long shingles are
    rare) the first ``n - ceil(t n) + m`` shingles of a set hold the m smallest
    ones it shares with a linked set. So with ``m = 1 + n // EXTRA`` two linked
@@ -35,8 +36,9 @@ Nothing is capped: ``CAP`` says how a region is treated, not what is found.
 Defined results: null and empty texts have no shingles and link with nothing,
 as their own component; fewer words than a shingle's are one shingle; rows
 without ``doc_id`` get no component and link with nothing; rows of the same
-``doc_id`` count as one document and are in one component; extra columns are
-ignored; an empty table gives no rows.
+``doc_id`` are in one component, whatever their texts (each text has its own
+links); extra columns are ignored; an empty table gives no rows. Sets are
+compared by 64-bit hashes of their shingles, and equal sets found by 128 bits.
 """
 
 from __future__ import annotations
@@ -356,20 +358,22 @@ def _met(rows: DataFrame, percent: int, cap: int) -> tuple[DataFrame, DataFrame]
 
 
 def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[DataFrame, DataFrame]:
-    """The described rows (did, rk, n, set_id, rep) and the links ``a, b``
-    between representatives."""
+    """The described rows (did, rk, n, id; id: the number of the row's set, NULL
+    for rows that have none or no ``doc_id``) and the links ``a, b`` between
+    sets."""
     spark = docs.sparkSession
     prepare(spark)
     texts = doc_rows(docs).select("did", "rk", F.col("text").cast("binary").alias("text"))
     rows = staged(_describe(texts, percent), "jaccard-rows")
     usable = rows.where((F.col("n") > 0) & (F.col("did") != NO_ID))
     reps = staged(usable.groupBy("set_id").agg(F.min(F.struct("did", "rk")).alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-                  .select("set_id", F.col("rep.did").alias("id"), F.col("rep.rk").alias("rk"), "n", "prefix"), "jaccard-sets")
+                  .select("set_id", F.monotonically_increasing_id().alias("id"), F.col("rep.did").alias("did"), F.col("rep.rk").alias("rk"), "n", "prefix"), "jaccard-sets")
     prefixes = reps.select(F.explode("prefix").alias("key"), "id", "n")
     able = _able(prefixes, _need(percent))
     # The texts of the sets that may have links, written once.
-    wanted = reps.select("id", "rk").join(able, "id").withColumnRenamed("id", "did")
-    sets = staged(texts.join(wanted, ["did", "rk"]).select(F.col("did").alias("id"), "text").dropDuplicates(["id"]), "jaccard-texts")
+    wanted = reps.select("id", "did", "rk").join(able, "id")
+    # Repeated rows bring the same text again.
+    sets = staged(texts.join(wanted, ["did", "rk"]).select("id", "text").dropDuplicates(["id"]), "jaccard-texts")
     # Of a linked set, t of all its shingles stand in other ones: few sets are left to look at.
     able = _able(_keys(sets, None, percent), F.ceil(F.lit(percent) * F.col("n") / 100))
     met, members = _met(prefixes.join(able, "id", "left_semi"), percent, cap)
@@ -422,19 +426,25 @@ def links(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> tuple[Data
     every = _join_regions(members, sets, percent)
     for x in found:
         every = every.unionByName(x)
-    of = reps.select("set_id", F.col("id").alias("rep"))
-    return rows.join(of, "set_id", "left").select("did", "rk", "n", "set_id", "rep"), every
+    of = rows.join(reps.select("set_id", "id"), "set_id", "left")
+    return of.select("did", "rk", "n", F.when((F.col("n") > 0) & (F.col("did") != NO_ID), F.col("id")).alias("id")), every
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, cap: int = CAP) -> DataFrame:
     """``did, rk, n, component``: every row, the size of its set and the
     smallest doc_id that its links reach."""
     rows, every = links(docs, percent, cap)
-    # Rows of one id with different texts are one document.
-    own = rows.where(F.col("did") != F.col("rep")).select(F.col("did").alias("a"), F.col("rep").alias("b")).distinct()
-    graph = components(every.unionByName(own))
-    return (rows.join(graph.select(F.col("node").alias("did"), "component"), "did", "left")
-            .select("did", "rk", "n", F.when(F.col("did") != NO_ID, F.coalesce("component", "did")).alias("component")))
+    rows = staged(rows, "jaccard-described")
+    # Different texts of one id are one document: their sets are linked.
+    held = rows.where(F.col("id").isNotNull()).groupBy("did", "id").agg(F.count(F.lit(1)).alias("rows"))
+    first = staged(held.groupBy("did").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("sets")).where("sets > 1").select("did", "first"), "jaccard-first")
+    own = held.join(first, "did").where(F.col("id") != F.col("first")).select(F.col("first").alias("a"), F.col("id").alias("b"))
+    graph = staged(components(every.unionByName(own)), "jaccard-graph")
+    least = staged(rows.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("did").alias("least")), "jaccard-least")
+    names = least.join(graph.withColumnRenamed("node", "id"), "id").groupBy("component").agg(F.min("least").alias("name"))
+    named = least.join(graph.withColumnRenamed("node", "id").join(names, "component").select("id", "name"), "id", "left").select("id", F.coalesce("name", "least").alias("name"))
+    return (rows.join(named, "id", "left")
+            .select("did", "rk", "n", F.when(F.col("did") != NO_ID, F.coalesce("name", "did")).alias("component")))
 
 
 def report(docs: DataFrame) -> DataFrame:
