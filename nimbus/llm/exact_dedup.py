@@ -7,8 +7,10 @@ Three stages, each comparing full texts, never digests alone:
    their text from here on. A group of copies that holds a third of the table
    shrinks to one row for each such block.
 2. *salted*: winners whose digest occurs more than once are grouped by
-   (digest, salt, text); the salt comes from the partition a row was read in,
-   so no task gets more than its share of a large group.
+   (digest, salt, text); the salt comes from the partition a row was read in
+   and there are as many salts as the root of the number of partitions
+   (``SALTS`` at least), so no task of this stage or the next gets more than
+   its share of a large group.
 3. *global*: the salt winners are grouped by (digest, text).
 
 Digests only choose what need not be compared: a digest that occurs once has
@@ -24,6 +26,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -85,11 +88,12 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_he
     prepare(docs.sparkSession)
     text = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("did"), normalised().alias("text"))
     read = text.select(F.monotonically_increasing_id().alias("uid"), "did", digest(F.col("text")).alias("digest"), "text")
+    salts = max(SALTS, math.isqrt(read.rdd.getNumPartitions()))
     local = staged(read.mapInArrow(_combine_local, _LOCAL), "exact-local")
 
     winners = local.where(F.col("text").isNotNull()).select("uid", "did", "digest", "text")
     again = winners.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    met = winners.join(again, "digest", "left_semi").withColumn("salt", F.shiftright("uid", 33) % SALTS)
+    met = winners.join(again, "digest", "left_semi").withColumn("salt", F.shiftright("uid", 33) % salts)
     salted = _winners(met, ["digest", "salt", "text"])
     salted = staged(salted.select("uid", "did", "digest", F.col("win_uid").alias("salt_uid"),
                                   F.when(F.col("uid") == F.col("win_uid"), F.col("text")).alias("text")), "exact-salted")

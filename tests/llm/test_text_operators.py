@@ -203,6 +203,19 @@ def test_bytes_dedup(rows, docs, hot):
     assert got(bytes_dedup.report(docs, hot)) == bytes_brute(rows)
 
 
+def test_passages_of_documents_that_share_an_id(spark):
+    rng = random.Random(5)
+    passage, other = prose(rng, 60, 5000), prose(rng, 60, 5000)
+    rows = [(None, f"{passage} a{k}") for k in range(3)] + [(7, f"{other} b0"), (7, f"{other} b1"), (8, prose(rng, 40, 5000))]
+    rows += [rows[0], rows[3]]  # repeated rows are one document
+    docs = table(spark, rows)
+    for hot in (None, 2):
+        words = [r for r in phrase_dedup.report(docs, hot).collect()]
+        assert sorted((r.doc_id or 0, r.n_removed) for r in words if r.doc_id != 8) in (
+            sorted([(0, 0)] * a + [(0, 60)] * (4 - a) + [(7, 0)] * b + [(7, 60)] * (3 - b)) for a in (1, 2) for b in (1, 2))
+        assert sorted((r.doc_id or 0, r.n_removed >= 200) for r in bytes_dedup.report(docs, hot).collect()) == [(0, True)] * 4 + [(7, True)] * 3 + [(8, False)]
+
+
 def test_passages_of_an_empty_table(none):
     assert got(phrase_dedup.report(none)) == [] and got(bytes_dedup.report(none)) == []
 
@@ -289,13 +302,58 @@ def test_toxicity_of_pairs_and_of_few_rows(spark):
     assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
-def test_words_neutral_alone_enter_as_a_pair():
+def pairs_brute(rows, labels, p):
+    """Every pair of words in every row."""
+    import math
+    n, pos = Counter(), Counter()
+    for r, y in zip(rows, labels, strict=True):
+        for k in (*((t,) for t in r), *((a, b) for a in r for b in r if a < b)):
+            n[k] += 1
+            pos[k] += y
+    words = [k[0] for k in n if len(k) == 1 and n[k] >= 5]
+    least, rate = math.log(max(2, len(words) * (len(words) - 1) / 2)), {w: max(p, pos[(w,)] / n[(w,)]) for w in words}
+    out = {}
+    for (a, b) in (k for k in n if len(k) == 2 and n[k] >= 5 and k[0] in rate and k[1] in rate):
+        base, q = max(rate[a], rate[b]), pos[(a, b)] / n[(a, b)]
+        if q > base:
+            z = n[(a, b)] * (q * math.log(q / base) + ((1 - q) * math.log((1 - q) / (1 - base)) if q < 1 else 0))
+            if z >= least:
+                out[a, b] = z
+    return out
+
+
+def test_words_neutral_alone_enter_as_a_pair(spark):
     rng = random.Random(6)
+    schema = "row long, toxic int, words array<long>"
     rows = [sorted({rng.randrange(2, 40) for _ in range(8)} | {0: {0, 1}, 1: {0}, 2: {1}, 3: set()}[i % 4]) for i in range(800)]
     labels = [int(i % 4 in (0, 3)) for i in range(800)]   # together or neither: each alone is at the mean rate
-    assert set(toxicity.pairs(rows, labels, list(range(40)), 0.5)) == {0, 1}
-    assert toxicity.pairs(rows, [rng.randrange(2) for _ in rows], list(range(40)), 0.5) == []
-    assert toxicity.pairs([], [], [], 0.5) == []
+    for y, p in ((labels, 0.5), ([rng.randrange(2) for _ in rows], 0.5), ([int(0 in r and 5 in r or rng.random() < 0.1) for r in rows], 0.2)):
+        got_ = {(r.a, r.b): r.z for r in toxicity.paired_words(spark.createDataFrame(list(zip(range(800), y, rows, strict=True)), schema), p).collect()}
+        want = pairs_brute(rows, y, p)
+        assert got_.keys() == want.keys() and all(abs(got_[k] - want[k]) < 1e-9 for k in want)
+        if y is labels:
+            assert set(got_) == {(0, 1)}
+    assert toxicity.paired_words(spark.createDataFrame([], schema), 0.5).count() == 0
+
+
+def test_score_is_the_sum_over_all_pairs(spark):
+    import math
+    rng = np.random.default_rng(3)
+    words = [f"w{chr(97 + i)}x" for i in range(12)]
+    terms = sorted({t for w in words for t in toxicity.word_terms(w)})
+    fm = toxicity.FactorizationMachine(terms, -0.3, rng.normal(0, 0.4, len(terms)), rng.normal(0, 0.5, (len(terms), 4)))
+    texts = [" ".join(rng.choice(words, rng.integers(0, 9))) for _ in range(60)] + [None, "", "unknown"]
+    for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), fm).collect():
+        found = sorted({terms.index(t) for w in (texts[r.doc_id] or "").split() for t in toxicity.word_terms(w) if t in terms})
+        z = -0.3 + sum(fm.w[i] for i in found) + sum(float(fm.v[i] @ fm.v[j]) for i in found for j in found if i < j)
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9
+
+
+def test_copies_that_disagree_count_once_as_toxic(spark):
+    docs = [(i, "zbad one two") for i in range(40)] + [(100 + i, f"c{i} clean text {i % 7}") for i in range(200)]
+    labels = [(i, None, int(i == 13)) for i in range(40)] + [(100 + i, None, int(i % 50 == 0)) for i in range(200)]
+    runs = [toxicity.fit(spark.createDataFrame(docs, "doc_id long, text string").repartition(k), spark.createDataFrame(labels, "doc_id long, quality int, toxic int").repartition(7 - k)) for k in (1, 5)]
+    assert runs[0].at == runs[1].at and runs[0].bias == runs[1].bias and np.array_equal(runs[0].w, runs[1].w) and np.array_equal(runs[0].v, runs[1].v)
 
 
 def test_factorization_machine_learns_pairs():
@@ -326,6 +384,32 @@ def test_language(spark, none):
     assert {r.lang_pred for r in lang_id.predict(docs, []).collect()} == {"und"}
 
 
+def test_language_is_the_smallest_output_and_needs_a_margin(spark):
+    rng = random.Random(8)
+    vocabulary = {k: ["".join(rng.choice(a) for _ in range(rng.randint(2, 9))) for _ in range(150)] for k, a in (("aa", "abcdei"), ("bb", "mnopeu"), ("cc", "rstiuv"))}
+    speak = lambda k, n: " ".join(rng.choice(vocabulary[k]) for _ in range(n))
+    learned = [(i, speak("aa" if i % 2 else "bb", rng.randint(30, 300)), "aa" if i % 2 else "bb") for i in range(500)]
+    learned += [(1000 + i, learned[1][1], "aa") for i in range(400)]  # a group of copies takes one place
+    model = lang_id.fit(spark.createDataFrame(learned, "doc_id long, text string, lang string"), sample_rows=100)
+    assert lang_id.MIN_MARGIN < model.min_margin < 0.2 and all(len(d) > 20_000 for _, d in model)
+    clean = [speak(k, 120) for k in ("aa", "bb") for _ in range(60)]
+    odd = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(1500)) for _ in range(60)] + [speak("cc", 150) for _ in range(60)]
+    digits = ["½ ² ①", "١٢٣", "Ⅷ ⅓"]
+    rows = [(i, t) for i, t in enumerate(clean + odd + digits)]
+    got_ = {r.doc_id: r for r in lang_id.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert not any(got_[i].rejected for i in range(120)) and sum(got_[i].rejected for i in range(120, 240)) >= 100
+    assert all(got_[240 + i].lang_pred == "und" and got_[240 + i].score == 0 for i in range(3))
+    # The choice again, by hand.
+    import zstandard
+    for i, t in rows[:200]:
+        raw = re.sub(r"[^a-zA-Z]+", " ", t.lower()).strip().encode()
+        sizes = []
+        for k, d in model:
+            z = zstandard.ZstdCompressor(level=lang_id.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append((sum(len(z.compress(raw[x:x + lang_id.BLOCK])) for x in range(0, len(raw), lang_id.BLOCK)), k))
+        assert got_[i].lang_pred == min(sizes, key=lambda x: x[0])[1] and abs(got_[i].margin - (1 - min(sizes)[0] / max(sizes)[0])) < 1e-12
+
+
 # ---------------------------------------------------------------- 5
 
 def jaccard_brute(rows, percent=85):
@@ -362,6 +446,16 @@ def test_jaccard_join(rows, docs, cap, monkeypatch):
     assert got(out) == want
 
 
+def test_one_id_with_two_texts_keeps_the_links_of_both(spark):
+    rng = random.Random(9)
+    w, x = prose(rng, 80, 5000), prose(rng, 80, 5000)
+    rows = [(5, w), (5, x), (6, w + " end"), (8, x + " end"), (9, prose(rng, 80, 5000)), (None, w), (None, None), (5, w), (3, x.upper())]
+    got_ = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard_join.report(table(spark, rows)).collect()}
+    assert {c for (i, _), c in got_.items() if i in (3, 5, 6, 8)} == {3} and got_[9, 77] == 9
+    kept = jaccard_join.representatives(table(spark, rows)).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 3, 9]
+
+
 def test_jaccard_join_whatever_the_white_space(spark):
     """Near copies, their words apart by other runs of white space throughout."""
     rng = random.Random(13)
