@@ -13,12 +13,15 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
+from nimbus.functions.timefn import as_of_label, hour_label
 from nimbus.operators.filters import latest, trailing_window
 from nimbus.operators.flatten import flatten_payload
 from nimbus.operators.quality import quality_report
 from nimbus.operators.summary import weather_metrics
 from nimbus.operators.validate import MALFORMED, Rule, quality_rules, reason_text
+from nimbus.operators.views import advice_columns
 from nimbus.plans import dashboard, marts
 from nimbus.plans.jobs import QUARANTINE, backfill, process_hour, processed_from_raw
 from nimbus.plans.layers import current_mart, refresh_layers, refresh_together, show_version, staging_view, write_version
@@ -26,7 +29,7 @@ from nimbus.plans.standins import table
 from nimbus.plans.weather_rows import WEATHER_SQL, weather_rows
 from nimbus.schemas import PARTITION_COLS, PROCESSED, READING
 from nimbus.session import work_dir
-from nimbus.sources.keyed import collect_keyed
+from nimbus.sources.keyed import collect_keyed, register_keyed_source
 from nimbus.sources.processed import processed_rejects, read_processed
 from nimbus.sources.raw import CORRUPT, read_mixed_json, read_payload, read_raw
 from nimbus.sources.sinks import (catalog_diff, expire_partitions, publish_hours, reconcile_table, register_table,
@@ -779,6 +782,126 @@ def q_retention(spark, sf):
 SQL_RETENTION = f"SELECT city, state, observed_at, temp_f, year, month, day, hour FROM ({_VALID_SQL}) WHERE land >= TIMESTAMP '2024-07-01 00:00:00'"
 
 
+# ---------------------------------------------------------------- every branch of the rules
+
+_CONDITIONS = ["Clear", "Clouds", "Rain", "Drizzle", "Thunderstorm", "Snow", "Mist", "Fog", None]
+
+
+def q_advice_seasons(spark, sf):
+    """Advice, notes and seasons over four seasons and all conditions."""
+    w = weather_rows(spark, sf).withColumn("condition_main", F.element_at(F.array(*[F.lit(c) for c in _CONDITIONS]), (F.col("event_id") % 9 + 1).cast("int")))
+    out = advice_columns(w.withColumn("seen", F.col("observed_at").cast("timestamp")), F.month("seen"))
+    return out.select("event_id", "dress", "travel", "severity", "context_note", "season")
+
+
+SQL_ADVICE_SEASONS = f"""
+WITH w AS (SELECT * REPLACE (['Clear', 'Clouds', 'Rain', 'Drizzle', 'Thunderstorm', 'Snow', 'Mist', 'Fog', NULL][event_id % 9 + 1] AS condition_main) FROM ({WEATHER_SQL})),
+s AS (SELECT *, CASE WHEN condition_main IN ('Thunderstorm', 'Snow') THEN 'severe'
+  WHEN coalesce(condition_main IN ('Rain', 'Drizzle'), false) OR coalesce(wind_speed_mph > 25, false) OR coalesce(humidity_pct > 85 AND feels_like_f > 78, false) OR coalesce(feels_like_f < 40, false) THEN 'poor'
+  ELSE 'ok' END AS severity FROM w)
+SELECT event_id,
+  CASE WHEN feels_like_f < 20 THEN 'Extreme cold — heavy parka, thermals, hat, gloves, and scarf essential.' WHEN feels_like_f < 32 THEN 'Heavy winter coat, warm hat, and gloves required.'
+       WHEN feels_like_f < 45 THEN 'Warm jacket and layers recommended.' WHEN feels_like_f < 60 THEN 'Light-to-medium jacket advised.'
+       WHEN feels_like_f < 75 THEN 'Comfortable light clothing — maybe a layer for the evening.' ELSE 'Light, breathable clothing; stay hydrated in the heat.' END AS dress,
+  CASE WHEN condition_main = 'Thunderstorm' THEN 'Avoid outdoor travel — dangerous conditions.' WHEN condition_main = 'Snow' THEN 'Allow extra travel time; watch for icy roads.'
+       WHEN condition_main IN ('Rain', 'Drizzle') THEN 'Bring an umbrella; good day for indoor plans.' WHEN wind_speed_mph > 25 THEN 'Very windy — secure loose items and expect delays.'
+       WHEN condition_main = 'Clear' AND feels_like_f > 60 THEN 'Great day for outdoor activities or sightseeing.' WHEN condition_main = 'Clouds' THEN 'Overcast but manageable — outdoor plans should hold.'
+       ELSE 'Conditions are reasonable — no special precautions needed.' END AS travel,
+  severity,
+  CASE WHEN severity = 'severe' THEN '⛔ Dangerous conditions — indoor only' WHEN severity = 'poor' AND condition_main IN ('Rain', 'Drizzle') THEN '🌂 Rainy — indoor options shown'
+       WHEN severity = 'poor' AND wind_speed_mph > 25 THEN '💨 Very windy — indoor options shown' WHEN severity = 'poor' AND humidity_pct > 85 AND feels_like_f > 78 THEN '🥵 Muggy — indoor options shown'
+       WHEN severity = 'poor' THEN '🧊 Cold — indoor options shown' END AS context_note,
+  CASE WHEN month(seen) IN (12, 1, 2) THEN 'winter' WHEN month(seen) IN (3, 4, 5) THEN 'spring' WHEN month(seen) IN (6, 7, 8) THEN 'summer' ELSE 'fall' END AS season
+FROM s
+"""
+
+# From January the 10th: to the days on which daylight time begins and ends, and to summer.
+_SHIFTS = (0, 60, 182, 298)
+
+
+def q_daylight_labels(spark, sf):
+    """Labels in the display zone on both sides of daylight time (F16)."""
+    ev = table(spark, sf, "events").select(F.explode(F.array(*[F.lit(d) for d in _SHIFTS])).alias("days"), "ts")
+    hours = ev.select(F.date_trunc("hour", F.col("ts") + F.make_dt_interval(days=F.col("days"))).cast("timestamp_ntz").alias("observed_hour")).distinct()
+    return hours.select("observed_hour", hour_label("observed_hour").alias("label"), as_of_label("observed_hour").alias("as_of"))
+
+
+SQL_DAYLIGHT_LABELS = """
+WITH h AS (SELECT DISTINCT date_trunc('hour', ts + to_days(CAST(d AS INTEGER))) AS observed_hour FROM events, (SELECT unnest([0, 60, 182, 298]) AS d)),
+e AS (SELECT observed_hour, (observed_hour AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS here FROM h)
+SELECT observed_hour, strftime(here, '%b %d, %I:%M %p ET') AS label, strftime(here, '%b %d, %Y %I:%M %p ET') AS as_of FROM e
+"""
+
+
+def q_ordered_views(spark, sf):
+    """The order that views declare (O1, O2): each row's place as it comes out,
+    within its city, the cities' places, and the places of the value counts."""
+    stg = _stg(spark, sf).dropna(subset=["city_name", "state_code"])
+    by = dashboard.detail(marts.weather_hourly_summary(stg)).withColumn("_at", F.monotonically_increasing_id())
+    within = F.row_number().over(Window.partitionBy("City").orderBy("_at"))
+    cities = by.groupBy("City").agg(F.min("_at").alias("_at")).select("City", F.row_number().over(Window.orderBy("_at")).alias("city_place"))
+    # Of a city's hours, states share an hour: its place is the first one's.
+    hours = by.withColumn("place", within).groupBy("City", "Hour").agg(F.min("place").alias("place")).join(cities, "City")
+    counts = dashboard.condition_distribution(stg).withColumn("_at", F.monotonically_increasing_id())
+    places = counts.select(F.lit("counts").alias("view"), F.col("Condition").alias("name"), F.lit(None).cast("timestamp").alias("hour"),
+                           F.row_number().over(Window.orderBy("_at")).cast("long").alias("place"), F.col("Count").cast("long").alias("n"))
+    return _ntz(hours.select(F.lit("detail").alias("view"), F.col("City").alias("name"), F.col("Hour").alias("hour"), F.col("place").cast("long").alias("place"), F.col("city_place").cast("long").alias("n")).unionByName(places))
+
+
+SQL_ORDERED_VIEWS = f"""
+WITH s AS (SELECT * FROM ({_STG_SQL}) WHERE city_name IS NOT NULL AND state_code IS NOT NULL),
+g AS (SELECT DISTINCT city_name, state_code, observed_hour FROM s),
+p AS (SELECT *, row_number() OVER (PARTITION BY city_name ORDER BY observed_hour) AS place FROM g),
+c AS (SELECT city_name, row_number() OVER (ORDER BY city_name) AS n FROM (SELECT DISTINCT city_name FROM g)),
+v AS (SELECT condition_main, count(*) AS n FROM s WHERE condition_main IS NOT NULL GROUP BY ALL)
+SELECT 'detail' AS view, city_name AS name, observed_hour AS hour, min(place) AS place, any_value(c.n) AS n FROM p JOIN c USING (city_name) GROUP BY city_name, observed_hour
+UNION ALL SELECT 'counts', condition_main, NULL, row_number() OVER (ORDER BY n, condition_main), n FROM v
+"""
+
+
+def q_empty_hours(spark, sf):
+    """Hours with and without raw data (S14): processed, or refused."""
+    base = work_dir(spark, "empty-hours")
+    hours = _hours(_land(spark, sf, f"{base}/raw"))
+    out = []
+    for h in (hours[0], "1999-01-01T00", hours[-1], hours[-1][:-2] + "05"):
+        try:
+            r = process_hour(spark, f"{base}/raw", f"{base}/out", h, quarantine_root=f"{base}/bad", processed_at=STAMP)
+            out.append((h, r.total, "processed"))
+        except RuntimeError as exc:
+            out.append((h, 0, str(exc)))
+    return spark.createDataFrame(out, "run_hour string, total long, said string")
+
+
+SQL_EMPTY_HOURS = f"""
+WITH w AS ({WEATHER_SQL}), m AS (SELECT min(land) AS a, max(land) AS b FROM w)
+SELECT strftime(land, '%Y-%m-%dT%H') AS run_hour, count(*) AS total, 'processed' AS said FROM w, m WHERE land IN (a, b) GROUP BY ALL
+UNION ALL SELECT '1999-01-01T00', 0, 'No raw data to process for 1999-01-01T00'
+UNION ALL SELECT strftime(b, '%Y-%m-%dT') || '05', 0, 'No raw data to process for ' || strftime(b, '%Y-%m-%dT') || '05' FROM m
+"""
+
+
+def q_keyed_source(spark, sf):
+    """The Data Source with a partition for each key of a small dimension."""
+    keys = [tuple(r) for r in table(spark, sf, "nation").select("n_nationkey", "n_name").collect()]
+    name = register_keyed_source(spark, keys, "n_nationkey int, n_name string", _nation_answer, name="nimbus_nations")
+    return spark.read.format(name).load().select("n_nationkey", "status", "error", "payload")
+
+
+def _nation_answer(key: dict) -> dict | None:
+    if key["n_nationkey"] % 5 == 0:
+        raise KeyError(key["n_name"])
+    return None if key["n_nationkey"] % 5 == 1 else {"name": key["n_name"], "n": key["n_nationkey"]}
+
+
+SQL_KEYED_SOURCE = """
+SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, CASE WHEN n_nationkey % 5 < 2 THEN 'error' ELSE 'ok' END AS status,
+       CASE n_nationkey % 5 WHEN 0 THEN 'KeyError: ''' || n_name || '''' WHEN 1 THEN 'empty response' END AS error,
+       CASE WHEN n_nationkey % 5 > 1 THEN '{"name": "' || n_name || '", "n": ' || n_nationkey || '}' END AS payload
+FROM nation
+"""
+
+
 def _answer(key: dict) -> dict:
     """A transport in place of the API: some keys fail."""
     if key["c_custkey"] % 7 == 0:
@@ -811,7 +934,8 @@ QUERIES = {
     "process_hour_valid": q_process_hour_valid, "backfill_valid": q_backfill_valid, "backfill_zone": q_backfill_zone,
     "unannounced_summary": q_unannounced_summary, "mixed_types": q_mixed_types, "catalog_diff": q_catalog_diff,
     "catalog_repair": q_catalog_repair, "atomic_rerun": q_atomic_rerun,
-    "marts_report": q_marts_report, "marts_switch": q_marts_switch, "staging_view": q_staging_view,
+    "advice_seasons": q_advice_seasons, "daylight_labels": q_daylight_labels, "ordered_views": q_ordered_views,
+    "empty_hours": q_empty_hours, "keyed_source": q_keyed_source, "marts_report": q_marts_report, "marts_switch": q_marts_switch, "staging_view": q_staging_view,
     "padded_rerun": q_padded_rerun, "mixed_schema": q_mixed_schema, "aware_as_of": q_aware_as_of,
 }
 ORACLE_SQL = {
@@ -827,7 +951,8 @@ ORACLE_SQL = {
     "process_hour_valid": SQL_PROCESS_HOUR_VALID, "backfill_valid": SQL_BACKFILL_VALID, "backfill_zone": SQL_BACKFILL_VALID,
     "unannounced_summary": _sql_hourly(_DBT_METRICS, _UNANNOUNCED_SQL), "mixed_types": SQL_MIXED_TYPES, "catalog_diff": SQL_CATALOG_DIFF,
     "catalog_repair": SQL_CATALOG_REPAIR, "atomic_rerun": SQL_ATOMIC_RERUN,
-    "marts_report": SQL_MARTS_REPORT, "marts_switch": SQL_MARTS_SWITCH, "staging_view": SQL_STAGING_VIEW,
+    "advice_seasons": SQL_ADVICE_SEASONS, "daylight_labels": SQL_DAYLIGHT_LABELS, "ordered_views": SQL_ORDERED_VIEWS,
+    "empty_hours": SQL_EMPTY_HOURS, "keyed_source": SQL_KEYED_SOURCE, "marts_report": SQL_MARTS_REPORT, "marts_switch": SQL_MARTS_SWITCH, "staging_view": SQL_STAGING_VIEW,
     "float_integers": SQL_FLOAT_INTEGERS, "padded_rerun": SQL_PADDED_RERUN, "mixed_schema": SQL_MIXED_SCHEMA,
     "aware_as_of": SQL_AWARE_AS_OF,
 }
