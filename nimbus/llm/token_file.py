@@ -45,8 +45,8 @@ SEQUENCE = 1024   # ids of a sequence
 BATCH = 64        # sequences of a record batch
 END_ID = 1        # ends every document
 # Pieces of a chunk of printable ASCII in lower case, as the pre-tokenizer cuts it.
-_PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
-_PLAIN = re.compile(rb"[!-~]+").fullmatch
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+").findall
+_PLAIN = re.compile(r"[!-~]+").fullmatch
 MANIFEST = "part int, file string, offset long, n_tokens long, doc_id long"
 
 
@@ -55,9 +55,12 @@ def file_schema(id_type: pa.DataType) -> pa.Schema:
 
 
 class ChunkEncoder:
-    """Ids of a text by the tokenizers library, with a memo before it: no
+    """Ids of a text by the tokenizers library, with memos before it: no
     token spans white space, and within printable ASCII none spans two pieces
-    of the pre-tokenizer. The library sees each new piece once."""
+    of the pre-tokenizer, which the normalizer and the byte alphabet leave as
+    they are. Other chunks are normalised and cut by the library. The library's
+    model sees each new piece once. A worker's memos last from task to task,
+    within ``MEMO_ENTRIES``."""
 
     def __init__(self, path: str):
         # Spark runs a task on every core already.
@@ -67,32 +70,23 @@ class ChunkEncoder:
         self.library.no_padding()
         self.width = np.uint16 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
         self.code = "H" if self.width is np.uint16 else "I"
-        self.chunks, self.pieces = Memo(None), Memo(None)
-
-    def _library(self, texts: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in found]
-
-    def _new(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        cut = {c: _PIECES(c.lower()) for c in chunks if b"<|" not in c and _PLAIN(c)}
-        pieces = {p: self.pieces.get(p) for own in cut.values() for p in own}
-        need = [p for p, ids in pieces.items() if ids is None] + [c for c in chunks if c not in cut]
-        encoded = dict(zip(need, self._library(need), strict=True)) if need else {}
-        for p, ids in encoded.items():
-            if p in pieces:
-                pieces[p] = ids
-                self.pieces.keep(p, ids)
-        return {c: b"".join([pieces[p] for p in cut[c]]) if c in cut else encoded[c] for c in chunks}
+        self.model = self.library.model
+        self.normalize, self.cut = self.library.normalizer.normalize_str, self.library.pre_tokenizer.pre_tokenize_str
+        self.chunks, self.pieces = Memo(self._chunk), Memo(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        return array(self.code, [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _chunk(self, raw: bytes) -> bytes:
+        chunk = raw.decode("utf-8")
+        if "<|" in chunk:  # maybe a special token
+            return array(self.code, self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+        if _PLAIN(chunk):
+            return b"".join(map(self.pieces.__getitem__, _PIECES(chunk.lower())))
+        return b"".join([self.pieces[p] for p, _ in self.cut(self.normalize(chunk))])
 
     def encode_bytes(self, raw: bytes) -> bytes:
-        chunks = lowered(raw).split()
-        ids = list(map(self.chunks.get, chunks))
-        if None in ids:
-            new = self._new(list({c for c, i in zip(chunks, ids, strict=True) if i is None}))
-            for c, i in new.items():
-                self.chunks.keep(c, i)
-            ids = [new[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
-        return b"".join(ids)
+        return b"".join(map(self.chunks.__getitem__, lowered(raw).split()))
 
 
 _loaded: dict[str, ChunkEncoder] = {}
@@ -158,9 +152,13 @@ class SequenceReader:
         path = f"{base}/{name}"
         self.source = pa.memory_map(path) if isinstance(files, fs.LocalFileSystem) else files.open_input_file(path)
         self.file = pa.ipc.open_file(self.source)
+        self.last: tuple[int, pa.RecordBatch] | None = None
 
     def batch(self, i: int) -> pa.RecordBatch:
-        return self.file.get_batch(i)
+        """Documents follow each other: the batch read last is kept."""
+        if self.last is None or self.last[0] != i:
+            self.last = (i, self.file.get_batch(i))
+        return self.last[1]
 
     def ids(self, offset: int, n: int) -> Iterator[np.ndarray]:
         """The ids at ``offset``, in pieces that lie within one batch."""
