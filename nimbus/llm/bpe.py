@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 
 from nimbus.llm.common import prepare
 
-# Memory bound of a worker's memos of encoded chunks and pieces.
+# Memory bound of a task's memos of encoded chunks and pieces.
 MEMO_ENTRIES = 600_000
 MEMO_KEY = 64
 # The bytes-to-printable table of byte-level vocabularies: printable
@@ -165,6 +165,10 @@ class BPE:
         stretches between white space are encoded on their own."""
         return b"".join(map(self.memo.__getitem__, lowered(raw).split()))
 
+    def forget(self) -> None:
+        self.memo.clear()
+        self.piece_memo.clear()
+
     def encode(self, text: str) -> list[int]:
         return array("I", self.encode_bytes(text.encode("utf-8"))).tolist()
 
@@ -192,6 +196,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for b in batches:
             ids = [bpe.encode_bytes(t or b"") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "token_ids"])
+        bpe.forget()  # the worker process goes on to other work
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, token_ids binary")
 

@@ -4,7 +4,8 @@
   package to the executors.
 * ``staged`` writes an intermediate result to the shared checkpoint folder
   and reads it back: the lineage ends there, so a lost executor costs the
-  tasks of the running job only, and the shuffle files before it can go.
+  tasks of the running job only, and the shuffle files before it can go. Once
+  a result is written, ``remove_staged`` removes the folders it came from.
 * ``doc_rows`` gives the two-column key the operators join on. Rows with the
   same ``doc_id`` and the same text are one document given several times;
   rows with the same ``doc_id`` and different texts are different documents.
@@ -30,6 +31,23 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
+# Folders written by ``staged``, by application.
+_made: dict[str, list[str]] = {}
+
+
+def staged_folders(spark: SparkSession) -> list[str]:
+    """The folders that ``staged`` has written and nobody has removed."""
+    return list(_made.get(spark.sparkContext.applicationId, ()))
+
+
+def remove_staged(spark: SparkSession, folders: list[str]) -> None:
+    """Remove staged folders that no table is read from any more."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    for f in folders:
+        path(f).getFileSystem(conf).delete(path(f), True)
+        _made[spark.sparkContext.applicationId].remove(f)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared checkpoint folder and
     return the written table. The job's shuffle files are removed when it
@@ -45,6 +63,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

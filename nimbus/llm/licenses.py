@@ -245,6 +245,12 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, threshold: f
 
 
 def document_files(docs: DataFrame) -> DataFrame:
-    """Documents as files: ``<source>/<thousands of the id>/<id>``."""
-    return docs.select("doc_id", "text", F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("")),
-                                                    F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("path"))
+    """Documents as files of a tree: below the source, directories for the
+    thousand, the hundred and the ten of the id, of which a document stands
+    below the first none, one, two or three (its id modulo 4). So licence
+    files stand in ancestors of all distances."""
+    levels = [F.coalesce("source", F.lit(""))] + [F.coalesce(F.floor(F.col("doc_id") / n).cast("string"), F.lit("")) for n in (1000, 100, 10)]
+    dirs = [F.concat_ws("/", *levels[:k]) for k in (1, 2, 3, 4)]
+    of = F.pmod(F.col("doc_id"), F.lit(4))
+    where = F.when(of == 0, dirs[0]).when(of == 2, dirs[2]).when(of == 3, dirs[3]).otherwise(dirs[1])
+    return docs.select("doc_id", "text", F.concat_ws("/", where, F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("path"))

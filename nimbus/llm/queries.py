@@ -101,7 +101,9 @@ WITH t(license, said) AS (VALUES
 ), tv AS (SELECT license, term, c * w AS w FROM tf JOIN idf USING (term)
 ), tn AS (SELECT license, sqrt(sum(w * w)) AS n FROM tv GROUP BY license
 ), files AS (
-  SELECT doc_id, text, coalesce(source, '') || '/' || coalesce(CAST(floor(doc_id / 1000) AS BIGINT)::VARCHAR, '') AS dir,
+  SELECT doc_id, text, coalesce(source, '') || CASE (doc_id % 4 + 4) % 4 WHEN 0 THEN '' ELSE '/' || coalesce(CAST(floor(doc_id / 1000) AS BIGINT)::VARCHAR, '') END
+           || CASE WHEN (doc_id % 4 + 4) % 4 >= 2 THEN '/' || CAST(floor(doc_id / 100) AS BIGINT)::VARCHAR ELSE '' END
+           || CASE WHEN (doc_id % 4 + 4) % 4 = 3 THEN '/' || CAST(floor(doc_id / 10) AS BIGINT)::VARCHAR ELSE '' END AS dir,
          len(regexp_extract_all(lower(text), '[a-z0-9]+')) AS n_words
   FROM documents
 ), numbered AS (
@@ -122,11 +124,14 @@ WITH t(license, said) AS (VALUES
 ), speaks AS (
   SELECT dir AS from_dir, license AS dir_license FROM own WHERE covers
   QUALIFY row_number() OVER (PARTITION BY dir ORDER BY dir || '/' || doc_id::VARCHAR) = 1
+), above AS (
+  SELECT d.dir, s.from_dir, s.dir_license FROM (SELECT DISTINCT dir FROM files) d JOIN speaks s ON d.dir = s.from_dir OR starts_with(d.dir, s.from_dir || '/')
+  QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(s.from_dir) DESC) = 1
 )
 SELECT files.doc_id, coalesce(own.license, s.dir_license) AS license,
        CASE WHEN own.license IS NOT NULL THEN 'own' WHEN s.dir_license IS NOT NULL THEN 'inherited' END AS origin,
        own.score, CASE WHEN own.license IS NULL THEN s.from_dir END AS from_dir
-FROM files LEFT JOIN own USING (doc_id) LEFT JOIN speaks s ON s.from_dir = files.dir
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN above s ON s.dir = files.dir
 """
 
 # Every document is taken through all 120 orders step by step: no coalitions, no potential.
