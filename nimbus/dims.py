@@ -36,7 +36,7 @@ CITIES = [
     ("Norwalk", "CT", 41.1177, -73.4082),
 ]
 
-# 2020 census populations
+# Inhabitants of each city.
 POPULATIONS = [
     ("New York City", 8336817),
     ("Buffalo", 278349),

@@ -21,13 +21,16 @@ from nimbus.session import get_session  # noqa: E402
 # Why each plan holds at scale (one line per query).
 ROUND_TRIPS = {"process_hour_rejects", "backfill_rejects", "stream_ingest_rejects", "incremental_summary",
                "late_window", "float_integers", "padded_rerun", "mixed_schema",
-               "payload_scan", "mixed_json", "ndjson_processed", "retention", "keyed_collect"}
+               "payload_scan", "mixed_json", "ndjson_processed", "retention", "keyed_collect",
+               "stream_dedup_late", "stream_hourly_closed", "process_hour_valid", "backfill_valid", "backfill_zone",
+               "unannounced_summary", "mixed_types", "catalog_diff", "catalog_repair", "atomic_rerun",
+               "marts_report", "marts_switch", "staging_view", "empty_hours", "keyed_source"}
 
 NOTES = {
     "hourly_summary": "stage 1: codegen hash aggregate per (user, hour, type) with partial step; stage 2 rolls up and picks the label by min_by, one row per label and group (few where groups are small)",
     "daily_summary_raw": "same two stages at day grain; exact integer-cent sums",
     "latest_per_user": "partial WindowGroupLimit keeps 1 row per user per map task before the shuffle",
-    "latest_keep_ties": "rank()=1 with partial WindowGroupLimit; only tied rows survive the map side",
+    "latest_keep_ties": "maximum by key (partial), joined back: a key that is all ties is split as a skewed join",
     "current_readings": "latest per user first (partial WindowGroupLimit), so one row a user meets the dimensions; then latest per city",
     "dominant_type": "hash aggregate of counts per (user, type), then min_by with a total order over the reduced rows",
     "validate_split_counts": "single scan, one global partial aggregate",
@@ -43,7 +46,11 @@ NOTES = {
     "regional_snapshot": "raw rows reduced per (hour, user) by a hash aggregate; arg-max/arg-min min_by runs on the reduced rows",
     "hour_over_hour": "two partial aggregations; the single-partition lag sees one row per hour",
     "series_long": "map-only Expand (2 rows per input row)",
-    "range_summary": "hour aggregate first; equal values counted (partial), then one ordered pass a user",
+    "range_summary": "hour aggregate first; equal values counted (partial), then one ordered pass a user; users beyond 5 million rows in range-partitioned pieces",
+    "range_summary_hot": "as range_summary with a low limit: the hot key's values are dealt out by range, totals of pieces give the ranks",
+    "advice_seasons": "map-only after dimension joins",
+    "daylight_labels": "distinct hours (partial) then labels",
+    "ordered_views": "a test of declared orders: places within a city in its own task; one row a city and one a condition in the single-task windows",
     "mean_order": "hour aggregate then per-user mean",
     "dimension_default": "order counts pre-aggregated before the left join; join strategy size-checked",
     "first_k_per_group": "partial WindowGroupLimit keeps k rows per user per map task",
