@@ -58,12 +58,18 @@ def test_summary_aggregates_partially(spark, q):
 
 
 def test_latest_and_topk_limit_before_shuffle(spark, q):
-    for name in ("latest_per_user", "first_k_per_group", "latest_keep_ties"):
+    for name in ("latest_per_user", "first_k_per_group"):
         p = plan(q[name](spark, SF), "simple")
         assert "WindowGroupLimit" in p and "Partial" in p, name
         assert _before_exchange(p, "Partial"), name
 
 
+def test_ties_meet_in_a_join_that_can_be_split(spark, q):
+    # a key that is all ties would meet in one window task
+    p = plan(q["latest_keep_ties"](spark, SF), "simple")
+    assert "Window" not in p and "Join" in p and _before_exchange(p, "partial_max")
+
+
 def test_valid_rows_push_predicates_to_scan(spark, q):
     p = plan(q["valid_rows"](spark, SF))
     assert "PushedFilters: [IsNotNull(event_id)" in p
