@@ -14,12 +14,10 @@ has to exceed the logarithm of the number of terms looked at, so that about
 one enters by chance, however many rows there are. Words also enter in pairs:
 two words whose common rows are toxic beyond the larger of the rates of both
 alone, by the same evidence over all pairs, even if each alone is neutral.
-Pairs are counted on the cluster, first in toxic rows only and among words with
-enough of them: a pair's evidence is at most that of its toxic rows.
 
 Fitting uses at most ``SAMPLE_ROWS`` labelled rows (smallest hash of
-``doc_id``). Copies count once, as toxic if one of them is. Terms and pairs are
-limited by their evidence alone.
+``doc_id``) and ``MAX_TERMS`` terms; copies count once, as toxic if one of them
+is.
 
 Defined results: null and empty texts have no terms and score as such (the
 machine's constant, near 0); rows without a usable label are only scored; a
@@ -36,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nimbus.llm.bpe import Memo
@@ -44,6 +42,7 @@ from nimbus.llm.common import prepare, staged
 from nimbus.llm.lang_id import held_out
 
 SAMPLE_ROWS = 20_000
+MAX_TERMS = 20_000
 MIN_ROWS = 5
 FACTORS = 4
 THRESHOLD = 0.7
@@ -113,52 +112,42 @@ def train(rows: list[list[int]], labels: list[int], n_terms: int, epochs: int =
     return float(theta[0][0]), theta[1], theta[2]
 
 
-def _toxic_pairs(rows: DataFrame, able: DataFrame) -> DataFrame:
-    """``a, b, pos``: how many toxic rows hold both of two words of ``able``."""
-    of = (rows.where("toxic = 1").select("row", F.explode("words").alias("term")).join(able.select("term"), "term")
-          .groupBy("row").agg(F.sort_array(F.collect_list("term")).alias("words")).select("words"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for words in batch.column(0).to_pylist():
-                w = np.array(words, np.uint64)  # 32-bit hashes, ascending
-                i, j = np.triu_indices(len(w), 1)
-                found.append(w[i] << np.uint64(32) | w[j])
-            if found:
-                pair, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array((pair >> np.uint64(32)).astype(np.int64)), pa.array((pair & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n.astype(np.int64))], ["a", "b", "pos"])
-
-    return of.mapInArrow(run, "a long, b long, pos long").groupBy("a", "b").agg(F.sum("pos").alias("pos"))
-
-
-def _evidence(pos: Column, n: Column, p: Column) -> Column:
-    """n KL(pos/n, p), for a share above p."""
-    q = pos / n
-    kl = F.when(q < 1, q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p))).otherwise(-F.log(p))
-    return F.when(q > p, n * kl)
-
-
-def paired_words(rows: DataFrame, p: float) -> DataFrame:
-    """``a, b, z``: words whose common rows are toxic beyond the rates of both
-    and ``p``, with their evidence; ``rows``: row, toxic, words."""
-    words = rows.select("toxic", F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos")).where(F.col("n") >= MIN_ROWS)
-    words = staged(words.withColumn("rate", F.greatest(F.lit(p), F.col("pos") / F.col("n"))), "toxic-words")
-    many = words.count()
-    least = math.log(max(2, many * (many - 1) / 2))
-    # Toxic rows by themselves tell which words, then which pairs, have enough evidence at best.
-    able = words.where((F.col("rate") < 1) & (F.col("pos") * -F.log("rate") >= least))
-    met = _toxic_pairs(rows, able).where(F.col("pos") * -math.log(p) >= least)
-    rate = lambda c: able.select(F.col("term").alias(c), F.col("rate").alias(f"rate_{c}"))
-    base = F.greatest("rate_a", "rate_b")
-    candidates = staged(met.join(rate("a"), "a").join(rate("b"), "b").withColumn("base", base).where(F.col("pos") * -F.log("base") >= least), "toxic-pairs")
-    # Their rows, toxic or not.
-    held = rows.select("row", "words", F.explode("words").alias("a")).join(candidates.select("a", "b"), "a").where(F.array_contains("words", F.col("b")))
-    counted = held.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).join(candidates, ["a", "b"])
-    return counted.withColumn("z", _evidence(F.col("pos"), F.col("n"), F.col("base"))).where((F.col("n") >= MIN_ROWS) & (F.col("z") >= least)).select("a", "b", "z")
-
-
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, min_z: float | None = None) -> FactorizationMachine:
+def pairs(rows: list[list[int]], labels: list[int], vocabulary: list[int], p: float) -> list[int]:
+    """Places in ``vocabulary`` of the words of pairs that are toxic beyond the
+    rates of both words and ``p``, the pair with most evidence first."""
+    at = {t: i for i, t in enumerate(vocabulary)}
+    n_terms, y = len(vocabulary), np.asarray(labels, np.int64)
+    if n_terms < 2:
+        return []
+    rows = [np.sort(np.array([at[t] for t in r], np.int64)) for r in rows]
+    holders: list[list[int]] = [[] for _ in vocabulary]
+    for k, r in enumerate(rows):
+        for i in r.tolist():
+            holders[i].append(k)
+    rate = np.array([max(p, y[h].mean()) if h else 1.0 for h in holders])
+    least = math.log(n_terms * (n_terms - 1) / 2)
+    found: list[tuple[float, int, int]] = []
+    for i, held in enumerate(holders):
+        toxic = [rows[k] for k in held if y[k]]
+        # Toxic rows by themselves tell which partners have enough evidence at best.
+        if rate[i] >= 1 or len(toxic) * -math.log(rate[i]) < least:
+            continue
+        pos = np.bincount(np.concatenate(toxic), minlength=n_terms)
+        base = np.maximum(rate, rate[i])
+        able = np.flatnonzero((np.arange(n_terms) > i) & (pos * -np.log(base) >= least))
+        if not len(able):
+            continue
+        n = np.bincount(np.concatenate([rows[k] for k in held]), minlength=n_terms)[able]
+        q, b = pos[able] / n, base[able]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            kl = q * np.log(q / b) + np.where(q < 1, (1 - q) * np.log((1 - q) / (1 - b)), 0)
+        ok = np.flatnonzero((q > b) & (n >= MIN_ROWS) & (n * kl >= least))
+        found += [(-float(n[k] * kl[k]), i, int(able[k])) for k in ok]
+    return list(dict.fromkeys(x for _, i, j in sorted(found) for x in (i, j)))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, max_terms: int = MAX_TERMS,
+        min_z: float | None = None) -> FactorizationMachine:
     """Learn from the labelled rows that are not held out. ``min_z``: a fixed
     bound of the terms' z scores in place of the evidence."""
     spark = docs.sparkSession
@@ -169,7 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, min_
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
     # Texts with the same terms (copies above all) count once.
     different = texts.mapInArrow(_terms_of, "toxic int, terms array<long>, words array<long>").groupBy("terms", "words").agg(F.max("toxic").alias("toxic"))
-    rows = staged(different.select(F.monotonically_increasing_id().alias("row"), "toxic", "terms", "words"), "toxic-terms")
+    rows = staged(different.select("toxic", "terms", "words"), "toxic-terms")
     n, pos = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     p = pos / n if n else 0.0
     if not 0 < p < 1:
@@ -177,13 +166,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, min_
     counted = rows.select(F.explode("terms").alias("term"), "toxic").groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("pos"))
     counted = staged(counted.where(F.col("n") >= MIN_ROWS), "toxic-counts")
     if min_z is None:
-        value, least = _evidence(F.col("pos"), F.col("n"), F.lit(p)), math.log(max(2, counted.count()))
+        q = F.col("pos") / F.col("n")
+        kl = F.when(q < 1, q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p))).otherwise(-math.log(p))
+        value, least = F.when(q > p, F.col("n") * kl), math.log(max(2, counted.count()))
     else:
         value, least = (F.col("pos") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p)), min_z
-    found = counted.withColumn("z", value).where(F.col("z") >= least).select("term")
-    paired = paired_words(rows, p)
-    every = found.unionByName(paired.select(F.col("a").alias("term"))).unionByName(paired.select(F.col("b").alias("term")))
-    terms = sorted(r["term"] for r in every.distinct().collect())  # those with evidence in at most sample_rows rows
+    kept = counted.withColumn("z", value).where(F.col("z") >= least).orderBy(F.desc("z"), "term").limit(max_terms).select("term")
+    found = [r["term"] for r in kept.collect()]
+    # At most max_terms words, the most frequent ones, and sample_rows rows.
+    vocabulary = [r["term"] for r in counted.join(rows.select(F.explode("words").alias("term")).distinct(), "term", "left_semi").orderBy(F.desc("n"), "term").limit(max_terms).collect()]
+    of = sorted(_only(rows, vocabulary, "words").collect())
+    paired = [vocabulary[i] for i in pairs([r["terms"] for r in of], [r["toxic"] for r in of], vocabulary, p)]
+    terms = sorted(list(dict.fromkeys(found + paired))[:max_terms])
     at = {t: i for i, t in enumerate(terms)}
     got = sorted((r["toxic"], sorted(at[t] for t in r["terms"])) for r in _only(rows, terms).collect())
     bias, w, v = train([r for _, r in got], [y for y, _ in got], len(terms))
@@ -191,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, min_
 
 
 def _only(rows: DataFrame, terms: list[int], of: str = "terms") -> DataFrame:
-    """``toxic, terms`` with the chosen terms of column ``of`` only."""
+    """``toxic, terms`` with the chosen terms of column ``of`` only (at most ``max_terms``)."""
     shared = rows.sparkSession.sparkContext.broadcast(set(terms))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +200,7 @@ def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
     """``doc_id, score`` for every whole text."""
     spark = docs.sparkSession
     prepare(spark)
-    shared = spark.sparkContext.broadcast(model)  # the terms with evidence in a bounded sample
+    shared = spark.sparkContext.broadcast(model)  # at most max_terms terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fm = shared.value
