@@ -408,6 +408,42 @@ def test_language_is_the_smallest_output_and_needs_a_margin(spark):
         assert got_[i].lang_pred == min(sizes, key=lambda x: x[0])[1] and abs(got_[i].margin - (1 - min(sizes)[0] / max(sizes)[0])) < 1e-12
 
 
+def test_language_learns_from_every_whole_text(spark):
+    rng = random.Random(12)
+    vocabulary = {k: ["".join(rng.choice(a) for _ in range(rng.randint(6, 12))) for _ in range(120)] for k, a in (("aa", "abcdefghij"), ("bb", "klmnopqrst"), ("both", "uvwxyz"))}
+    speak = lambda k, n: " ".join(rng.choice(vocabulary[k]) for _ in range(n))
+    # What tells the two apart stands behind thousands of letters; "bb" has more texts than any sample of hundreds.
+    rows = [(i, speak("both", 600) + "\n" + speak("aa", 120), "aa") for i in range(30)]
+    rows += [(1000 + i, f"{speak('bb', rng.randint(15, 60))} {'xy' if i % 2 else ''}", "bb") for i in range(900)]
+    rows += [(3000 + i, rows[200][1], "bb") for i in range(50)] + [(4000, "語" * 30, "bb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.fit(docs.repartition(5))
+    assert all(word.encode() in dict(model)["aa"].split(b" ") for word in vocabulary["aa"])
+    new = spark.createDataFrame([(i, speak("aa" if i % 2 else "bb", 60)) for i in range(60)], "doc_id long, text string")
+    assert all(r.lang_pred == ("aa" if r.doc_id % 2 else "bb") for r in lang_id.predict(new, model).collect())
+    texts = {(lang, lang_id.letters(text)) for i, text, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    half = {(r.lang, r.raw.encode()): r.half for r in spark.createDataFrame([(k, t.decode()) for k, t in texts], "lang string, raw string").select("lang", "raw", (F.xxhash64("raw") % 2 != 0).alias("half")).collect()}
+
+    def content(lang, of):
+        words = Counter(w for k, t in of if k == lang for w in lang_id._words(t.decode()))
+        common = {w for w, _ in sorted(Counter(w for k, t in texts if k == lang for w in lang_id._words(t.decode())).items(), key=lambda x: (-x[1], x[0].encode()))[:lang_id.PAIR_WORDS]}
+        counts = words + Counter(f"{a} {b}" for k, t in of if k == lang for w in [lang_id._words(t.decode())] for a, b in zip(w, w[1:], strict=False) if a in common and b in common)
+        out, size = [], 0
+        for u, n in sorted(((u.encode(), n) for u, n in counts.items()), key=lambda x: (-x[1] * len(x[0]), x[0])):
+            if (size := size + len(u) + 1) > lang_id.DICT_BYTES:
+                break
+            out.insert(0, u)
+        return b" ".join(out)
+
+    assert model == [(k, content(k, texts)) for k in ("bb", "aa")]
+    margins = []
+    for side in (False, True):
+        judge = lang_id.Compressors([(k, content(k, [t for t in texts if half[t] != side])) for k in ("bb", "aa")]).classify
+        margins += [m for k, t in texts if half[k, t] == side for best, _, m in [judge(t.decode())] if best == k]
+    at = int(sorted(margins)[int(lang_id.MARGIN_QUANTILE * len(margins))] * lang_id.STEPS) / lang_id.STEPS
+    assert model.min_margin == max(lang_id.MIN_MARGIN, lang_id.MARGIN_SHARE * at) > lang_id.MIN_MARGIN
+
+
 # ---------------------------------------------------------------- 5
 
 def jaccard_brute(rows, percent=85):
