@@ -182,9 +182,9 @@ def locate_strings(rows: list[tuple], scheme: Scheme = BYTES) -> list[tuple]:
     return [(rows[x >> 32][0], rows[x >> 32][4], x & 0xFFFFFFFF, n, 0) for x, n in zip(at[head].tolist(), count.tolist(), strict=True)]
 
 
-def removed_spans(docs: DataFrame, hot: int | None = None) -> DataFrame:
+def removed_spans(docs: DataFrame, hot: int | None = None, made: list[str] | None = None) -> DataFrame:
     """``did, rk, a, b``: bytes a .. b-1 of a document are to be removed."""
-    found = repeated_windows(docs, BYTES, locate_strings, WINDOWS_AT_ONCE, **({"hot": hot} if hot else {}))
+    found = repeated_windows(docs, BYTES, locate_strings, WINDOWS_AT_ONCE, made=made, **({"hot": hot} if hot else {}))
     return found.select("did", "rk", F.col("start").alias("a"), (F.col("start") + F.col("n") + (WINDOW - 1)).alias("b"))
 
 
@@ -206,7 +206,8 @@ def deduplicate(docs: DataFrame, hot: int | None = None) -> DataFrame:
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    rows = rows_with_spans(docs, removed_spans(docs, hot)).select(key_to_id(F.col("did")).alias("doc_id"), "text", "spans")
+    made: list[str] = []
+    rows = rows_with_spans(docs, removed_spans(docs, hot, made), made).select(key_to_id(F.col("did")).alias("doc_id"), "text", "spans")
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -48,10 +48,11 @@ def remove_staged(spark: SparkSession, folders: list[str]) -> None:
         _made[spark.sparkContext.applicationId].remove(f)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, made: list[str] | None = None) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared checkpoint folder and
     return the written table. The job's shuffle files are removed when it
-    ends (its result no longer needs them)."""
+    ends (its result no longer needs them). The folder is appended to
+    ``made``."""
     spark = df.sparkSession
     path = work_dir(spark, name)
     before = spark.conf.get(_CLEANUP, None)
@@ -64,6 +65,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
         else:
             spark.conf.set(_CLEANUP, before)
     _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,12 +10,21 @@ bytes) occur more than once, found without an index of the whole corpus.
    Equal segments become one row (``lo``, ``hi``: their first and last place).
 3. *Shards.* Segments meet by anchor, in tasks that hold a bounded number of
    them at a time, and a function of the operator locates the repeated windows
-   there. Anchors with more than ``HOT`` different segments are cut anew with
-   the whole window as anchor: equal windows are then equal rows, so a passage
-   that a third of all documents share never meets in one task.
+   there. Segments of an anchor with more than ``HOT`` different ones are cut
+   anew with longer anchors, which hold some of what stands around the string
+   they share, and again if that does not tell them apart, until the whole
+   window is the anchor: equal windows are then equal rows, so a passage that
+   a third of all documents share never meets in one task.
 4. The shards' findings go back to every occurrence of their segment by a
    join, and are gathered for each document.
 
+Disk: a segment is its run and the rest of its last window, so segments take
+several times the bytes of the text they stand for, and windows that are rows
+of their own ``window`` times. Steps 2 to 4 therefore take the anchors in
+rounds, each with about ``AT_ONCE`` times the bytes of all texts; longer
+anchors grow by halves of what is left, so that only windows inside a long
+shared passage become rows of their own; and tables of a round go with it.
+
 A place is one number made of the document's key (``did``, and of documents
 that share it, as those without an id do, part of the hash ``rk`` of its text) and ``start``, so that
 places sort as (doc_id, text, start). Repeated rows (same id and text) are one document.
@@ -23,21 +32,25 @@ places sort as (doc_id, text, start). Repeated rows (same id and text) are one d
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nimbus.llm.common import doc_rows, prepare, shuffle_parts, staged
+from nimbus.llm.common import doc_rows, prepare, remove_staged, shuffle_parts, staged
 from nimbus.llm.words import _BASE, _INVERSE, BYTE_VALUES, NON_SPACE, Words, groups, mix, powers, rolling
 
 STRIDE = 10 ** 10      # more than the units of a text
 TEXTS = 9 * 10 ** 8    # documents of one id are told apart by so much of their text's hash
 HOT = 4096             # segments of an anchor before it is cut anew
 SLICE = 1 << 18        # windows looked at together
+AT_ONCE = 1.25         # bytes of a round's segments, times the bytes of the texts
+TASK_ROWS = 4096       # segments of a task at least, else there are fewer tasks
 # Findings about a segment: windows i .. i+n-1 recur; ``first``: place of the first occurrence of window i.
 FOUND = "anchor long, sh long, i int, n int, first decimal(38,0)"
 
@@ -50,6 +63,12 @@ class Scheme:
     window: int
     k: int
     longest_run: int   # windows of a segment at most
+    unit_bytes: int = 1    # of a unit and what parts it from the next, about
+
+    def longer(self, k: int) -> int:
+        """Length of the anchors after those of length ``k``."""
+        k += (self.window - k + 1) // 2
+        return k if self.window - k > self.window // 10 else self.window
 
     def units(self, texts: list[bytes]):
         return _WordUnits(texts) if self.unit == "word" else _ByteUnits(texts)
@@ -206,29 +225,31 @@ def _segments(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, seg binary, did long, rk long, start long")
 
 
-def _recut(segments: DataFrame, scheme: Scheme) -> DataFrame:
-    """Windows of hot segments, each its own anchor."""
+def _recut(segments: DataFrame, scheme: Scheme, k: int) -> DataFrame:
+    """Hot segments cut into pieces by anchors of ``k`` units. With the whole
+    window as anchor each window is a piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = Scheme(scheme.unit, scheme.window, scheme.window, 1)
+        by = scheme if k < scheme.window else replace(scheme, longest_run=1)
         for part in groups(_rows(batches), 1, 1 << 17):
-            units = one.units([r[1] for r in part])
-            anchor, doc, begin, n = runs(units, one)
+            units = by.units([r[1] for r in part])
+            anchor, doc, begin, n = runs(units, by, k)
             i = begin - units.first[doc]
             owner, offset = doc.tolist(), i.tolist()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part[d][0] for d in owner], pa.int64()), pa.array([part[d][2] for d in owner], pa.int64()), pa.array(i, pa.int32()),
-                 pa.array(anchor.view(np.int64)), pa.array(units.cut(begin, begin + scheme.window), pa.binary()),
+                 pa.array(anchor.view(np.int64)), pa.array(units.cut(begin, begin + n + by.window - 1), pa.binary()),
                  pa.array([int(part[d][3]) + x for d, x in zip(owner, offset, strict=True)], pa.decimal128(38, 0)),
                  pa.array([int(part[d][4]) + x for d, x in zip(owner, offset, strict=True)], pa.decimal128(38, 0))],
-                ["anchor", "sh", "i", "window_anchor", "seg", "lo", "hi"])
+                ["anchor", "sh", "i", "piece_anchor", "seg", "lo", "hi"])
 
-    return segments.select("anchor", "seg", "sh", "lo", "hi").mapInArrow(run, "anchor long, sh long, i int, window_anchor long, seg binary, lo decimal(38,0), hi decimal(38,0)")
+    return segments.select("anchor", "seg", "sh", "lo", "hi").mapInArrow(run, "anchor long, sh long, i int, piece_anchor long, seg binary, lo decimal(38,0), hi decimal(38,0)")
 
 
-def _locate(segments: DataFrame, locate: Callable, scheme: Scheme, windows_at_once: int) -> DataFrame:
+def _locate(segments: DataFrame, n: int, locate: Callable, scheme: Scheme, windows_at_once: int) -> DataFrame:
     """Apply ``locate(rows, scheme)`` to whole anchors, a bounded number of
-    windows at a time; rows: (anchor, segment, lo, hi, sh)."""
+    windows at a time; rows: (anchor, segment, lo, hi, sh). ``n``: number of
+    segments, or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows: list[tuple]) -> pa.RecordBatch:
@@ -247,7 +268,8 @@ def _locate(segments: DataFrame, locate: Callable, scheme: Scheme, windows_at_on
         if held:
             yield out(held)
 
-    dealt = segments.select("anchor", "seg", "lo", "hi", F.xxhash64("seg").alias("sh")).repartition(4 * shuffle_parts(segments.sparkSession), "anchor").sortWithinPartitions("anchor")
+    tasks = min(4 * shuffle_parts(segments.sparkSession), n // TASK_ROWS + 1)
+    dealt = segments.select("anchor", "seg", "lo", "hi", F.xxhash64("seg").alias("sh")).repartition(tasks, "anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(run, FOUND)
 
 
@@ -268,41 +290,78 @@ def _grouped(segments: DataFrame, anchor: str, lo: Column, hi: Column) -> DataFr
     return segments.groupBy(F.col(anchor).alias("anchor"), "seg").agg(F.min(lo).alias("lo"), F.max(hi).alias("hi"))
 
 
-def repeated_windows(docs: DataFrame, scheme: Scheme, locate: Callable, windows_at_once: int, hot: int = HOT) -> DataFrame:
+def _rounds(texts: DataFrame, marked: DataFrame, scheme: Scheme) -> int:
+    """Rounds in which segments take ``AT_ONCE`` times the texts' bytes each."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = marked.agg(F.sum(F.size("anchors"))).first()[0] or 0
+    run = (scheme.window - scheme.k + 2) / 2
+    return max(1, math.ceil(n * (scheme.window + run) * scheme.unit_bytes / (AT_ONCE * max(size, 1))))
+
+
+def _found(segments: DataFrame, scheme: Scheme, k: int, locate: Callable, windows_at_once: int, hot: int, made: list[str]) -> DataFrame:
+    """Findings about different segments (``anchor, seg, sh, lo, hi``) whose
+    anchors have ``k`` units. Folders of the findings are appended to ``made``."""
+    spark = segments.sparkSession
+    own: list[str] = []
+    total = segments.count()
+    crowded = None
+    if k < scheme.window:
+        crowded = staged(segments.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("anchor"), "hot-anchors", own)
+    if crowded is None or crowded.isEmpty():
+        found = staged(_locate(segments, total, locate, scheme, windows_at_once), "repeated-windows", made)
+    else:
+        k = scheme.longer(k)
+        cool = staged(_locate(segments.join(crowded, "anchor", "left_anti"), total, locate, scheme, windows_at_once), "repeated-windows", made)
+        pieces = staged(_recut(segments.join(crowded, "anchor", "left_semi"), scheme, k).withColumn("piece_sh", F.xxhash64("seg")), "hot-pieces", own)
+        apart = staged(_grouped(pieces, "piece_anchor", F.col("lo"), F.col("hi")).withColumn("sh", F.xxhash64("seg")), "distinct-hot-pieces", own)
+        of_pieces = _found(apart, scheme, k, locate, windows_at_once, hot, own).select(F.col("anchor").alias("piece_anchor"), F.col("sh").alias("piece_sh"), F.col("i").alias("j"), "n", "first")
+        back = (pieces.select("anchor", "sh", "i", "piece_anchor", "piece_sh").join(of_pieces, ["piece_anchor", "piece_sh"])
+                .select("anchor", "sh", (F.col("i") + F.col("j")).alias("i"), "n", "first"))
+        found = cool.unionByName(staged(back, "repeated-hot-windows", made))
+    remove_staged(spark, own)
+    return found
+
+
+def repeated_windows(docs: DataFrame, scheme: Scheme, locate: Callable, windows_at_once: int, hot: int = HOT, made: list[str] | None = None) -> DataFrame:
     """``did, rk, start, n, first``: windows start .. start+n-1 of a document
     are repeated; ``first`` is the place of the first occurrence of the first
-    of them, and the next ones follow it one by one."""
+    of them, and the next ones follow it one by one. The folders that hold
+    these rows are appended to ``made``."""
     spark = docs.sparkSession
     prepare(spark)
+    made = [] if made is None else made
     texts = doc_rows(docs).select("did", "rk", F.col("text").cast("binary").alias("text"))
-    anchors = staged(_anchors(texts, scheme), "anchors")
+    counted: list[str] = []
+    kept: list[str] = []
+    anchors = staged(_anchors(texts, scheme), "anchors", counted)
     # A table of its own, so that the join's hot anchors can be split.
-    repeated = staged(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated")
-    wanted = staged(anchors.join(repeated, "anchor", "left_semi").groupBy("did", "rk").agg(F.collect_set("anchor").alias("anchors")), "repeated-anchors")
-    # Rows given several times are one document: each of them would yield the same segments.
-    segments = staged(_segments(texts.join(wanted, ["did", "rk"]), scheme).withColumn("sh", F.xxhash64("seg")), "segments")
-    distinct = staged(_grouped(segments, "anchor", place(), place()).withColumn("sh", F.xxhash64("seg")), "distinct-segments")
-
-    crowded = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("anchor")
-    crowded = staged(crowded, "hot-anchors")
-    if crowded.isEmpty():
-        found = _locate(distinct, locate, scheme, windows_at_once)
-    else:
-        windows = staged(_recut(distinct.join(crowded, "anchor", "left_semi"), scheme), "hot-windows")
-        alone = _grouped(windows, "window_anchor", F.col("lo"), F.col("hi"))
-        cool = _locate(distinct.join(crowded, "anchor", "left_anti").select("anchor", "seg", "lo", "hi"), locate, scheme, windows_at_once)
-        of_windows = _locate(alone, locate, scheme, windows_at_once).select(F.col("anchor").alias("window_anchor"), F.col("sh").alias("window_sh"), "first")
-        back = (windows.select("anchor", "sh", "i", "window_anchor", F.xxhash64("seg").alias("window_sh"))
-                .join(of_windows, ["window_anchor", "window_sh"]).select("anchor", "sh", "i", F.lit(1).alias("n"), "first"))
-        found = cool.unionByName(back)
-    found = staged(found, "repeated-windows")
-    return (segments.select("anchor", "sh", "did", "rk", "start").join(found, ["anchor", "sh"])
-            .select("did", "rk", (F.col("start") + F.col("i")).alias("start"), "n", "first"))
-
-
-def rows_with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``did, rk, text, spans`` for every row; ``spans``: did, rk, a, b."""
+    repeated = staged(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "repeated", counted)
+    marked = staged(anchors.join(repeated, "anchor", "left_semi").groupBy("did", "rk").agg(F.collect_set("anchor").alias("anchors")), "repeated-anchors", kept)
+    remove_staged(spark, counted)
+    rounds = _rounds(texts, marked, scheme)
+    out = []
+    for r in range(rounds):
+        own: list[str] = []
+        wanted = marked
+        if rounds > 1:
+            of_round = F.filter("anchors", lambda a: F.pmod(a, F.lit(rounds)) == F.lit(r))  # noqa: B023 - called at once
+            wanted = marked.withColumn("anchors", of_round).where(F.size("anchors") > 0)
+        # Rows given several times are one document: each of them would yield the same segments.
+        segments = staged(_segments(texts.join(wanted, ["did", "rk"]), scheme).withColumn("sh", F.xxhash64("seg")), "segments", own)
+        distinct = staged(_grouped(segments, "anchor", place(), place()).withColumn("sh", F.xxhash64("seg")), "distinct-segments", own)
+        found = _found(distinct, scheme, scheme.k, locate, windows_at_once, hot, own)
+        out.append(staged(segments.select("anchor", "sh", "did", "rk", "start").join(found, ["anchor", "sh"])
+                          .select("did", "rk", (F.col("start") + F.col("i")).alias("start"), "n", "first"), "repeated-places", made))
+        remove_staged(spark, own)
+    remove_staged(spark, kept)
+    return reduce(DataFrame.unionByName, out)
+
+
+def rows_with_spans(docs: DataFrame, spans: DataFrame, made: list[str]) -> DataFrame:
+    """``did, rk, text, spans`` for every row; ``spans``: did, rk, a, b, read
+    from the folders ``made``, which go."""
     gathered = staged(spans.groupBy("did", "rk").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans")), "spans")
+    remove_staged(docs.sparkSession, made)
     return doc_rows(docs).select("did", "rk", F.col("text").cast("binary").alias("text")).join(gathered, ["did", "rk"], "left")
 
 

@@ -32,7 +32,7 @@ from nimbus.llm.common import key_to_id
 from nimbus.llm.passages import Scheme, merge_spans, place, repeated_windows, rows_with_spans
 
 WINDOW = 20
-WORDS = Scheme("word", WINDOW, 6, 256)
+WORDS = Scheme("word", WINDOW, 6, 256, 7)
 WINDOWS_AT_ONCE = 20_000
 
 
@@ -78,9 +78,9 @@ def locate_phrases(rows: list[tuple], scheme: Scheme = WORDS) -> list[tuple]:
     return out
 
 
-def removed_spans(docs: DataFrame, hot: int | None = None) -> DataFrame:
+def removed_spans(docs: DataFrame, hot: int | None = None, made: list[str] | None = None) -> DataFrame:
     """``did, rk, a, b``: words a .. b-1 of a document are to be removed."""
-    found = repeated_windows(docs, WORDS, locate_phrases, WINDOWS_AT_ONCE, **({"hot": hot} if hot else {}))
+    found = repeated_windows(docs, WORDS, locate_phrases, WINDOWS_AT_ONCE, made=made, **({"hot": hot} if hot else {}))
     later = found.where(place() != F.col("first"))
     return later.select("did", "rk", F.col("start").alias("a"), (F.col("start") + F.col("n") + (WINDOW - 1)).alias("b"))
 
@@ -102,7 +102,8 @@ def deduplicate(docs: DataFrame, hot: int | None = None) -> DataFrame:
                 kept.append(b" ".join(left))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    rows = rows_with_spans(docs, removed_spans(docs, hot)).select(key_to_id(F.col("did")).alias("doc_id"), "text", "spans")
+    made: list[str] = []
+    rows = rows_with_spans(docs, removed_spans(docs, hot, made), made).select(key_to_id(F.col("did")).alias("doc_id"), "text", "spans")
     return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary").withColumn("kept", F.col("kept").cast("string"))
 
 

@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 
 from nimbus.llm import (bpe, bytes_dedup, components, decontaminate, exact_dedup, jaccard_join, lang_id,
                         licenses, passages, phrase_dedup, token_file, toxicity)
+from nimbus.llm.common import staged_folders
 from nimbus.llm.queries import ORACLE_SQL, QUERIES
 from nimbus.session import work_dir
 
@@ -220,6 +221,39 @@ def test_passages_of_an_empty_table(none):
     assert got(phrase_dedup.report(none)) == [] and got(bytes_dedup.report(none)) == []
 
 
+@pytest.mark.parametrize("op, brute, at_once", [(phrase_dedup, phrase_brute, 1.25), (bytes_dedup, bytes_brute, 0.6)])
+def test_passages_of_hot_lines_and_copies_stay_small(spark, monkeypatch, op, brute, at_once):
+    rng = random.Random(8)
+    line = prose(rng, 25, 9000)
+    rows = [(i, f"{prose(rng, 60, 9000)} {line} {prose(rng, 60, 9000)}") for i in range(60)]
+    rows += [(1000 + i, t) for i, t in rows]   # every text twice: everything recurs
+    docs, size = table(spark, rows), sum(len(t) for _, t in rows)
+    took, staged, before = defaultdict(list), passages.staged, set(staged_folders(spark))
+
+    def watched(df, name, *made):
+        out = staged(df, name, *made)
+        if "seg" in out.columns:
+            took[name].append(out.agg(F.sum(F.octet_length("seg"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(passages, "AT_ONCE", at_once, raising=False)
+    monkeypatch.setattr(passages, "staged", watched)
+    assert got(op.report(docs, 20)) == brute(rows)
+    # Segments by rounds, and no table with a row for each window around the line.
+    assert max(took["segments"]) <= (at_once + 0.3) * size
+    assert max(sum(took[n]) for n in took if "segments" not in n) <= 2 * size
+    assert len(set(staged_folders(spark)) - before) == 1   # the spans
+
+
+def test_anchors_grow_to_the_window():
+    for scheme in (phrase_dedup.WORDS, bytes_dedup.BYTES):
+        k, steps = scheme.k, 0
+        while k < scheme.window:
+            assert k < (k := scheme.longer(k)) <= scheme.window
+            steps += 1
+        assert steps <= 4
+
+
 def test_corpus_order_is_suffix_order():
     rng = random.Random(3)
     for _ in range(40):
